@@ -30,11 +30,11 @@ def _number(c: Column, digits: int) -> Column:
     return F.format_string(f"%.{digits}f", c.cast("double"))
 
 
-def point_wkt(lat, lon, digits: int = 6) -> Column:
+def point_wkt(lat, lon, digits: int = 9) -> Column:
     return F.concat(F.lit("POINT ("), _number(_col(lon), digits), F.lit(" "), _number(_col(lat), digits), F.lit(")"))
 
 
-def tri_line_wkt(lat1, lon1, lat2, lon2, lat3, lon3, digits: int = 6) -> Column:
+def tri_line_wkt(lat1, lon1, lat2, lon2, lat3, lon3, digits: int = 9) -> Column:
     def pair(lat, lon):
         return F.concat(_number(_col(lon), digits), F.lit(" "), _number(_col(lat), digits))
     return F.concat(
@@ -42,7 +42,7 @@ def tri_line_wkt(lat1, lon1, lat2, lon2, lat3, lon3, digits: int = 6) -> Column:
     )
 
 
-def spread_box_wkt(lat, lon, lat_sd, lon_sd, factor: float = 1.0, digits: int = 6) -> Column:
+def spread_box_wkt(lat, lon, lat_sd, lon_sd, factor: float = 1.0, digits: int = 9) -> Column:
     """Closed box of ``factor`` standard deviations around a mean position."""
     left = _number(_col(lon) - F.lit(float(factor)) * _col(lon_sd), digits)
     right = _number(_col(lon) + F.lit(float(factor)) * _col(lon_sd), digits)
@@ -94,17 +94,23 @@ def ring_edges(ring: Column) -> Column:
     )
 
 
-def metres_to_edge(lat: Column, lon: Column, x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
-    """Distance from a point to a segment on the local tangent plane of the point."""
-    east = F.lit(SPHERE_M) * F.cos(F.radians(lat))
-    ax, ay = F.radians(x1 - lon) * east, F.radians(y1 - lat) * F.lit(SPHERE_M)
-    bx, by = F.radians(x2 - lon) * east, F.radians(y2 - lat) * F.lit(SPHERE_M)
-    dx, dy = bx - ax, by - ay
+def local_plane(lat: Column, lon: Column, x1: Column, y1: Column, x2: Column, y2: Column) -> dict[str, Column]:
+    """Edge start and direction in metres on the tangent plane of a point."""
+    north = F.lit(SPHERE_M)
+    east = north * F.cos(F.radians(lat))
+    return {
+        "_ax": F.radians(x1 - lon) * east,
+        "_ay": F.radians(y1 - lat) * north,
+        "_dx": F.radians(x2 - x1) * east,
+        "_dy": F.radians(y2 - y1) * north,
+    }
+
+
+def nearest_share(ax: Column, ay: Column, dx: Column, dy: Column) -> Column:
+    """Position (0..1) along the edge a + t*d of the point nearest to the origin."""
     length2 = dx * dx + dy * dy
     along = F.when(length2 > 0, -(ax * dx + ay * dy) / length2).otherwise(F.lit(0.0))
-    t = F.greatest(F.lit(0.0), F.least(F.lit(1.0), along))
-    px, py = ax + t * dx, ay + t * dy
-    return F.sqrt(px * px + py * py)
+    return F.greatest(F.lit(0.0), F.least(F.lit(1.0), along))
 
 
 def side_of_line(px: Column, py: Column, ax: Column, ay: Column, bx: Column, by: Column) -> Column:

@@ -33,8 +33,17 @@ def select_method(aoi: DataFrame, method: str, column: str = "method") -> DataFr
 
 def polygon_edges(areas: DataFrame, keys: Sequence[str], geom: str = "geom") -> DataFrame:
     """One row per polygon edge: keys, x1, y1, x2, y2 in degrees."""
-    rings = areas.select(*keys, F.explode(geom).alias("_ring"))
-    return spread(rings.select(*keys, F.inline(geo.ring_edges(F.col("_ring")))))
+    # Outer generators: the plain ones would parse once more to drop empty outlines.
+    rings = areas.select(*keys, F.explode_outer(geom).alias("_ring"))
+    edges = rings.select(*keys, F.inline_outer(geo.ring_edges(F.col("_ring"))))
+    return spread(edges.filter(F.col("x1").isNotNull()))
+
+
+def settle(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns as generated values, so a later filter on them reuses the value
+    instead of repeating its whole expression (generators stop filter pushdown)."""
+    values = F.struct(*[c.alias(n) for n, c in columns.items()])
+    return df.select("*", F.inline(F.array(values)))
 
 
 def spread(edges: DataFrame) -> DataFrame:
@@ -59,15 +68,14 @@ def fill(edges: DataFrame, keys: Sequence[str], resolution: int, cell: str = "ce
             )
         ).alias("_r"),
     )
-    lat = grid.centre_latitude_of_row(F.col("_r"), resolution)
-    met = rows.withColumn("_lat", lat).filter((F.col("_lat") >= low) & (F.col("_lat") < high))
+    met = settle(rows, _lat=grid.centre_latitude_of_row(F.col("_r"), resolution)).filter((F.col("_lat") >= low) & (F.col("_lat") < high))
     share = (F.col("_lat") - F.col("y1")) / (F.col("y2") - F.col("y1"))
     crossings = met.select(*keys, "_r", (F.col("x1") + share * (F.col("x2") - F.col("x1"))).alias("_x"))
     w = Window.partitionBy(*keys, "_r").orderBy("_x")
     spans = crossings.withColumns({"_n": F.row_number().over(w), "_to": F.lead("_x").over(w)}).filter("_n % 2 = 1")
     first = F.ceil(grid.column_of_longitude(F.col("_x"), F.col("_r"), resolution))
     last = F.ceil(grid.column_of_longitude(F.col("_to"), F.col("_r"), resolution)) - F.lit(1)
-    runs = spans.withColumns({"_first": first, "_last": last}).filter("_first <= _last")
+    runs = settle(spans, _first=first.cast("bigint"), _last=last.cast("bigint")).filter("_first <= _last")
     return runs.select(*keys, "_r", F.explode(F.sequence("_first", "_last")).alias("_q")).select(
         *keys, grid.pack(F.col("_q"), F.col("_r"), resolution).alias(cell)
     )
@@ -99,13 +107,14 @@ def _edge_samples(edges: DataFrame, keys: Sequence[str], step_m: Column) -> Data
     dy = F.col("y2") - F.col("y1")
     length = F.radians(F.sqrt(dx * dx + dy * dy)) * F.lit(grid.EARTH_M)
     count = F.greatest(F.lit(1), F.ceil(length / step_m).cast("int"))
-    cut = edges.withColumn("_count", count).withColumn("_i", F.explode(F.sequence(F.lit(0), F.col("_count"))))
+    cut = settle(edges, _count=count).withColumn("_i", F.explode(F.sequence(F.lit(0), F.col("_count"))))
     t = F.col("_i") / F.col("_count").cast("double")
-    return cut.select(
-        *keys, "x1", "y1", "x2", "y2",
-        (F.col("x1") + t * (F.col("x2") - F.col("x1"))).alias("_x"),
-        (F.col("y1") + t * (F.col("y2") - F.col("y1"))).alias("_y"),
+    points = settle(
+        cut,
+        _x=F.col("x1") + t * (F.col("x2") - F.col("x1")),
+        _y=F.col("y1") + t * (F.col("y2") - F.col("y1")),
     )
+    return points.select(*keys, "x1", "y1", "x2", "y2", "_x", "_y")
 
 
 def cells_near_edges(edges: DataFrame, keys: Sequence[str], resolution: int, reach_m: float, cell: str) -> DataFrame:
@@ -138,10 +147,10 @@ def buffer_cells(
     edges = polygon_edges(keyed, ["_one"])
     inside = fill(edges, ["_one"], resolution, cell).select(cell)
     near = cells_near_edges(edges, [], resolution, float(radius_m), cell)
-    metres = geo.metres_to_edge(
-        grid.centre_latitude(cell, resolution), grid.centre_longitude(cell, resolution),
-        F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2"),
-    )
+    near = settle(near, _lat=grid.centre_latitude(cell, resolution), _lon=grid.centre_longitude(cell, resolution))
+    near = settle(near, **geo.local_plane(F.col("_lat"), F.col("_lon"), *map(F.col, ("x1", "y1", "x2", "y2"))))
+    near = settle(near, _t=geo.nearest_share(F.col("_ax"), F.col("_ay"), F.col("_dx"), F.col("_dy")))
+    metres = F.hypot(F.col("_ax") + F.col("_t") * F.col("_dx"), F.col("_ay") + F.col("_t") * F.col("_dy"))
     return inside.unionByName(near.filter(metres <= F.lit(float(radius_m))).select(cell)).distinct()
 
 

@@ -49,11 +49,12 @@ FROM (SELECT *, (user_id * 5 + CAST(floor((CAST(extract(day FROM ts) AS BIGINT)
 
 _SITES = "(VALUES (0),(1),(2),(3),(4),(5),(6),(7),(8),(9))"
 
-# One row per (port, cell): six ports of ten cells; cell 5 of port 0 is shared with port 1.
+# One row per (port, cell): six ports of ten cells.
 _PORT_CELLS = f"""
 SELECT concat('P', CAST(site AS VARCHAR(20))) AS Port,
   CASE WHEN site < 3 THEN 'Indonesia' WHEN site = 3 THEN 'Qatar' ELSE 'Japan' END AS Country,
   CAST(site * 1000 + j AS BIGINT) AS boundary_h3,
+  CAST(-5 + 2e0 * site + j / 1e2 AS DOUBLE) AS lat, CAST(100 + 3e0 * site + j / 1e2 AS DOUBLE) AS lon,
   concat('P', CAST(site AS VARCHAR(20)), ' - ', CASE WHEN site < 3 THEN 'Indonesia' WHEN site = 3 THEN 'Qatar' ELSE 'Japan' END) AS Port_Country
 FROM {_SITES} s(site) CROSS JOIN {_SITES} c(j) WHERE site <= 5
 """
@@ -82,7 +83,9 @@ FROM {CUSTOMER} c JOIN {NATION} n ON c.c_nationkey = n.n_nationkey
 # One area per supplier, inside the box of its site: plain square, square with a
 # hole, two-part area, triangle. Corners lie off the ping lattice.
 _AOI = """
-SELECT s_suppkey, concat('S', CAST(s_suppkey AS VARCHAR(20))) AS Kode, n_name AS Prov_ID, r_name AS TERRITORY1,
+SELECT s_suppkey, concat('S', CAST(s_suppkey AS VARCHAR(20))) AS Kode, n_name AS Prov_ID,
+  concat('h', CAST(s_suppkey % 3 AS VARCHAR(20))) AS Hirarki_1,
+  CASE WHEN s_suppkey % 10 < 3 THEN 'Indonesia' WHEN s_suppkey % 10 = 3 THEN 'Qatar' ELSE 'Japan' END AS Country, r_name AS TERRITORY1,
   CASE s_suppkey % 4 WHEN 0 THEN 'Manual' WHEN 1 THEN 'Cluster' WHEN 2 THEN 'Distance' ELSE 'Heatmap' END AS method,
   CASE CAST(floor(s_suppkey / 10e0) AS BIGINT) % 4
     WHEN 0 THEN concat('POLYGON ((', {P00}, ', ', {P80}, ', ', {P88}, ', ', {P08}, ', ', {P00}, '))')
