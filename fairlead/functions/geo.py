@@ -118,11 +118,17 @@ def side_of_line(px: Column, py: Column, ax: Column, ay: Column, bx: Column, by:
     return (bx - ax) * (py - ay) - (by - ay) * (px - ax)
 
 
+# A point this close to an outline (in degrees) lies on it: above the rounding error of
+# the arithmetic, far below a millimetre on the ground.
+ON_EDGE_DEGREES = 1e-12
+
+
 def on_segment(px: Column, py: Column, ax: Column, ay: Column, bx: Column, by: Column) -> Column:
+    slack = F.lit(ON_EDGE_DEGREES)
     return (
-        (side_of_line(px, py, ax, ay, bx, by) == 0)
-        & px.between(F.least(ax, bx), F.greatest(ax, bx))
-        & py.between(F.least(ay, by), F.greatest(ay, by))
+        (F.abs(side_of_line(px, py, ax, ay, bx, by)) <= slack * (F.abs(bx - ax) + F.abs(by - ay)))
+        & px.between(F.least(ax, bx) - slack, F.greatest(ax, bx) + slack)
+        & py.between(F.least(ay, by) - slack, F.greatest(ay, by) + slack)
     )
 
 

@@ -139,6 +139,19 @@ def cells_near_edges(edges: DataFrame, keys: Sequence[str], resolution: int, rea
     return around.select(*edge, moved.alias(cell))
 
 
+# From here on cells are small enough to measure on the tangent plane of their centre.
+PLANE_RESOLUTION = 5
+
+
+def with_distance(pairs: DataFrame, cell: str, resolution: int) -> DataFrame:
+    """Metres from each cell's centre to the edge beside it, as ``_metres``."""
+    df = settle(pairs, _lat=grid.centre_latitude(cell, resolution), _lon=grid.centre_longitude(cell, resolution))
+    df = settle(df, **geo.local_plane(F.col("_lat"), F.col("_lon"), *map(F.col, ("x1", "y1", "x2", "y2"))))
+    df = settle(df, _t=geo.nearest_share(F.col("_ax"), F.col("_ay"), F.col("_dx"), F.col("_dy")))
+    metres = F.hypot(F.col("_ax") + F.col("_t") * F.col("_dx"), F.col("_ay") + F.col("_t") * F.col("_dy"))
+    return settle(df, _metres=metres)
+
+
 def buffer_cells(
     areas: DataFrame, radius_m: float = 10000.0, resolution: int = 8, cell: str = "boundary_h3"
 ) -> DataFrame:
@@ -147,11 +160,8 @@ def buffer_cells(
     edges = polygon_edges(keyed, ["_one"])
     inside = fill(edges, ["_one"], resolution, cell).select(cell)
     near = cells_near_edges(edges, [], resolution, float(radius_m), cell)
-    near = settle(near, _lat=grid.centre_latitude(cell, resolution), _lon=grid.centre_longitude(cell, resolution))
-    near = settle(near, **geo.local_plane(F.col("_lat"), F.col("_lon"), *map(F.col, ("x1", "y1", "x2", "y2"))))
-    near = settle(near, _t=geo.nearest_share(F.col("_ax"), F.col("_ay"), F.col("_dx"), F.col("_dy")))
-    metres = F.hypot(F.col("_ax") + F.col("_t") * F.col("_dx"), F.col("_ay") + F.col("_t") * F.col("_dy"))
-    return inside.unionByName(near.filter(metres <= F.lit(float(radius_m))).select(cell)).distinct()
+    near = with_distance(near, cell, resolution).filter(F.col("_metres") <= F.lit(float(radius_m)))
+    return inside.unionByName(near.select(cell)).distinct()
 
 
 def cover(edges: DataFrame, keys: Sequence[str], resolution: int) -> DataFrame:
@@ -160,6 +170,9 @@ def cover(edges: DataFrame, keys: Sequence[str], resolution: int) -> DataFrame:
     inside = fill(edges, keys, resolution).withColumn("_inside", F.lit(True))
     touched = cells_near_edges(edges, keys, resolution, grid.edge_length(resolution), "cell")
     touched = touched.distinct()
+    if resolution >= PLANE_RESOLUTION:
+        reach = F.lit(1.1 * grid.edge_length(resolution)) * F.cos(F.radians("_lat"))
+        touched = with_distance(touched, "cell", resolution).filter(F.col("_metres") <= reach)
     both = inside.withColumn("_edge", F.lit(None).cast("struct<x1:double,y1:double,x2:double,y2:double>")).unionByName(
         touched.select(*keys, "cell", F.lit(False).alias("_inside"), F.struct("x1", "y1", "x2", "y2").alias("_edge"))
     )

@@ -17,10 +17,14 @@ def keep_columns(df: DataFrame, keep: Sequence[str] = ("*",)) -> DataFrame:
 
 
 def pick_variant(df: DataFrame, *names: str) -> Column:
-    """First of several alternative column names the table has."""
+    """First of several alternative column names the table has, under the first name.
+
+    A column already so named is not aliased again: a redundant alias is removed in one
+    branch of a union and kept in the other, and then their exchanges are not shared.
+    """
     for n in names:
         if n in df.columns:
-            return F.col(n)
+            return F.col(n) if n == names[0] else F.col(n).alias(names[0])
     raise ValueError(f"none of the columns {names} is present")
 
 

@@ -42,7 +42,8 @@ def neighbours(
     """Add columns taken ``n`` rows back or ahead in the ship's order.
 
     ``order[0]`` is the time column; the rest are tiebreaks. ``back`` and ``ahead``
-    map a new column name to (source column, n).
+    map a new column name to (source column, n). A ``_slice`` column already present is
+    used as it is, together with any partitioning by it.
     """
     back, ahead = back or {}, ahead or {}
     depth = max(n for _, n in [*back.values(), *ahead.values()])
@@ -54,7 +55,8 @@ def neighbours(
         cols.update({name: F.lead(src, n).over(window) for name, (src, n) in ahead.items()})
         return cols
 
-    tagged = df.withColumn("_slice", time_slice(order[0], slice_seconds)).withColumns(
+    sliced = df if "_slice" in df.columns else df.withColumn("_slice", time_slice(order[0], slice_seconds))
+    tagged = sliced.withColumns(
         {
             **found(in_slice),
             "_head": F.lag(F.lit(True), depth).over(in_slice).isNull(),

@@ -72,6 +72,20 @@ class _Slice:
             block *= 2
         return self.n
 
+    def leaves_each(self, q: np.ndarray, r: np.ndarray, start: int) -> np.ndarray:
+        """:meth:`leaves` for many centres at once."""
+        out = np.full(len(q), self.n)
+        alive = np.arange(len(q))
+        while start < self.n and len(alive):
+            dq = self.q[start : start + 2048] - q[alive, None]
+            dr = self.r[start : start + 2048] - r[alive, None]
+            away = np.maximum(np.maximum(np.abs(dq), np.abs(dr)), np.abs(dq + dr)) > self.depth
+            gone = away.any(axis=1)
+            out[alive[gone]] = start + away[gone].argmax(axis=1)
+            alive = alive[~gone]
+            start += 2048
+        return out
+
     def opens(self, start: int) -> int:
         i = int(np.searchsorted(self.slow, start))
         return int(self.slow[i]) if i < len(self.slow) else self.n
@@ -115,6 +129,9 @@ def _to_batch(columns: dict, schema: str) -> pa.RecordBatch:
 
 
 def summarise(offsets: list[tuple[int, int]], depth: int):
+    off_q = np.array([dq for dq, _ in offsets])
+    off_r = np.array([dr for _, dr in offsets])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, bounds in _groups(batches):
             ship, part = table["mmsi"].to_numpy(), table["_slice"].to_numpy()
@@ -124,9 +141,8 @@ def summarise(offsets: list[tuple[int, int]], depth: int):
                 s = _Slice(cells[a:b], slow[a:b], depth)
                 none, far = s.open_at_end(0), s.open_at_end(1)
                 stays, other, other_pos = [], [], []
-                for dq, dr in offsets:
-                    anchor = int(s.cells[0]) + (dq << AXIS_BITS) + dr
-                    left = s.leaves(int(s.q[0]) + dq, int(s.r[0]) + dr, 1)
+                anchors = (s.cells[0] + (off_q << AXIS_BITS) + off_r).tolist()
+                for anchor, left in zip(anchors, s.leaves_each(s.q[0] + off_q, s.r[0] + off_r, 1).tolist()):
                     if left == s.n:
                         stays.append(anchor)
                     elif (then := s.open_at_end(left + 1)) != far:

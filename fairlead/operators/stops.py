@@ -65,9 +65,11 @@ def label_events(
             "_slow": F.coalesce(F.col("sog") < STOP_SPEED, F.lit(False)),
         }
     )
+    # An explicit number keeps these CPU-bound steps from being merged into few tasks.
+    tasks = int(pings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sorted_rows = (
         rows.select(*dict.fromkeys([*_MACHINE, *order]))
-        .repartition("mmsi", "_slice")
+        .repartition(tasks, "mmsi", "_slice")
         .sortWithinPartitions("mmsi", "_slice", *order)
         .select(*_MACHINE)
     )
@@ -100,7 +102,9 @@ def label_events(
     )
     in_slice = Window.partitionBy("mmsi", "_slice").orderBy(*order)
     placed = (
-        rows.join(facts, ["mmsi", "_slice"]).join(state, ["mmsi", "_slice"])
+        rows.repartition(tasks, "mmsi", "_slice")
+        .join(facts, ["mmsi", "_slice"])
+        .join(state, ["mmsi", "_slice"])
         .withColumns(
             {
                 "_pos": F.row_number().over(in_slice) - F.lit(1),

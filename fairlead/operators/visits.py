@@ -18,9 +18,9 @@ def visit_pings(tagged: DataFrame, cell: str = "H3_int_index_8") -> DataFrame:
     return tagged.select(
         "mmsi",
         "vessel_name",
-        columns.pick_variant(tagged, "Prov_ID", "kd_prov").alias("Prov_ID"),
+        columns.pick_variant(tagged, "Prov_ID", "kd_prov"),
         columns.pick_variant(tagged, "Kode", "kode").alias("Port"),
-        columns.pick_variant(tagged, "Hirarki_1", "kode_hirar").alias("Hirarki_1"),
+        columns.pick_variant(tagged, "Hirarki_1", "kode_hirar"),
         "dt_pos_utc",
         F.col("flag_country").alias("fc_vessel"),
         "GroupBeneficialOwnerCountryofDomicile",
@@ -46,13 +46,12 @@ def ships_seen_in_port(df: DataFrame) -> DataFrame:
 
 
 def distinct_pings(df: DataFrame, slice_seconds: int = sequence.DEFAULT_SLICE_SECONDS) -> DataFrame:
-    """Full-row dedup on the (ship, slice) partitioning the next step needs anyway,
-    so the dedup brings no shuffle of its own."""
+    """Full-row dedup on the (ship, slice) partitioning the next step needs anyway, so
+    the dedup brings no shuffle of its own. ``_slice`` stays, for that step to find."""
     return (
         df.withColumn("_slice", sequence.time_slice("dt_pos_utc", slice_seconds))
         .repartition("mmsi", "_slice")
         .dropDuplicates()
-        .drop("_slice")
     )
 
 

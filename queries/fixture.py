@@ -11,11 +11,14 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from fairlead.operators import areas
 
 # Test pings are sparse (a few per ship and day), so a slice is long here.
 SLICE = 5 * 86400
 
-_K_SPARK = "CAST(get_json_object(props, '$.k') AS BIGINT)"
+_K_SPARK = "k_parsed"
 _K_ORACLE = "CAST(json_extract_string(props, '$.k') AS BIGINT)"
 
 _PINGS = """
@@ -136,6 +139,12 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     text = _text(TEXTS[name], _K_SPARK, lambda t: "{" + t + "}")
     used = {t: table(spark, sf_dir, t) for t in TABLES if "{" + t + "}" in text}
+    if "events" in used and "k_parsed" in text:
+        # Parse the JSON field once per row: left in the projection it would be inlined
+        # into every expression built on it.
+        used["events"] = areas.settle(
+            used["events"], k_parsed=F.get_json_object("props", "$.k").cast("bigint")
+        )
     return spark.sql(text, **used)
 
 

@@ -224,11 +224,12 @@ FROM register JOIN pings ON MaritimeMobileServiceIdentityMMSINumber = mmsi""")
 add("pings_without_register", ctes("pings", "register") + """SELECT event_id, mmsi FROM pings
 WHERE mmsi NOT IN (SELECT MaritimeMobileServiceIdentityMMSINumber FROM register)""")
 add("points_in_areas", ctes("pings", "aoi", **OUTLINES, boxes="SELECT Kode, min(x1) AS xa, max(x1) AS xb, min(y1) AS ya, max(y1) AS yb FROM edges GROUP BY Kode",
- near="SELECT event_id, longitude, latitude, Kode FROM pings JOIN boxes ON longitude BETWEEN xa AND xb AND latitude BETWEEN ya AND yb",
+ near="SELECT event_id, longitude, latitude, Kode FROM pings JOIN boxes ON longitude BETWEEN xa - 1e-9 AND xb + 1e-9 AND latitude BETWEEN ya - 1e-9 AND yb + 1e-9",
  judged=f"""SELECT n.Kode, n.event_id,
  count(*) FILTER (WHERE {PARITY.format(lat='n.latitude', lon='n.longitude')}) % 2 = 1 AS inside,
- bool_or((e.x2 - e.x1) * (n.latitude - e.y1) - (e.y2 - e.y1) * (n.longitude - e.x1) = 0
-   AND n.longitude BETWEEN least(e.x1, e.x2) AND greatest(e.x1, e.x2) AND n.latitude BETWEEN least(e.y1, e.y2) AND greatest(e.y1, e.y2)) AS touching
+ bool_or(abs((e.x2 - e.x1) * (n.latitude - e.y1) - (e.y2 - e.y1) * (n.longitude - e.x1)) <= 1e-12 * (abs(e.x2 - e.x1) + abs(e.y2 - e.y1))
+   AND n.longitude BETWEEN least(e.x1, e.x2) - 1e-12 AND greatest(e.x1, e.x2) + 1e-12
+   AND n.latitude BETWEEN least(e.y1, e.y2) - 1e-12 AND greatest(e.y1, e.y2) + 1e-12) AS touching
  FROM near n JOIN edges e ON n.Kode = e.Kode GROUP BY n.Kode, n.event_id""") + "SELECT Kode, Prov_ID, event_id FROM judged JOIN aoi USING (Kode) WHERE inside OR touching")
 add("ship_type_port_combinations", ctes("pings", "register", "port_cells") + """SELECT DISTINCT mmsi, ShipName, ShiptypeLevel5, Port AS port_name
 FROM pings JOIN register ON mmsi = MaritimeMobileServiceIdentityMMSINumber JOIN port_cells ON H3_int_index_8 = boundary_h3""")
