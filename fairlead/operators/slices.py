@@ -115,15 +115,21 @@ class _Slice:
         return result
 
 
+# Per slice: what it does to each entry state, and the facts its ship is judged by.
 SUMMARY = (
     "mmsi bigint, _slice bigint, none_pos int, none_cell bigint, far_pos int, far_cell bigint, "
-    "stays array<bigint>, other array<bigint>, other_pos array<int>, other_cell array<bigint>"
+    "stays array<bigint>, other array<bigint>, other_pos array<int>, other_cell array<bigint>, "
+    "_n bigint, _first_unix bigint, _last_unix bigint, _type string, _imo bigint"
 )
-STATE = "mmsi bigint, _slice bigint, in_slice bigint, in_pos int, in_cell bigint"
+# State a slice is entered in, appended to the facts chosen by the caller.
+STATE = "in_slice bigint, in_pos int, in_cell bigint"
 
 
 def _to_batch(columns: dict, schema: str) -> pa.RecordBatch:
-    types = {"bigint": pa.int64(), "int": pa.int32(), "array<bigint>": pa.list_(pa.int64()), "array<int>": pa.list_(pa.int32())}
+    types = {
+        "bigint": pa.int64(), "int": pa.int32(), "string": pa.string(),
+        "array<bigint>": pa.list_(pa.int64()), "array<int>": pa.list_(pa.int32()),
+    }
     fields = [f.split(" ") for f in schema.split(", ")]
     return pa.record_batch([pa.array(columns[n], types[t]) for n, t in fields], names=[n for n, _ in fields])
 
@@ -136,8 +142,12 @@ def summarise(offsets: list[tuple[int, int]], depth: int):
         for table, bounds in _groups(batches):
             ship, part = table["mmsi"].to_numpy(), table["_slice"].to_numpy()
             cells, slow = table["_cell"].to_numpy(), table["_slow"].to_numpy()
+            unix, kinds = table["cluster_time"].to_numpy(), table["vessel_type"].take(pa.array(bounds[:-1])).to_pylist()
+            imo_rows = np.flatnonzero(table["imo"].is_valid().to_numpy())
+            imo_first = np.searchsorted(imo_rows, bounds[:-1])
+            imos = table["imo"].take(pa.array(imo_rows)).to_numpy()
             out: dict[str, list] = {f.split(" ")[0]: [] for f in SUMMARY.split(", ")}
-            for a, b in zip(bounds[:-1], bounds[1:]):
+            for g, (a, b) in enumerate(zip(bounds[:-1], bounds[1:])):
                 s = _Slice(cells[a:b], slow[a:b], depth)
                 none, far = s.open_at_end(0), s.open_at_end(1)
                 stays, other, other_pos = [], [], []
@@ -158,34 +168,49 @@ def summarise(offsets: list[tuple[int, int]], depth: int):
                 out["other"].append(other)
                 out["other_pos"].append(other_pos)
                 out["other_cell"].append([int(s.cells[p]) if p >= 0 else NONE for p in other_pos])
+                i = imo_first[g]
+                out["_imo"].append(int(imos[i]) if i < len(imo_rows) and imo_rows[i] < b else None)
+                out["_type"].append(kinds[g])
+                out["_n"].append(b - a)
+                out["_first_unix"].append(unix[a])
+                out["_last_unix"].append(unix[b - 1])
             yield _to_batch(out, SUMMARY)
 
     return run
 
 
-def chain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Follow each ship through its slice summaries (sorted by ship and slice)."""
-    ship, state = None, (NONE, NONE, NONE)
-    for b in batches:
-        out: dict[str, list] = {f.split(" ")[0]: [] for f in STATE.split(", ")}
-        for row in b.to_pylist():
-            if row["mmsi"] != ship:
-                ship, state = row["mmsi"], (NONE, NONE, NONE)
-            out["mmsi"].append(ship)
-            out["_slice"].append(row["_slice"])
-            for name, v in zip(("in_slice", "in_pos", "in_cell"), state):
-                out[name].append(v)
-            if state[1] == NONE:
-                pos, cell = row["none_pos"], row["none_cell"]
-            elif state[2] in row["stays"]:
-                continue
-            elif state[2] in row["other"]:
-                i = row["other"].index(state[2])
-                pos, cell = row["other_pos"][i], row["other_cell"][i]
-            else:
-                pos, cell = row["far_pos"], row["far_cell"]
-            state = (row["_slice"], pos, cell) if pos != NONE else (NONE, NONE, NONE)
-        yield _to_batch(out, STATE)
+MACHINE = ["mmsi", "_slice"] + [f.split(" ")[0] for f in SUMMARY.split(", ")][2:10]
+
+
+def chain(facts: list[str]):
+    """Follow each ship through its slice summaries, sorted by ship and slice."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ship, state = None, (NONE, NONE, NONE)
+        for b in batches:
+            out: dict[str, list] = {f.split(" ")[0]: [] for f in STATE.split(", ")}
+            for row in b.select(MACHINE).to_pylist():
+                if row["mmsi"] != ship:
+                    ship, state = row["mmsi"], (NONE, NONE, NONE)
+                for name, v in zip(out, state):
+                    out[name].append(v)
+                if state[1] == NONE:
+                    pos, cell = row["none_pos"], row["none_cell"]
+                elif state[2] in row["stays"]:
+                    continue
+                elif state[2] in row["other"]:
+                    i = row["other"].index(state[2])
+                    pos, cell = row["other_pos"][i], row["other_cell"][i]
+                else:
+                    pos, cell = row["far_pos"], row["far_cell"]
+                state = (row["_slice"], pos, cell) if pos != NONE else (NONE, NONE, NONE)
+            entered = _to_batch(out, STATE)
+            kept = b.select(facts)
+            yield pa.RecordBatch.from_arrays(
+                [*kept.columns, *entered.columns], names=[*kept.schema.names, *entered.schema.names]
+            )
+
+    return run
 
 
 def label(depth: int):

@@ -36,7 +36,11 @@ RING_DEPTH = 3
 
 
 # Wide rows travel once; the summaries need only these.
-_MACHINE = ("mmsi", "_slice", "_cell", "_slow")
+_NARROW = ("mmsi", "_slice", "_cell", "_slow", "cluster_time", "vessel_type", "imo")
+_FACTS = {
+    "mmsi": "bigint", "_slice": "bigint", "_unix_before": "bigint", "_unix_after": "bigint", "_ship_pings": "bigint",
+    "_ship_type": "string", "_imo_before": "bigint",
+}
 
 
 def label_events(
@@ -55,7 +59,7 @@ def label_events(
         pings
         if "cluster_time" in pings.columns
         else with_unix_time(pings)
-    ).filter(F.col("mmsi").isNotNull() & F.col(cell).isNotNull())
+    ).filter(F.col("mmsi").isNotNull() & F.col(cell).isNotNull() & F.col("dt_pos_utc").isNotNull())
     rows = timed.withColumns(
         {
             "mmsi": F.col("mmsi").cast("bigint"),
@@ -68,30 +72,18 @@ def label_events(
     # An explicit number keeps these CPU-bound steps from being merged into few tasks.
     tasks = int(pings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sorted_rows = (
-        rows.select(*dict.fromkeys([*_MACHINE, *order]))
+        rows.select(*dict.fromkeys([*_NARROW, *order]))
         .repartition(tasks, "mmsi", "_slice")
         .sortWithinPartitions("mmsi", "_slice", *order)
-        .select(*_MACHINE)
+        .select(*_NARROW)
     )
     summary = sorted_rows.mapInArrow(slices.summarise(grid.ring_offsets(depth), depth), slices.SUMMARY)
-    state = (
-        summary.repartition("mmsi").sortWithinPartitions("mmsi", "_slice").mapInArrow(slices.chain, slices.STATE)
-    )
 
-    # Facts that need the whole ship come from one row per slice.
-    first = F.struct(*order)
-    per_slice = rows.groupBy("mmsi", "_slice").agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.min("cluster_time").alias("_first_unix"),
-        F.max("cluster_time").alias("_last_unix"),
-        F.min_by("vessel_type", first).alias("_type"),
-        F.min_by("imo", F.when(F.col("imo").isNotNull(), first)).alias("_imo"),
-    )
+    # One row per slice from here on: facts that need the whole ship, then the chain.
     along = Window.partitionBy("mmsi").orderBy("_slice")
     whole = along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    facts = per_slice.select(
-        "mmsi",
-        "_slice",
+    facts = summary.select(
+        *slices.MACHINE,
         F.lag("_last_unix").over(along).alias("_unix_before"),
         F.lead("_first_unix").over(along).alias("_unix_after"),
         F.sum("_n").over(whole).alias("_ship_pings"),
@@ -100,10 +92,12 @@ def label_events(
         .over(along.rowsBetween(Window.unboundedPreceding, -1))
         .alias("_imo_before"),
     )
+    state_schema = ", ".join(f"{n} {t}" for n, t in _FACTS.items()) + ", " + slices.STATE
+    state = facts.sortWithinPartitions("mmsi", "_slice").mapInArrow(slices.chain(list(_FACTS)), state_schema)
+
     in_slice = Window.partitionBy("mmsi", "_slice").orderBy(*order)
     placed = (
         rows.repartition(tasks, "mmsi", "_slice")
-        .join(facts, ["mmsi", "_slice"])
         .join(state, ["mmsi", "_slice"])
         .withColumns(
             {
