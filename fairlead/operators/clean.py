@@ -42,7 +42,7 @@ def preprocess(
     """Dedup, register match, type fixes, activity filters, final projection."""
     pings = raw.distinct()
     matched = joins.match_register(
-        pings, joins.prefix_conflicts(register, pings), register_key, register_imo, register_name
+        pings, joins.prefix_conflicts(register, pings), register_key, register_imo, register_name, identities=raw
     )
     typed = columns.override_types(columns.matched_only(matched), fixes)
     return active_ships_only(typed).select(*select)

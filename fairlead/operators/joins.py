@@ -133,16 +133,18 @@ def match_register(
     register_imo: str | None = None,
     register_name: str | None = None,
     return_all: bool = True,
+    identities: DataFrame | None = None,
 ) -> DataFrame:
     """Attach register columns and ``ihs_matchtype``.
 
     Classes: 1 ship number and IMO agree, 2 ship number alone, 3 IMO alone, 4 name
     alone, 9 none. Matching runs on the distinct identities broadcast by ships, not
     on pings, and each identity takes its best class, so pings never multiply.
-    Several register rows in one class resolve to the lowest ship number.
+    Several register rows in one class resolve to the lowest ship number. ``identities``
+    is a table cheaper to read than ``pings`` that holds the same identities.
     """
     who = [c for c in ("mmsi", "imo", "vessel_name") if c in pings.columns]
-    ships = pings.select(*who).distinct()
+    ships = (pings if identities is None else identities).select(*who).distinct()
     r = register.withColumn("_ref", F.col(register_key))
     fields = [c for c in register.columns]
     parts = []
@@ -168,7 +170,7 @@ def match_register(
     best = top_per_key(found, who, [F.col("_class"), F.col("_ref")]).drop("_ref")
     best = best.withColumnsRenamed({c: f"_w_{c}" for c in who})
     on = [pings[c].eqNullSafe(F.col(f"_w_{c}")) for c in who]
-    joined = pings.join(best, on, "left").drop(*[f"_w_{c}" for c in who])
+    joined = pings.join(sized(best), on, "left").drop(*[f"_w_{c}" for c in who])
     joined = joined.withColumn("ihs_matchtype", F.coalesce(F.col("_class"), F.lit(9))).drop("_class")
     return joined if return_all else joined.filter("ihs_matchtype <> 9")
 

@@ -39,10 +39,10 @@ def visit_pings(tagged: DataFrame, cell: str = "H3_int_index_8") -> DataFrame:
     )
 
 
-def ships_seen_in_port(df: DataFrame) -> DataFrame:
-    """Rows of ships with at least one ping in a port."""
+def ships_seen_in_port(df: DataFrame, rows: DataFrame | None = None) -> DataFrame:
+    """Rows (by default of ``df`` itself) of ships with at least one ping of ``df`` in a port."""
     ships = df.filter(F.col("position") == "in").select("mmsi").distinct()
-    return df.join(ships, "mmsi", "left_semi")
+    return (df if rows is None else rows).join(ships, "mmsi", "left_semi")
 
 
 def distinct_pings(df: DataFrame, slice_seconds: int = sequence.DEFAULT_SLICE_SECONDS) -> DataFrame:
@@ -76,9 +76,13 @@ def edge_rows(
     pings: DataFrame, order: Sequence[str] = VISIT_ORDER, slice_seconds: int = sequence.DEFAULT_SLICE_SECONDS
 ) -> DataFrame:
     """Exactly two passes of :func:`keep_edges` over ships seen in port; the second
-    pass looks at the neighbours the first one left."""
-    once = keep_edges(distinct_pings(ships_seen_in_port(pings), slice_seconds), order, slice_seconds)
-    return keep_edges(once, order, slice_seconds)
+    pass looks at the neighbours the first one left.
+
+    The ship test is per ship, so it can wait until the passes have cut the rows down:
+    done first, it would shuffle every ping by ship.
+    """
+    once = keep_edges(distinct_pings(pings, slice_seconds), order, slice_seconds)
+    return ships_seen_in_port(pings, keep_edges(once, order, slice_seconds))
 
 
 def port_visits(
