@@ -55,7 +55,11 @@ def neighbours(
         cols.update({name: F.lead(src, n).over(window) for name, (src, n) in ahead.items()})
         return cols
 
-    sliced = df if "_slice" in df.columns else df.withColumn("_slice", time_slice(order[0], slice_seconds))
+    sliced = df
+    if "_slice" not in df.columns:
+        # Explicit, because rows already hashed by ship (after a join, say) would satisfy
+        # the window as they are and keep a hot ship in one task.
+        sliced = df.withColumn("_slice", time_slice(order[0], slice_seconds)).repartition(key, "_slice")
     tagged = sliced.withColumns(
         {
             **found(in_slice),

@@ -63,6 +63,14 @@ def test_pings_are_shuffled_once(spark, tmp_path):
     assert final.count("FileScan") == 1 and "ReusedExchange" in final
 
 
+def test_rows_hashed_by_ship_are_still_split(spark):
+    rows = make(spark, 3, hot=2000)
+    joined = rows.hint("merge").join(rows.select("mmsi").distinct().hint("merge"), "mmsi")
+    df = sequence.neighbours(joined, ["dt_pos_utc", "event_id"], back={"p": ("v", 1)}, slice_seconds=3600)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "_slice" in plan and plan.count("REPARTITION_BY_COL") == 2
+
+
 def test_top_per_key_is_cut_before_the_shuffle(spark):
     df = make(spark, 2)
     plan = sequence.earliest_per_key(df, ["mmsi"], ["dt_pos_utc"])._jdf.queryExecution().executedPlan().toString()
