@@ -36,7 +36,7 @@ def polygon_edges(areas: DataFrame, keys: Sequence[str], geom: str = "geom") ->
     # Outer generators: the plain ones would parse once more to drop empty outlines.
     rings = areas.select(*keys, F.explode_outer(geom).alias("_ring"))
     edges = rings.select(*keys, F.inline_outer(geo.ring_edges(F.col("_ring"))))
-    return spread(edges.filter(F.col("x1").isNotNull()))
+    return spread(edges.filter(F.col("x1").isNotNull()), "x1", "y1", "x2", "y2")
 
 
 def settle(df: DataFrame, **columns: Column) -> DataFrame:
@@ -46,11 +46,10 @@ def settle(df: DataFrame, **columns: Column) -> DataFrame:
     return df.select("*", F.inline(F.array(values)))
 
 
-def spread(edges: DataFrame) -> DataFrame:
-    """Deal edges out evenly: a few bytes of outline can expand to millions of cells,
-    which size-based partitioning would leave in one task."""
-    n = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return edges.repartition(n, "x1", "y1", "x2", "y2")
+def spread(df: DataFrame, *by: str) -> DataFrame:
+    """Deal rows out evenly before they expand: a few bytes of outline can become millions
+    of cells, which size-based partitioning would leave in one task."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *by)
 
 
 def fill(edges: DataFrame, keys: Sequence[str], resolution: int, cell: str = "cell") -> DataFrame:
@@ -76,6 +75,7 @@ def fill(edges: DataFrame, keys: Sequence[str], resolution: int, cell: str = "ce
     first = F.ceil(grid.column_of_longitude(F.col("_x"), F.col("_r"), resolution))
     last = F.ceil(grid.column_of_longitude(F.col("_to"), F.col("_r"), resolution)) - F.lit(1)
     runs = settle(spans, _first=first.cast("bigint"), _last=last.cast("bigint")).filter("_first <= _last")
+    runs = spread(runs.select(*keys, "_r", "_first", "_last"), "_r", "_first")
     return runs.select(*keys, "_r", F.explode(F.sequence("_first", "_last")).alias("_q")).select(
         *keys, grid.pack(F.col("_q"), F.col("_r"), resolution).alias(cell)
     )

@@ -50,7 +50,12 @@ FROM (SELECT *, (user_id * 5 + CAST(floor((CAST(extract(day FROM ts) AS BIGINT)
       {K} AS k FROM {EVENTS}) e
 """
 
-_SITES = "(VALUES (0),(1),(2),(3),(4),(5),(6),(7),(8),(9))"
+# Ten cells at each of ten sites.
+_CELLS = (
+    "(SELECT CAST(floor(v / 10e0) AS BIGINT) AS site, v % 10 AS j FROM (VALUES "
+    + ", ".join(f"({v})" for v in range(100))
+    + ") t(v)) c"
+)
 
 # One row per (port, cell): six ports of ten cells.
 _PORT_CELLS = f"""
@@ -59,19 +64,19 @@ SELECT concat('P', CAST(site AS VARCHAR(20))) AS Port,
   CAST(site * 1000 + j AS BIGINT) AS boundary_h3,
   CAST(-5 + 2e0 * site + j / 1e2 AS DOUBLE) AS lat, CAST(100 + 3e0 * site + j / 1e2 AS DOUBLE) AS lon,
   concat('P', CAST(site AS VARCHAR(20)), ' - ', CASE WHEN site < 3 THEN 'Indonesia' WHEN site = 3 THEN 'Qatar' ELSE 'Japan' END) AS Port_Country
-FROM {_SITES} s(site) CROSS JOIN {_SITES} c(j) WHERE site <= 5
+FROM {_CELLS} WHERE site <= 5
 """
 
 _AOI_CELLS = f"""
 SELECT CASE site WHEN 0 THEN 'BLW' WHEN 1 THEN 'DUM' WHEN 2 THEN 'MAK' WHEN 3 THEN 'BIT' WHEN 4 THEN 'NAM' ELSE 'XXX' END AS Kode,
   concat('prov', CAST(site AS VARCHAR(20))) AS Prov_ID, concat('h', CAST(site % 3 AS VARCHAR(20))) AS Hirarki_1,
   CAST(site * 1000 + j AS BIGINT) AS h3_ids_int
-FROM {_SITES} s(site) CROSS JOIN {_SITES} c(j) WHERE site <= 5
+FROM {_CELLS} WHERE site <= 5
 """
 
 _ZONE_CELLS = f"""
 SELECT CASE WHEN site = 6 THEN 'strait' ELSE 'home' END AS zone, CAST(site * 1000 + j AS BIGINT) AS cell
-FROM {_SITES} s(site) CROSS JOIN {_SITES} c(j) WHERE site IN (6, 7, 0, 1, 2)
+FROM {_CELLS} WHERE site IN (6, 7, 0, 1, 2)
 """
 
 # Ship numbers with gaps (every fifth is missing), so some pings have no register row.
