@@ -187,35 +187,31 @@ def cover(edges: DataFrame, keys: Sequence[str], resolution: int) -> DataFrame:
 def points_in_areas(
     points: DataFrame,
     areas: DataFrame,
-    keys: Sequence[str],
     resolution: int = 8,
     lon: str = "longitude",
     lat: str = "latitude",
 ) -> DataFrame:
     """Exact spatial join: every (area, point) pair where the point is inside or on
-    the outline.
+    the outline, with all columns of both but ``geom``.
 
     An equi join on the cell finds candidates. The exact answer is local: starting
     from whether the cell centre is inside, each nearby edge between the point and
-    the centre flips it. A point on an edge counts as inside.
+    the centre flips it. A point on an edge counts as inside. Area columns ride along
+    with the cells, so the matches need no second join to fetch them.
     """
-    covered = cover(polygon_edges(areas, keys), keys, resolution)
+    carried = [c for c in areas.columns if c != "geom"]
+    covered = cover(polygon_edges(areas, carried), carried, resolution)
     found = points.withColumn("_cell", grid.cell_at(lat, lon, resolution)).join(
         joins.sized(covered.withColumnRenamed("cell", "_cell")), "_cell", "inner"
     )
     px, py = F.col(lon), F.col(lat)
     cx, cy = F.col("centre_lon"), F.col("centre_lat")
-    flips = F.aggregate(
-        "local_edges", F.lit(0), lambda n, e: n + geo.crosses(px, py, cx, cy, e).cast("int")
+    # One walk over the edges: 0 outside, 1 inside, 2 for good once the point is on one.
+    walked = F.aggregate(
+        "local_edges",
+        F.col("centre_inside").cast("int"),
+        lambda n, e: F.when(
+            (n == 2) | geo.on_segment(px, py, e["x1"], e["y1"], e["x2"], e["y2"]), F.lit(2)
+        ).otherwise(F.when(geo.crosses(px, py, cx, cy, e), F.lit(1) - n).otherwise(n)),
     )
-    on_edge = F.exists(
-        "local_edges", lambda e: geo.on_segment(px, py, e["x1"], e["y1"], e["x2"], e["y2"])
-    )
-    inside = F.col("centre_inside") != (flips % F.lit(2) == F.lit(1))
-    hit = found.filter(F.when(F.size("local_edges") == 0, F.col("centre_inside")).otherwise(on_edge | inside))
-    attributes = [c for c in areas.columns if c not in (*keys, "geom")]
-    hit = hit.select(*keys, *points.columns)
-    if not attributes:
-        return hit
-    named = areas.select(*keys, *attributes)
-    return hit.join(joins.sized(named), list(keys), "inner").select(*keys, *attributes, *points.columns)
+    return settle(found, _state=walked).filter("_state > 0").select(*carried, *points.columns)

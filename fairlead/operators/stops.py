@@ -69,11 +69,9 @@ def label_events(
             "_slow": F.coalesce(F.col("sog") < STOP_SPEED, F.lit(False)),
         }
     )
-    # An explicit number keeps these CPU-bound steps from being merged into few tasks.
-    tasks = int(pings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sorted_rows = (
         rows.select(*dict.fromkeys([*_NARROW, *order]))
-        .repartition(tasks, "mmsi", "_slice")
+        .repartition("mmsi", "_slice")
         .sortWithinPartitions("mmsi", "_slice", *order)
         .select(*_NARROW)
     )
@@ -97,7 +95,7 @@ def label_events(
 
     in_slice = Window.partitionBy("mmsi", "_slice").orderBy(*order)
     placed = (
-        rows.repartition(tasks, "mmsi", "_slice")
+        rows.repartition("mmsi", "_slice")
         .join(state, ["mmsi", "_slice"])
         .withColumns(
             {

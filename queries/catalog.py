@@ -415,7 +415,7 @@ def pings_without_register(spark, sf):
 
 @query
 def points_in_areas(spark, sf):
-    found = areas.points_in_areas(pings(spark, sf).select("event_id", "longitude", "latitude"), aoi(spark, sf).select("Kode", "Prov_ID", "geom"), ["Kode"], 10)
+    found = areas.points_in_areas(pings(spark, sf).select("event_id", "longitude", "latitude"), aoi(spark, sf).select("Kode", "Prov_ID", "geom"), 10)
     return found.select("Kode", "Prov_ID", "event_id")
 
 

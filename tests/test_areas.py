@@ -81,7 +81,7 @@ def test_points_in_areas_equals_brute_force(spark, resolution):
     pts = [(i, rnd.uniform(9.9, 11.0), rnd.uniform(19.9, 21.6)) for i in range(3000)]
     pts += [(9000, 10.0, 20.1), (9001, 10.0, 20.0), (9002, 10.6, 20.2), (9003, 10.15, 20.3), (9004, 10.25, 21.025)]
     df = spark.createDataFrame(pts, "id long, longitude double, latitude double")
-    got = {(r.name, r.id) for r in areas.points_in_areas(df, table(spark), ["name"], resolution).collect()}
+    got = {(r.name, r.id) for r in areas.points_in_areas(df, table(spark), resolution).collect()}
     want = {(n, i) for i, x, y in pts if i < 9000 for n, w in SHAPES.items() if inside(edges_of(w), x, y)}
     on_outline = {("square", 9000), ("square", 9001), ("hole", 9002), ("square", 9003), ("two", 9004)}
     assert got == want | on_outline
@@ -92,7 +92,7 @@ def test_zone_and_attributes(spark):
     cells = areas.zone_cells(strait, 5)
     assert cells.count() == cells.distinct().count() > 100
     df = spark.createDataFrame([(55.5, 26.0), (50.0, 26.0)], "longitude double, latitude double")
-    assert [tuple(r) for r in areas.points_in_areas(df, strait, ["name"], 6).collect()] == [("strait", 1, 55.5, 26.0)]
+    assert [tuple(r) for r in areas.points_in_areas(df, strait, 6).collect()] == [("strait", 1, 55.5, 26.0)]
 
 
 @pytest.mark.parametrize("bad", ["POINT (1 2)", "POLYGON ((1 2, 3 4", "nonsense", "POLYGON ((a b, c d, a b))"])
