@@ -19,7 +19,9 @@ WINDOW = 20
 MINIMISER = 3
 CHUNK = 2 << 20
 #: Packed text that one bucket should hold; super-k-mers repeat each word about three times.
-BUCKET_BYTES = 24 << 20
+BUCKET_BYTES = 12 << 20
+#: Text of super-k-mers that a map task gathers before it packs them by bucket.
+GATHERED = 24 << 20
 #: Documents looked at to find minimisers so frequent that they must not name a bucket.
 SAMPLE_DOCS = 5_000
 #: Windows of the sample from which on a minimiser is called frequent.
@@ -80,30 +82,78 @@ def frequent_minimisers(docs: DataFrame, window: int) -> np.ndarray:
 
 def pack(doc: np.ndarray, text_hash: np.ndarray, start: np.ndarray, sure: np.ndarray, texts: list[bytes]) -> bytes:
     """Super-k-mers of one bucket as one compressed string. sure: the number of windows already known as repeats."""
-    head = struct.pack("<q", len(doc)) + doc.tobytes() + text_hash.tobytes() + start.tobytes() + sure.tobytes()
-    return zstandard.ZstdCompressor(level=1).compress(head + b"\n".join(texts))
+    head = struct.pack("<q", len(doc)) + np.diff(doc, prepend=0).tobytes() + text_hash.tobytes() + start.tobytes() + sure.tobytes()
+    return zstandard.ZstdCompressor(level=3).compress(head + b"\n".join(texts))
 
 
 def unpack(raw: bytes):
     raw = zstandard.ZstdDecompressor().decompress(raw)
     (n,) = struct.unpack_from("<q", raw)
     at, out = 8, []
-    for kind in (np.int64, np.int64, np.int32, np.int32):
+    for kind in (np.int64, np.int32, np.int32, np.int32):
         out.append(np.frombuffer(raw, kind, n, at))
         at += out[-1].nbytes
-    return (*out, raw[at:].split(b"\n") if n else [])
+    return (np.cumsum(out[0]), *out[1:], raw[at:].split(b"\n") if n else [])
+
+
+class _Gathered:
+    """Super-k-mers of some blocks of text; equal ones are kept once."""
+
+    def __init__(self) -> None:
+        self.bucket: list[int] = []
+        self.key: list[tuple[int, int, int]] = []
+        self.sure: list[int] = []
+        self.span: list[int] = []
+        self.texts: list[bytes] = []
+        self.seen: dict[bytes, int] = {}
+        self.size = 0
+
+    def add(self, bucket: int, key: tuple[int, int, int], span: int, text: bytes) -> None:
+        j = self.seen.setdefault(text, len(self.key))
+        sure = 0
+        if j == len(self.key):
+            self.size += len(text) + 100
+        elif key == self.key[j]:
+            return  # the same document once more
+        else:
+            if key < self.key[j]:
+                self.sure[j], self.texts[j], self.seen[text] = self.span[j], b"", len(self.key)
+            else:
+                sure, text = span, b""
+            self.size += 100
+        self.bucket.append(bucket)
+        self.key.append(key)
+        self.span.append(span)
+        self.sure.append(sure)
+        self.texts.append(text)
+
+    def packed(self, buckets: int) -> pa.RecordBatch:
+        bucket, sure = np.array(self.bucket, np.int32), np.array(self.sure, np.int32)
+        doc, text_hash, start = (np.array(x, t) for x, t in zip(zip(*self.key), (np.int64, np.int32, np.int32)))
+        # what is settled already need not crowd the bucket of a frequent passage
+        known = sure > 0
+        bucket[known] = mix(doc[known].astype(np.uint64)) % np.uint64(buckets)
+        order = np.lexsort((start, doc, bucket))
+        cuts = [0, *(np.flatnonzero(np.diff(bucket[order])) + 1).tolist(), len(order)]
+        keys, out = [], []
+        for a, b in zip(cuts, cuts[1:]):
+            k = order[a:b]
+            keys.append(int(bucket[k[0]]))
+            out.append(pack(doc[k], text_hash[k], start[k], sure[k], [self.texts[i] for i in k.tolist()]))
+        return pa.RecordBatch.from_arrays([pa.array(keys, pa.int32()), pa.array(out, pa.binary())], ["bucket", "packed"])
 
 
 def super_kmers(docs: DataFrame, window: int, buckets: int, frequent: np.ndarray) -> DataFrame:
-    """(bucket, packed): runs of windows that share a minimiser, packed by block of text and bucket.
+    """(bucket, packed): runs of windows that share a minimiser, packed by task and bucket.
 
-    Equal super-k-mers of one block travel once: the earliest goes on, the windows of the
+    Equal super-k-mers that a task gathers travel once: the earliest goes on, the windows of the
     others are repeats for sure. So a passage in a third of all documents costs a bucket
-    one row per block, not per document. Windows whose word groups are all frequent go by
+    one row per gathering, not per document. Windows whose word groups are all frequent go by
     their own hash.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gathered = _Gathered()
         for batch in sliced(batches, "text", CHUNK):
             counts, offsets, data = split_words(batch.column("text"))
             words, prefix, first, starts, row = _windows(counts, offsets, data, window)
@@ -120,40 +170,23 @@ def super_kmers(docs: DataFrame, window: int, buckets: int, frequent: np.ndarray
             spaced = np.full(len(data) + n_words, 32, np.uint8)
             spaced[np.arange(len(data)) + np.repeat(np.arange(n_words), np.diff(offsets))] = data
             whole = spaced.tobytes()
-            left = (offsets[first[at]] + first[at]).tolist()
-            right = (offsets[last] + last - 1).tolist()
+            left = offsets[first[at]] + first[at]
+            right = offsets[last] + last - 1
             doc = pc.fill_null(batch.column("doc_id"), NULL_ID).to_numpy()[row[at]]
             text_hash = batch.column("text_hash").to_numpy()[row[at]]
-            start = (first[at] - starts[row[at]]).astype(np.int32)
-            bucket = (mix(low[at]) % np.uint64(buckets)).astype(np.int32)
-            span = (last - first[at] - window + 1).astype(np.int32)
-            seen: dict[bytes, int] = {}
-            sure = np.zeros(len(at), np.int32)
-            texts: list[bytes] = []
-            order = np.lexsort((start, text_hash, doc))
-            place = [b""] * len(at)
-            for i in order.tolist():
-                piece = whole[left[i] : right[i]]
-                j = seen.setdefault(piece, i)
-                if j == i:
-                    place[i] = piece
-                elif doc[i] != doc[j] or text_hash[i] != text_hash[j] or start[i] != start[j]:
-                    sure[i] = span[i]
-                else:
-                    sure[i] = -1  # the same document once more
-            order = np.argsort(bucket, kind="stable")
-            order = order[sure[order] >= 0]
-            cuts = [0, *(np.flatnonzero(np.diff(bucket[order])) + 1).tolist(), len(order)]
-            keys, packed = [], []
-            for a, b in zip(cuts, cuts[1:]):
-                k = order[a:b]
-                if len(k):
-                    texts = [place[i] for i in k.tolist()]
-                    keys.append(int(bucket[k[0]]))
-                    packed.append(pack(doc[k], text_hash[k], start[k], sure[k], texts))
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int32()), pa.array(packed, pa.binary())], ["bucket", "packed"])
-
-    rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_hash"), "text")
+            start = first[at] - starts[row[at]]
+            bucket = mix(low[at]) % np.uint64(buckets)
+            span = last - first[at] - window + 1
+            columns = (x.tolist() for x in (bucket, doc, text_hash, start, span, left, right))
+            for b, d, h, s, n, i, j in zip(*columns):
+                gathered.add(b, (d, h, s), n, whole[i:j])
+            if gathered.size > GATHERED:
+                yield gathered.packed(buckets)
+                gathered = _Gathered()
+        if gathered.key:
+            yield gathered.packed(buckets)
+
+    rows = docs.select(F.col("doc_id").cast("long"), F.shiftright(F.xxhash64("text"), 32).cast("int").alias("text_hash"), "text")
     return rows.mapInArrow(run, "bucket int, packed binary")
 
 
@@ -221,7 +254,7 @@ def repeated_runs(docs: DataFrame, window: int = WINDOW, bucket_bytes: int = BUC
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out(parts: list[tuple]) -> pa.RecordBatch:
             a = _repeats(parts, window)
-            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32())
+            kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32())
             return pa.RecordBatch.from_arrays(
                 [pa.array(x.astype(t.to_pandas_dtype())) for x, t in zip(a, kinds)], ["doc_id", "text_hash", "start", "n"]
             )
@@ -238,7 +271,7 @@ def repeated_runs(docs: DataFrame, window: int = WINDOW, bucket_bytes: int = BUC
             yield out(parts)
 
     return packed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(
-        run, "doc_id long, text_hash long, start int, n int"
+        run, "doc_id long, text_hash int, start int, n int"
     )
 
 
@@ -256,7 +289,7 @@ def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         F.col("doc_id").cast("long"),
         "text",
         F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("_key"),
-        F.xxhash64("text").alias("_text_hash"),
+        F.shiftright(F.xxhash64("text"), 32).cast("int").alias("_text_hash"),
     )
     joined = rows.join(runs, (F.col("_key") == F.col("_id")) & (F.col("_text_hash") == F.col("_hash")), "left")
 
