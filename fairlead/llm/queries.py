@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from fairlead.llm.packing import op4_packing
 from fairlead.llm.simhash import op3_simhash
 from fairlead.llm.substrings import op8_substrings
+from fairlead.llm.tokencounts import op10_token_counts
 
 QUERIES = {
     "op3_simhash": op3_simhash,
+    "op4_packing": op4_packing,
     "op8_substrings": op8_substrings,
+    "op10_token_counts": op10_token_counts,
 }
 ORACLE: dict[str, str] = {}
