@@ -188,7 +188,7 @@ def deduplicated(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     # one id may be repeated with other texts, whose groups have other names
     names = near_groups(docs, size).filter("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
     known = docs.filter("doc_id is not null")
-    kept = known.join(names, F.col("doc_id") == F.col("_kept")).drop("_kept").dropDuplicates(["doc_id"])
+    kept = known.join(names, known["doc_id"] == names["_kept"], "left_semi").dropDuplicates(["doc_id"])
     return kept.unionByName(docs.filter("doc_id is null"))
 
 
