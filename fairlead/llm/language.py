@@ -9,7 +9,6 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from fairlead.llm.text import documents, sliced
 
@@ -159,38 +158,54 @@ def fitted(labelled: DataFrame) -> Model | None:
     return Model({k: (np.array(g, np.int64), np.array(n, np.int64)) for k, (g, n) in found.items()}) if found else None
 
 
+def predicted(model: Model | None, texts: pa.Array) -> tuple[list[str], list[float]]:
+    """Language and score (0 to 1) per text; `und` with 0 for null texts, texts without a letter, and without a model."""
+    known = pc.fill_null(pc.match_substring_regex(texts, "\\p{L}"), False)
+    if model is None:
+        return [UNKNOWN] * len(texts), [0.0] * len(texts)
+    langs: list[str] = []
+    scores: list[float] = []
+    batch = pa.RecordBatch.from_arrays([pc.if_else(known, texts, ""), known], ["text", "known"])
+    for part in sliced([batch], "text", CHUNK):
+        best, share = model.predict(part.column("text"))
+        for b, s, ok in zip(best.tolist(), share.tolist(), part.column("known").to_pylist()):
+            langs.append(model.languages[b] if ok else UNKNOWN)
+            scores.append(s if ok else 0.0)
+    return langs, scores
+
+
 def identified(docs: DataFrame, model: Model | None) -> DataFrame:
-    """The documents with lang_pred and score (0 to 1) put in front of their columns, which are kept.
+    """(doc_id, lang_pred, score) for every document, from its whole text alone.
 
-    `und` with score 0 for null texts and texts without a letter, and where nothing was
-    learned. Predictions use the text alone.
+    Repeated rows and null doc_id are kept; other columns are not read.
     """
-    place = docs.columns.index("text")
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = sent.value
         for batch in batches:
-            text = batch.column(place)
-            known = pc.fill_null(pc.match_substring_regex(text, "\\p{L}"), False)
-            langs, scores = [], []
-            named = pa.RecordBatch.from_arrays([pc.if_else(known, text, ""), known], ["text", "known"])
-            for part in sliced([named], "text", CHUNK):
-                ok = part.column("known").to_pylist()
-                if model is None:
-                    langs += [UNKNOWN] * len(ok)
-                    scores += [0.0] * len(ok)
-                    continue
-                best, share = model.predict(part.column("text"))
-                langs += [model.languages[b] if k else UNKNOWN for b, k in zip(best.tolist(), ok)]
-                scores += [s if k else 0.0 for s, k in zip(share.tolist(), ok)]
+            langs, scores = predicted(sent.value, batch.column("text"))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(langs, pa.string()), pa.array(scores, pa.float64()), *batch.columns],
-                ["lang_pred", "score", *(f"c{i}" for i in range(batch.num_columns))],
+                [batch.column("doc_id"), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["doc_id", "lang_pred", "score"]
             )
 
-    head = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
-    return docs.mapInArrow(run, T.StructType(head + list(docs.schema)))
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, lang_pred string, score double")
+
+
+def accepted(docs: DataFrame, model: Model | None, least: float = 0.5) -> DataFrame:
+    """The documents, all columns, whose text is in a learned language with that score; all with letters if none was learned."""
+    sent, place = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            text = batch.column(place)
+            if sent.value is None:
+                stay = pc.fill_null(pc.match_substring_regex(text, "\\p{L}"), False)
+            else:
+                langs, scores = predicted(sent.value, text)
+                stay = pa.array([k != UNKNOWN and s >= least for k, s in zip(langs, scores)], pa.bool_())
+            yield batch.filter(stay)
+
+    return docs.mapInArrow(run, docs.schema)
 
 
 def held_out():
@@ -199,6 +214,6 @@ def held_out():
 
 
 def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
+    docs = documents(spark, sf_dir)
     model = fitted(docs.filter(~held_out()))
-    return identified(docs.select("doc_id", "text"), model).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+    return identified(docs, model).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")

@@ -1,16 +1,31 @@
-"""Registered queries of the document operators, one per operator, and their SQL where SQL can express them."""
+"""Registered queries of the document operators, one per operator.
+
+None of them can be written in SQL as a whole; tests/llm checks each against brute force.
+"""
 
 from __future__ import annotations
 
+from fairlead.llm.decontaminate import op5_decontamination
+from fairlead.llm.fingerprints import op7_fingerprints
+from fairlead.llm.language import op1_language
 from fairlead.llm.packing import op4_packing
+from fairlead.llm.quality import op2_quality
+from fairlead.llm.secrets import op9_secrets
+from fairlead.llm.sharding import op6_sharding
 from fairlead.llm.simhash import op3_simhash
 from fairlead.llm.substrings import op8_substrings
 from fairlead.llm.tokencounts import op10_token_counts
 
 QUERIES = {
+    "op1_language": op1_language,
+    "op2_quality": op2_quality,
     "op3_simhash": op3_simhash,
     "op4_packing": op4_packing,
+    "op5_decontamination": op5_decontamination,
+    "op6_sharding": op6_sharding,
+    "op7_fingerprints": op7_fingerprints,
     "op8_substrings": op8_substrings,
+    "op9_secrets": op9_secrets,
     "op10_token_counts": op10_token_counts,
 }
 ORACLE: dict[str, str] = {}
