@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +21,8 @@ DISTANCE = 3
 PIVOTS = 16
 #: Width of a routing cell in distance; larger than DISTANCE.
 CELL = 8
+#: Fingerprints that share the bits under a mask by chance, at most about.
+GROUP = 64
 CHUNK = 4 << 20
 BLOCK = 1 << 16
 
@@ -59,35 +62,37 @@ def pivots(n: int = PIVOTS) -> np.ndarray:
     return mix(np.arange(1, n + 1, dtype=np.uint64))
 
 
-def routed(nodes: DataFrame) -> DataFrame:
+def masks(n: int) -> list[int]:
+    """Bit masks of which one at least is free of differences between two linked fingerprints.
+
+    64 bits in DISTANCE + k segments: DISTANCE differing bits leave k of them equal. k grows
+    with the number n of fingerprints, so that few share the bits under a mask by chance.
+    """
+    k = next(k for k in (1, 2, 3, 4) if k == 4 or n / 2 ** (64 * k / (DISTANCE + k)) <= GROUP)
+    cuts = [round(64 * i / (DISTANCE + k)) for i in range(DISTANCE + k + 1)]
+    segments = [((1 << b) - 1) ^ ((1 << a) - 1) for a, b in zip(cuts, cuts[1:])]
+    return [sum(c) for c in combinations(segments, k)]
+
+
+def routed(nodes: DataFrame, n: int) -> DataFrame:
     """(key, fp): the places at which two fingerprints of at most DISTANCE differing bits meet.
 
-    Such a pair agrees in one of DISTANCE + 1 segments. Its distances to any pivot differ
-    by DISTANCE at most, so both lie in one cell of that pivot or in neighbouring ones. A
-    fingerprint within reach of the next cell is sent there too; hence the pair meets in
-    the cell that is the larger in each coordinate.
+    Such a pair agrees under one of the masks. Its distances to any pivot differ by DISTANCE
+    at most, so both lie in one cell of that pivot or in neighbouring ones. A fingerprint
+    within reach of the next cell is sent there too; hence the pair meets in the cell that
+    is the larger in each coordinate.
     """
-    width = 64 // (DISTANCE + 1)
     cells = []
     for p in pivots(2).view(np.int64).tolist():
         d = F.bit_count(F.col("fp").bitwiseXOR(F.lit(p)))
         cell = F.floor(d / CELL).cast("int")
         cells.append(F.when(d % CELL >= CELL - DISTANCE, F.array(cell, cell + 1)).otherwise(F.array(cell)))
-    parts = F.array(
-        *[
-            F.struct(
-                F.lit(s).alias("s"),
-                F.shiftrightunsigned("fp", s * width).bitwiseAND((1 << width) - 1).alias("v"),
-            )
-            for s in range(DISTANCE + 1)
-        ]
-    )
-    out = nodes.select("fp", F.explode(cells[0]).alias("c0"), F.col("fp").alias("x"))
+    signed = [m - (1 << 64) if m >> 63 else m for m in masks(n)]
+    parts = F.array(*[F.struct(F.lit(i).alias("mask"), F.col("fp").bitwiseAND(F.lit(m)).alias("bits")) for i, m in enumerate(signed)])
+    out = nodes.select("fp", F.explode(cells[0]).alias("c0"))
     out = out.select("fp", "c0", F.explode(cells[1]).alias("c1"))
     out = out.select("fp", "c0", "c1", F.explode(parts).alias("p"))
-    return out.select(
-        (((F.col("p.s") * (1 << width) + F.col("p.v")) * 16 + F.col("c0")) * 16 + F.col("c1")).cast("long").alias("key"), "fp"
-    )
+    return out.select(F.xxhash64("p.mask", "p.bits", "c0", "c1").alias("key"), "fp")
 
 
 def _forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -136,7 +141,7 @@ def near_in_order(key: np.ndarray, d: np.ndarray, fp: np.ndarray, fresh: int) ->
     return _forest(np.concatenate(found_a), np.concatenate(found_b))
 
 
-def near_links(nodes: DataFrame) -> DataFrame:
+def near_links(nodes: DataFrame, n: int) -> DataFrame:
     """(a, b): links that connect exactly the fingerprints at DISTANCE or fewer differing bits.
 
     Rows are dealt by key and sorted by the distance to a third pivot; Spark's sort may
@@ -159,7 +164,7 @@ def near_links(nodes: DataFrame) -> DataFrame:
             key, d, fp = key[keep], d[keep], fp[keep]
 
     third = int(pivots(3).view(np.int64)[2])
-    rows = routed(nodes).withColumn("d", F.bit_count(F.col("fp").bitwiseXOR(F.lit(third))).cast("int"))
+    rows = routed(nodes, n).withColumn("d", F.bit_count(F.col("fp").bitwiseXOR(F.lit(third))).cast("int"))
     return rows.repartition("key").sortWithinPartitions("key", "d").mapInArrow(run, "a long, b long").distinct()
 
 
@@ -173,7 +178,7 @@ def near_groups(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     """
     fps = stored(with_fingerprints(docs, size))
     nodes = stored(fps.groupBy("fp").agg(F.min("doc_id").alias("first")))
-    roots = components(near_links(nodes.select("fp"))).toDF("fp", "root")
+    roots = components(near_links(nodes.select("fp"), nodes.count())).toDF("fp", "root")
     named = nodes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     groups = stored(named.select("fp", "root", "first"))
     names = groups.groupBy("root").agg(F.min("first").alias("component_id"))
