@@ -129,10 +129,8 @@ def _ranges(docs: DataFrame, rows_per_range: int) -> tuple[DataFrame, DataFrame]
     bounds = rows.agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).first()
     low, high = (bounds.low or 0), (bounds.high or 0)
     # doubles keep the order of longs; a null doc_id comes after all others, hence in the lowest range
-    cell = F.coalesce(
-        F.least(F.floor((F.col("doc_id").cast("double") - float(low)) / max(float(high) - float(low), 1.0) * CELLS), F.lit(CELLS - 1)) + 2,
-        F.lit(1),
-    ).cast("int")
+    place = F.floor((F.col("doc_id").cast("double") - float(low)) / max(float(high) - float(low), 1.0) * CELLS)
+    cell = F.when(F.col("doc_id").isNull(), 1).otherwise(F.least(place, F.lit(CELLS - 1)) + 2).cast("int")
     counts = {r.cell: r.n for r in rows.select(cell.alias("cell")).groupBy("cell").agg(F.count("*").alias("n")).collect()}
     number, filled, table = 0, 0, [0] * (CELLS + 1)
     for c in range(1, CELLS + 2):

@@ -65,10 +65,8 @@ class Model:
             for k in range(ORDER, -1, -1):
                 code = code * a + self.symbol[(gram >> (8 * k)) & 255]
             coded[lang] = (code, n)
-        novel = 1 / (257 - len(seen))
-        base = np.full((1, a), 1 / (len(seen) + 1) if len(seen) < 256 else 1 / 256)
-        base[0, 0] *= novel  # a byte never seen shares what is left for all of them
-        tables = {lang: np.repeat(base, 1, axis=0) for lang in coded}
+        # while blending, symbol 0 stands for all bytes never seen together
+        tables = {lang: np.full((1, a), 1 / a) for lang in coded}
         #: nodes[d]: node number by packed context of d symbols, or that of the longest shorter one.
         nodes = np.zeros(1, np.int64)
         for d in range(ORDER + 1):
@@ -94,20 +92,21 @@ class Model:
                 tables[lang] = np.concatenate([tables[lang], self._blended(count, lower)])
             nodes = number
         self.node = nodes.astype(np.int32)
-        self.bits = np.stack([-np.log2(tables[lang]).astype(np.float32) for lang in self.languages], axis=-1).reshape(-1, len(self.languages))
+        bits = np.stack([-np.log2(tables[lang]) for lang in self.languages], axis=-1)
+        bits[:, 0] += np.log2(max(256 - len(seen), 1))
+        self.bits = bits.astype(np.float32).reshape(-1, len(self.languages))
 
     @staticmethod
     def _blended(count: np.ndarray, lower: np.ndarray) -> np.ndarray:
         """Seen symbols by their counts; the escape, as likely as the number of distinct ones, shares the rest as the
-        shorter context does, without the symbols seen here. Each row sums to 1 as its lower row does."""
+        shorter context does, without the symbols seen here. Each row sums to 1."""
         total, distinct = count.sum(1, keepdims=True), (count > 0).sum(1, keepdims=True)
         rest = np.where(count > 0, 0, lower)
         left = rest.sum(1, keepdims=True)
-        whole = lower.sum(1, keepdims=True)
-        escape = np.where(left > 0, distinct / np.maximum(total + distinct, 1), 0)
-        scale = np.where(left > 0, total + distinct, np.maximum(total, 1))
-        out = np.where(count > 0, count / np.maximum(scale, 1), rest * np.where(left > 0, escape / np.maximum(left, 1e-300), 0))
-        return np.where(total > 0, out, lower / np.maximum(whole, 1e-300))
+        escape = np.where(left > 0, distinct, 0)
+        seen = count / np.maximum(total + escape, 1)
+        out = seen + rest * (escape / np.maximum(total + escape, 1) / np.where(left > 0, left, 1))
+        return np.where(total > 0, out, lower)
 
     def code_lengths(self, texts: pa.Array) -> np.ndarray:
         """Bits that each language's model needs for each whole text."""
@@ -191,7 +190,7 @@ def identified(docs: DataFrame, model: Model | None) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, lang_pred string, score double")
 
 
-def accepted(docs: DataFrame, model: Model | None, least: float = 0.5) -> DataFrame:
+def accepted(docs: DataFrame, model: Model | None, least: float = 0.3) -> DataFrame:
     """The documents, all columns, whose text is in a learned language with that score; all with letters if none was learned."""
     sent, place = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index("text")
 

@@ -27,6 +27,8 @@ GROUPS = 16
 CHUNK = 6 << 20
 #: Pieces of one length that one task ranks.
 RANKED = 200_000
+#: Parts in which pieces of one length are ranked, at least.
+PARTS = 64
 
 
 def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end: int = END) -> DataFrame:
@@ -210,7 +212,7 @@ def slots(kinds: list[tuple[tuple, int]]) -> dict[str, np.ndarray]:
 
 def ranked(df: DataFrame) -> DataFrame:
     """With `rank`: 0, 1, ... among the rows of one length, each length being dealt to many tasks."""
-    salts = max(1, -(-df.count() // RANKED))
+    salts = max(PARTS, -(-df.count() // RANKED))
     df = df.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(salts)))
     before = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
     counts = df.groupBy("length", "salt").agg(F.count("*").alias("n"))

@@ -166,10 +166,10 @@ def redacted(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
         lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text))),
     )
     some = F.size(spans) > 0
-    changed = {"text": F.when(some, cut).otherwise(text)}
+    out = found.withColumn("text", F.when(some, cut).otherwise(text))
     if "n_chars" in docs.columns:
-        changed["n_chars"] = F.when(some, F.length(cut).cast("long")).otherwise(F.col("n_chars"))
-    return found.withColumns(changed).select(*docs.columns)
+        out = out.withColumn("n_chars", F.when(some, F.length("text").cast("long")).otherwise(F.col("n_chars")))
+    return out.select(*docs.columns)
 
 
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
