@@ -1,6 +1,7 @@
 """Hexagonal grid in column arithmetic.
 
-A cell is a BIGINT laid out as ``resolution << 52 | (q + 2^25) << 26 | (r + 2^25)``
+A cell is a BIGINT laid out as ``2^62 | resolution << 52 | (q + 2^25) << 26 | (r + 2^25)``;
+bit 62 marks it as one of this lattice, and what reads positions from a cell raises on any other,
 where (q, r) are axial coordinates of a pointy-top hexagon lattice drawn on the
 Web Mercator plane. Everything below is built-in Column math, so it stays inside
 whole-stage codegen and can be pushed through joins and filters like any other
@@ -19,13 +20,16 @@ SQRT3 = math.sqrt(3.0)
 # Hexagon edge at resolution 0 in metres, and the shrink per level.
 EDGE_0_M = 1107712.591
 APERTURE = math.sqrt(7.0)
-# Web Mercator ends at this latitude; points beyond are indexed on the last row.
+# Web Mercator ends at this latitude; points beyond have no cell.
 MAX_LATITUDE = 85.0511287798066
 
 AXIS_BITS = 26
 RES_SHIFT = 2 * AXIS_BITS
 OFFSET = 1 << (AXIS_BITS - 1)
 AXIS_MASK = (1 << AXIS_BITS) - 1
+# Bits 56 and up of every cell of this lattice.
+MARK_SHIFT = 56
+MARK = 64
 
 
 def check_resolution(resolution: int) -> int:
@@ -53,12 +57,28 @@ def mercator_y(latitude: Column | str) -> Column:
 
 
 def pack(q: Column, r: Column, resolution: int) -> Column:
-    head = F.lit(check_resolution(resolution) << RES_SHIFT).cast("bigint")
-    return (
+    """The cell at (q, r); null where an axis does not fit (resolution 15 far from the origin)."""
+    head = F.lit(MARK << MARK_SHIFT | check_resolution(resolution) << RES_SHIFT).cast("bigint")
+    cell = (
         head
         + (q.cast("bigint") + F.lit(OFFSET)) * F.lit(1 << AXIS_BITS)
         + (r.cast("bigint") + F.lit(OFFSET))
     )
+    if resolution < 15:
+        return cell
+    return F.when(q.between(-OFFSET, OFFSET - 1) & r.between(-OFFSET, OFFSET - 1), cell)
+
+
+def is_own(cell: Column | str) -> Column:
+    """Whether a cell id belongs to this lattice."""
+    return F.shiftright(_col(cell), MARK_SHIFT) == F.lit(MARK)
+
+
+def own(cell: Column | str) -> Column:
+    """The cell itself; raises on an id of another grid, whose bits mean something else."""
+    c = _col(cell)
+    foreign = F.raise_error(F.concat(F.lit("cell id of another grid: "), c.cast("string"))).cast("bigint")
+    return F.when(c.isNull() | is_own(c), c).otherwise(foreign)
 
 
 def cell_q(cell: Column | str) -> Column:
@@ -74,7 +94,7 @@ def resolution_of(cell: Column | str) -> Column:
 
 
 def cell_at(latitude: Column | str, longitude: Column | str, resolution: int) -> Column:
-    """Cell holding a point (null when a coordinate is null).
+    """Cell holding a point; null when a coordinate is null, NaN or out of range.
 
     Rounding to the nearest hexagon with floors along two lattice diagonals; it repeats
     its inputs far less than rounding three cube axes, which keeps generated code small.
@@ -85,7 +105,9 @@ def cell_at(latitude: Column | str, longitude: Column | str, resolution: int) ->
     diagonal = F.floor(t + x)
     q = F.floor((diagonal + (F.lit(2.0) * x + F.lit(1.0))) / F.lit(3.0))
     r = -F.floor((diagonal + (t - x)) / F.lit(3.0))
-    return pack(q, r, resolution)
+    # NaN compares as larger than any number, so the range test refuses it too.
+    valid = (F.abs(_col(latitude)) <= F.lit(MAX_LATITUDE)) & (F.abs(_col(longitude)) <= F.lit(180.0))
+    return F.when(valid, pack(q, r, resolution))
 
 
 def centre_latitude_of_row(r: Column, resolution: int) -> Column:
@@ -115,11 +137,13 @@ def _edge(cell: Column | str, resolution: int | None) -> Column:
 
 
 def centre_latitude(cell: Column | str, resolution: int | None = None) -> Column:
+    cell = own(cell)
     y = F.lit(1.5) * _edge(cell, resolution) * cell_r(cell)
     return F.degrees(F.atan(F.sinh(y / F.lit(EARTH_M))))
 
 
 def centre_longitude(cell: Column | str, resolution: int | None = None) -> Column:
+    cell = own(cell)
     x = F.lit(SQRT3) * _edge(cell, resolution) * (cell_q(cell) + cell_r(cell) / F.lit(2.0))
     return F.degrees(x / F.lit(EARTH_M))
 
@@ -135,17 +159,24 @@ def same_resolution(a: Column | str, b: Column | str) -> Column:
     return resolution_of(a) == resolution_of(b)
 
 
-def grid_distance(a: Column | str, b: Column | str) -> Column:
-    """Steps between two cells; null when their resolutions differ."""
+def _steps(a: Column | str, b: Column | str) -> Column:
     dq, dr = cell_q(a) - cell_q(b), cell_r(a) - cell_r(b)
-    steps = F.greatest(F.abs(dq), F.abs(dr), F.abs(dq + dr)).cast("int")
-    return F.when(same_resolution(a, b), steps)
+    return F.greatest(F.abs(dq), F.abs(dr), F.abs(dq + dr)).cast("int")
+
+
+def grid_distance(a: Column | str, b: Column | str) -> Column:
+    """Steps between two cells; null when their resolutions differ or one is null, an error on foreign ids."""
+    a, b = _col(a), _col(b)
+    return (
+        F.when(is_own(a) & is_own(b), F.when(same_resolution(a, b), _steps(a, b)))
+        .when(a.isNotNull() & b.isNotNull(), F.raise_error(F.lit("cell id of another grid")).cast("int"))
+    )
 
 
 def point_grid_distance(
     lat1: Column | str, lon1: Column | str, lat2: Column | str, lon2: Column | str, resolution: int
 ) -> Column:
-    return grid_distance(cell_at(lat1, lon1, resolution), cell_at(lat2, lon2, resolution))
+    return _steps(cell_at(lat1, lon1, resolution), cell_at(lat2, lon2, resolution))
 
 
 def within_ring(cell: Column | str, origin: Column | str, k: int) -> Column:
@@ -166,7 +197,7 @@ def ring_offsets(k: int) -> list[tuple[int, int]]:
 
 def ring(cell: Column | str, k: int | Column) -> Column:
     """array<bigint> of all cells within ``k`` steps; ``k`` may be a column."""
-    c = _col(cell)
+    c = own(cell)
     depth = F.lit(k) if isinstance(k, int) else k
     def row(dq: Column) -> Column:
         low = F.greatest(-depth, -dq - depth)

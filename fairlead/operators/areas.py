@@ -31,6 +31,17 @@ def select_method(aoi: DataFrame, method: str, column: str = "method") -> DataFr
     return aoi.filter(F.col(column) == method)
 
 
+AREA = "_area"
+
+
+def identified(areas: DataFrame) -> DataFrame:
+    """Areas with an id of their own (``_area``), made of all their columns, so that areas of one
+    name never mix. Rows that repeat each other are numbered; the id does not depend on order."""
+    same = F.xxhash64(*areas.columns)
+    number = F.row_number().over(Window.partitionBy("_same").orderBy("_same"))
+    return areas.withColumn("_same", same).withColumn(AREA, F.xxhash64("_same", number)).drop("_same")
+
+
 def polygon_edges(areas: DataFrame, keys: Sequence[str], geom: str = "geom") -> DataFrame:
     """One row per polygon edge: keys, x1, y1, x2, y2 in degrees."""
     # Outer generators: the plain ones would parse once more to drop empty outlines.
@@ -82,15 +93,16 @@ def fill(edges: DataFrame, keys: Sequence[str], resolution: int, cell: str = "ce
 
 
 def area_cells(areas: DataFrame, keys: Sequence[str], resolution: int, cell: str = "h3_ids_int") -> DataFrame:
-    """Exploded (area, cell) rows of a table with a parsed ``geom`` column."""
-    return fill(polygon_edges(areas, keys), keys, resolution, cell)
+    """Distinct (keys, cell) rows of a table with a parsed ``geom`` column. Each area is filled by
+    itself; areas that share their keys add up."""
+    known = identified(areas)
+    filled = fill(polygon_edges(known, [AREA]), [AREA], resolution, cell)
+    return known.select(AREA, *keys).join(filled, AREA).select(*keys, cell).distinct()
 
 
 def zone_cells(areas: DataFrame, resolution: int, cell: str = "cell") -> DataFrame:
     """Distinct cells of the union of all given areas."""
-    return area_cells(areas.withColumn("_one", F.monotonically_increasing_id()), ["_one"], resolution, cell).select(
-        cell
-    ).distinct()
+    return fill(polygon_edges(identified(areas), [AREA]), [AREA], resolution, cell).select(cell).distinct()
 
 
 def port_cells(
@@ -156,9 +168,8 @@ def buffer_cells(
     areas: DataFrame, radius_m: float = 10000.0, resolution: int = 8, cell: str = "boundary_h3"
 ) -> DataFrame:
     """Distinct cells whose centre is inside an area or within ``radius_m`` of it."""
-    keyed = areas.withColumn("_one", F.monotonically_increasing_id())
-    edges = polygon_edges(keyed, ["_one"])
-    inside = fill(edges, ["_one"], resolution, cell).select(cell)
+    edges = polygon_edges(identified(areas), [AREA])
+    inside = fill(edges, [AREA], resolution, cell).select(cell)
     near = cells_near_edges(edges, [], resolution, float(radius_m), cell)
     near = with_distance(near, cell, resolution).filter(F.col("_metres") <= F.lit(float(radius_m)))
     return inside.unionByName(near.select(cell)).distinct()
@@ -196,11 +207,13 @@ def points_in_areas(
 
     An equi join on the cell finds candidates. The exact answer is local: starting
     from whether the cell centre is inside, each nearby edge between the point and
-    the centre flips it. A point on an edge counts as inside. Area columns ride along
-    with the cells, so the matches need no second join to fetch them.
+    the centre flips it. A point on an edge counts as inside. Every area is told apart by an
+    id of its own, so areas that share their columns or overlap each give their pairs.
     """
     carried = [c for c in areas.columns if c != "geom"]
-    covered = cover(polygon_edges(areas, carried), carried, resolution)
+    known = identified(areas)
+    covered = cover(polygon_edges(known, [AREA]), [AREA], resolution)
+    covered = known.select(AREA, *carried).join(covered, AREA).drop(AREA)
     found = points.withColumn("_cell", grid.cell_at(lat, lon, resolution)).join(
         joins.sized(covered.withColumnRenamed("cell", "_cell")), "_cell", "inner"
     )

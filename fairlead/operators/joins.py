@@ -15,9 +15,10 @@ MAX_BROADCAST_ROWS = 1_000_000
 def sized(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Broadcast ``dim`` if a count proves it small, else force a sort-merge join.
 
-    Derived cell tables have no useful size estimate, so Spark alone could pick a
-    broadcast that grows with the data. The merge join spills, and adaptive
-    execution splits its hot partitions.
+    For tables derived from outlines only: these have no useful size estimate, so Spark
+    alone could pick a broadcast that grows with the data, and counting them reads no ping.
+    The merge join spills, and adaptive execution splits its hot partitions. Tables derived
+    from pings are left to adaptive execution, which decides on their real bytes.
     """
     return F.broadcast(dim) if dim.count() <= max_rows else dim.hint("merge")
 
@@ -139,38 +140,54 @@ def match_register(
 
     Classes: 1 ship number and IMO agree, 2 ship number alone, 3 IMO alone, 4 name
     alone, 9 none. Matching runs on the distinct identities broadcast by ships, not
-    on pings, and each identity takes its best class, so pings never multiply.
-    Several register rows in one class resolve to the lowest ship number. ``identities``
-    is a table cheaper to read than ``pings`` that holds the same identities.
+    on pings, and each identity takes its best class, so pings never multiply. Of the
+    register rows with one number (and IMO), one IMO or one name only the first counts: that
+    of the lowest ship number, rows without number last, then by all columns. So every
+    join is to at most one row. Null and zero numbers, and null or empty names, match
+    nothing. ``identities`` is a table cheaper to read than ``pings`` that holds the same
+    identities.
     """
+    from fairlead.operators.sequence import top_per_key
+
     who = [c for c in ("mmsi", "imo", "vessel_name") if c in pings.columns]
     ships = (pings if identities is None else identities).select(*who).distinct()
-    r = register.withColumn("_ref", F.col(register_key))
-    fields = [c for c in register.columns]
-    parts = []
-
-    def candidate(on: Column, rank: Column) -> DataFrame:
-        return ships.join(r, on, "inner").select(*[ships[c] for c in who], rank.alias("_class"), "_ref", *fields)
-
-    same_imo = (
-        F.coalesce(ships["imo"] == F.col(register_imo), F.lit(False))
-        if register_imo and "imo" in who
-        else F.lit(False)
-    )
-    parts.append(candidate(ships["mmsi"] == r["_ref"], F.when(same_imo, 1).otherwise(2)))
+    fields = list(register.columns)
+    # rows that repeat each other share an id and are told apart by nothing
+    numbered = register.withColumn("_row", F.xxhash64(*fields))
+    by_number = [F.col(register_key).asc_nulls_last(), "_row"]
+
+    def usable(name: str) -> Column:
+        text = dict(register.dtypes)[name] == "string"
+        return F.col(name).isNotNull() & (F.trim(name) != "" if text else F.col(name) != 0)
+
+    def first_of(*keys: str) -> DataFrame:
+        rows = numbered.select(*dict.fromkeys([register_key, *keys]), "_row").filter(usable(keys[0]))
+        picked = top_per_key(rows, list(keys), by_number)
+        return picked.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "_row")
+
+    # The best row of each kind, found by joins that never multiply; the first that is there counts.
+    kinds: list[tuple[int, list[str], list[str]]] = []
+    if register_imo and "imo" in who:
+        kinds.append((1, ["mmsi", "imo"], [register_key, register_imo]))
+    kinds.append((2, ["mmsi"], [register_key]))
     if register_imo and "imo" in who:
-        parts.append(candidate(ships["imo"] == F.col(register_imo), F.lit(3)))
+        kinds.append((3, ["imo"], [register_imo]))
     if register_name and "vessel_name" in who:
-        parts.append(candidate(ships["vessel_name"] == F.col(register_name), F.lit(4)))
-    found = parts[0]
-    for p in parts[1:]:
-        found = found.unionByName(p)
-    from fairlead.operators.sequence import top_per_key
-
-    best = top_per_key(found, who, [F.col("_class"), F.col("_ref")]).drop("_ref")
-    best = best.withColumnsRenamed({c: f"_w_{c}" for c in who})
+        kinds.append((4, ["vessel_name"], [register_name]))
+    found = ships
+    for rank, mine, theirs in kinds:
+        rows = first_of(*theirs).withColumnRenamed("_row", f"_row{rank}")
+        on = [found[m] == rows[f"_k{i}"] for i, m in enumerate(mine)]
+        found = found.join(rows, on, "left").drop(*[f"_k{i}" for i in range(len(mine))])
+    ranks = [rank for rank, _, _ in kinds]
+    best = found.select(
+        *[F.col(c).alias(f"_w_{c}") for c in who],
+        F.coalesce(*[F.col(f"_row{r}") for r in ranks]).alias("_row"),
+        F.coalesce(*[F.when(F.col(f"_row{r}").isNotNull(), r) for r in ranks]).alias("_class"),
+    ).filter("_class is not null")
+    best = best.join(top_per_key(numbered, ["_row"], ["_row"]), "_row").drop("_row")
     on = [pings[c].eqNullSafe(F.col(f"_w_{c}")) for c in who]
-    joined = pings.join(sized(best), on, "left").drop(*[f"_w_{c}" for c in who])
+    joined = pings.join(best, on, "left").drop(*[f"_w_{c}" for c in who])
     joined = joined.withColumn("ihs_matchtype", F.coalesce(F.col("_class"), F.lit(9))).drop("_class")
     return joined if return_all else joined.filter("ihs_matchtype <> 9")
 

@@ -3,10 +3,14 @@
 ``lag``/``lead`` over ``partitionBy(ship)`` puts a whole ship in one task, and one
 shared or broken ship id can hold a third of all pings. Here a ship is cut into
 time slices: the shuffle key is (ship, slice), so the largest task is one slice.
-Rows away from a slice's ends find their neighbours inside it. The few rows at the
-ends (at most ``2 * depth`` per slice) are looked up in a second window over the
-ship alone, whose size is bounded by the number of slices in the period.
-Both branches read the same exchange, so the pings are shuffled once.
+Rows away from a slice's ends find their neighbours inside it and, if they are not
+wanted, are dropped there. The few rows at the ends (at most ``2 * depth`` per slice) then
+meet in a second window over the ship alone, whose size is bounded by the number of
+slices in the period. All is one branch over the input, so chained calls do not
+multiply the plan.
+
+Rows are always in a total order: after the given columns come all others, by name, so
+rows of one time stand in the same order whatever the partitioning.
 """
 
 from __future__ import annotations
@@ -15,6 +19,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SHIP = "mmsi"
 TIME = "dt_pos_utc"
@@ -31,6 +36,12 @@ def time_slice(time: Column | str = TIME, seconds: int = DEFAULT_SLICE_SECONDS)
     return F.floor(F.unix_timestamp(c) / F.lit(int(seconds)))
 
 
+def total_order(df: DataFrame, order: Sequence[str]) -> list[str]:
+    """The order, then every other column that can be compared, by name: rows that still tie are equal."""
+    rest = sorted(f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType)))
+    return [*order, *[c for c in rest if c not in order and not c.startswith("_")]]
+
+
 def neighbours(
     df: DataFrame,
     order: Sequence[str],
@@ -38,21 +49,25 @@ def neighbours(
     ahead: dict[str, Pick] | None = None,
     key: str = SHIP,
     slice_seconds: int = DEFAULT_SLICE_SECONDS,
+    keep: Column | None = None,
 ) -> DataFrame:
     """Add columns taken ``n`` rows back or ahead in the ship's order.
 
-    ``order[0]`` is the time column; the rest are tiebreaks. ``back`` and ``ahead``
-    map a new column name to (source column, n). A ``_slice`` column already present is
-    used as it is, together with any partitioning by it.
+    ``order[0]`` is the time column; the rest are tiebreaks, to which all other columns
+    are added. ``back`` and ``ahead`` map a new column name to (source column, n). Only rows
+    that satisfy ``keep`` are returned; most others never leave their slice. A ``_slice``
+    column already present is used as it is, together with any partitioning by it.
     """
     back, ahead = back or {}, ahead or {}
     depth = max(n for _, n in [*back.values(), *ahead.values()])
-    in_slice = Window.partitionBy(key, "_slice").orderBy(*order)
-    in_ship = Window.partitionBy(key).orderBy(*order)
-
-    def found(window: Window) -> dict[str, Column]:
-        cols = {name: F.lag(src, n).over(window) for name, (src, n) in back.items()}
-        cols.update({name: F.lead(src, n).over(window) for name, (src, n) in ahead.items()})
+    ordered = total_order(df, order)
+    in_slice = Window.partitionBy(key, "_slice").orderBy(*ordered)
+    # Slice ends of a ship meet each other; all other rows stay among themselves.
+    in_ship = Window.partitionBy(key, "_home").orderBy(*ordered)
+
+    def found(window: Window, prefix: str = "") -> dict[str, Column]:
+        cols = {prefix + name: F.lag(src, n).over(window) for name, (src, n) in back.items()}
+        cols.update({prefix + name: F.lead(src, n).over(window) for name, (src, n) in ahead.items()})
         return cols
 
     sliced = df
@@ -68,25 +83,25 @@ def neighbours(
         }
     )
     at_end = F.col("_head") | F.col("_tail")
-    body = tagged.filter(~at_end)
-    wide = found(in_ship)
-    ends = tagged.filter(at_end).withColumns({f"_wide_{name}": c for name, c in wide.items()})
-    ends = ends.withColumns(
+    if keep is not None:
+        tagged = tagged.filter(at_end | keep)
+    wide = tagged.withColumn("_home", F.when(~at_end, F.col("_slice"))).withColumns(found(in_ship, "_wide_"))
+    names = [*back, *ahead]
+    out = wide.withColumns(
         {
             name: F.when(F.col("_head" if name in back else "_tail"), F.col(f"_wide_{name}")).otherwise(F.col(name))
-            for name in wide
+            for name in names
         }
-    ).drop(*[f"_wide_{name}" for name in wide])
-    return body.unionByName(ends).drop("_slice", "_head", "_tail")
+    ).drop("_slice", "_head", "_tail", "_home", *[f"_wide_{name}" for name in names])
+    return out if keep is None else out.filter(keep)
 
 
 def first_of_runs(
     df: DataFrame, value: str, order: Sequence[str], key: str = SHIP, slice_seconds: int = DEFAULT_SLICE_SECONDS
 ) -> DataFrame:
     """Keep the first row of each run of equal ``value`` (null never equals null)."""
-    seen = neighbours(df, order, back={"_before": (value, 1)}, key=key, slice_seconds=slice_seconds)
-    same = F.coalesce(F.col(value) == F.col("_before"), F.lit(False))
-    return seen.filter(~same).drop("_before")
+    new = ~F.coalesce(F.col(value) == F.col("_before"), F.lit(False))
+    return neighbours(df, order, back={"_before": (value, 1)}, key=key, slice_seconds=slice_seconds, keep=new).drop("_before")
 
 
 def top_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
@@ -103,10 +118,10 @@ def first_by_rank(df: DataFrame, key: str, time: str) -> DataFrame:
 
 
 def latest_per_ship(df: DataFrame, columns: Sequence[str], order: Sequence[str], key: str = SHIP) -> DataFrame:
-    """Latest row per ship, newest by ``order``."""
+    """Latest row per ship, newest by ``order``, then by the attributes themselves."""
     picked = df.select(key, *dict.fromkeys([*columns, *order]))
-    return top_per_key(picked, [key], [F.col(c).desc() for c in order]).select(key, *columns)
+    return top_per_key(picked, [key], [F.col(c).desc() for c in total_order(picked, order)]).select(key, *columns)
 
 
 def earliest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    return top_per_key(df, keys, [F.col(c).asc_nulls_last() for c in order])
+    return top_per_key(df, keys, [F.col(c).asc_nulls_last() for c in total_order(df, order)])

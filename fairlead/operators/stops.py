@@ -16,7 +16,7 @@ machine is run per slice:
 3. every slice labels its own pings, again in parallel;
 4. labelled pings are aggregated per event with ordinary partial aggregation.
 
-The result is the same for every slice length.
+The result is the same for every slice length and every partitioning.
 """
 
 from __future__ import annotations
@@ -51,10 +51,14 @@ def label_events(
     slice_seconds: int = sequence.DEFAULT_SLICE_SECONDS,
 ) -> DataFrame:
     """Pings that belong to a stop event, with the event's id (``_ev_slice``,
-    ``_ev_pos`` beside ``mmsi``), the times of the ping's neighbours and ship facts."""
+    ``_ev_pos`` beside ``mmsi``), the times of the ping's neighbours and ship facts.
+
+    Pings without ship, cell or time cannot be placed: they belong to no event and do not
+    count towards their ship's pings. Cells must be this package's own; others raise."""
     cell = joins.cell_column(resolution)
     joins.require(pings, cell, "mmsi", "sog", "dt_pos_utc", "imo", "vessel_type")
-    order = ["dt_pos_utc", *tiebreak]
+    # Every column of the rows breaks ties, so both sorts below see one order.
+    order = sequence.total_order(pings, ["dt_pos_utc", *tiebreak])
     timed = (
         pings
         if "cluster_time" in pings.columns
@@ -65,7 +69,7 @@ def label_events(
             "mmsi": F.col("mmsi").cast("bigint"),
             "imo": F.col("imo").cast("bigint"),
             "_slice": sequence.time_slice("dt_pos_utc", slice_seconds),
-            "_cell": F.col(cell),
+            "_cell": grid.own(cell),
             "_slow": F.coalesce(F.col("sog") < STOP_SPEED, F.lit(False)),
         }
     )
@@ -262,6 +266,7 @@ def stop_events(
     return out.select(*[F.col(c).cast(t) if t else F.col(c) for c, t in STOP_EVENT_COLUMNS.items()])
 
 
+# The published column order.
 FULL_EVENT_COLUMNS = [
     "h3_index_int", "mmsi", "imo", "length", "width", "vessel_type", "vessel_type_main", "obs_time", "time_lower",
     "time_upper", "unix_trigger", "avg_unix", "unix_disarm", "sd_lat", "sd_lng", "delta_x", "delta_y", "trigger_lat",
@@ -325,10 +330,14 @@ def stationary(
 
 
 def stops_in_ports(
-    events: DataFrame, aoi: DataFrame, keys: Sequence[str], resolution: int = 10, method: str = "Manual"
+    events: DataFrame, aoi: DataFrame, keys: Sequence[str], resolution: int = 8, method: str = "Manual"
 ) -> DataFrame:
-    """Stop events joined to the port whose cells hold the anchor."""
-    cells = areas.area_cells(aoi, keys, resolution)
+    """Stop events joined to the ports of one delineation (``method``) whose cells hold the anchor.
+
+    ``resolution`` is that of the events' cells. An area table without a ``method`` column is one
+    delineation already."""
+    chosen = areas.select_method(aoi, method) if "method" in aoi.columns else aoi
+    cells = areas.area_cells(chosen, keys, resolution)
     if "kode" in cells.columns and "Kode" not in cells.columns:
         cells = cells.withColumnRenamed("kode", "Kode")
     return joins.events_in_ports(events, cells).drop("h3_ids", "h3_ids_int")

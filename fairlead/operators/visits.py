@@ -60,16 +60,16 @@ def keep_edges(
 ) -> DataFrame:
     """Keep a ship's first and last row, and rows with exactly one neighbour on the
     other side of the port limit."""
-    seen = sequence.neighbours(
+    prev_other = F.col("_prev") != F.col("position")
+    next_other = F.col("_next") != F.col("position")
+    return sequence.neighbours(
         df,
         order,
         back={"_prev": ("position", 1)},
         ahead={"_next": ("position", 1)},
         slice_seconds=slice_seconds,
-    )
-    prev_other = F.col("_prev") != F.col("position")
-    next_other = F.col("_next") != F.col("position")
-    return seen.filter(F.coalesce(prev_other != next_other, F.lit(True))).drop("_prev", "_next")
+        keep=F.coalesce(prev_other != next_other, F.lit(True)),
+    ).drop("_prev", "_next")
 
 
 def edge_rows(
@@ -135,8 +135,9 @@ def port_visits_by_port_change(
     same_next = labels.or_false(F.col("_next_port") == F.col("Port"))
     at_out = labels.or_false((F.col("_prev") == "out") | (F.col("_next") == "out"))
     last_of_port_run = F.col("_next").isNotNull() & ~same_next
-    seen = sequence.neighbours(edges, order, **beside, slice_seconds=slice_seconds)
-    kept = seen.filter(~inside | ~same_prev | at_out | last_of_port_run).drop(*beside["back"], *beside["ahead"])
+    change = ~inside | ~same_prev | at_out | last_of_port_run
+    kept = sequence.neighbours(edges, order, **beside, slice_seconds=slice_seconds, keep=change)
+    kept = kept.drop(*beside["back"], *beside["ahead"])
     beside["ahead"]["_next_time"] = ("dt_pos_utc", 1)
     seen = sequence.neighbours(kept, order, **beside, slice_seconds=slice_seconds)
     arrives = F.when(
@@ -170,6 +171,13 @@ def departures(
     port of the row just before it."""
     if min_minutes <= 0:
         return activity.filter((F.col("keluar_pelabuhan") == "keluar") & (F.col("position") == "in"))
+    stayed = (
+        (F.col("position") == "out")
+        & (F.col("keluar_pelabuhan") == "keluar")
+        & (F.col("_time2") >= min_minutes * 60)
+        & (F.col("_position2") == "in")
+        & (F.col("_arrived2") == "masuk")
+    )
     seen = sequence.neighbours(
         activity,
         order,
@@ -180,17 +188,10 @@ def departures(
             "_arrived2": ("masuk_pelabuhan", 2),
         },
         slice_seconds=slice_seconds,
-    )
-    stayed = (
-        (F.col("position") == "out")
-        & (F.col("keluar_pelabuhan") == "keluar")
-        & (F.col("_time2") >= min_minutes * 60)
-        & (F.col("_position2") == "in")
-        & (F.col("_arrived2") == "masuk")
+        keep=F.coalesce(stayed, F.lit(False)),
     )
     return (
-        seen.filter(stayed)
-        .withColumns({"Port": F.col("_port1"), "dt_pos_utc": F.to_date("dt_pos_utc")})
+        seen.withColumns({"Port": F.col("_port1"), "dt_pos_utc": F.to_date("dt_pos_utc")})
         .drop("_port1", "_time2", "_position2", "_arrived2")
     )
 

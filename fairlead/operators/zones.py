@@ -54,22 +54,16 @@ def zone_edges(
 ) -> DataFrame:
     """Pings where the ship has just left zone ``leave`` or just entered zone ``enter``."""
     order = ["dt_pos_utc", *tiebreak]
+    left = labels.or_false(F.col("_left") & ~F.col(leave))
+    entered = labels.or_false(~F.col("_entered") & F.col(enter))
     seen = sequence.neighbours(
         tagged.select("mmsi", *order, leave, enter),
         order,
         back={"_left": (leave, 1), "_entered": (enter, 1)},
         slice_seconds=slice_seconds,
+        keep=left | entered,
     )
-    return (
-        seen.withColumns(
-            {
-                "exit": labels.or_false(F.col("_left") & ~F.col(leave)),
-                "entry": labels.or_false(~F.col("_entered") & F.col(enter)),
-            }
-        )
-        .drop("_left", "_entered")
-        .filter(F.col("exit") | F.col("entry"))
-    )
+    return seen.withColumns({"exit": left, "entry": entered}).drop("_left", "_entered")
 
 
 def transit_times(

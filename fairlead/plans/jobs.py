@@ -27,11 +27,9 @@ def ingest(
     """Every ping in the period of ships that were in the territory's areas."""
     region = region_areas.filter(F.col(territory_column) == territory)
     cells = areas.zone_cells(region, resolution)
-    cell = joins.cell_column(resolution)
-    had = cell in pings.columns
-    placed = pings if had else pings.withColumn(cell, grid.cell_at("latitude", "longitude", resolution))
-    out = readers.pings_of_ships_seen_in(placed, cells, cell, start, end)
-    return out if had else out.drop(cell)
+    # Always from the position: a cell column of the input may belong to another grid.
+    placed = pings.withColumn("_region_cell", grid.cell_at("latitude", "longitude", resolution))
+    return readers.pings_of_ships_seen_in(placed, cells, "_region_cell", start, end).drop("_region_cell")
 
 
 preprocess = clean.preprocess
@@ -69,6 +67,10 @@ def boundary(
     published results do; ``"filter"`` only at pings inside the buffer."""
     if buffer_mode not in ("tag", "filter"):
         raise ValueError("buffer_mode must be 'tag' or 'filter'")
+    cell = joins.cell_column(resolution)
+    joins.require(pings, cell)
+    # Filled outlines only match cells of this lattice; others would silently match nothing.
+    pings = pings.withColumn(cell, grid.own(cell))
     chosen = areas.select_method(aoi, method)
     if method == "Manual" and not draft:
         from fairlead.functions.ports import without_small_ports
@@ -81,7 +83,7 @@ def boundary(
     keys = [c for c in chosen.columns if c not in ("geom", "method")]
     tagged = joins.tag_ports(pings, areas.area_cells(chosen, keys, resolution), resolution)
     detect = visits.port_visits_by_port_change if draft else visits.port_visits
-    return detect(tagged, joins.cell_column(resolution), slice_seconds=slice_seconds)
+    return detect(tagged, cell, slice_seconds=slice_seconds)
 
 
 def port_call(

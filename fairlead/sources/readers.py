@@ -50,9 +50,8 @@ def pings_in_cells(pings: DataFrame, cells: DataFrame, cell: str) -> DataFrame:
 
 
 def pings_of_ships(pings: DataFrame, ships: DataFrame) -> DataFrame:
-    """Semi join on the ship number. Counting the ships costs a narrow scan at most and,
-    for a list of ordinary size, saves shuffling all pings by ship."""
-    return pings.join(joins.sized(ships.select("mmsi").distinct()), "mmsi", "left_semi")
+    """Semi join on the ship number; adaptive execution broadcasts the list if its bytes allow."""
+    return pings.join(ships.select("mmsi").distinct(), "mmsi", "left_semi")
 
 
 def distinct_ships(pings: DataFrame) -> DataFrame:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -12,21 +11,32 @@ def write_parquet(df: DataFrame, path: str, partition_by: tuple[str, ...] = ())
     return path
 
 
-def _readable(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        return None
+def _exists(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
 
 
-def accumulate(spark: SparkSession, previous: str | None, current: DataFrame, target: str) -> str:
-    """Write previous accumulation plus this period to a new path; just this period
-    when there is no readable previous one. Reading and overwriting one path is
-    refused, because the source would vanish while it is read."""
-    if previous and previous.rstrip("/") == target.rstrip("/"):
-        raise ValueError("the accumulation cannot be read from and written to one path")
-    before = _readable(spark, previous) if previous else None
-    return write_parquet(current if before is None else before.unionByName(current), target)
+def accumulate(spark: SparkSession, current: DataFrame, target: str, period: str, column: str = "period") -> str:
+    """Add a period to the accumulation at ``target``, as the partition ``column=period``.
+
+    Only that partition is written, and written anew if the period is run again; the
+    history is neither read nor copied. ``current`` must have the columns of the history;
+    an unreadable history raises.
+    """
+    if not period or any(c in period for c in "/= "):
+        raise ValueError("a period is a plain name such as 2024-01")
+    if _exists(spark, target):
+        have = set(spark.read.parquet(target).columns) - {column}
+        if have != set(current.columns):
+            raise ValueError(f"columns differ from the accumulation: {sorted(have ^ set(current.columns))}")
+    current.write.mode("overwrite").parquet(f"{target.rstrip('/')}/{column}={period}")
+    return target
+
+
+def accumulated(spark: SparkSession, target: str, column: str = "period") -> DataFrame:
+    """All periods so far; ``column`` names the period of a row, as text."""
+    whole = spark.read.parquet(target)
+    return whole.withColumn(column, whole[column].cast("string"))
 
 
 def write_cells(cells: DataFrame, path: str) -> DataFrame:

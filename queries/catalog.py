@@ -193,13 +193,12 @@ def parquet_sink(spark, sf):
 @query
 def accumulate_periods(spark, sf):
     rows = pings(spark, sf).select("event_id", "mmsi", "dt_pos_utc")
-    first = writers.accumulate(
-        spark, work_folder(spark), readers.in_period(rows, "2024-01-01", "2024-01-15"), work_folder(spark)
-    )
-    second = writers.accumulate(
-        spark, first, readers.in_period(rows, "2024-01-16", "2024-01-31"), work_folder(spark)
-    )
-    return readers.read_parquet(spark, second)
+    path = work_folder(spark)
+    for period, start, end in (
+        ("first", "2024-01-01", "2024-01-15"), ("second", "2024-01-16", "2024-01-31"), ("first", "2024-01-01", "2024-01-15")
+    ):
+        writers.accumulate(spark, readers.in_period(rows, start, end), path, period)
+    return writers.accumulated(spark, path)
 
 
 @query

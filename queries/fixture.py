@@ -6,8 +6,6 @@ field is spelled differently.
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -154,6 +152,11 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def work_folder(spark: SparkSession) -> str:
-    """Fresh folder below the cluster's checkpoint folder; a temporary one in tests."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or os.path.join(tempfile.gettempdir(), "fairlead-work")
+    """Fresh folder below the cluster's shared checkpoint folder, which all executors see. In local mode, where
+    there is but one machine, a folder of the warehouse stands in."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/fairlead-work"
     return f"{root.rstrip('/')}/{uuid.uuid4().hex}"

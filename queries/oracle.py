@@ -17,6 +17,7 @@ R = "6378137e0"
 SPHERE = "6371007.180918475e0"
 S3 = math.sqrt(3.0)
 HALF = 1 << 25
+MARK = 1 << 62
 
 
 def num(x: float) -> str:
@@ -42,7 +43,7 @@ def with_cell(source: str, resolution: int, name: str, lat: str = "latitude", lo
     """Source rows plus a cell column, by cube rounding."""
     s = num(edge_length(resolution))
     return f"""SELECT * EXCLUDE (x_, y_, fq_, fr_, q_, r_, s_),
- CAST({resolution << 52} AS BIGINT)
+ CAST({MARK | resolution << 52} AS BIGINT)
  + (CAST(CASE WHEN abs(q_ - fq_) > abs(r_ - fr_) AND abs(q_ - fq_) > abs(s_ + fq_ + fr_) THEN -r_ - s_ ELSE q_ END AS BIGINT) + {HALF}) * {1 << 26}
  + CAST(CASE WHEN abs(q_ - fq_) > abs(r_ - fr_) AND abs(q_ - fq_) > abs(s_ + fq_ + fr_) THEN r_
              WHEN abs(r_ - fr_) > abs(s_ + fq_ + fr_) THEN -q_ - s_ ELSE r_ END AS BIGINT) + {HALF} AS {name}
@@ -95,7 +96,7 @@ def candidates(res: int, margin_deg: float = 0.0) -> str:
     """Every cell of the lattice rectangle around each area, with its centre."""
     s = edge_length(res)
     m = num(margin_deg)
-    return f"""SELECT Kode, CAST({res << 52} AS BIGINT) + (q + {HALF}) * {1 << 26} + r + {HALF} AS cell,
+    return f"""SELECT Kode, CAST({MARK | res << 52} AS BIGINT) + (q + {HALF}) * {1 << 26} + r + {HALF} AS cell,
  degrees(atan(sinh({num(1.5 * s)} * r / {R}))) AS clat, degrees({num(S3 * s)} * (q + r / 2e0) / {R}) AS clon
 FROM (SELECT *, unnest(range(CAST(floor(x0 - r / 2e0) AS BIGINT) - 1, CAST(ceil(x1 - r / 2e0) AS BIGINT) + 2)) AS q
 FROM (SELECT *, unnest(range(r0, r1 + 1)) AS r FROM (SELECT Kode,
@@ -149,7 +150,8 @@ SELECT mmsi FROM pings WHERE {SHORT} AND H3_int_index_8 IN (SELECT f.cell FROM f
 add("distinct_ships", "SELECT DISTINCT user_id AS mmsi FROM events")
 add("areas_by_method", ctes("aoi", rings=RINGS) + "SELECT Kode, CAST(count(*) AS INTEGER) AS rings FROM rings WHERE method = 'Cluster' GROUP BY Kode")
 add("parquet_sink", ctes("pings") + "SELECT event_id, mmsi, sog, CAST(dt_pos_utc AS DATE) AS day FROM pings")
-add("accumulate_periods", ctes("pings") + "SELECT event_id, mmsi, dt_pos_utc FROM pings WHERE dt_pos_utc < '2024-02-01'")
+add("accumulate_periods", ctes("pings") + """SELECT event_id, mmsi, dt_pos_utc,
+CASE WHEN dt_pos_utc < '2024-01-16' THEN 'first' ELSE 'second' END AS period FROM pings WHERE dt_pos_utc < '2024-02-01' """)
 add("stored_cells", ctes("aoi", **fill_ctes(9)) + "SELECT DISTINCT cell FROM filled")
 
 # ---- projections, filters, labels ----------------------------------------------
@@ -161,7 +163,7 @@ MATCH = """SELECT p.event_id, p.mmsi, CAST(CASE WHEN m.n IS NOT NULL AND m.imo_n
  WHEN v.n IS NOT NULL THEN 4 ELSE 9 END AS INTEGER) AS ihs_matchtype, coalesce(m.ShipName, i.ShipName, v.ShipName) AS ShipName,
  p.* EXCLUDE (event_id, mmsi)
 FROM pings p
-LEFT JOIN (SELECT MaritimeMobileServiceIdentityMMSINumber AS n, LRIMOShipNo AS imo_no, ShipName FROM register) m ON p.mmsi = m.n
+LEFT JOIN (SELECT MaritimeMobileServiceIdentityMMSINumber AS n, LRIMOShipNo AS imo_no, ShipName FROM register) m ON p.mmsi = m.n AND m.n <> 0
 LEFT JOIN (SELECT LRIMOShipNo AS n, ShipName FROM register) i ON p.imo = i.n
 LEFT JOIN (SELECT ShipName AS n, ShipName FROM register) v ON p.vessel_name = v.n"""
 add("register_match", ctes("pings", "register", matched=MATCH) + "SELECT event_id, mmsi, ihs_matchtype, ShipName FROM matched")
@@ -496,7 +498,8 @@ _MANUAL["edges"] = EDGES + " AND Kode IN (SELECT Kode FROM aoi WHERE method = 'M
 add("stationary", recursive(("aoi",), {**_MANUAL, "all_pings": grid_pings(),
  **stop_ctes(source="SELECT * FROM all_pings WHERE H3_int_index_8 IN (SELECT boundary_h3 FROM buffered)")}) + stop_table())
 PORT_STOPS = {**STOPS, **fill_ctes(8), "port_stops": "SELECT stopped.*, aoi.Kode, aoi.Prov_ID FROM stopped JOIN filled ON h3_index_int = cell JOIN aoi USING (Kode)"}
-add("stops_in_ports", recursive(("aoi",), PORT_STOPS) + "SELECT mmsi, unix_trigger, Kode, Prov_ID FROM port_stops")
+add("stops_in_ports", recursive(("aoi",), PORT_STOPS) + """SELECT mmsi, unix_trigger, Kode, Prov_ID FROM port_stops
+WHERE Kode IN (SELECT Kode FROM aoi WHERE method = 'Manual')""")
 for _name, _rule, _as in (("stop_arrivals", "state_initial = 2 AND state_final IN (2, 3)", "kedatangan"),
                           ("stop_departures", "state_final = 2 AND state_initial IN (1, 2)", "keberangkatan")):
     add(_name, recursive(("aoi",), PORT_STOPS) + f"""SELECT *, {port_name('Kode')} AS nama_pelabuhan FROM (

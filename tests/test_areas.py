@@ -119,3 +119,16 @@ def test_small_ports_leave_only_below_resolution_10(spark):
     assert {r.Kode for r in areas.port_cells(df, ["Kode"], 8).select("Kode").distinct().collect()} == {"BLW"}
     assert {r.Kode for r in areas.port_cells(df, ["Kode"], 8, "Cluster").select("Kode").distinct().collect()} == {"rci", "BLW"}
     assert {r.Kode for r in areas.port_cells(df, ["Kode"], 10).select("Kode").distinct().collect()} == {"rci", "BLW"}
+
+
+def test_areas_that_share_their_name_add_up(spark):
+    square = "POLYGON (({0} 1, {1} 1, {1} 1.02, {0} 1.02, {0} 1))"
+    one, other = square.format("100", "100.02"), square.format("100.01", "100.03")
+    counts = []
+    for texts in ([one], [one, one], [one, other], [one, other, one]):
+        table = spark.createDataFrame([("BLW", t) for t in texts], "Kode string, wkt string").repartition(2)
+        counts.append(areas.area_cells(areas.load_wkt(table, "wkt"), ["Kode"], 10).count())
+    assert counts[0] == counts[1] and counts[0] < counts[2] == counts[3] < 2 * counts[0]
+    points = spark.createDataFrame([(1, 100.015, 1.01), (2, 100.005, 1.01), (3, 100.2, 1.01)], "id int, longitude double, latitude double")
+    found = areas.points_in_areas(points, areas.load_wkt(table, "wkt"), 10)
+    assert sorted(r.id for r in found.collect()) == [1, 1, 1, 2, 2]

@@ -103,3 +103,18 @@ def test_labels(spark):
     ).first()
     assert tuple(row) == ("Indonesia", "Sea", "A-B", "Foreign", False, "Leksula", None, 2, 10)
     assert len(ports.PORT_NAMES) == 135
+
+
+def test_positions_out_of_range_have_no_cell(spark):
+    rows = [(91.0, 181.0), (86.0, 0.0), (90.0, 0.0), (float("nan"), 0.0), (0.0, float("nan")), (0.0, 180.5), (None, 0.0), (-84.0, 179.9)]
+    df = spark.createDataFrame(rows, "lat double, lon double")
+    for resolution in (0, 8, 15):
+        got = [r.c for r in df.select(grid.cell_at("lat", "lon", resolution).alias("c")).collect()]
+        assert got[:7] == [None] * 7 and (got[7] is None) == (resolution == 15)
+
+
+def test_foreign_cells_raise(spark):
+    df = spark.range(1).select(F.lit(621922022744817663).alias("h"), grid.cell_at(F.lit(1.0), F.lit(2.0), 10).alias("c"))
+    for read in (grid.centre("h"), grid.ring("h", 1), grid.grid_distance("h", "c"), grid.grid_distance("c", "h")):
+        with pytest.raises(Exception, match="another grid"):
+            df.select(read.alias("x")).collect()

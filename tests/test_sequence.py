@@ -52,15 +52,26 @@ def test_first_of_runs(spark, seconds):
     assert sorted(r.event_id for r in got.collect()) == sorted(want)
 
 
-def test_pings_are_shuffled_once(spark, tmp_path):
+def test_chained_calls_read_the_pings_once(spark, tmp_path):
     path = str(tmp_path / "p")
     make(spark, 1).write.parquet(path)
-    df = sequence.neighbours(
-        spark.read.parquet(path), ["dt_pos_utc", "event_id"], back={"p": ("v", 1)}, slice_seconds=3600
-    )
-    df.collect()
-    final = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
-    assert final.count("FileScan") == 1 and "ReusedExchange" in final
+    df = spark.read.parquet(path)
+    for name in ("p", "q", "s"):
+        df = sequence.neighbours(df, ["dt_pos_utc", "event_id"], back={name: ("v", 1)}, slice_seconds=3600)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation") == 1 and "Union" not in plan
+
+
+def test_ties_do_not_depend_on_partitioning_or_slices(spark):
+    rnd = random.Random(5)
+    rows = [(s, START + dt.timedelta(hours=rnd.randrange(30)), rnd.choice("abc"), rnd.random()) for s in range(4) for _ in range(120)]
+    results = []
+    for seconds, parts in ((3600, 1), (20000, 5), (10**7, 3)):
+        rnd.shuffle(rows)
+        df = spark.createDataFrame(rows, "mmsi long, dt_pos_utc timestamp_ntz, v string, x double").repartition(parts)
+        got = sequence.neighbours(df, ["dt_pos_utc"], back={"b": ("v", 2)}, ahead={"a": ("x", 1)}, slice_seconds=seconds)
+        results.append(sorted(map(str, got.collect())))
+    assert results[0] == results[1] == results[2]
 
 
 def test_rows_hashed_by_ship_are_still_split(spark):
@@ -68,7 +79,7 @@ def test_rows_hashed_by_ship_are_still_split(spark):
     joined = rows.hint("merge").join(rows.select("mmsi").distinct().hint("merge"), "mmsi")
     df = sequence.neighbours(joined, ["dt_pos_utc", "event_id"], back={"p": ("v", 1)}, slice_seconds=3600)
     plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "_slice" in plan and plan.count("REPARTITION_BY_COL") == 2
+    assert "_slice" in plan and plan.count("REPARTITION_BY_COL") == 1
 
 
 def test_top_per_key_is_cut_before_the_shuffle(spark):

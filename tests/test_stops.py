@@ -19,7 +19,7 @@ SCHEMA = (
 
 
 def cell(q, r):
-    return (10 << 52) + ((q + grid.OFFSET) << 26) + r + grid.OFFSET
+    return (1 << 62) + (10 << 52) + ((q + grid.OFFSET) << 26) + r + grid.OFFSET
 
 
 def walk(rnd, ship, n, kind, first_id, step=600, speed_missing=True):
@@ -163,3 +163,23 @@ def test_profiles_count_from_the_minimum(spark, ships):
     for r in rows:
         assert (r.is_valid == "valid") == (r.obs_count >= 4)
         assert (r.wkt_sd_box == "POLYGON EMPTY") == (r.obs_count < 4)
+
+
+def test_ties_do_not_depend_on_partitioning_or_slices(spark):
+    rnd = random.Random(11)
+    rows = [r for ship in range(12) for r in walk(rnd, ship, 90, "Tanker", ship * 1000)]
+    at = [f.split()[0] for f in SCHEMA.split(", ")].index("dt_pos_utc")
+    rows = [(*r[:at], r[at].replace(minute=0, second=0, microsecond=0), *r[at + 1 :]) for r in rows]
+    results = []
+    for seconds, parts in ((3600, 1), (6 * 3600, 5), (10**7, 3)):
+        rnd.shuffle(rows)
+        got = stops.stop_events(spark.createDataFrame(rows, SCHEMA).repartition(parts), slice_seconds=seconds)
+        results.append(sorted(map(str, got.drop("avg_lat", "avg_lng", "sd_lat", "sd_lng", "geom_wkt", "wkt_avg_pt").collect())))
+    assert results[0] and results[0] == results[1] == results[2]
+
+
+def test_foreign_cells_raise(spark):
+    rnd = random.Random(1)
+    df = spark.createDataFrame(walk(rnd, 1, 20, "Tanker", 0), SCHEMA).withColumn("H3_int_index_10", F.lit(621922022744817663))
+    with pytest.raises(Exception, match="another grid"):
+        stops.stop_events(df).collect()

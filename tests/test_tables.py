@@ -6,6 +6,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
+from fairlead.functions import grid
 from fairlead.operators import clean, columns, joins, reports, stats, voyages
 from fairlead.sources import readers, writers
 
@@ -89,8 +90,9 @@ def test_means_and_deviations_skip_nan(spark):
 
 
 def test_cell_in_two_ports_yields_two_rows(spark):
-    pings = spark.createDataFrame([(1, START, "t", 5)], "mmsi long, dt_pos_utc timestamp_ntz, vessel_type string, H3_int_index_8 long")
-    ports = spark.createDataFrame([("P", "X", 5, "P - X"), ("Q", "Y", 5, "Q - Y")], "Port string, Country string, boundary_h3 long, Port_Country string")
+    cell = (1 << 62) + (8 << 52) + ((5 + grid.OFFSET) << 26) + grid.OFFSET
+    pings = spark.createDataFrame([(1, START, "t", cell)], "mmsi long, dt_pos_utc timestamp_ntz, vessel_type string, H3_int_index_8 long")
+    ports = spark.createDataFrame([("P", "X", cell, "P - X"), ("Q", "Y", cell, "Q - Y")], "Port string, Country string, boundary_h3 long, Port_Country string")
     legs = voyages.legs(voyages.port_calls(pings, voyages.with_centres(ports, resolution=8)))
     assert [(r.Country_Origin, r.Country_Destination) for r in legs.collect()] == [("X", "Y")]
 
@@ -123,13 +125,52 @@ def test_period_reaches_the_scan(spark, tmp_path):
     assert "GreaterThanOrEqual(dt_pos_utc" in df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_accumulation(spark, tmp_path):
-    now = spark.createDataFrame([(1, "a")], "x int, y string")
-    first = writers.accumulate(spark, str(tmp_path / "nothing"), now, str(tmp_path / "one"))
-    second = writers.accumulate(spark, first, now.select("y", "x"), str(tmp_path / "two"))
-    assert [tuple(r) for r in spark.read.parquet(second).collect()] == [(1, "a"), (1, "a")]
+def test_accumulation_writes_one_period(spark, tmp_path):
+    path = str(tmp_path / "all")
+    old, now = (spark.createDataFrame([r], "x int, y string") for r in ((1, "a"), (2, "b")))
+    writers.accumulate(spark, old, path, "2024-01")
+    writers.accumulate(spark, now, path, "2024-02")
+    writers.accumulate(spark, now.select("y", "x"), path, "2024-02")
+    rows = writers.accumulated(spark, path)
+    assert sorted(tuple(r) for r in rows.select("x", "y", "period").collect()) == [(1, "a", "2024-01"), (2, "b", "2024-02")]
+    with pytest.raises(ValueError):
+        writers.accumulate(spark, now.select("x"), path, "2024-03")
     with pytest.raises(ValueError):
-        writers.accumulate(spark, second, now, second + "/")
+        writers.accumulate(spark, now, path, "a/b")
+
+
+def test_accumulation_raises_on_damaged_history(spark, tmp_path):
+    path = tmp_path / "all"
+    now = spark.createDataFrame([(1, "a")], "x int, y string")
+    writers.accumulate(spark, now, str(path), "2024-01")
+    for f in path.rglob("*.parquet"):
+        f.write_bytes(b"damaged")
+    with pytest.raises(Exception):  # noqa: B017
+        writers.accumulate(spark, now, str(path), "2024-02")
+
+
+REGISTER = "number bigint, imo_no bigint, name string, status string"
+
+
+def test_register_rows_that_share_a_key(spark):
+    register = spark.createDataFrame(
+        [
+            (7, 70, "A", "second by imo"), (7, 71, "A", "first by row"), (None, 72, "B", "no number"), (9, 72, "B", "numbered"),
+            (0, 0, "", "nobody"), (None, 73, "C", "x"), (None, 73, "C", "y"),
+        ],
+        REGISTER,
+    )
+    ships = [(7, 70, "Z"), (7, 5, "Z"), (1, 72, "Z"), (2, 0, ""), (0, 6, None), (3, None, "B"), (4, 73, "Z"), (None, None, None)]
+    pings = spark.createDataFrame([(i, *s) for i, s in enumerate(ships * 2)], "event_id int, mmsi bigint, imo bigint, vessel_name string")
+
+    def match(p, r):
+        out = joins.match_register(p, r, "number", "imo_no", "name")
+        return {r.event_id: (r.ihs_matchtype, r.status) for r in out.collect()}
+
+    got = match(pings, register)
+    assert len(got) == 16 and [got[i][0] for i in range(8)] == [1, 2, 3, 9, 9, 4, 3, 9]
+    assert got[0][1] == "second by imo" and got[2][1] == "numbered" and got[5][1] == "numbered"
+    assert got == match(pings.repartition(5), register.repartition(3))
 
 
 def test_csv_rows_with_nulls_are_dropped(spark, tmp_path):
