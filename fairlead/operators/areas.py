@@ -63,8 +63,9 @@ def spread(df: DataFrame, *by: str) -> DataFrame:
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *by)
 
 
-def fill(edges: DataFrame, keys: Sequence[str], resolution: int, cell: str = "cell") -> DataFrame:
-    """Cells whose centre lies inside the polygon (all parts, holes left out).
+def fill_runs(edges: DataFrame, keys: Sequence[str], resolution: int) -> DataFrame:
+    """(keys, _r, _first, _last): runs of cells whose centre lies inside the polygon (all parts,
+    holes left out), by lattice row.
 
     Scan-line fill: each edge meets the lattice rows it spans, crossings of one row
     are paired off in order of longitude, and each pair spans a run of cells.
@@ -86,10 +87,30 @@ def fill(edges: DataFrame, keys: Sequence[str], resolution: int, cell: str = "ce
     first = F.ceil(grid.column_of_longitude(F.col("_x"), F.col("_r"), resolution))
     last = F.ceil(grid.column_of_longitude(F.col("_to"), F.col("_r"), resolution)) - F.lit(1)
     runs = settle(spans, _first=first.cast("bigint"), _last=last.cast("bigint")).filter("_first <= _last")
+    return runs.select(*keys, "_r", "_first", "_last")
+
+
+def merged_runs(runs: DataFrame) -> DataFrame:
+    """Runs of a lattice row that overlap or touch, as one."""
+    along = Window.partitionBy("_r").orderBy("_first", "_last")
+    reached = F.max("_last").over(along.rowsBetween(Window.unboundedPreceding, -1))
+    marked = runs.withColumn("_new", F.coalesce(F.col("_first") > reached + 1, F.lit(True)).cast("int"))
+    numbered = marked.withColumn("_part", F.sum("_new").over(along.rowsBetween(Window.unboundedPreceding, 0)))
+    return numbered.groupBy("_r", "_part").agg(F.min("_first").alias("_first"), F.max("_last").alias("_last")).drop("_part")
+
+
+def run_cells(runs: DataFrame, keys: Sequence[str], resolution: int, cell: str) -> DataFrame:
+    """One row per cell of the runs; cells that do not fit the lattice are left out."""
     runs = spread(runs.select(*keys, "_r", "_first", "_last"), "_r", "_first")
-    return runs.select(*keys, "_r", F.explode(F.sequence("_first", "_last")).alias("_q")).select(
+    cells = runs.select(*keys, "_r", F.explode(F.sequence("_first", "_last")).alias("_q")).select(
         *keys, grid.pack(F.col("_q"), F.col("_r"), resolution).alias(cell)
     )
+    return cells.filter(F.col(cell).isNotNull()) if resolution == 15 else cells
+
+
+def fill(edges: DataFrame, keys: Sequence[str], resolution: int, cell: str = "cell") -> DataFrame:
+    """Cells whose centre lies inside the polygon."""
+    return run_cells(fill_runs(edges, keys, resolution), keys, resolution, cell)
 
 
 def area_cells(areas: DataFrame, keys: Sequence[str], resolution: int, cell: str = "h3_ids_int") -> DataFrame:
@@ -102,7 +123,8 @@ def area_cells(areas: DataFrame, keys: Sequence[str], resolution: int, cell: str
 
 def zone_cells(areas: DataFrame, resolution: int, cell: str = "cell") -> DataFrame:
     """Distinct cells of the union of all given areas."""
-    return fill(polygon_edges(identified(areas), [AREA]), [AREA], resolution, cell).select(cell).distinct()
+    runs = fill_runs(polygon_edges(identified(areas), [AREA]), [AREA], resolution)
+    return run_cells(merged_runs(runs), [], resolution, cell)
 
 
 def port_cells(
@@ -164,15 +186,63 @@ def with_distance(pairs: DataFrame, cell: str, resolution: int) -> DataFrame:
     return settle(df, _metres=metres)
 
 
+def near_runs(edges: DataFrame, resolution: int, reach_m: float) -> DataFrame:
+    """(_r, _first, _last): per edge and lattice row, the cells whose centre is within ``reach_m`` of the edge.
+
+    On the tangent planes of a row's centres, which differ by a shift only, the places
+    near an edge are convex, so they meet the row in one interval: the hull of what the
+    discs around both ends and the strip along the edge cut out of it.
+    """
+    pad = F.lit(math.degrees(reach_m / geo.SPHERE_M))
+    low, high = F.least("y1", "y2") - pad, F.greatest("y1", "y2") + pad
+    top = F.ceil(grid.row_of_latitude(high, resolution))
+    rows = edges.select(
+        "x1", "y1", "x2", "y2", F.explode(F.sequence(F.floor(grid.row_of_latitude(low, resolution)), top)).alias("_r")
+    )
+    rows = settle(rows, _lat=grid.centre_latitude_of_row(F.col("_r"), resolution))
+    # metres east of the edge's start, on the row
+    rows = settle(rows, **geo.local_plane(F.col("_lat"), F.col("x1"), *map(F.col, ("x1", "y1", "x2", "y2"))))
+    ay, dx, dy, reach = F.col("_ay"), F.col("_dx"), F.col("_dy"), F.lit(reach_m)
+    half_a, half_b = (F.lit(reach_m**2) - h * h for h in (ay, ay + dy))
+    rows = settle(
+        rows,
+        _a=F.when(half_a >= 0, F.sqrt(half_a)),
+        _b=F.when(half_b >= 0, F.sqrt(half_b)),
+        _length2=dx * dx + dy * dy,
+    )
+    # The strip: within reach of the line, and beside the edge rather than beyond its ends.
+    wide = reach * F.sqrt("_length2")
+    lines = F.when(dy != 0, F.array_sort(F.array((-dx * ay - wide) / dy, (-dx * ay + wide) / dy))).when(
+        F.abs(ay) <= reach, F.array(F.lit(float("-inf")), F.lit(float("inf")))
+    )
+    beside = F.when(dx != 0, F.array_sort(F.array(ay * dy / dx, (F.col("_length2") + ay * dy) / dx))).when(
+        (-ay * dy).between(F.lit(0.0), F.col("_length2")), F.array(F.lit(float("-inf")), F.lit(float("inf")))
+    )
+    rows = settle(rows, _lines=lines, _beside=beside)
+    rows = settle(rows, _from=F.greatest(F.get("_lines", 0), F.get("_beside", 0)), _to=F.least(F.get("_lines", 1), F.get("_beside", 1)))
+    strip = F.col("_lines").isNotNull() & F.col("_beside").isNotNull() & (F.col("_length2") > 0) & (F.col("_from") <= F.col("_to"))
+    rows = settle(
+        rows,
+        _west=F.least(-F.col("_a"), dx - F.col("_b"), F.when(strip, F.col("_from"))),
+        _east=F.greatest(F.col("_a"), dx + F.col("_b"), F.when(strip, F.col("_to"))),
+    ).filter("_west is not null")
+
+    def column(metres: str) -> Column:
+        shift = F.degrees(F.col(metres) / (F.lit(geo.SPHERE_M) * F.cos(F.radians("_lat"))))
+        return grid.column_of_longitude(F.col("x1") + shift, F.col("_r"), resolution)
+
+    rows = settle(rows, _first=F.ceil(column("_west")).cast("bigint"), _last=F.floor(column("_east")).cast("bigint"))
+    return rows.filter("_first <= _last").select("_r", "_first", "_last")
+
+
 def buffer_cells(
     areas: DataFrame, radius_m: float = 10000.0, resolution: int = 8, cell: str = "boundary_h3"
 ) -> DataFrame:
     """Distinct cells whose centre is inside an area or within ``radius_m`` of it."""
     edges = polygon_edges(identified(areas), [AREA])
-    inside = fill(edges, [AREA], resolution, cell).select(cell)
-    near = cells_near_edges(edges, [], resolution, float(radius_m), cell)
-    near = with_distance(near, cell, resolution).filter(F.col("_metres") <= F.lit(float(radius_m)))
-    return inside.unionByName(near.select(cell)).distinct()
+    inside = fill_runs(edges, [AREA], resolution).select("_r", "_first", "_last")
+    near = near_runs(edges, resolution, float(radius_m))
+    return run_cells(merged_runs(inside.unionByName(near)), [], resolution, cell)
 
 
 def cover(edges: DataFrame, keys: Sequence[str], resolution: int) -> DataFrame:

@@ -58,6 +58,12 @@ def grid_pings(spark, sf, resolution: int = 8) -> DataFrame:
     )
 
 
+def tied_pings(spark, sf) -> DataFrame:
+    """Pings stamped by the hour only, so that many of a ship's pings share their time."""
+    p = pings(spark, sf)
+    return p.withColumn("dt_pos_utc", F.date_trunc("hour", "dt_pos_utc").cast(p.schema["dt_pos_utc"].dataType))
+
+
 def aoi(spark, sf) -> DataFrame:
     return areas.load_wkt(view(spark, sf, "aoi"), "wkt")
 
@@ -358,13 +364,13 @@ def pings_in_ports(spark, sf):
 
 @query
 def buffer_tag(spark, sf):
-    cells = areas.buffer_cells(aoi(spark, sf).filter("TERRITORY1 = 'ASIA'"), 3000.0, 8)
+    cells = areas.buffer_cells(aoi(spark, sf), 10000.0, 8)
     return joins.tag_buffer(grid_pings(spark, sf), cells).select("event_id", "boundary_h3")
 
 
 @query
 def keep_in_buffer(spark, sf):
-    cells = areas.buffer_cells(aoi(spark, sf).filter("TERRITORY1 = 'ASIA'"), 3000.0, 8)
+    cells = areas.buffer_cells(aoi(spark, sf), 10000.0, 8)
     return joins.keep_in_buffer(grid_pings(spark, sf), cells).select("event_id", "boundary_h3")
 
 
@@ -577,7 +583,7 @@ def port_visits_from_areas(spark, sf):
 def port_visits_in_buffer(spark, sf):
     keys = aoi(spark, sf).select("Kode", "Prov_ID", "Hirarki_1", "method", "geom")
     return jobs.boundary(
-        grid_pings(spark, sf), keys, "Cluster", 8, 1000.0, buffer_mode="filter", slice_seconds=SLICE
+        grid_pings(spark, sf), keys, "Cluster", 8, 10000.0, buffer_mode="filter", slice_seconds=SLICE
     ).select("mmsi", "dt_pos_utc", "Port", "position", "masuk_pelabuhan", "keluar_pelabuhan", "time")
 
 
@@ -697,7 +703,7 @@ def stop_event_profiles(spark, sf):
 @query
 def stationary(spark, sf):
     found = stops.stationary(
-        grid_pings(spark, sf), aoi(spark, sf).filter("method = 'Manual'"), 8, 500.0, TIE, slice_seconds=SLICE
+        grid_pings(spark, sf, 10), aoi(spark, sf).filter("method = 'Manual'"), tiebreak=TIE, slice_seconds=SLICE
     )
     return rounded(found)
 
@@ -780,7 +786,7 @@ def zone_union_cells(spark, sf):
 
 @query
 def buffer_cells(spark, sf):
-    return areas.buffer_cells(aoi(spark, sf), 10000.0, 7)
+    return areas.buffer_cells(aoi(spark, sf), 10000.0, 10)
 
 
 @query
@@ -849,3 +855,33 @@ def wkt_rings(spark, sf):
     return g.select("Kode", "ring", F.posexplode("points").alias("i", "p")).select(
         "Kode", "ring", "i", F.col("p.lon").alias("lon"), F.col("p.lat").alias("lat")
     )
+
+
+# ---- pings that share their time, with default orders ----------------------------
+
+
+@query
+def stop_events_tied(spark, sf):
+    placed = tied_pings(spark, sf).withColumn("H3_int_index_8", grid.cell_at("latitude", "longitude", 8))
+    return rounded(stops.stop_events(placed, 8, slice_seconds=SLICE))
+
+
+@query
+def port_call_runs_tied(spark, sf):
+    calls = voyages.port_calls(tied_pings(spark, sf), view(spark, sf, "port_cells"), slice_seconds=SLICE)
+    return calls.select("mmsi", "dt_pos_utc", "Port_Country")
+
+
+@query
+def visit_edges_tied(spark, sf):
+    rows = visits.visit_pings(joins.tag_ports(tied_pings(spark, sf), view(spark, sf, "aoi_cells")))
+    return visits.edge_rows(rows, slice_seconds=SLICE).select("mmsi", "dt_pos_utc", "Port", "position")
+
+
+@query
+def zone_edges_tied(spark, sf):
+    tagged = zones.tag_zone(tied_pings(spark, sf), zone(spark, sf, "strait"), "is_hormuz")
+    tagged = zones.tag_zone(tagged, zone(spark, sf, "home"), "is_indo")
+    return zones.zone_edges(tagged, "is_hormuz", "is_indo", slice_seconds=SLICE).select(
+        "mmsi", "dt_pos_utc", F.col("exit").alias("zone_exit"), F.col("entry").alias("zone_entry")
+    )

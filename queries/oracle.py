@@ -202,10 +202,9 @@ CASE WHEN vessel_type = 'Passenger' THEN 2 ELSE 20 END AS ship_min FROM pings"""
 
 # ---- joins ---------------------------------------------------------------------
 add("pings_in_ports", ctes("pings", "port_cells") + "SELECT event_id, mmsi, Port_Country, boundary_h3 FROM pings JOIN port_cells ON H3_int_index_8 = boundary_h3")
-ASIA = {k: v for k, v in buffer_ctes(8, 3000.0, 0.05).items()}
-ASIA["edges"] = EDGES + " AND Kode IN (SELECT Kode FROM aoi WHERE TERRITORY1 = 'ASIA')"
-add("buffer_tag", ctes("aoi", pings=grid_pings(), **ASIA) + "SELECT event_id, boundary_h3 FROM pings LEFT JOIN buffered ON H3_int_index_8 = boundary_h3")
-add("keep_in_buffer", ctes("aoi", pings=grid_pings(), **ASIA) + "SELECT event_id, boundary_h3 FROM pings JOIN buffered ON H3_int_index_8 = boundary_h3")
+WIDE = buffer_ctes(8, 10000.0, 0.1)
+add("buffer_tag", ctes("aoi", pings=grid_pings(), **WIDE) + "SELECT event_id, boundary_h3 FROM pings LEFT JOIN buffered ON H3_int_index_8 = boundary_h3")
+add("keep_in_buffer", ctes("aoi", pings=grid_pings(), **WIDE) + "SELECT event_id, boundary_h3 FROM pings JOIN buffered ON H3_int_index_8 = boundary_h3")
 TAGGED = """SELECT p.*, EXISTS (SELECT 1 FROM zone_cells z WHERE z.zone = 'strait' AND z.cell = p.H3_int_index_8) AS is_hormuz,
 EXISTS (SELECT 1 FROM zone_cells z WHERE z.zone = 'home' AND z.cell = p.H3_int_index_8) AS is_indo FROM pings p"""
 ZONED = ctes("pings", "zone_cells", tagged=TAGGED)
@@ -340,7 +339,7 @@ def area_visits(method: str) -> dict[str, str]:
 
 
 add("port_visits_from_areas", ctes("aoi", pings=grid_pings(), **area_visits("Manual")) + "SELECT * FROM activity")
-_BUF = buffer_ctes(8, 1000.0, 0.05)
+_BUF = buffer_ctes(8, 10000.0, 0.1)
 _BUF["near"] = _BUF["near"].replace("cand c JOIN edges e ON c.Kode = e.Kode", "cand c JOIN edges e ON c.Kode = e.Kode WHERE c.Kode IN (SELECT Kode FROM aoi WHERE method = 'Cluster')")
 _BUF["buffered"] = "SELECT cell AS boundary_h3 FROM filled JOIN aoi USING (Kode) WHERE method = 'Cluster' UNION SELECT cell FROM near"
 _VIS = {k: v for k, v in area_visits("Cluster").items() if k not in _BUF}
@@ -493,10 +492,10 @@ round(disarm_lat, 9) AS disarm_lat, round(disarm_lng, 9) AS disarm_lng, mode_nav
 {point('trigger_lat', 'trigger_lng')} AS wkt_trigger_pt, {point('avg_lat', 'avg_lng')} AS wkt_avg_pt, {point('disarm_lat', 'disarm_lng')} AS wkt_disarm_pt,
 CASE WHEN k >= 3 THEN {LINE} ELSE 'LINESTRING EMPTY' END AS wkt_triline, CASE WHEN k >= 3 THEN {box('1e0')} ELSE 'POLYGON EMPTY' END AS wkt_sd_box,
 CASE WHEN k >= 3 THEN 'valid' ELSE 'invalid' END AS is_valid FROM events_""")
-_MANUAL = buffer_ctes(8, 500.0, 0.05)
+_MANUAL = buffer_ctes(10, 10000.0, 0.1)
 _MANUAL["edges"] = EDGES + " AND Kode IN (SELECT Kode FROM aoi WHERE method = 'Manual')"
-add("stationary", recursive(("aoi",), {**_MANUAL, "all_pings": grid_pings(),
- **stop_ctes(source="SELECT * FROM all_pings WHERE H3_int_index_8 IN (SELECT boundary_h3 FROM buffered)")}) + stop_table())
+add("stationary", recursive(("aoi",), {**_MANUAL, "all_pings": grid_pings(10), **stop_ctes(
+ source="SELECT * REPLACE (H3_int_index_10 AS H3_int_index_8) FROM all_pings WHERE H3_int_index_10 IN (SELECT boundary_h3 FROM buffered)")}) + stop_table())
 PORT_STOPS = {**STOPS, **fill_ctes(8), "port_stops": "SELECT stopped.*, aoi.Kode, aoi.Prov_ID FROM stopped JOIN filled ON h3_index_int = cell JOIN aoi USING (Kode)"}
 add("stops_in_ports", recursive(("aoi",), PORT_STOPS) + """SELECT mmsi, unix_trigger, Kode, Prov_ID FROM port_stops
 WHERE Kode IN (SELECT Kode FROM aoi WHERE method = 'Manual')""")
@@ -527,7 +526,7 @@ add("cell_centres", GRID + f"""SELECT DISTINCT H3_int_index_8, round({centre_lat
 round({centre_lon('H3_int_index_8', 8)}, 6) AS lon FROM pings""")
 add("area_cells", ctes("aoi", **fill_ctes(10)) + "SELECT Kode, cell AS h3_ids_int FROM filled")
 add("zone_union_cells", ctes("aoi", **fill_ctes(9)) + "SELECT DISTINCT f.cell FROM filled f JOIN aoi USING (Kode) WHERE TERRITORY1 = 'ASIA'")
-add("buffer_cells", ctes("aoi", **buffer_ctes(7, 10000.0, 0.15)) + "SELECT boundary_h3 FROM buffered")
+add("buffer_cells", ctes("aoi", **buffer_ctes(10, 10000.0, 0.1)) + "SELECT boundary_h3 FROM buffered")
 add("cell_rings", GRID + f"""SELECT H3_int_index_8, H3_int_index_8 + dq * {1 << 26} + dr AS neighbour FROM (SELECT DISTINCT H3_int_index_8 FROM pings) c
 CROSS JOIN range(-2, 3) a(dq) CROSS JOIN range(-2, 3) b(dr) WHERE greatest(abs(dq), abs(dr), abs(dq + dr)) <= 2""")
 add("ring_membership", GRID + f"""SELECT event_id, coalesce({steps('H3_int_index_8', 'before_')} <= 1, false) AS near
@@ -544,3 +543,13 @@ printf('LINESTRING (%.9f %.9f, %.9f %.9f,%.9f %.9f)', longitude, latitude, sog,
 printf('POLYGON((%.9f %.9f, %.9f %.9f, %.9f %.9f, %.9f %.9f, %.9f %.9f))', longitude - 2e0 * Depth, latitude - 2e0 * sog, longitude - 2e0 * Depth, latitude + 2e0 * sog,
 longitude + 2e0 * Depth, latitude + 2e0 * sog, longitude + 2e0 * Depth, latitude - 2e0 * sog, longitude - 2e0 * Depth, latitude - 2e0 * sog) AS box FROM pings""")
 add("wkt_rings", ctes("aoi", rings=RINGS, vertices=VERTICES) + "SELECT Kode, CAST(ring AS INTEGER) AS ring, CAST(i AS INTEGER) AS i, lon, lat FROM vertices")
+
+# Ties in time are broken by all other columns, in the order of their names.
+for _name, _plain, _full in (
+    ("stop_events", "dt_pos_utc, event_id", "dt_pos_utc, H3_int_index_8, cog, destination, draught NULLS FIRST, event_id"),
+    ("port_call_runs", "dt_pos_utc, event_id, Port_Country", "dt_pos_utc, Port_Country"),
+    ("visit_edges", "dt_pos_utc, Port NULLS FIRST", "dt_pos_utc, Port NULLS FIRST"),
+    ("zone_edges", "dt_pos_utc, event_id", "dt_pos_utc, is_hormuz, is_indo"),
+):
+    add(f"{_name}_tied", ORACLE[_name].replace("ts AS dt_pos_utc", "date_trunc('hour', ts) AS dt_pos_utc").replace(
+        f"ORDER BY {_plain}", f"ORDER BY {_full}"))
