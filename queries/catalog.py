@@ -579,6 +579,12 @@ def port_visits_from_areas(spark, sf):
     return jobs.boundary(grid_pings(spark, sf), keys, "Manual", 8, slice_seconds=SLICE)
 
 
+@query
+def port_visits_from_areas_draft(spark, sf):
+    keys = aoi(spark, sf).select("Kode", "Prov_ID", "Hirarki_1", "method", "geom")
+    return jobs.boundary(grid_pings(spark, sf), keys, "Manual", 8, draft=True, slice_seconds=SLICE)
+
+
 @query
 def port_visits_in_buffer(spark, sf):
     keys = aoi(spark, sf).select("Kode", "Prov_ID", "Hirarki_1", "method", "geom")
@@ -612,6 +618,16 @@ def arrival_recap(spark, sf):
     return reports.recap_visits(activity(spark, sf), port_time_limit=30)
 
 
+@query
+def arrival_recap_of_port(spark, sf):
+    return reports.recap_visits(activity(spark, sf), port_code="BLW", port_time_limit=30)
+
+
+@query
+def vessels_departed_through_zone(spark, sf):
+    return reports.vessel_list(flagged_activity(spark, sf), True, "departed", slice_seconds=SLICE)
+
+
 @query
 def departure_recap(spark, sf):
     return reports.recap_visits(activity(spark, sf), "departed", month_obs=1, port_time_limit=30, slice_seconds=SLICE)

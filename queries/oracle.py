@@ -202,9 +202,9 @@ CASE WHEN vessel_type = 'Passenger' THEN 2 ELSE 20 END AS ship_min FROM pings"""
 
 # ---- joins ---------------------------------------------------------------------
 add("pings_in_ports", ctes("pings", "port_cells") + "SELECT event_id, mmsi, Port_Country, boundary_h3 FROM pings JOIN port_cells ON H3_int_index_8 = boundary_h3")
-WIDE = buffer_ctes(8, 10000.0, 0.1)
-add("buffer_tag", ctes("aoi", pings=grid_pings(), **WIDE) + "SELECT event_id, boundary_h3 FROM pings LEFT JOIN buffered ON H3_int_index_8 = boundary_h3")
-add("keep_in_buffer", ctes("aoi", pings=grid_pings(), **WIDE) + "SELECT event_id, boundary_h3 FROM pings JOIN buffered ON H3_int_index_8 = boundary_h3")
+BUFFER = buffer_ctes(8, 10000.0, 0.1)
+add("buffer_tag", ctes("aoi", pings=grid_pings(), **BUFFER) + "SELECT event_id, boundary_h3 FROM pings LEFT JOIN buffered ON H3_int_index_8 = boundary_h3")
+add("keep_in_buffer", ctes("aoi", pings=grid_pings(), **BUFFER) + "SELECT event_id, boundary_h3 FROM pings JOIN buffered ON H3_int_index_8 = boundary_h3")
 TAGGED = """SELECT p.*, EXISTS (SELECT 1 FROM zone_cells z WHERE z.zone = 'strait' AND z.cell = p.H3_int_index_8) AS is_hormuz,
 EXISTS (SELECT 1 FROM zone_cells z WHERE z.zone = 'home' AND z.cell = p.H3_int_index_8) AS is_indo FROM pings p"""
 ZONED = ctes("pings", "zone_cells", tagged=TAGGED)
@@ -544,6 +544,15 @@ printf('POLYGON((%.9f %.9f, %.9f %.9f, %.9f %.9f, %.9f %.9f, %.9f %.9f))', longi
 longitude + 2e0 * Depth, latitude + 2e0 * sog, longitude + 2e0 * Depth, latitude - 2e0 * sog, longitude - 2e0 * Depth, latitude - 2e0 * sog) AS box FROM pings""")
 add("wkt_rings", ctes("aoi", rings=RINGS, vertices=VERTICES) + "SELECT Kode, CAST(ring AS INTEGER) AS ring, CAST(i AS INTEGER) AS i, lon, lat FROM vertices")
 
+add("port_visits_from_areas_draft", ctes("aoi", pings=grid_pings(), **area_visits("Manual"), **CHANGED) + """SELECT * EXCLUDE (vessel_type_main, vessel_type_sub,
+Prov_ID, Hirarki_1, RegisteredOwnerCountryofDomicile) FROM changed""")
+add("arrival_recap_of_port", ACTIVITY + recap("activity", ARRIVED + " AND Port = 'BLW'", ""))
+add("vessels_departed_through_zone", FLAG_CTES + f"""SELECT *, {port_name('Port')} AS nama_pelabuhan FROM (
+SELECT mmsi, vessel_name, vessel_type, vessel_type_main, vessel_type_sub, fc_vessel, GroupBeneficialOwnerCountryofDomicile, GroupBeneficialOwnerCountryOfRegistration,
+{DOMICILE}, Port, {DAY}, draught, ns_vessel, sog, latitude, longitude, H3_int_index_8, is_through_hormuz, first_detected_hormuz, last_detected_hormuz
+FROM flagged WHERE keluar_pelabuhan = 'keluar' AND position = 'in' AND is_through_hormuz
+QUALIFY row_number() OVER (PARTITION BY mmsi, Port, CAST(dt_pos_utc AS DATE) ORDER BY dt_pos_utc) = 1) l""")
+
 # Ties in time are broken by all other columns, in the order of their names.
 for _name, _plain, _full in (
     ("stop_events", "dt_pos_utc, event_id", "dt_pos_utc, H3_int_index_8, cog, destination, draught NULLS FIRST, event_id"),
