@@ -19,9 +19,9 @@ SPAN = 16
 KEPT = 64
 CHUNK = 2 << 20
 #: Equal-width cells over the ids; the ranges that are dealt to tasks are made of whole cells.
-CELLS = 4096
+CELLS = 1 << 15
 #: Documents of one range.
-RANGE = 20_000
+RANGE = 2_000
 
 _TABLES: dict[str, list[np.ndarray]] = {}
 
@@ -63,7 +63,10 @@ class Prefixes:
         return out
 
     def span(self, first: int, last: int) -> int:
-        return int(self.spans(np.array([first]), np.array([last]))[0])
+        out = 0
+        for p, sums, down in zip(PRIMES, self.sums, _TABLES["down"]):
+            out = out << 31 | (sums.item(last) - sums.item(first)) * down.item(first) % p
+        return out
 
     def equal(self, other: Prefixes, first: int, at: int, length: int) -> bool:
         return self.span(first, first + length) == other.span(at, at + length)
@@ -110,9 +113,11 @@ def likeness(a: Fingerprint, b: Fingerprint) -> float:
     n, m = a.prefixes.n, b.prefixes.n
     if n == m and a.whole == b.whole:
         return 1.0
-    union = np.union1d(a.sample, b.sample)[:KEPT]
-    both = np.isin(union, a.sample, assume_unique=True) & np.isin(union, b.sample, assume_unique=True)
-    jaccard = float(both.sum()) / len(union)
+    # both samples are sorted and distinct: what they share stands twice in their union
+    merged = np.sort(np.concatenate([a.sample, b.sample]))
+    twice = merged[1:] == merged[:-1]
+    rank = np.arange(1, len(merged)) + 1 - np.cumsum(twice)
+    jaccard = int((twice & (rank <= KEPT)).sum()) / min(KEPT, len(merged) - int(twice.sum()))
     ends = min(a.prefixes.extension(b.prefixes) + a.prefixes.extension_back(b.prefixes), n, m)
     return min(max(2 * jaccard / (1 + jaccard), ends / max(n, m)), 1 - 1 / (max(n, m) + 2))
 
@@ -191,7 +196,8 @@ def fingerprinted(docs: DataFrame, rows_per_range: int = RANGE) -> DataFrame:
     by Spark, and a task holds two documents at a time.
     """
     ordered = with_following(docs, rows_per_range)
-    ordered = ordered.repartition("range").sortWithinPartitions(
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = ordered.repartition(tasks, "range").sortWithinPartitions(
         "range", "guest", F.col("doc_id").desc_nulls_last(), F.col("text_hash").desc()
     )
 
