@@ -19,7 +19,7 @@ SPAN = 16
 KEPT = 64
 CHUNK = 2 << 20
 #: Equal-width cells over the ids; the ranges that are dealt to tasks are made of whole cells.
-CELLS = 1 << 15
+CELLS = 1 << 14
 #: Documents of one range.
 RANGE = 2_000
 
@@ -143,7 +143,9 @@ def _ranges(docs: DataFrame, rows_per_range: int) -> tuple[DataFrame, DataFrame]
             number, filled = number + 1, 0
         table[c - 1] = number
         filled += counts.get(c, 0)
-    rows = rows.withColumn("range", F.element_at(F.lit(table), cell))
+    # one literal for the whole table, folded to an array once
+    numbers = F.split(F.lit(",".join(map(str, table))), ",")
+    rows = rows.withColumn("range", F.element_at(numbers, cell).cast("int"))
     key = F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", "text_hash")
     heads = rows.groupBy("range").agg(F.max(key).alias("head"))
     return rows, heads
