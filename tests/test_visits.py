@@ -143,3 +143,11 @@ def test_flag_is_false_for_unknown_ships_and_types_do_not_duplicate(spark):
 def test_port_variants(spark):
     t = tagged(spark, {1: "..AAA.."}).withColumnsRenamed({"Prov_ID": "kd_prov", "Hirarki_1": "kode_hirar", "Kode": "kode"})
     assert {"Prov_ID", "Hirarki_1", "Port"} <= set(visits.port_visits(t, slice_seconds=900).columns)
+
+
+@pytest.mark.parametrize("name", ["port_visits", "departure_recap", "port_visits_by_port_change"])
+def test_visit_queries_read_the_pings_twice_at_most(spark, name):
+    from queries.catalog import QUERIES
+
+    plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert 1 <= plan.count("Relation [event_id") <= 2
