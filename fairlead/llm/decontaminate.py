@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fairlead.llm.text import documents, mix, powers, sliced, split_words, word_hashes
+from fairlead.llm.text import documents, mix, powers, ship, sliced, split_words, word_hashes
 
 #: Positions that count are 1. Several masks find overlaps whose substituted words break the others.
 MASKS = ("11111", "1101011", "11001011", "101100101")
@@ -138,6 +138,7 @@ def contaminations(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     item or OVERLAP words long. One row per document row and item. Null texts hold nothing;
     a null doc_id is kept; other columns are not read; repeated items are reported once.
     """
+    ship(docs.sparkSession)
     out = None
     for block in blocks(benchmark):
         sent = docs.sparkSession.sparkContext.broadcast(block)
@@ -166,6 +167,7 @@ def contaminations(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents, all columns, without those that hold a benchmark item; nothing is shuffled."""
+    ship(docs.sparkSession)
     place = docs.columns.index("text")
     for block in blocks(benchmark):
         sent = docs.sparkSession.sparkContext.broadcast(block)

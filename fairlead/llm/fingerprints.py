@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fairlead.llm.text import documents, mix, sliced
+from fairlead.llm.text import documents, mix, ship, sliced
 
 #: Two moduli, so that a span hash has 62 bits, and the bases of the polynomials.
 PRIMES = (2147483647, 2147483629)
@@ -197,6 +197,7 @@ def fingerprinted(docs: DataFrame, rows_per_range: int = RANGE) -> DataFrame:
     row, other columns are not read. Documents are dealt by ranges of doc_id, each sorted
     by Spark, and a task holds two documents at a time.
     """
+    ship(docs.sparkSession)
     ordered = with_following(docs, rows_per_range)
     tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = ordered.repartition(tasks, "range").sortWithinPartitions(

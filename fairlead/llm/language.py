@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fairlead.llm.text import documents, sliced
+from fairlead.llm.text import documents, ship, sliced
 
 #: Bytes of the longest context.
 ORDER = 3
@@ -27,6 +27,7 @@ def contexts_counted(labelled: DataFrame) -> DataFrame:
 
     gram packs the bytes, the last one lowest. Counts are summed per task before the shuffle.
     """
+    ship(labelled.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, "text", CHUNK):
@@ -178,6 +179,7 @@ def identified(docs: DataFrame, model: Model | None) -> DataFrame:
 
     Repeated rows and null doc_id are kept; other columns are not read.
     """
+    ship(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -192,6 +194,7 @@ def identified(docs: DataFrame, model: Model | None) -> DataFrame:
 
 def accepted(docs: DataFrame, model: Model | None, least: float = 0.3) -> DataFrame:
     """The documents, all columns, whose text is in a learned language with that score; all with letters if none was learned."""
+    ship(docs.sparkSession)
     sent, place = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

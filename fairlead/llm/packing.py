@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from fairlead.llm.text import documents, sliced, stored
+from fairlead.llm.text import documents, ship, sliced, stored
 from fairlead.llm.tokens import tokenizer, vocabulary_path
 
 CAPACITY = 4096
@@ -33,6 +33,7 @@ PARTS = 64
 
 def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end: int = END) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32): ids of each text and `end`, cut only where longer than a sequence."""
+    ship(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = tokenizer(path)
@@ -229,6 +230,7 @@ def packed(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, e
     A null or empty text is the end id alone. Repeated rows are packed each; a null doc_id is
     kept; other columns are not read; an empty table gives no piece.
     """
+    ship(docs.sparkSession)
     cut = stored(pieces(docs, path or vocabulary_path(), capacity, end))
     histogram = {r.length: r.n for r in cut.groupBy("length").agg(F.count("*").alias("n")).collect()}
     table = slots(plan(histogram, capacity))

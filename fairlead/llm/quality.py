@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fairlead.llm.text import documents, sliced
+from fairlead.llm.text import documents, ship, sliced
 
 #: Labelled documents that a model is fitted on at most, about; chosen by a hash.
 FITTED = 20_000
@@ -129,6 +129,7 @@ def fitted(docs: DataFrame, labels: DataFrame) -> Trees | None:
 
     About FITTED labels, chosen by a hash, are sent to the documents, so no text is shuffled.
     """
+    ship(docs.sparkSession)
     labels = labels.filter(F.col("label").isin(0, 1)).select("doc_id", F.col("label").cast("double").alias("y"))
     total = labels.count()
     if not total:
@@ -152,6 +153,7 @@ def scored(docs: DataFrame, model: Trees | None) -> DataFrame:
     A null text counts as empty; without a model every score is 0.5; repeated rows and null
     doc_id are kept; other columns are not read.
     """
+    ship(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

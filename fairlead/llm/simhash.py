@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fairlead.llm.components import components
-from fairlead.llm.text import documents, mix, sliced, stored
+from fairlead.llm.text import documents, mix, ship, sliced, stored
 
 SEED = 42
 SHINGLE = 3
@@ -49,6 +49,7 @@ def fingerprint(text: str | None, size: int = SHINGLE) -> int:
 
 def with_fingerprints(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     """(doc_id, fp long): one row per document, computed batch by batch where the text is read."""
+    ship(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, "text", CHUNK):
@@ -148,6 +149,7 @@ def near_links(nodes: DataFrame, n: int) -> DataFrame:
     spill. A task then holds one Arrow batch and the rows of the running key that are
     still within DISTANCE of the last one.
     """
+    ship(nodes.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, d, fp = np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.uint64)

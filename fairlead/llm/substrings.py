@@ -12,7 +12,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fairlead.llm.text import documents, mix, prefix_hashes, sliced, span_hashes, split_words, word_hashes
+from fairlead.llm.text import documents, mix, prefix_hashes, ship, sliced, span_hashes, split_words, word_hashes
 
 WINDOW = 20
 #: Words of a minimiser.
@@ -63,6 +63,7 @@ def _minimisers(words: np.ndarray, window: int, frequent: np.ndarray) -> np.ndar
 
 def frequent_minimisers(docs: DataFrame, window: int) -> np.ndarray:
     """Minimisers of very many windows, from a bounded sample; they steer routing, never the result."""
+    ship(docs.sparkSession)
     total = docs.count()
     if not total:
         return np.zeros(0, np.uint64)
@@ -151,6 +152,7 @@ def super_kmers(docs: DataFrame, window: int, buckets: int, frequent: np.ndarray
     one row per gathering, not per document. Windows whose word groups are all frequent go by
     their own hash.
     """
+    ship(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gathered = _Gathered()
@@ -247,6 +249,7 @@ def repeated_runs(docs: DataFrame, window: int = WINDOW, bucket_bytes: int = BUC
 
     doc_id is 2**63 - 1 where the document has none. A task holds one bucket at a time.
     """
+    ship(docs.sparkSession)
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, -(-3 * size // bucket_bytes))
     packed = super_kmers(docs, window, buckets, frequent_minimisers(docs, window))
@@ -282,6 +285,7 @@ def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     last one; rows of one doc_id with other texts are ordered by their text's hash, and rows
     that repeat both are one document. Words are compared as they are. Other columns are not read.
     """
+    ship(docs.sparkSession)
     runs = repeated_runs(docs, window).groupBy(
         F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")
     ).agg(F.collect_list(F.struct("start", "n")).alias("runs"))

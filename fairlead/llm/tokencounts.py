@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from fairlead.llm.text import documents, shared_folder, sliced
+from fairlead.llm.text import documents, shared_folder, ship, sliced
 from fairlead.llm.tokens import END_OF_TEXT, VOCABULARY, tokenizer, vocabulary_path
 
 #: A stored document begins with its doc_id in five digits, written as ids beyond the vocabulary.
@@ -29,6 +29,7 @@ def write_flat(docs: DataFrame, folder: str, path: str | None = None, end: int =
     separator, so a lost task is simply written again. A null doc_id has no digits; a null
     text has no ids.
     """
+    ship(docs.sparkSession)
     path = path or vocabulary_path()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -77,6 +78,7 @@ def scan(spark: SparkSession, folder: str, end: int = END_OF_TEXT, block: int =
     scan over the block summaries of the file. Each file begins a document; ids after the
     last separator are one that is not closed. n_tokens counts neither digits nor separator.
     """
+    ship(spark)
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(folder).filter("length > 0")
     size = 2 * block
     cut = F.transform(
