@@ -81,7 +81,7 @@ PORT_CELL_SCHEMA = T.StructType(
     ]
 )
 
-# Stop events: name and Spark type, in output order.
+# Stop events, name and Spark type, in the published order.
 STOP_EVENT_COLUMNS = {
     "h3_index_int": "bigint", "mmsi": "bigint", "imo": "bigint", "length": "double", "width": "double",
     "vessel_type": "string", "vessel_type_main": "string", "obs_time": None, "flag_country": "string",

@@ -394,15 +394,13 @@ def keyed_join_inner(spark, sf):
 
 @query
 def keyed_join_left_all(spark, sf):
-    rich = table(spark, sf, "customer").filter("c_acctbal > 5000")
-    j = joins.keyed_join(table(spark, sf, "orders"), rich, "o_custkey", "c_custkey", "LEFT", "All")
+    j = joins.keyed_join(table(spark, sf, "customer"), table(spark, sf, "orders"), "c_custkey", "o_custkey", "LEFT", "All")
     return j.select("o_orderkey", "c_name")
 
 
 @query
 def keyed_join_left_nulls(spark, sf):
-    rich = table(spark, sf, "customer").filter("c_acctbal > 5000")
-    j = joins.keyed_join(table(spark, sf, "orders"), rich, "o_custkey", "c_custkey", "LEFT", "NullsOnly")
+    j = joins.keyed_join(table(spark, sf, "customer"), table(spark, sf, "orders"), "c_custkey", "o_custkey", "LEFT", "NullsOnly")
     return j.select("o_orderkey", "c_custkey", "c_name")
 
 
