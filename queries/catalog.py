@@ -394,14 +394,16 @@ def keyed_join_inner(spark, sf):
 
 @query
 def keyed_join_left_all(spark, sf):
-    j = joins.keyed_join(table(spark, sf, "customer"), table(spark, sf, "orders"), "c_custkey", "o_custkey", "LEFT", "All")
-    return j.select("o_orderkey", "c_name")
+    number = "MaritimeMobileServiceIdentityMMSINumber"
+    j = joins.keyed_join(pings(spark, sf).select("event_id", "mmsi"), view(spark, sf, "register"), "mmsi", number, "LEFT", "All")
+    return j.select("event_id", "ShipName")
 
 
 @query
 def keyed_join_left_nulls(spark, sf):
-    j = joins.keyed_join(table(spark, sf, "customer"), table(spark, sf, "orders"), "c_custkey", "o_custkey", "LEFT", "NullsOnly")
-    return j.select("o_orderkey", "c_custkey", "c_name")
+    number = "MaritimeMobileServiceIdentityMMSINumber"
+    j = joins.keyed_join(pings(spark, sf).select("event_id", "mmsi"), view(spark, sf, "register"), "mmsi", number, "LEFT", "NullsOnly")
+    return j.select("event_id", number, "ShipName")
 
 
 @query

@@ -221,8 +221,10 @@ FROM pings LEFT JOIN aoi_cells ON H3_int_index_8 = h3_ids_int"""
 SEEN = "SELECT * FROM visit_rows WHERE mmsi IN (SELECT mmsi FROM visit_rows WHERE position = 'in')"
 add("ships_seen_in_port", ctes("pings", "aoi_cells", visit_rows=VISIT_ROWS, seen=SEEN) + "SELECT mmsi, dt_pos_utc, position FROM seen")
 add("keyed_join_inner", "SELECT o_orderkey, c_name FROM orders JOIN customer ON o_custkey = c_custkey")
-add("keyed_join_left_all", "SELECT o_orderkey, c_name FROM customer LEFT JOIN orders ON c_custkey = o_custkey")
-add("keyed_join_left_nulls", """SELECT o_orderkey, c_custkey, c_name FROM customer LEFT JOIN orders ON c_custkey = o_custkey WHERE o_orderkey IS NULL""")
+_WITH_REGISTER = "pings LEFT JOIN register ON mmsi = MaritimeMobileServiceIdentityMMSINumber"
+add("keyed_join_left_all", ctes("pings", "register") + f"SELECT event_id, ShipName FROM {_WITH_REGISTER}")
+add("keyed_join_left_nulls", ctes("pings", "register") + f"""SELECT event_id, MaritimeMobileServiceIdentityMMSINumber, ShipName FROM {_WITH_REGISTER}
+WHERE MaritimeMobileServiceIdentityMMSINumber IS NULL""")
 add("pings_with_register", ctes("pings", "register") + """SELECT event_id, ShipStatus, ShipName, ShiptypeLevel5, pings.flag_country
 FROM register JOIN pings ON MaritimeMobileServiceIdentityMMSINumber = mmsi""")
 add("pings_without_register", ctes("pings", "register") + """SELECT event_id, mmsi FROM pings
