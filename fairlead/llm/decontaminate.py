@@ -26,6 +26,9 @@ BLOCK_WORDS = 1_000_000
 #: Candidate overlaps verified at once.
 VERIFIED = 20_000
 _BITS = 22
+#: What an unequal word takes off, so that a sum of 0 is a share of SIMILARITY.
+_COST = int(round(SIMILARITY / (1 - SIMILARITY)))
+_NEVER = np.int64(1 << 60)
 
 
 def normalised(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -92,27 +95,48 @@ class Benchmark:
         return {"row": row[best], "item": item[best], "overlap": overlap[best], "equal": equal[best]}
 
     def _verify(self, candidates: np.ndarray, words: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        """Along each diagonal, the run of most equal words of which SIMILARITY at least are equal."""
+        """Along each diagonal, the longest run of which SIMILARITY at least are equal words, of those with most equal ones.
+
+        An equal word adds 1 to a running sum and another takes off `cost`: a run holds enough
+        equal words if the sum is not lower at its end than at its beginning.
+        """
         row, item, origin = candidates
         size = self.counts[item]
-        score, length, same = (np.zeros(len(row), np.int64) for _ in range(3))
-        best, best_length, best_same, total = (np.zeros(len(row), np.int64) for _ in range(4))
-        cost = int(round(SIMILARITY / (1 - SIMILARITY)))
+        low = np.maximum(starts[row] - origin, 0)
+        high = np.minimum(starts[row] + counts[row] - origin, size)
+        score, total = np.zeros(len(row), np.int64), np.zeros(len(row), np.int64)
+        #: sums at the last OVERLAP places, and the lowest of those before
+        recent = np.zeros((OVERLAP, len(row)), np.int64)
+        least = np.full(len(row), _NEVER)
+        part = np.zeros(len(row), bool)
         for j in range(int(size.max(initial=0))):
-            at = origin + j
-            inside = (j < size) & (at >= starts[row]) & (at < starts[row] + counts[row])
-            equal = inside & (words[np.clip(at, 0, len(words) - 1)] == self.words[np.minimum(self.starts[item] + j, len(self.words) - 1)])
+            inside = (j >= low) & (j < high)
+            at = np.clip(origin + j, 0, len(words) - 1)
+            equal = inside & (words[at] == self.words[np.minimum(self.starts[item] + j, len(self.words) - 1)])
             total += equal
-            score += np.where(equal, 1, -cost)
-            length += 1
-            same += equal
-            over = score < 0
-            score[over], length[over], same[over] = 0, 0, 0
-            better = score > best
-            best[better], best_length[better], best_same[better] = score[better], length[better], same[better]
-        whole = total >= SIMILARITY * size
-        ok = whole | (best_length >= OVERLAP)
-        return np.stack([row, item, np.where(whole, size, best_length), np.where(whole, total, best_same)])[:, ok]
+            # recent[j % OVERLAP] is the sum before word j; a run of OVERLAP words to j began at the one written over next
+            recent[j % OVERLAP] = np.where(inside, score, _NEVER)
+            score += np.where(equal, 1, -_COST) * inside
+            if j + 1 >= OVERLAP:
+                np.minimum(least, recent[(j + 1) % OVERLAP], out=least)
+                part |= inside & (score >= least)
+        whole = total * (_COST + 1) >= _COST * size
+        length, same = np.where(whole, size, 0), np.where(whole, total, 0)
+        for c in np.flatnonzero(part & ~whole):
+            length[c], same[c] = self._longest(words, item[c], origin[c], low[c], high[c])
+        ok = whole | part
+        return np.stack([row, item, length, same])[:, ok]
+
+    def _longest(self, words: np.ndarray, item: int, origin: int, low: int, high: int) -> tuple[int, int]:
+        """Words and equal words of the longest run on one diagonal between two places of the item."""
+        first = self.starts[item]
+        equal = words[origin + low : origin + high] == self.words[first + low : first + high]
+        sums = np.concatenate([[0], np.cumsum(np.where(equal, 1, -_COST))])
+        begin = np.searchsorted(-np.minimum.accumulate(sums), -sums, side="left")
+        length = np.arange(len(sums)) - begin
+        same = (sums - sums[begin] + _COST * length) // (_COST + 1)
+        best = np.lexsort((same, length))[-1]
+        return length[best], same[best]
 
 
 def blocks(benchmark: DataFrame) -> list[Benchmark]:
