@@ -14,7 +14,7 @@ from fairlead.llm.text import documents, ship, sliced
 
 #: Bytes of the longest context.
 ORDER = 3
-#: Labelled documents of each language that the models are fitted on, about; chosen by a hash.
+#: Different labelled texts of each language that the models are fitted on, about; chosen by a hash.
 FITTED = 1_500
 #: Times that a context must occur to get a node of its own.
 LEAST = 4
@@ -140,16 +140,17 @@ class Model:
 def fitted(labelled: DataFrame) -> Model | None:
     """Models of all languages of the labelled rows; None if there is none.
 
-    Of each language about FITTED documents, chosen by a hash of their text, are counted in
-    Spark; the counts, bounded by that sample, make the table.
+    Of each language about FITTED different texts, chosen by their hash (all if there are fewer),
+    are counted once each in Spark; the counts, bounded by that sample, make the table.
     """
-    rows = labelled.filter("lang is not null and text is not null").select("lang", "text")
-    counts = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    rows = labelled.filter("lang is not null and text is not null").select("lang", "text", F.xxhash64("text").alias("_hash"))
+    different = rows.select("lang", "_hash").distinct()
+    counts = {r.lang: r.n for r in different.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not counts:
         return None
     cells = 1_000_000
     share = F.coalesce(*[F.when(F.col("lang") == k, F.lit(-(-cells * FITTED // n))) for k, n in counts.items()])
-    some = rows.filter(F.pmod(F.xxhash64("text"), F.lit(cells)) < share)
+    some = rows.filter(F.pmod("_hash", F.lit(cells)) < share).groupBy("lang", "_hash").agg(F.first("text").alias("text"))
     found: dict[str, tuple[list[int], list[int]]] = {}
     for r in contexts_counted(some).toLocalIterator():
         gram, n = found.setdefault(r.lang, ([], []))

@@ -4,7 +4,8 @@ import random
 
 import pyarrow as pa
 
-from fairlead.llm import decontaminate
+from fairlead.llm import decontaminate, language
+from tests.llm import cases
 from tests.llm.test_operators import ids_of
 
 
@@ -41,3 +42,23 @@ def test_partial_overlaps_with_substitutions():
     found = {int(r): (int(o), int(e)) for r, o, e in zip(got["row"], got["overlap"], got["equal"])}
     want = {n: plain_overlap(t, items[max(n - 1, 0) % len(items)]) for n, t in enumerate(texts)}
     assert found == {n: w for n, w in want.items() if w[0]} and found[0] == (16, 13)
+
+
+def test_every_labelled_language_is_learned_however_often_its_texts_repeat(spark):
+    rnd = random.Random(3)
+    few = [(cases.sentence(rnd, 20), "few") for _ in range(5)]
+    rows = few * 2000 + [(f"{cases.sentence(rnd, 12)} {k}", "many") for k in range(4000)] + [("same text again", "many")] * 3000
+    labelled = spark.createDataFrame(rows, "text string, lang string").repartition(3)
+    seen = {}
+    counted = language.contexts_counted
+
+    def watched(some):
+        seen.update({r.lang: (r.n, r.d) for r in some.groupBy("lang").agg({"*": "count", "text": "max"}).toDF("lang", "n", "d").collect()})
+        return counted(some)
+
+    language.contexts_counted = watched
+    try:
+        model = language.fitted(labelled)
+    finally:
+        language.contexts_counted = counted
+    assert model.languages == ["few", "many"] and seen["few"][0] == 5 and 1300 < seen["many"][0] < 1700
