@@ -47,16 +47,19 @@ def fingerprint(text: str | None, size: int = SHINGLE) -> int:
     return int.from_bytes(np.packbits(2 * counts > len(shingles)).tobytes(), "big")
 
 
-def with_fingerprints(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp long): one row per document, computed batch by batch where the text is read."""
+def with_fingerprints(docs: DataFrame, size: int = SHINGLE, hashed: bool = False) -> DataFrame:
+    """(doc_id, fp long): one row per document, computed batch by batch where the text is read; text_hash too if `hashed`."""
     ship(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, "text", CHUNK):
             fps = np.array([fingerprint(t.as_py(), size) for t in batch.column("text")], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+            columns = [batch.column(c) for c in names[:-1]]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(fps.view(np.int64))], names)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, fp long")
+    names = ["doc_id", "text_hash", "fp"] if hashed else ["doc_id", "fp"]
+    rows = docs.select(F.col("doc_id").cast("long"), "text", *([F.xxhash64("text").alias("text_hash")] if hashed else []))
+    return rows.mapInArrow(run, ", ".join(f"{c} long" for c in names))
 
 
 def pivots(n: int = PIVOTS) -> np.ndarray:
@@ -170,6 +173,14 @@ def near_links(nodes: DataFrame, n: int) -> DataFrame:
     return rows.repartition("key").sortWithinPartitions("key", "d").mapInArrow(run, "a long, b long").distinct()
 
 
+def rooted(fps: DataFrame) -> DataFrame:
+    """(fp, root, first): every fingerprint, the one that names its component, and its smallest doc_id."""
+    nodes = stored(fps.groupBy("fp").agg(F.min("doc_id").alias("first")))
+    roots = components(near_links(nodes.select("fp"), nodes.count())).toDF("fp", "root")
+    named = nodes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    return stored(named.select("fp", "root", "first"))
+
+
 def near_groups(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     """(doc_id, fp, component_id) for every document.
 
@@ -179,10 +190,7 @@ def near_groups(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     other); repeated rows stay repeated; other columns are not read.
     """
     fps = stored(with_fingerprints(docs, size))
-    nodes = stored(fps.groupBy("fp").agg(F.min("doc_id").alias("first")))
-    roots = components(near_links(nodes.select("fp"), nodes.count())).toDF("fp", "root")
-    named = nodes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    groups = stored(named.select("fp", "root", "first"))
+    groups = rooted(fps)
     names = groups.groupBy("root").agg(F.min("first").alias("component_id"))
     return fps.join(groups.select("fp", "root").join(names, "root"), "fp").select("doc_id", "fp", "component_id")
 
@@ -203,15 +211,9 @@ def one_per_group(docs: DataFrame, groups: DataFrame) -> DataFrame:
 
 
 def deduplicated(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """The documents with one of each near-duplicate group, the one of smallest doc_id.
-
-    Rows that repeat that doc_id count once. Rows without doc_id cannot be named and stay.
-    """
-    # one id may be repeated with other texts, whose groups have other names
-    names = near_groups(docs, size).filter("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    known = docs.filter("doc_id is not null")
-    kept = known.join(names, known["doc_id"] == names["_kept"], "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.filter("doc_id is null"))
+    """The documents with one of each near-duplicate group."""
+    fps = stored(with_fingerprints(docs, size, hashed=True))
+    return one_per_group(docs, fps.join(rooted(fps).select("fp", "root"), "fp").select("doc_id", "text_hash", "root"))
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,7 +4,7 @@ import random
 
 import pyarrow as pa
 
-from fairlead.llm import decontaminate, language
+from fairlead.llm import decontaminate, language, simhash
 from tests.llm import cases
 from tests.llm.test_operators import ids_of
 
@@ -62,3 +62,13 @@ def test_every_labelled_language_is_learned_however_often_its_texts_repeat(spark
     finally:
         language.contexts_counted = counted
     assert model.languages == ["few", "many"] and seen["few"][0] == 5 and 1300 < seen["many"][0] < 1700
+
+
+def test_simhash_keeps_the_other_texts_of_a_repeated_id(spark):
+    kept = {(r.doc_id, r.text) for r in simhash.deduplicated(cases.table(spark)).filter("doc_id is not null").collect()}
+    rows = cases.rows()
+    assert (3, rows[19][1]) in kept and (3, rows[3][1]) not in kept and (1, rows[0][1]) in kept
+    rnd = random.Random(9)
+    docs = [(7, cases.sentence(rnd, 60)) for _ in range(30)]
+    table = spark.createDataFrame(docs + docs[:5], "doc_id long, text string").repartition(3)
+    assert sorted((r.doc_id, r.text) for r in simhash.deduplicated(table).collect()) == sorted(docs)
