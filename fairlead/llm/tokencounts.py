@@ -15,6 +15,8 @@ from fairlead.llm.tokens import END_OF_TEXT, VOCABULARY, tokenizer, vocabulary_p
 
 #: A stored document begins with its doc_id in five digits, written as ids beyond the vocabulary.
 DIGITS, RADIX_BITS = 5, 13
+#: First digit of a null doc_id; the ones of 64-bit numbers are smaller.
+NO_ID = 1 << 12
 CHUNK = 4 << 20
 #: Ids of one block of the scan.
 BLOCK = 1 << 20
@@ -26,8 +28,8 @@ def write_flat(docs: DataFrame, folder: str, path: str | None = None, end: int =
     """Flat little-endian 16-bit token files: per document its id digits, its ids, then `end`; no index.
 
     Spark's text writer puts the raw ids into the shared folder, with `end` as its line
-    separator, so a lost task is simply written again. A null doc_id has no digits; a null
-    text has no ids.
+    separator, so a lost task is simply written again. A null doc_id has digits of its own; a
+    null text has no ids.
     """
     ship(docs.sparkSession)
     path = path or vocabulary_path()
@@ -40,12 +42,12 @@ def write_flat(docs: DataFrame, folder: str, path: str | None = None, end: int =
             key = batch.column("doc_id").fill_null(0).to_numpy().view(np.uint64)
             shift = np.arange(DIGITS - 1, -1, -1, dtype=np.uint64) * np.uint64(RADIX_BITS)
             digits = ((key[:, None] >> shift) & np.uint64((1 << RADIX_BITS) - 1)) + np.uint64(VOCABULARY)
-            head = np.where(known, DIGITS, 0)
-            size = head + counts + 1
+            digits[~known, 0] = VOCABULARY + NO_ID
+            size = DIGITS + counts + 1
             begin = np.cumsum(size) - size
             ids = np.empty(size.sum(), "<u2")
-            ids[begin[known][:, None] + np.arange(DIGITS)] = digits[known]
-            ids[np.arange(len(flat)) + np.repeat(begin + head - (np.cumsum(counts) - counts), counts)] = flat
+            ids[begin[:, None] + np.arange(DIGITS)] = digits
+            ids[np.arange(len(flat)) + np.repeat(begin + DIGITS - (np.cumsum(counts) - counts), counts)] = flat
             ids[begin + size - 1] = end
             yield pa.RecordBatch.from_arrays([pa.array([ids[:-1].tobytes()], pa.binary())], ["ids"])
 
@@ -59,9 +61,14 @@ def write_flat(docs: DataFrame, folder: str, path: str | None = None, end: int =
     )
 
 
+def _headed(ids: np.ndarray) -> bool:
+    """A stored document begins with these ids."""
+    return len(ids) >= DIGITS and bool((ids[:DIGITS] >= VOCABULARY).all())
+
+
 def _number(digits: np.ndarray) -> int | None:
     """The doc_id of a stored document that begins with these ids."""
-    if len(digits) < DIGITS or (digits[:DIGITS] < VOCABULARY).any():
+    if not _headed(digits) or digits[0] == VOCABULARY + NO_ID:
         return None
     value = 0
     for d in digits[:DIGITS].tolist():
@@ -71,12 +78,13 @@ def _number(digits: np.ndarray) -> int | None:
 
 
 def scan(spark: SparkSession, folder: str, end: int = END_OF_TEXT, block: int = BLOCK) -> DataFrame:
-    """(file, position, doc_id, n_tokens, closed): every document of flat token files.
+    """(file, position, doc_id, n_tokens, closed, headed): every document of flat token files.
 
     Files are cut into blocks; each block is searched for `end` in one vectorised pass.
     Where the document that a block ends with began, and its first ids, come from a prefix
     scan over the block summaries of the file. Each file begins a document; ids after the
     last separator are one that is not closed. n_tokens counts neither digits nor separator.
+    headed is false for what follows an `end` within a stored document.
     """
     ship(spark)
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(folder).filter("length > 0")
@@ -94,8 +102,8 @@ def scan(spark: SparkSession, folder: str, end: int = END_OF_TEXT, block: int =
                 first = number.as_py() * block
                 at = np.flatnonzero(ids == end)
                 begins = at[:-1] + 1
-                names = [_number(ids[b : b + DIGITS]) if b + DIGITS <= e else None for b, e in zip(begins.tolist(), at[1:].tolist())]
-                headed = [n is not None for n in names]
+                heads = [ids[b : min(b + DIGITS, e)] for b, e in zip(begins.tolist(), at[1:].tolist())]
+                names, headed = [_number(h) for h in heads], [_headed(h) for h in heads]
                 tail = ids[at[-1] + 1 :] if len(at) else ids[:0]
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -134,9 +142,10 @@ def scan(spark: SparkSession, folder: str, end: int = END_OF_TEXT, block: int =
         )
         return F.struct(
             open_["start"].alias("position"),
-            F.when(headed, value).alias("doc_id"),
+            F.when(headed & (F.element_at(numbers, 1) != NO_ID), value).alias("doc_id"),
             (until - open_["start"] - F.when(headed, DIGITS).otherwise(0)).cast("long").alias("n_tokens"),
             closed.alias("closed"),
+            headed.alias("headed"),
         )
 
     inner = F.transform(
@@ -147,6 +156,7 @@ def scan(spark: SparkSession, folder: str, end: int = END_OF_TEXT, block: int =
             (F.element_at("ends", i) - F.element_at("ends", i - 1) - 1
              - F.when(F.element_at("headed", i - 1), DIGITS).otherwise(0)).cast("long").alias("n_tokens"),
             F.lit(True).alias("closed"),
+            F.element_at("headed", i - 1).alias("headed"),
         ),
     )
     nothing = F.slice(inner, 1, 0)
@@ -156,20 +166,26 @@ def scan(spark: SparkSession, folder: str, end: int = END_OF_TEXT, block: int =
         F.col("last") & (F.col("until") > ending["start"]), F.array(stitched(ending, F.col("until"), F.lit(False)))
     ).otherwise(nothing)
     return found.select("path", F.explode(F.concat(spanning, inner, unclosed)).alias("d")).select(
-        F.element_at(F.split("path", "/"), -1).alias("file"), "d.position", "d.doc_id", "d.n_tokens", "d.closed"
+        F.element_at(F.split("path", "/"), -1).alias("file"), "d.position", "d.doc_id", "d.n_tokens", "d.closed", "d.headed"
     )
 
 
 def token_counts(docs: DataFrame, path: str | None = None) -> DataFrame:
     """(doc_id, n_tokens): write the documents as flat token files and count by scanning these.
 
-    One row per document, repeated rows and null doc_id included; a null or empty text has
-    no token; other columns are not read; an empty table gives no row.
+    One row per document, repeated rows and null doc_id included. The text of the separator
+    within a document is one of its tokens: what follows without digits of its own is added to
+    the document before. A null or empty text has no token; other columns are not read; an empty table gives no row.
     """
     spark = docs.sparkSession
     folder = f"{shared_folder(spark)}/tokens-{uuid.uuid4().hex}"
     write_flat(docs, folder, path)
-    return scan(spark, folder).select("doc_id", "n_tokens")
+    so_far = Window.partitionBy("file").orderBy("position")
+    pieces = scan(spark, folder).withColumn("document", F.sum(F.col("headed").cast("int")).over(so_far))
+    whole = pieces.groupBy("file", "document").agg(
+        F.max("doc_id").alias("doc_id"), (F.sum("n_tokens") + F.count("*") - 1).alias("n_tokens")
+    )
+    return whole.select("doc_id", "n_tokens")
 
 
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

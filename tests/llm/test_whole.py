@@ -3,8 +3,9 @@
 import random
 
 import pyarrow as pa
+import pytest
 
-from fairlead.llm import decontaminate, language, simhash
+from fairlead.llm import decontaminate, language, simhash, tokencounts
 from tests.llm import cases
 from tests.llm.test_operators import ids_of
 
@@ -72,3 +73,12 @@ def test_simhash_keeps_the_other_texts_of_a_repeated_id(spark):
     docs = [(7, cases.sentence(rnd, 60)) for _ in range(30)]
     table = spark.createDataFrame(docs + docs[:5], "doc_id long, text string").repartition(3)
     assert sorted((r.doc_id, r.text) for r in simhash.deduplicated(table).collect()) == sorted(docs)
+
+
+@pytest.mark.parametrize("end", ["<|endoftext|>", ""])
+def test_separator_in_a_text_is_counted_in_its_document(spark, end):
+    docs = [(1, f"one {end} two{end}"), (2, end), (None, f"{end}{end} three"), (None, None), (2, f"again {end}"), (-1, "é" + end), (-(2**63), "x")]
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    for parts in (1, 3):
+        got = tokencounts.token_counts(table.repartition(parts)).collect()
+        assert sorted((str(r.doc_id), r.n_tokens) for r in got) == sorted((str(i), len(ids_of(t))) for i, t in docs)
