@@ -14,6 +14,8 @@ from fairlead.llm.text import documents, mix, powers, ship, sliced, split_words,
 
 #: Positions that count are 1. Several masks find overlaps whose substituted words break the others.
 MASKS = ("11111", "1101011", "11001011", "101100101")
+#: For items of fewer than OVERLAP words only, whose equal words may stand in short pieces.
+SHORT_MASKS = ("111", "11011")
 #: Share of equal words from which an overlap counts.
 SIMILARITY = 0.8
 #: Words of an overlap from which a part of an item counts; shorter items count as a whole.
@@ -58,10 +60,15 @@ class Benchmark:
         item = np.repeat(np.arange(len(self.counts)), self.counts)
         place = np.arange(len(self.words)) - np.repeat(self.starts, self.counts)
         self.index = []
-        for mask in MASKS:
+        for mask in MASKS + SHORT_MASKS:
             key = seeds(self.words, mask)
-            fits = (place[: len(key)] + len(mask) <= self.counts[item[: len(key)]]) & (self.counts[item[: len(key)]] >= SHORTEST)
+            size = self.counts[item[: len(key)]]
+            fits = (place[: len(key)] + len(mask) <= size) & (size >= SHORTEST)
+            if mask in SHORT_MASKS:
+                fits &= size < OVERLAP
             at = np.flatnonzero(fits)
+            if not len(at):
+                continue
             at = at[np.argsort(key[at], kind="stable")]
             table = np.zeros(1 << _BITS, bool)
             table[key[at] >> np.uint64(64 - _BITS)] = True
@@ -82,6 +89,8 @@ class Benchmark:
             at = np.repeat(at, n)
             k = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low, n)
             found.append(np.stack([row[at], items[k], at - places[k]]))
+        if not found:
+            return {k: np.zeros(0, np.int64) for k in ("row", "item", "overlap", "equal")}
         # one candidate for all seeds of a diagonal
         candidates = np.unique(np.concatenate(found, axis=1), axis=1)
         parts = [self._verify(candidates[:, i : i + VERIFIED], words, starts, counts) for i in range(0, candidates.shape[1], VERIFIED)]
@@ -139,19 +148,21 @@ class Benchmark:
         return length[best], same[best]
 
 
-def blocks(benchmark: DataFrame) -> list[Benchmark]:
+def blocks(benchmark: DataFrame, named: bool = True) -> list[Benchmark]:
     """All items, in blocks of bounded size; each block is joined with all documents in turn.
 
-    Items without id or text, or of fewer than SHORTEST words, match nothing.
+    Items without text, without id if they are to be named, or of fewer than SHORTEST words, match nothing.
     """
-    items = benchmark.filter("item_id is not null and text is not null").select(F.col("item_id").cast("long"), "text")
+    items = benchmark.filter("text is not null").select(F.col("item_id").cast("long"), "text")
+    if named:
+        items = items.filter("item_id is not null")
     words = items.agg(F.sum(F.size(F.split("text", "\\s+")))).first()[0] or 0
     n = max(1, -(-words // BLOCK_WORDS))
     out = []
     for b in range(n):
         rows = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == b).collect()
         if rows:
-            out.append(Benchmark([r.item_id for r in rows], [r.text for r in rows]))
+            out.append(Benchmark([r.item_id or 0 for r in rows], [r.text for r in rows]))
     return out
 
 
@@ -190,10 +201,10 @@ def contaminations(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents, all columns, without those that hold a benchmark item; nothing is shuffled."""
+    """The documents, all columns, without those that hold a benchmark item, with id or without; nothing is shuffled."""
     ship(docs.sparkSession)
     place = docs.columns.index("text")
-    for block in blocks(benchmark):
+    for block in blocks(benchmark, named=False):
         sent = docs.sparkSession.sparkContext.broadcast(block)
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:

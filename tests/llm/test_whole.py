@@ -1,7 +1,9 @@
 """Rows that the operators once left out, against plain versions."""
 
 import random
+from itertools import combinations
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
@@ -45,6 +47,21 @@ def test_partial_overlaps_with_substitutions():
     assert found == {n: w for n, w in want.items() if w[0]} and found[0] == (16, 13)
 
 
+def test_every_place_of_substitutions_is_found():
+    for size in range(5, 19):
+        item = [f"w{k}" for k in range(size)]
+        texts = [" ".join("zz" if k in places else w for k, w in enumerate(item)) for places in combinations(range(size), size // 5)]
+        got = decontaminate.Benchmark([1], [" ".join(item)]).overlaps(pa.array(texts))
+        assert np.array_equal(got["row"], np.arange(len(texts)))
+
+
+def test_items_without_id_are_kept_from_the_documents(spark):
+    items = spark.createDataFrame([(None, "five words of an item"), (None, None)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "here are five words of an item"), (2, "nothing of it")], "doc_id long, text string")
+    assert [r.doc_id for r in decontaminate.decontaminated(docs, items).collect()] == [2]
+    assert decontaminate.contaminations(docs, items).count() == 0
+
+
 def test_every_labelled_language_is_learned_however_often_its_texts_repeat(spark):
     rnd = random.Random(3)
     few = [(cases.sentence(rnd, 20), "few") for _ in range(5)]
