@@ -24,44 +24,71 @@ WINDOW = 20
 HEXADECIMAL = "^[0-9a-fA-F]+$"
 LEAST = {"hexadecimal": 3.0, "mixed": 3.8}
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"
-#: Candidates that are no secrets: words and names, plain numbers, paths, UUIDs, counted-up alphabets.
+#: Candidates that are no secrets: words and names, plain numbers, paths, UUIDs, counted-up alphabets. Repeated groups
+#: are possessive: the parts end at a sign that they cannot hold, so giving characters back never helps, and the engine
+#: would keep a stack frame per repetition otherwise.
 ALLOWED = (
     "^[A-Za-z_/+-]+$",
     "^[0-9_/+-]+$",
-    "^(/?[A-Za-z][a-z_-]*[0-9]{0,2})(/[A-Za-z]?[a-z_-]*[0-9]{0,2})+$",
+    "^/?[A-Za-z][a-z_-]*+[0-9]{0,2}+(/[A-Za-z]?+[a-z_-]*+[0-9]{0,2}+)++$",
     "^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",
     "(?i)0123456789|abcdefghij|qwertyuiop",
-    "^([a-z]+[-_])+[0-9a-z]{1,4}$",
+    "^([a-z]++[-_])++[0-9a-z]{1,4}$",
 )
 
 
+def _once(value: Column, use) -> Column:
+    """use(value) with the value computed once: a plain column is computed anew wherever a lambda names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _found(text: Column, pattern: str) -> Column:
     """array<struct<start, end, hit>> of the leftmost non-overlapping matches, in code points.
 
-    What stands between the matches gives the positions: their lengths are summed up.
+    What stands between the matches gives the positions: their lengths are summed up, in parts of about
+    the square root of the number of matches, since adding to an array copies it.
     """
     hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     pairs = F.zip_with(
         hits, F.transform(F.split(text, pattern, -1), lambda g: F.length(g)), lambda h, g: F.struct(h.alias("hit"), g.alias("gap"))
     )
+    pairs = F.filter(pairs, lambda p: p["hit"].isNotNull())
     spans = F.array().cast("array<struct<start:int,end:int,hit:string>>")
-    walked = F.aggregate(
-        F.filter(pairs, lambda p: p["hit"].isNotNull()),
-        F.struct(F.lit(0).alias("at"), spans.alias("out")),
-        lambda s, p: F.struct(
-            (s["at"] + p["gap"] + F.length(p["hit"])).alias("at"),
-            F.concat(
-                s["out"],
-                F.array(
-                    F.struct(
-                        (s["at"] + p["gap"]).alias("start"), (s["at"] + p["gap"] + F.length(p["hit"])).alias("end"), p["hit"].alias("hit")
-                    )
-                ),
-            ).alias("out"),
-        ),
-        lambda s: s["out"],
-    )
-    return F.when(text.rlike(pattern), walked).otherwise(spans)
+
+    def shifted(s: Column, by: Column) -> Column:
+        return F.struct((s["start"] + by).alias("start"), (s["end"] + by).alias("end"), s["hit"].alias("hit"))
+
+    def walked(part: Column) -> Column:
+        """Spans of some matches as if the text began with them, and where the last one ends."""
+        return F.aggregate(
+            part,
+            F.struct(F.lit(0).alias("at"), spans.alias("out")),
+            lambda s, p: F.struct(
+                (s["at"] + p["gap"] + F.length(p["hit"])).alias("at"),
+                F.concat(
+                    s["out"],
+                    F.array(
+                        F.struct(
+                            (s["at"] + p["gap"]).alias("start"), (s["at"] + p["gap"] + F.length(p["hit"])).alias("end"), p["hit"].alias("hit")
+                        )
+                    ),
+                ).alias("out"),
+            ),
+        )
+
+    def parts(all_: Column) -> Column:
+        width = F.ceil(F.sqrt(F.size(all_))).cast("int")
+        return F.transform(F.sequence(F.lit(1), F.size(all_), width), lambda k: walked(F.slice(all_, k, width)))
+
+    def joined(found: Column) -> Column:
+        begins = F.aggregate(
+            found, F.array(F.lit(0)), lambda s, w: F.concat(s, F.array(F.element_at(s, -1) + w["at"]))
+        )
+        return F.flatten(
+            F.zip_with(found, F.slice(begins, F.lit(1), F.size(found)), lambda w, by: F.transform(w["out"], lambda s: shifted(s, by)))
+        )
+
+    return F.when(text.rlike(pattern), _once(pairs, lambda all_: _once(parts(all_), joined))).otherwise(spans)
 
 
 def window_entropy(value: Column, window: int = WINDOW) -> Column:
@@ -75,7 +102,11 @@ def window_entropy(value: Column, window: int = WINDOW) -> Column:
         return F.when(c > 1, c * F.log2(c)).otherwise(F.lit(0.0))
 
     codes = F.transform(F.split(value, ""), lambda c: F.instr(F.lit(ALPHABET), c))
-    indexed = F.transform(codes, lambda c, i: F.struct(c.alias("come"), F.when(i >= window, F.get(codes, i - window)).alias("go"), i.alias("i")))
+
+    def paired(codes: Column) -> Column:
+        return F.transform(codes, lambda c, i: F.struct(c.alias("come"), F.when(i >= window, F.get(codes, i - window)).alias("go"), i.alias("i")))
+
+    indexed = _once(codes, paired)
 
     def step(s: Column, x: Column) -> Column:
         come = F.element_at(s["counts"], x["come"])
