@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fairlead.llm.text import documents, mix, powers, ship, sliced, split_words, word_hashes
+from fairlead.llm.text import documents, mix, powers, sent as sent_value, ship, sliced, split_words, word_hashes
 
 #: Positions that count are 1. Several masks find overlaps whose substituted words break the others.
 MASKS = ("11111", "1101011", "11001011", "101100101")
@@ -27,6 +27,8 @@ CHUNK = 2 << 20
 BLOCK_WORDS = 1_000_000
 #: Candidate overlaps verified at once.
 VERIFIED = 20_000
+#: Words and index entries that are looked at together, about.
+PIECE = 1_000_000
 _BITS = 22
 #: What an unequal word takes off, so that a sum of 0 is a share of SIMILARITY.
 _COST = int(round(SIMILARITY / (1 - SIMILARITY)))
@@ -69,30 +71,21 @@ class Benchmark:
             at = np.flatnonzero(fits)
             if not len(at):
                 continue
-            at = at[np.argsort(key[at], kind="stable")]
+            at = at[np.lexsort((item[at], key[at]))]
             table = np.zeros(1 << _BITS, bool)
             table[key[at] >> np.uint64(64 - _BITS)] = True
-            self.index.append((mask, key[at], item[at], place[at], table))
+            # one entry per seed and item; its places follow each other from `first`
+            new = np.ones(len(at), bool)
+            new[1:] = (key[at][1:] != key[at][:-1]) | (item[at][1:] != item[at][:-1])
+            first = np.flatnonzero(new)
+            self.index.append((mask, key[at][first], item[at][first], first, np.diff(np.append(first, len(at))), place[at], table))
 
     def overlaps(self, texts: pa.Array) -> dict[str, np.ndarray]:
         """Verified overlaps, the best per text and item: row, item, words of the overlap, equal words among them."""
         counts, words = normalised(texts)
         starts = np.cumsum(counts) - counts
         row = np.repeat(np.arange(len(counts)), counts)
-        found = []
-        for mask, keys, items, places, table in self.index:
-            key = seeds(words, mask)
-            at = np.flatnonzero(table[key >> np.uint64(64 - _BITS)])
-            at = at[row[at] == row[at + len(mask) - 1]]
-            low, high = (np.searchsorted(keys, key[at], side=s) for s in ("left", "right"))
-            n = high - low
-            at = np.repeat(at, n)
-            k = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low, n)
-            found.append(np.stack([row[at], items[k], at - places[k]]))
-        if not found:
-            return {k: np.zeros(0, np.int64) for k in ("row", "item", "overlap", "equal")}
-        # one candidate for all seeds of a diagonal
-        candidates = np.unique(np.concatenate(found, axis=1), axis=1)
+        candidates = self._candidates(words, row, counts)
         parts = [self._verify(candidates[:, i : i + VERIFIED], words, starts, counts) for i in range(0, candidates.shape[1], VERIFIED)]
         if not parts:
             return {k: np.zeros(0, np.int64) for k in ("row", "item", "overlap", "equal")}
@@ -103,6 +96,60 @@ class Benchmark:
         best = order[first]
         return {"row": row[best], "item": item[best], "overlap": overlap[best], "equal": equal[best]}
 
+    def _entries(self, words: np.ndarray, row: np.ndarray, index) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(word, entry): the index entries with the seed of each word of the texts, at most about PIECE at once."""
+        mask, keys, _, _, _, _, table = index
+        key = seeds(words, mask)
+        at = np.flatnonzero(table[key >> np.uint64(64 - _BITS)])
+        at = at[row[at] == row[at + len(mask) - 1]]
+        low, high = (np.searchsorted(keys, key[at], side=s) for s in ("left", "right"))
+        some = high > low
+        at, low, n = at[some], low[some], (high - low)[some]
+        block = (np.cumsum(n) - n) // PIECE
+        cuts = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), len(at)]
+        for a, b in zip(cuts, cuts[1:]):
+            m = n[a:b]
+            yield np.repeat(at[a:b], m), np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m) + np.repeat(low[a:b], m)
+
+    def _candidates(self, words: np.ndarray, row: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """(text, item, origin) of the diagonals on which a seed of a text meets one of an item, each once.
+
+        A seed that stands often in both (repetitive text) meets itself at more places than there are
+        diagonals. So hits are counted first, by text and item, without being listed; where they
+        outnumber the diagonals, all of these are candidates, and only the other hits are listed.
+        """
+        hits: dict[int, int] = {}
+        for index in self.index:
+            for at, entry in self._entries(words, row, index):
+                pair, back = np.unique(row[at] * len(self.counts) + index[2][entry], return_inverse=True)
+                for p, n in zip(pair.tolist(), np.bincount(back, weights=index[4][entry]).astype(np.int64).tolist()):
+                    hits[p] = hits.get(p, 0) + n
+        if not hits:
+            return np.zeros((3, 0), np.int64)
+        pairs = np.array(sorted(hits), np.int64)
+        text, item = pairs // len(self.counts), pairs % len(self.counts)
+        starts = np.cumsum(counts) - counts
+        diagonals = counts[text] + self.counts[item] - 1
+        dense = np.array([hits[p] for p in pairs.tolist()]) > diagonals
+        # a diagonal is packed as the number of its pair and its origin, counted from the first possible one
+        reach = int(self.counts.max()) - 1
+        span = len(words) + reach
+        n = diagonals[dense]
+        k = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        found = [np.repeat(np.flatnonzero(dense) * span + starts[text[dense]] - self.counts[item[dense]] + 1 + reach, n) + k]
+        for index in self.index:
+            _, _, items, first, size, places, _ = index
+            for at, entry in self._entries(words, row, index):
+                pair = np.searchsorted(pairs, row[at] * len(self.counts) + items[entry])
+                few = ~dense[pair]
+                at, entry, pair = at[few], entry[few], pair[few]
+                m = size[entry]
+                k = np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m) + np.repeat(first[entry], m)
+                found.append(np.unique(np.repeat(pair * span + at + reach, m) - places[k]))
+        code = np.unique(np.concatenate(found))
+        pair = code // span
+        return np.stack([text[pair], item[pair], code % span - reach])
+
     def _verify(self, candidates: np.ndarray, words: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """Along each diagonal, the longest run of which SIMILARITY at least are equal words, of those with most equal ones.
 
@@ -205,7 +252,7 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     ship(docs.sparkSession)
     place = docs.columns.index("text")
     for block in blocks(benchmark, named=False):
-        sent = docs.sparkSession.sparkContext.broadcast(block)
+        sent = sent_value(docs.sparkSession, block)
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             for batch in batches:
