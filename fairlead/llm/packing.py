@@ -22,9 +22,9 @@ CAPACITY = 4096
 END = 1
 #: Lengths above this share of a sequence are large.
 LARGE = 1 / 8
-#: Groups of equal cardinality into which large lengths are rounded up.
-GROUPS = 16
-CHUNK = 6 << 20
+#: Numbers of groups of equal cardinality into which large lengths are rounded up; the best plan counts.
+GROUPS = (16, 64)
+CHUNK = 1 << 20
 #: Pieces of one length that one task ranks.
 RANKED = 200_000
 #: Parts in which pieces of one length are ranked, at least.
@@ -147,16 +147,26 @@ class _Bins:
 
 
 def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple, int]]:
-    """Kinds of sequences, each as its (length, copies) pairs, and how many of each kind."""
+    """Kinds of sequences, each as its (length, copies) pairs, and how many of each kind.
+
+    Linear grouping rounds up, which pays only where small pieces fill what is left; so the plan with
+    fewest sequences counts, of those with GROUPS and best fit alone (no group).
+    """
+    plans = [grouped_plan(histogram, groups, capacity) for groups in (*GROUPS, 0)]
+    return min(plans, key=lambda kinds: sum(many for _, many in kinds))
+
+
+def grouped_plan(histogram: dict[int, int], number: int, capacity: int = CAPACITY) -> list[tuple[tuple, int]]:
+    """The plan with large lengths in that many groups; none: best fit of all lengths, longest first."""
     bins = _Bins(capacity)
     rest = {k: n for k, n in histogram.items() if n}
     bins.add(((capacity, 1),), 0, rest.pop(capacity, 0))
-    large = sorted((k for k in rest if k > LARGE * capacity), reverse=True)
+    large = sorted((k for k in rest if number and k > LARGE * capacity), reverse=True)
     total = sum(rest[k] for k in large)
     groups: list[list[int]] = []
     seen = 0
     for k in large:  # equal numbers of pieces in each group, lengths stay together
-        if len(groups) <= seen * GROUPS // total:
+        if len(groups) <= seen * number // total:
             groups.append([])
         groups[-1].append(k)
         seen += rest[k]
