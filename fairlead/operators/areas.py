@@ -121,10 +121,15 @@ def area_cells(areas: DataFrame, keys: Sequence[str], resolution: int, cell: str
     return known.select(AREA, *keys).join(filled, AREA).select(*keys, cell).distinct()
 
 
+def zone_runs(areas: DataFrame, resolution: int) -> DataFrame:
+    """(_r, _first, _last): the union of all given areas as runs of cells by lattice row. A zone of a
+    hundred million cells has some ten thousand runs."""
+    return merged_runs(fill_runs(polygon_edges(identified(areas), [AREA]), [AREA], resolution))
+
+
 def zone_cells(areas: DataFrame, resolution: int, cell: str = "cell") -> DataFrame:
     """Distinct cells of the union of all given areas."""
-    runs = fill_runs(polygon_edges(identified(areas), [AREA]), [AREA], resolution)
-    return run_cells(merged_runs(runs), [], resolution, cell)
+    return run_cells(zone_runs(areas, resolution), [], resolution, cell)
 
 
 def port_cells(
@@ -235,14 +240,18 @@ def near_runs(edges: DataFrame, resolution: int, reach_m: float) -> DataFrame:
     return rows.filter("_first <= _last").select("_r", "_first", "_last")
 
 
+def buffer_runs(areas: DataFrame, radius_m: float = 10000.0, resolution: int = 8) -> DataFrame:
+    """(_r, _first, _last): runs of the cells whose centre is inside an area or within ``radius_m`` of it."""
+    edges = polygon_edges(identified(areas), [AREA])
+    inside = fill_runs(edges, [AREA], resolution).select("_r", "_first", "_last")
+    return merged_runs(inside.unionByName(near_runs(edges, resolution, float(radius_m))))
+
+
 def buffer_cells(
     areas: DataFrame, radius_m: float = 10000.0, resolution: int = 8, cell: str = "boundary_h3"
 ) -> DataFrame:
     """Distinct cells whose centre is inside an area or within ``radius_m`` of it."""
-    edges = polygon_edges(identified(areas), [AREA])
-    inside = fill_runs(edges, [AREA], resolution).select("_r", "_first", "_last")
-    near = near_runs(edges, resolution, float(radius_m))
-    return run_cells(merged_runs(inside.unionByName(near)), [], resolution, cell)
+    return run_cells(buffer_runs(areas, radius_m, resolution), [], resolution, cell)
 
 
 def cover(edges: DataFrame, keys: Sequence[str], resolution: int) -> DataFrame:
@@ -283,7 +292,6 @@ def points_in_areas(
     carried = [c for c in areas.columns if c != "geom"]
     known = identified(areas)
     covered = cover(polygon_edges(known, [AREA]), [AREA], resolution)
-    covered = known.select(AREA, *carried).join(covered, AREA).drop(AREA)
     found = points.withColumn("_cell", grid.cell_at(lat, lon, resolution)).join(
         joins.sized(covered.withColumnRenamed("cell", "_cell")), "_cell", "inner"
     )
@@ -297,4 +305,7 @@ def points_in_areas(
             (n == 2) | geo.on_segment(px, py, e["x1"], e["y1"], e["x2"], e["y2"]), F.lit(2)
         ).otherwise(F.when(geo.crosses(px, py, cx, cy, e), F.lit(1) - n).otherwise(n)),
     )
-    return settle(found, _state=walked).filter("_state > 0").select(*carried, *points.columns)
+    # What an area carries is fetched for the pairs found, not repeated in each of its cells.
+    inside = settle(found, _state=walked).filter("_state > 0").select(AREA, *points.columns)
+    named = known.select(AREA, *[F.col(c).alias(f"_of_{c}") for c in carried])
+    return inside.join(named, AREA).select(*[F.col(f"_of_{c}").alias(c) for c in carried], *points.columns)

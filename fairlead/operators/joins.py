@@ -4,23 +4,35 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Rows a narrow dimension (a cell id and a few short labels) may have to be sent to
-# every executor: about 100 MB in the worst case.
+from fairlead.functions import grid
+
+# What a dimension may have, in rows and in bytes, to be sent to every executor.
 MAX_BROADCAST_ROWS = 1_000_000
+MAX_BROADCAST_BYTES = 64 << 20
 
 
-def sized(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``dim`` if a count proves it small, else force a sort-merge join.
+def sized(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """Broadcast ``dim`` if its rows and bytes prove it small, else force a sort-merge join.
 
     For tables derived from outlines only: these have no useful size estimate, so Spark
-    alone could pick a broadcast that grows with the data, and counting them reads no ping.
-    The merge join spills, and adaptive execution splits its hot partitions. Tables derived
-    from pings are left to adaptive execution, which decides on their real bytes.
+    alone could pick a broadcast that grows with the data, and sizing them reads no ping.
+    The table is kept on the executors' disks (and derived anew where one is lost), so the
+    query that follows does not derive it a second time. The merge join spills, and adaptive
+    execution splits its hot partitions. Tables derived from pings are left to adaptive
+    execution, which decides on their real bytes.
     """
-    return F.broadcast(dim) if dim.count() <= max_rows else dim.hint("merge")
+    kept = dim.persist(StorageLevel.DISK_ONLY)
+    small = kept.count() <= max_rows and bytes_of(kept) <= max_bytes
+    return F.broadcast(kept) if small else kept.hint("merge")
+
+
+def bytes_of(df: DataFrame) -> int:
+    """Spark's estimate of a frame's bytes; of a table that is kept, what it takes."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def require(df: DataFrame, *names: str) -> None:
@@ -60,6 +72,48 @@ def keep_in_buffer(pings: DataFrame, buffer_cells: DataFrame, resolution: int =
     return pings.join(sized(cells), pings[cell] == cells["boundary_h3"], "inner")
 
 
+def row_runs(runs: DataFrame) -> DataFrame:
+    """(_r, _firsts, _lasts): the runs of each lattice row as sorted arrays; they must not overlap."""
+    sorted_runs = F.array_sort(F.collect_list(F.struct("_first", "_last")))
+    return runs.groupBy("_r").agg(sorted_runs.alias("_runs")).select(
+        "_r", F.col("_runs._first").alias("_firsts"), F.col("_runs._last").alias("_lasts")
+    )
+
+
+def _found_in_runs(q: Column) -> Column:
+    """Whether ``q`` lies in a run of its row, by binary search: steps of falling powers of two are
+    taken while the run they lead to begins at or before ``q``."""
+    steps = F.sequence(F.floor(F.log2(F.size("_firsts"))).cast("int"), F.lit(0), F.lit(-1))
+
+    def stepped(at: Column, power: Column) -> Column:
+        ahead = at + F.call_function("shiftleft", F.lit(1), power)
+        return F.when(F.get("_firsts", ahead - 1) <= q, ahead).otherwise(at)
+
+    return F.aggregate(steps, F.lit(0), stepped, lambda at: (at > 0) & (F.get("_lasts", at - 1) >= q))
+
+
+def tag_runs(pings: DataFrame, runs: DataFrame, flag: str, resolution: int, cell: str | None = None) -> DataFrame:
+    """Boolean ``flag``: the ping's cell lies in one of the runs (of the same resolution).
+
+    The runs are never expanded into cells: a row of the lattice is one row of the joined table. Cells must
+    be of this package's lattice and of this resolution; others raise. Pings without a cell are outside.
+    """
+    cell = cell or cell_column(resolution)
+    require(pings, cell)
+    c = grid.own(cell)
+    wrong = F.raise_error(F.concat(F.lit("cell of another resolution: "), c.cast("string"))).cast("bigint")
+    row = F.when(grid.resolution_of(c) == resolution, grid.cell_r(c)).when(c.isNotNull(), wrong)
+    rows = sized(row_runs(runs)).withColumnRenamed("_r", "_run_row")
+    joined = pings.withColumn("_row", row).join(rows, F.col("_row") == F.col("_run_row"), "left")
+    found = F.coalesce(_found_in_runs(grid.cell_q(cell)), F.lit(False))
+    return joined.withColumn(flag, found).drop("_row", "_run_row", "_firsts", "_lasts")
+
+
+def keep_in_runs(pings: DataFrame, runs: DataFrame, resolution: int, cell: str | None = None) -> DataFrame:
+    """Pings whose cell lies in one of the runs."""
+    return tag_runs(pings, runs, "_in_runs", resolution, cell).filter("_in_runs").drop("_in_runs")
+
+
 def tag_ports(pings: DataFrame, port_cells: DataFrame, resolution: int = 8) -> DataFrame:
     """Left join with the port cells, keeping pings outside every port."""
     cell = cell_column(resolution)

@@ -37,7 +37,7 @@ def recap_visits(
     month_obs: int | None = None,
     year_obs: int | None = None,
     port_time_limit: int = 0,
-    slice_seconds: int = sequence.DEFAULT_SLICE_SECONDS,
+    slice_seconds: int | sequence.Slicing = sequence.DEFAULT_SLICE_SECONDS,
 ) -> DataFrame:
     rows = _movements(activity, kind, port_code, month_obs, year_obs, port_time_limit, slice_seconds)
     keys = ["date", "Port", "status_country_domicile", "vessel_type", "fc_vessel"]
@@ -56,7 +56,7 @@ def recap_visits_with_zone(
     month_obs: int | None = None,
     year_obs: int | None = None,
     port_time_limit: int = 0,
-    slice_seconds: int = sequence.DEFAULT_SLICE_SECONDS,
+    slice_seconds: int | sequence.Slicing = sequence.DEFAULT_SLICE_SECONDS,
 ) -> DataFrame:
     """Wider recap; the zone columns become keys when the table has them."""
     rows = _movements(activity, kind, port_code, month_obs, year_obs, port_time_limit, slice_seconds)
@@ -79,7 +79,7 @@ def vessel_list(
     month_obs: int | None = None,
     year_obs: int | None = None,
     port_time_limit: int = 0,
-    slice_seconds: int = sequence.DEFAULT_SLICE_SECONDS,
+    slice_seconds: int | sequence.Slicing = sequence.DEFAULT_SLICE_SECONDS,
     cell: str = "H3_int_index_8",
 ) -> DataFrame:
     """One row per (ship, port, date) for ships that were / were not in the zone: the

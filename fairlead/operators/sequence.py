@@ -9,6 +9,8 @@ meet in a second window over the ship alone, whose size is bounded by the number
 slices in the period. All is one branch over the input, so chained calls do not
 multiply the plan.
 
+A slice of fixed length still meets in one task however full it is; :class:`Slicing` cuts overfull ones.
+
 Rows are always in a total order: after the given columns come all others, by name, so
 rows of one time stand in the same order whatever the partitioning.
 """
@@ -16,6 +18,7 @@ rows of one time stand in the same order whatever the partitioning.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -29,6 +32,27 @@ DEFAULT_SLICE_SECONDS = 6 * 3600
 Pick = tuple[Column | str, int]
 
 
+@dataclass(frozen=True)
+class Slicing:
+    """Time slices of ``seconds``; those of more than ``target`` rows are cut into parts of at most that many, about.
+
+    Cuts cost one more narrow pass over the rows. At most ``most`` slices can be over the limit, which
+    is why the limit is ``target`` or one ``most``-th of all rows, whichever is larger: the table of cuts
+    has at most ``2 * most`` rows and may be broadcast.
+    """
+
+    seconds: int = DEFAULT_SLICE_SECONDS
+    target: int = 100_000
+    most: int = 65_536
+
+
+#: How the jobs cut ships unless told otherwise.
+EVEN = Slicing()
+#: Parts of a slice, and sampled rows of a part (the limit holds twice as many, so that none passes it by chance).
+PART_BITS = 20
+SAMPLES = 48
+
+
 def time_slice(time: Column | str = TIME, seconds: int = DEFAULT_SLICE_SECONDS) -> Column:
     if seconds <= 0:
         raise ValueError("slice length must be positive")
@@ -36,6 +60,54 @@ def time_slice(time: Column | str = TIME, seconds: int = DEFAULT_SLICE_SECONDS)
     return F.floor(F.unix_timestamp(c) / F.lit(int(seconds)))
 
 
+def plain(slicing: int | Slicing) -> int:
+    """The slice length alone, for passes over the few rows that an earlier pass has left."""
+    return slicing.seconds if isinstance(slicing, Slicing) else slicing
+
+
+def with_slices(
+    df: DataFrame, order: Sequence[str], slicing: int | Slicing = DEFAULT_SLICE_SECONDS, key: str = SHIP
+) -> DataFrame:
+    """Add ``_slice``: a number that rises along each ship's rows in their total order.
+
+    With seconds it is the time slice. With a :class:`Slicing` overfull slices are cut further, at rows of
+    a hashed sample of their own (a sample is mergeable and holds rows, so cuts fall between rows of one time
+    as well). Only rows that are equal in every column cannot be parted.
+    """
+    if not isinstance(slicing, Slicing):
+        return df.withColumn("_slice", time_slice(order[0], slicing))
+    ordered = total_order(df, order)
+    based = df.withColumn("_base", time_slice(order[0], slicing.seconds))
+    counts = based.groupBy(key, "_base").agg(F.count(F.lit(1)).alias("_n"))
+    whole = counts.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("n"))
+    limit = F.greatest(F.lit(slicing.target), F.floor(whole.scalar() / F.lit(slicing.most)) + F.lit(1))
+    heavy = counts.filter(F.col(key).isNotNull() & F.col("_base").isNotNull()).withColumn("_limit", limit).filter("_n > _limit")
+    # Of each overfull slice about SAMPLES * 2 rows per limit; every SAMPLES-th is a cut.
+    cells = 1 << 30
+    rate = F.ceil(F.lit(2.0 * SAMPLES * cells) / F.col("_limit"))
+    drawn = based.join(F.broadcast(heavy.drop("_n")), [key, "_base"]).filter(F.pmod(F.xxhash64(*ordered), F.lit(cells)) < rate)
+    at = Window.partitionBy(key, "_base").orderBy(*ordered)
+    cuts = drawn.withColumn("_i", F.row_number().over(at)).filter(F.col("_i") % SAMPLES == 0)
+    # Cuts in blocks, so that a row compares itself with two short lists.
+    block = F.col("_i") / SAMPLES
+    width = F.ceil(F.sqrt(F.max("_i").over(Window.partitionBy(key, "_base")) / SAMPLES))
+    placed = cuts.select(key, "_base", F.struct(*ordered).alias("_cut"), F.floor((block - 1) / width).alias("_block"))
+    lists = placed.groupBy(key, "_base", "_block").agg(F.array_sort(F.collect_list("_cut")).alias("_cuts"))
+    listed = lists.groupBy(key, "_base").agg(F.array_sort(F.collect_list(F.struct("_block", "_cuts"))).alias("_lists"))
+    own = F.struct(*ordered)
+    joined = based.join(F.broadcast(listed), [key, "_base"], "left")
+
+    def below(cuts: Column) -> Column:
+        return F.size(F.filter(cuts, lambda c: c <= own))
+
+    # blocks that begin at or below the row; all but the last of them lie below it whole
+    begun = F.size(F.filter("_lists", lambda b: b["_cuts"][0] <= own))
+    before = F.when(begun > 0, (begun - 1) * F.size(F.get(F.col("_lists")["_cuts"], F.lit(0))) + below(F.get(F.col("_lists")["_cuts"], begun - 1)))
+    part = F.coalesce(before, F.lit(0)).cast("bigint")
+    sliced = joined.withColumn("_slice", F.col("_base") * F.lit(1 << PART_BITS) + part)
+    return sliced.select(*df.columns, "_slice")
+
+
 def total_order(df: DataFrame, order: Sequence[str]) -> list[str]:
     """The order, then every other column that can be compared, by name: rows that still tie are equal."""
     rest = sorted(f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType)))
@@ -48,15 +120,17 @@ def neighbours(
     back: dict[str, Pick] | None = None,
     ahead: dict[str, Pick] | None = None,
     key: str = SHIP,
-    slice_seconds: int = DEFAULT_SLICE_SECONDS,
+    slice_seconds: int | Slicing = DEFAULT_SLICE_SECONDS,
     keep: Column | None = None,
+    keep_slice: bool = False,
 ) -> DataFrame:
     """Add columns taken ``n`` rows back or ahead in the ship's order.
 
     ``order[0]`` is the time column; the rest are tiebreaks, to which all other columns
     are added. ``back`` and ``ahead`` map a new column name to (source column, n). Only rows
     that satisfy ``keep`` are returned; most others never leave their slice. A ``_slice``
-    column already present is used as it is, together with any partitioning by it.
+    column already present is used as it is, together with any partitioning by it;
+    ``keep_slice`` leaves it for the next pass.
     """
     back, ahead = back or {}, ahead or {}
     depth = max(n for _, n in [*back.values(), *ahead.values()])
@@ -74,7 +148,7 @@ def neighbours(
     if "_slice" not in df.columns:
         # Explicit, because rows already hashed by ship (after a join, say) would satisfy
         # the window as they are and keep a hot ship in one task.
-        sliced = df.withColumn("_slice", time_slice(order[0], slice_seconds)).repartition(key, "_slice")
+        sliced = with_slices(df, order, slice_seconds, key).repartition(key, "_slice")
     tagged = sliced.withColumns(
         {
             **found(in_slice),
@@ -92,12 +166,12 @@ def neighbours(
             name: F.when(F.col("_head" if name in back else "_tail"), F.col(f"_wide_{name}")).otherwise(F.col(name))
             for name in names
         }
-    ).drop("_slice", "_head", "_tail", "_home", *[f"_wide_{name}" for name in names])
+    ).drop("_head", "_tail", "_home", *[f"_wide_{name}" for name in names], *([] if keep_slice else ["_slice"]))
     return out if keep is None else out.filter(keep)
 
 
 def first_of_runs(
-    df: DataFrame, value: str, order: Sequence[str], key: str = SHIP, slice_seconds: int = DEFAULT_SLICE_SECONDS
+    df: DataFrame, value: str, order: Sequence[str], key: str = SHIP, slice_seconds: int | Slicing = DEFAULT_SLICE_SECONDS
 ) -> DataFrame:
     """Keep the first row of each run of equal ``value`` (null never equals null)."""
     new = ~F.coalesce(F.col(value) == F.col("_before"), F.lit(False))

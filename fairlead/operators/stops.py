@@ -48,7 +48,7 @@ def label_events(
     resolution: int = 10,
     tiebreak: Sequence[str] = (),
     depth: int = RING_DEPTH,
-    slice_seconds: int = sequence.DEFAULT_SLICE_SECONDS,
+    slice_seconds: int | sequence.Slicing = sequence.DEFAULT_SLICE_SECONDS,
 ) -> DataFrame:
     """Pings that belong to a stop event, with the event's id (``_ev_slice``,
     ``_ev_pos`` beside ``mmsi``), the times of the ping's neighbours and ship facts.
@@ -64,11 +64,9 @@ def label_events(
         if "cluster_time" in pings.columns
         else with_unix_time(pings)
     ).filter(F.col("mmsi").isNotNull() & F.col(cell).isNotNull() & F.col("dt_pos_utc").isNotNull())
-    rows = timed.withColumns(
+    typed = timed.withColumns({"mmsi": F.col("mmsi").cast("bigint"), "imo": F.col("imo").cast("bigint")})
+    rows = sequence.with_slices(typed, order, slice_seconds).withColumns(
         {
-            "mmsi": F.col("mmsi").cast("bigint"),
-            "imo": F.col("imo").cast("bigint"),
-            "_slice": sequence.time_slice("dt_pos_utc", slice_seconds),
             "_cell": grid.own(cell),
             "_slow": F.coalesce(F.col("sog") < STOP_SPEED, F.lit(False)),
         }
@@ -232,7 +230,7 @@ def stop_events(
     factor: float = 1.0,
     compat: bool = False,
     depth: int = RING_DEPTH,
-    slice_seconds: int = sequence.DEFAULT_SLICE_SECONDS,
+    slice_seconds: int | sequence.Slicing = sequence.DEFAULT_SLICE_SECONDS,
 ) -> DataFrame:
     """Stop events in the 32-column layout.
 
@@ -283,7 +281,7 @@ def stop_event_profiles(
     tiebreak: Sequence[str] = (),
     factor: float = 1.0,
     depth: int = RING_DEPTH,
-    slice_seconds: int = sequence.DEFAULT_SLICE_SECONDS,
+    slice_seconds: int | sequence.Slicing = sequence.DEFAULT_SLICE_SECONDS,
 ) -> DataFrame:
     """Stop events in the 34-column layout: spread in metres and five geometries;
     valid from ``min_observations`` pings on. No ship is skipped."""
@@ -319,13 +317,13 @@ def stationary(
     buffer_radius_m: float = 10000.0,
     tiebreak: Sequence[str] = (),
     compat: bool = False,
-    slice_seconds: int = sequence.DEFAULT_SLICE_SECONDS,
+    slice_seconds: int | sequence.Slicing = sequence.DEFAULT_SLICE_SECONDS,
 ) -> DataFrame:
     """Reduce pings to the buffer around the ports, then detect stop events."""
     from fairlead.functions.ports import without_small_ports
 
-    cells = areas.buffer_cells(without_small_ports(aoi, resolution), buffer_radius_m, resolution)
-    near = joins.keep_in_buffer(pings, cells, resolution).drop("boundary_h3")
+    runs = areas.buffer_runs(without_small_ports(aoi, resolution), buffer_radius_m, resolution)
+    near = joins.keep_in_runs(pings, runs, resolution)
     return stop_events(near, resolution, tiebreak, compat=compat, slice_seconds=slice_seconds)
 
 

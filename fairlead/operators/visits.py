@@ -45,18 +45,19 @@ def ships_seen_in_port(df: DataFrame, rows: DataFrame | None = None) -> DataFram
     return (df if rows is None else rows).join(ships, "mmsi", "left_semi")
 
 
-def distinct_pings(df: DataFrame, slice_seconds: int = sequence.DEFAULT_SLICE_SECONDS) -> DataFrame:
+def distinct_pings(
+    df: DataFrame, slice_seconds: int | sequence.Slicing = sequence.DEFAULT_SLICE_SECONDS, order: Sequence[str] = VISIT_ORDER
+) -> DataFrame:
     """Full-row dedup on the (ship, slice) partitioning the next step needs anyway, so
     the dedup brings no shuffle of its own. ``_slice`` stays, for that step to find."""
-    return (
-        df.withColumn("_slice", sequence.time_slice("dt_pos_utc", slice_seconds))
-        .repartition("mmsi", "_slice")
-        .dropDuplicates()
-    )
+    return sequence.with_slices(df, order, slice_seconds).repartition("mmsi", "_slice").dropDuplicates()
 
 
 def keep_edges(
-    df: DataFrame, order: Sequence[str] = VISIT_ORDER, slice_seconds: int = sequence.DEFAULT_SLICE_SECONDS
+    df: DataFrame,
+    order: Sequence[str] = VISIT_ORDER,
+    slice_seconds: int | sequence.Slicing = sequence.DEFAULT_SLICE_SECONDS,
+    keep_slice: bool = False,
 ) -> DataFrame:
     """Keep a ship's first and last row, and rows with exactly one neighbour on the
     other side of the port limit."""
@@ -69,11 +70,12 @@ def keep_edges(
         ahead={"_next": ("position", 1)},
         slice_seconds=slice_seconds,
         keep=F.coalesce(prev_other != next_other, F.lit(True)),
+        keep_slice=keep_slice,
     ).drop("_prev", "_next")
 
 
 def edge_rows(
-    pings: DataFrame, order: Sequence[str] = VISIT_ORDER, slice_seconds: int = sequence.DEFAULT_SLICE_SECONDS
+    pings: DataFrame, order: Sequence[str] = VISIT_ORDER, slice_seconds: int | sequence.Slicing = sequence.DEFAULT_SLICE_SECONDS
 ) -> DataFrame:
     """Exactly two passes of :func:`keep_edges` over ships seen in port; the second
     pass looks at the neighbours the first one left.
@@ -81,7 +83,9 @@ def edge_rows(
     The ship test is per ship, so it can wait until the passes have cut the rows down:
     done first, it would shuffle every ping by ship.
     """
-    once = keep_edges(distinct_pings(pings, slice_seconds), order, slice_seconds)
+    # Both passes work in the same slices: rows that are left are at most as many.
+    once = keep_edges(distinct_pings(pings, slice_seconds, order), order, keep_slice=True)
+    slice_seconds = sequence.plain(slice_seconds)
     return ships_seen_in_port(pings, keep_edges(once, order, slice_seconds))
 
 
@@ -89,10 +93,11 @@ def port_visits(
     tagged: DataFrame,
     cell: str = "H3_int_index_8",
     order: Sequence[str] = VISIT_ORDER,
-    slice_seconds: int = sequence.DEFAULT_SLICE_SECONDS,
+    slice_seconds: int | sequence.Slicing = sequence.DEFAULT_SLICE_SECONDS,
 ) -> DataFrame:
     """Visit edges with arrival / departure marks and seconds to the next row."""
     edges = edge_rows(visit_pings(tagged, cell), order, slice_seconds)
+    slice_seconds = sequence.plain(slice_seconds)
     seen = sequence.neighbours(
         edges,
         order,
@@ -116,7 +121,7 @@ def port_visits_by_port_change(
     tagged: DataFrame,
     cell: str = "H3_int_index_8",
     order: Sequence[str] = VISIT_ORDER,
-    slice_seconds: int = sequence.DEFAULT_SLICE_SECONDS,
+    slice_seconds: int | sequence.Slicing = sequence.DEFAULT_SLICE_SECONDS,
 ) -> DataFrame:
     """Draft variant that also ends a visit when the port changes without an outside ping.
 
@@ -126,6 +131,7 @@ def port_visits_by_port_change(
     """
     dropped = ("vessel_type_main", "vessel_type_sub", "Prov_ID", "Hirarki_1", "RegisteredOwnerCountryofDomicile")
     edges = edge_rows(visit_pings(tagged, cell).drop("RegisteredOwnerCountryofDomicile"), order, slice_seconds)
+    slice_seconds = sequence.plain(slice_seconds)
     beside = {
         "back": {"_prev": ("position", 1), "_prev_port": ("Port", 1)},
         "ahead": {"_next": ("position", 1), "_next_port": ("Port", 1)},
@@ -164,7 +170,7 @@ def departures(
     activity: DataFrame,
     min_minutes: int = 0,
     order: Sequence[str] = VISIT_ORDER,
-    slice_seconds: int = sequence.DEFAULT_SLICE_SECONDS,
+    slice_seconds: int | sequence.Slicing = sequence.DEFAULT_SLICE_SECONDS,
 ) -> DataFrame:
     """Departures; with a minimum stay the row is the first outside ping, it must
     follow an arrival row two places back that stayed long enough, and it takes the
@@ -187,7 +193,7 @@ def departures(
             "_position2": ("position", 2),
             "_arrived2": ("masuk_pelabuhan", 2),
         },
-        slice_seconds=slice_seconds,
+        slice_seconds=sequence.plain(slice_seconds),
         keep=F.coalesce(stayed, F.lit(False)),
     )
     return (
@@ -201,7 +207,7 @@ def movements(
     kind: str = "arrival",
     min_minutes: int = 0,
     order: Sequence[str] = VISIT_ORDER,
-    slice_seconds: int = sequence.DEFAULT_SLICE_SECONDS,
+    slice_seconds: int | sequence.Slicing = sequence.DEFAULT_SLICE_SECONDS,
 ) -> DataFrame:
     if kind == "arrival":
         return arrivals(activity, min_minutes)

@@ -28,7 +28,7 @@ def port_calls(
     ports: DataFrame,
     cell: str = "H3_int_index_8",
     tiebreak: Sequence[str] = (),
-    slice_seconds: int = sequence.DEFAULT_SLICE_SECONDS,
+    slice_seconds: int | sequence.Slicing = sequence.DEFAULT_SLICE_SECONDS,
 ) -> DataFrame:
     """Pings in ports, keeping the first ping of each stay at one port."""
     wanted = ["mmsi", "dt_pos_utc", "vessel_type", cell, *tiebreak]
@@ -38,7 +38,7 @@ def port_calls(
 
 
 def legs(
-    calls: DataFrame, tiebreak: Sequence[str] = (), slice_seconds: int = sequence.DEFAULT_SLICE_SECONDS
+    calls: DataFrame, tiebreak: Sequence[str] = (), slice_seconds: int | sequence.Slicing = sequence.DEFAULT_SLICE_SECONDS
 ) -> DataFrame:
     """One row per leg from a call to the ship's next call. Ships with a single call
     have no next call and so disappear without a separate count."""
@@ -51,7 +51,7 @@ def legs(
             "lat_destination": ("lat", 1),
             "lon_destination": ("lon", 1),
         },
-        slice_seconds=slice_seconds,
+        slice_seconds=sequence.plain(slice_seconds),
     )
     return (
         following.filter(F.col("Port_Country_Destination").isNotNull())

@@ -18,6 +18,11 @@ def tag_zone(pings: DataFrame, zone_cells: DataFrame, flag: str, cell: str = "H3
     return pings.join(joins.sized(cells), cell, "left").withColumn(flag, labels.or_false(flag))
 
 
+def tag_zone_runs(pings: DataFrame, runs: DataFrame, flag: str, resolution: int = 8, cell: str | None = None) -> DataFrame:
+    """The same for a zone given as runs of cells (``areas.zone_runs``), which is never expanded into cells."""
+    return joins.tag_runs(pings, runs, flag, resolution, cell)
+
+
 def first_last_in_zone(tagged: DataFrame, flag: str, keys: Sequence[str] = ("mmsi",)) -> DataFrame:
     return tagged.filter(F.col(flag)).groupBy(*keys).agg(
         F.min("dt_pos_utc").alias("first_detected_hormuz"), F.max("dt_pos_utc").alias("last_detected_hormuz")
@@ -50,7 +55,7 @@ def zone_edges(
     leave: str,
     enter: str,
     tiebreak: Sequence[str] = (),
-    slice_seconds: int = sequence.DEFAULT_SLICE_SECONDS,
+    slice_seconds: int | sequence.Slicing = sequence.DEFAULT_SLICE_SECONDS,
 ) -> DataFrame:
     """Pings where the ship has just left zone ``leave`` or just entered zone ``enter``."""
     order = ["dt_pos_utc", *tiebreak]
@@ -67,7 +72,7 @@ def zone_edges(
 
 
 def transit_times(
-    edges: DataFrame, slice_seconds: int = sequence.DEFAULT_SLICE_SECONDS
+    edges: DataFrame, slice_seconds: int | sequence.Slicing = sequence.DEFAULT_SLICE_SECONDS
 ) -> DataFrame:
     """First entry per ship, last exit before it, and the hours between.
 
@@ -75,7 +80,7 @@ def transit_times(
     exit before that entry; only those few rows meet per ship, so neither the edges
     of a busy ship nor its pings gather in one task and nothing is joined to itself.
     """
-    sliced = edges.withColumn("_slice", sequence.time_slice("dt_pos_utc", slice_seconds))
+    sliced = edges.withColumn("_slice", sequence.time_slice("dt_pos_utc", sequence.plain(slice_seconds)))
     in_slice = Window.partitionBy("mmsi", "_slice")
     entry_time = F.when(F.col("entry"), F.col("dt_pos_utc"))
     per_slice = (

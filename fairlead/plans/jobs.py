@@ -26,10 +26,7 @@ def ingest(
 ) -> DataFrame:
     """Every ping in the period of ships that were in the territory's areas."""
     region = region_areas.filter(F.col(territory_column) == territory)
-    cells = areas.zone_cells(region, resolution)
-    # Always from the position: a cell column of the input may belong to another grid.
-    placed = pings.withColumn("_region_cell", grid.cell_at("latitude", "longitude", resolution))
-    return readers.pings_of_ships_seen_in(placed, cells, "_region_cell", start, end).drop("_region_cell")
+    return readers.pings_of_ships_seen_in_runs(pings, areas.zone_runs(region, resolution), resolution, start, end)
 
 
 preprocess = clean.preprocess
@@ -40,7 +37,7 @@ def port_traffic(
     home_ports: DataFrame,
     foreign_ports: DataFrame,
     tiebreak: Sequence[str] = (),
-    slice_seconds: int = sequence.DEFAULT_SLICE_SECONDS,
+    slice_seconds: int | sequence.Slicing = sequence.EVEN,
 ) -> dict[str, DataFrame]:
     """Route counts: all international, first inbound and first outbound legs."""
     ports = voyages.with_centres(voyages.union_ports(home_ports, foreign_ports))
@@ -61,7 +58,7 @@ def boundary(
     buffer_radius_m: float = 10000.0,
     buffer_mode: str = "tag",
     draft: bool = False,
-    slice_seconds: int = sequence.DEFAULT_SLICE_SECONDS,
+    slice_seconds: int | sequence.Slicing = sequence.EVEN,
 ) -> DataFrame:
     """Port visits from area outlines. ``buffer_mode="tag"`` looks at all pings, as the
     published results do; ``"filter"`` only at pings inside the buffer."""
@@ -77,9 +74,7 @@ def boundary(
 
         chosen = without_small_ports(chosen, resolution)
     if buffer_mode == "filter":
-        pings = joins.keep_in_buffer(
-            pings, areas.buffer_cells(chosen, buffer_radius_m, resolution), resolution
-        ).drop("boundary_h3")
+        pings = joins.keep_in_runs(pings, areas.buffer_runs(chosen, buffer_radius_m, resolution), resolution)
     keys = [c for c in chosen.columns if c not in ("geom", "method")]
     tagged = joins.tag_ports(pings, areas.area_cells(chosen, keys, resolution), resolution)
     detect = visits.port_visits_by_port_change if draft else visits.port_visits
@@ -93,7 +88,7 @@ def port_call(
     port_time_limit: int = 30,
     cell: str = "H3_int_index_8",
     tiebreak: Sequence[str] = (),
-    slice_seconds: int = sequence.DEFAULT_SLICE_SECONDS,
+    slice_seconds: int | sequence.Slicing = sequence.EVEN,
 ) -> dict[str, DataFrame]:
     """Strait tags, ship lists through / not through the strait, and the arrival recap."""
     tagged = zones.tag_zone(pings, strait_cells, "is_hormuz", cell)
@@ -121,7 +116,7 @@ def time_travel(
     home_cells: DataFrame,
     cell: str = "H3_int_index_8",
     tiebreak: Sequence[str] = (),
-    slice_seconds: int = sequence.DEFAULT_SLICE_SECONDS,
+    slice_seconds: int | sequence.Slicing = sequence.EVEN,
 ) -> DataFrame:
     """Hours from the last strait exit to the first entry into home waters."""
     order = ["dt_pos_utc", *tiebreak]

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fairlead.functions import grid
 from fairlead.operators import areas, columns, joins
 
 
@@ -49,6 +50,11 @@ def pings_in_cells(pings: DataFrame, cells: DataFrame, cell: str) -> DataFrame:
     return pings.join(joins.sized(wanted), cell, "left_semi")
 
 
+def pings_in_runs(pings: DataFrame, runs: DataFrame, cell: str, resolution: int) -> DataFrame:
+    """Pings in a region given as runs of cells, see ``areas.zone_runs``."""
+    return joins.keep_in_runs(pings, runs, resolution, cell)
+
+
 def pings_of_ships(pings: DataFrame, ships: DataFrame) -> DataFrame:
     """Semi join on the ship number; adaptive execution broadcasts the list if its bytes allow."""
     return pings.join(ships.select("mmsi").distinct(), "mmsi", "left_semi")
@@ -65,3 +71,12 @@ def pings_of_ships_seen_in(
     current = in_period(pings, start, end)
     seen = distinct_ships(pings_in_cells(current, cells, cell))
     return pings_of_ships(current, seen)
+
+
+def pings_of_ships_seen_in_runs(
+    pings: DataFrame, runs: DataFrame, resolution: int, start: date | str, end: date | str, lat: str = "latitude", lon: str = "longitude"
+) -> DataFrame:
+    """The same for a region given as runs of cells; the cell is always made from the position."""
+    current = in_period(pings, start, end)
+    placed = current.select("mmsi", grid.cell_at(lat, lon, resolution).alias("_cell"))
+    return pings_of_ships(current, distinct_ships(pings_in_runs(placed, runs, "_cell", resolution)))

@@ -64,6 +64,15 @@ def tied_pings(spark, sf) -> DataFrame:
     return p.withColumn("dt_pos_utc", F.date_trunc("hour", "dt_pos_utc").cast(p.schema["dt_pos_utc"].dataType))
 
 
+def crowded_pings(spark, sf) -> DataFrame:
+    """Pings of which nine in ten carry one ship's number, as a shared or broken transponder would send them."""
+    return pings(spark, sf).withColumn("mmsi", F.when(F.col("event_id") % 10 < 9, 1).otherwise(F.col("mmsi")).cast("bigint"))
+
+
+#: Slices of a month, so that the crowded ship overfills them, and parts of a few hundred pings.
+CUT = sequence.Slicing(30 * 86400, 400)
+
+
 def aoi(spark, sf) -> DataFrame:
     return areas.load_wkt(view(spark, sf, "aoi"), "wkt")
 
@@ -374,6 +383,24 @@ def keep_in_buffer(spark, sf):
     return joins.keep_in_buffer(grid_pings(spark, sf), cells).select("event_id", "boundary_h3")
 
 
+@query
+def buffer_run_tag(spark, sf):
+    runs = areas.buffer_runs(aoi(spark, sf), 10000.0, 8)
+    return joins.tag_runs(grid_pings(spark, sf), runs, "in_buffer", 8).select("event_id", "in_buffer")
+
+
+@query
+def keep_in_runs(spark, sf):
+    runs = areas.buffer_runs(aoi(spark, sf), 10000.0, 8)
+    return joins.keep_in_runs(grid_pings(spark, sf), runs, 8).select("event_id", "H3_int_index_8")
+
+
+@query
+def zone_run_flags(spark, sf):
+    asia = areas.zone_runs(aoi(spark, sf).filter("TERRITORY1 = 'ASIA'"), 9)
+    return zones.tag_zone_runs(grid_pings(spark, sf, 9), asia, "in_zone", 9).select("event_id", "in_zone")
+
+
 @query
 def zone_flags(spark, sf):
     tagged = zones.tag_zone(strait_tagged(spark, sf), zone(spark, sf, "home"), "is_indo")
@@ -901,3 +928,44 @@ def zone_edges_tied(spark, sf):
     return zones.zone_edges(tagged, "is_hormuz", "is_indo", slice_seconds=SLICE).select(
         "mmsi", "dt_pos_utc", F.col("exit").alias("zone_exit"), F.col("entry").alias("zone_entry")
     )
+
+
+# ---- one ship with most pings, cut into parts of equal count -----------------------
+
+
+@query
+def stop_events_crowded(spark, sf):
+    placed = crowded_pings(spark, sf).withColumn("H3_int_index_8", grid.cell_at("latitude", "longitude", 8))
+    return rounded(stops.stop_events(placed, 8, TIE, slice_seconds=CUT))
+
+
+@query
+def port_call_runs_crowded(spark, sf):
+    calls = voyages.port_calls(crowded_pings(spark, sf), view(spark, sf, "port_cells"), tiebreak=TIE, slice_seconds=CUT)
+    return calls.select("mmsi", "dt_pos_utc", "Port_Country")
+
+
+@query
+def visit_edges_crowded(spark, sf):
+    rows = visits.visit_pings(joins.tag_ports(crowded_pings(spark, sf), view(spark, sf, "aoi_cells")))
+    return visits.edge_rows(rows, slice_seconds=CUT).select("mmsi", "dt_pos_utc", "Port", "position")
+
+
+@query
+def port_visits_crowded(spark, sf):
+    return visits.port_visits(joins.tag_ports(crowded_pings(spark, sf), view(spark, sf, "aoi_cells")), slice_seconds=CUT)
+
+
+@query
+def port_visits_by_port_change_crowded(spark, sf):
+    tagged = joins.tag_ports(crowded_pings(spark, sf), view(spark, sf, "aoi_cells"))
+    return visits.port_visits_by_port_change(tagged, slice_seconds=CUT)
+
+
+@query
+def zone_edges_crowded(spark, sf):
+    tagged = zones.tag_zone(crowded_pings(spark, sf), zone(spark, sf, "strait"), "is_hormuz")
+    tagged = zones.tag_zone(tagged, zone(spark, sf, "home"), "is_indo")
+    return zones.zone_edges(tagged, "is_hormuz", "is_indo", TIE, CUT).select(
+        "mmsi", "dt_pos_utc", F.col("exit").alias("zone_exit"), F.col("entry").alias("zone_entry")
+    )

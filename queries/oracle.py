@@ -209,6 +209,8 @@ add("pings_in_ports", ctes("pings", "port_cells") + "SELECT event_id, mmsi, Port
 BUFFER = buffer_ctes(8, 10000.0, 0.1)
 add("buffer_tag", ctes("aoi", pings=grid_pings(), **BUFFER) + "SELECT event_id, boundary_h3 FROM pings LEFT JOIN buffered ON H3_int_index_8 = boundary_h3")
 add("keep_in_buffer", ctes("aoi", pings=grid_pings(), **BUFFER) + "SELECT event_id, boundary_h3 FROM pings JOIN buffered ON H3_int_index_8 = boundary_h3")
+add("buffer_run_tag", ctes("aoi", pings=grid_pings(), **BUFFER) + "SELECT event_id, boundary_h3 IS NOT NULL AS in_buffer FROM pings LEFT JOIN buffered ON H3_int_index_8 = boundary_h3")
+add("keep_in_runs", ctes("aoi", pings=grid_pings(), **BUFFER) + "SELECT event_id, H3_int_index_8 FROM pings JOIN buffered ON H3_int_index_8 = boundary_h3")
 TAGGED = """SELECT p.*, EXISTS (SELECT 1 FROM zone_cells z WHERE z.zone = 'strait' AND z.cell = p.H3_int_index_8) AS is_hormuz,
 EXISTS (SELECT 1 FROM zone_cells z WHERE z.zone = 'home' AND z.cell = p.H3_int_index_8) AS is_indo FROM pings p"""
 ZONED = ctes("pings", "zone_cells", tagged=TAGGED)
@@ -531,6 +533,8 @@ add("cell_centres", GRID + f"""SELECT DISTINCT H3_int_index_8, round({centre_lat
 round({centre_lon('H3_int_index_8', 8)}, 6) AS lon FROM pings""")
 add("area_cells", ctes("aoi", **fill_ctes(10)) + "SELECT Kode, cell AS h3_ids_int FROM filled")
 add("zone_union_cells", ctes("aoi", **fill_ctes(9)) + "SELECT DISTINCT f.cell FROM filled f JOIN aoi USING (Kode) WHERE TERRITORY1 = 'ASIA'")
+add("zone_run_flags", ctes("aoi", pings=grid_pings(9), **fill_ctes(9)) + """SELECT event_id, H3_int_index_9 IN
+(SELECT f.cell FROM filled f JOIN aoi USING (Kode) WHERE TERRITORY1 = 'ASIA') AS in_zone FROM pings""")
 add("buffer_cells", ctes("aoi", **buffer_ctes(10, 10000.0, 0.1)) + "SELECT boundary_h3 FROM buffered")
 add("cell_rings", GRID + f"""SELECT H3_int_index_8, H3_int_index_8 + dq * {1 << 26} + dr AS neighbour FROM (SELECT DISTINCT H3_int_index_8 FROM pings) c
 CROSS JOIN range(-2, 3) a(dq) CROSS JOIN range(-2, 3) b(dr) WHERE greatest(abs(dq), abs(dr), abs(dq + dr)) <= 2""")
@@ -567,3 +571,7 @@ for _name, _plain, _full in (
 ):
     add(f"{_name}_tied", ORACLE[_name].replace("ts AS dt_pos_utc", "date_trunc('hour', ts) AS dt_pos_utc").replace(
         f"ORDER BY {_plain}", f"ORDER BY {_full}"))
+
+# Nine in ten pings carry the number of one ship; how Spark cuts it up must not show.
+for _name in ("stop_events", "port_call_runs", "visit_edges", "port_visits", "port_visits_by_port_change", "zone_edges"):
+    add(f"{_name}_crowded", ORACLE[_name].replace("user_id AS mmsi", "CASE WHEN event_id % 10 < 9 THEN 1 ELSE user_id END AS mmsi"))

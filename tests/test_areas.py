@@ -8,7 +8,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from fairlead.functions import geo, grid
-from fairlead.operators import areas
+from fairlead.operators import areas, joins, zones
 from fairlead.schemas import HORMUZ_WKT
 
 SHAPES = {
@@ -132,3 +132,66 @@ def test_areas_that_share_their_name_add_up(spark):
     points = spark.createDataFrame([(1, 100.015, 1.01), (2, 100.005, 1.01), (3, 100.2, 1.01)], "id int, longitude double, latitude double")
     found = areas.points_in_areas(points, areas.load_wkt(table, "wkt"), 10)
     assert sorted(r.id for r in found.collect()) == [1, 1, 1, 2, 2]
+
+
+# ---- lattice runs joined as runs --------------------------------------------------
+
+
+def square(spark, west, south, east, north):
+    wkt = f"POLYGON (({west} {south}, {east} {south}, {east} {north}, {west} {north}, {west} {south}))"
+    return areas.load_wkt(spark.createDataFrame([("z", wkt)], "name string, wkt string"), "wkt")
+
+
+def test_a_zone_of_a_hundred_million_cells_is_tagged_without_a_shuffle_of_pings(spark):
+    rnd = random.Random(11)
+    runs = areas.zone_runs(square(spark, -10.0, -20.0, 60.0, 50.0), 8)
+    assert runs.agg(F.sum(F.col("_last") - F.col("_first") + 1)).first()[0] > 100_000_000 and runs.count() < 20_000
+    rows = [(k, rnd.uniform(-80, 80), rnd.uniform(-180, 180)) for k in range(3000)] + [(3000, None, 1.0)]
+    pings = spark.createDataFrame(rows, "event_id long, latitude double, longitude double")
+    pings = pings.withColumn("H3_int_index_8", grid.cell_at("latitude", "longitude", 8))
+    tagged = zones.tag_zone_runs(pings, runs, "inside")
+    plan = tagged._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert "Exchange hashpartitioning" not in plan.split("InMemoryRelation")[0]
+    centre = tagged.select("event_id", "inside", grid.centre("H3_int_index_8", 8).alias("c")).collect()
+    for r in centre:
+        want = r.c is not None and r.c.lat is not None and -20 <= r.c.lat < 50 and -10 <= r.c.lon < 60
+        assert r.inside == want, r
+
+
+def test_runs_with_many_parts_in_a_row(spark, monkeypatch):
+    """Hundreds of runs in one row of the lattice, found by binary search, against their cells."""
+    rnd = random.Random(12)
+    parts, x = [], 0.0
+    for _ in range(300):
+        x += rnd.uniform(0.02, 0.1)
+        width = rnd.uniform(0.01, 0.05)
+        parts.append(f"(({x:.4f} 0.1, {x + width:.4f} 0.1, {x + width:.4f} 0.3, {x:.4f} 0.3, {x:.4f} 0.1))")
+        x += width
+    zone = areas.load_wkt(spark.createDataFrame([("m", f"MULTIPOLYGON ({', '.join(parts)})")], "name string, wkt string"), "wkt")
+    rows = [(k, rnd.uniform(0.05, 0.35), rnd.uniform(-1, x + 1)) for k in range(4000)]
+    pings = spark.createDataFrame(rows, "event_id long, latitude double, longitude double")
+    pings = pings.withColumn("H3_int_index_9", grid.cell_at("latitude", "longitude", 9))
+    got = joins.tag_runs(pings, areas.zone_runs(zone, 9), "inside", 9).select("event_id", "inside").collect()
+    cells = {r[0] for r in areas.zone_cells(zone, 9).collect()}
+    where = {r.event_id: r.H3_int_index_9 for r in pings.collect()}
+    assert all(r.inside == (where[r.event_id] in cells) for r in got) and len(got) == 4000
+    assert 100 < sum(r.inside for r in got) < 3900
+    assert joins.tag_runs(pings, areas.zone_runs(zone.limit(0), 9), "inside", 9).filter("inside").count() == 0
+    # the same by a merge join, as for runs that are too many to broadcast
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        monkeypatch.setattr(joins.sized, "__defaults__", (0, 0))
+        merged = joins.keep_in_runs(pings, areas.zone_runs(zone, 9), 9)
+        assert "SortMergeJoin" in merged._jdf.queryExecution().executedPlan().toString()
+        assert merged.count() == sum(r.inside for r in got)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_cells_of_another_resolution_or_grid_raise(spark):
+    runs = areas.zone_runs(square(spark, 0.0, 0.0, 1.0, 1.0), 8)
+    for cell in (grid.cell_at(F.lit(0.5), F.lit(0.5), 9), F.lit(613196570357137407)):
+        pings = spark.range(1).withColumn("H3_int_index_8", cell)
+        with pytest.raises(Exception):
+            joins.tag_runs(pings, runs, "inside", 8).collect()

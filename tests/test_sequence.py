@@ -97,3 +97,50 @@ def test_rank_keeps_ties(spark):
 def test_slice_length_is_checked():
     with pytest.raises(ValueError):
         sequence.time_slice(seconds=0)
+
+
+CROWDED = "mmsi long, dt_pos_utc timestamp_ntz, event_id long, v string"
+
+
+def crowded(spark, seed, ties):
+    """One ship with nine in ten pings, all of them in one hour; with ties, in two instants of it."""
+    rnd = random.Random(seed)
+    rows = [(1, START + dt.timedelta(seconds=rnd.randrange(2) if ties else rnd.random() * 3600), k, rnd.choice("ab")) for k in range(9000)]
+    rows += [(rnd.randrange(2, 40), START + dt.timedelta(seconds=rnd.randrange(86400)), 9000 + k, rnd.choice("ab")) for k in range(1000)]
+    rows += [(None, START, 10000, "a"), (2, None, 10001, "b")]
+    rnd.shuffle(rows)
+    return spark.createDataFrame(rows, CROWDED).repartition(5)
+
+
+@pytest.mark.parametrize("ties", [False, True])
+@pytest.mark.parametrize("tiebreak", [[], ["event_id"]])
+def test_overfull_slices_are_cut_to_the_target(spark, ties, tiebreak):
+    df = crowded(spark, 8, ties)
+    slicing = sequence.Slicing(3600, target=300)
+    sliced = sequence.with_slices(df, ["dt_pos_utc", *tiebreak], slicing)
+    assert sliced.columns == [*df.columns, "_slice"]
+    rows = sliced.collect()
+    assert len(rows) == 10002
+    sizes = {}
+    for r in rows:
+        if r.mmsi is not None and r.dt_pos_utc is not None:
+            sizes.setdefault((r.mmsi, r._slice), []).append((r.dt_pos_utc, r.event_id))
+    assert max(map(len, sizes.values())) <= 300 and len([k for k in sizes if k[0] == 1]) >= 30
+    # parts follow each other
+    spans = sorted((k[1], min(v), max(v)) for k, v in sizes.items() if k[0] == 1)
+    assert all(a[2] < b[1] for a, b in zip(spans, spans[1:]))
+
+
+def test_the_number_of_cuts_is_bounded(spark):
+    sliced = sequence.with_slices(crowded(spark, 9, False), ["dt_pos_utc"], sequence.Slicing(3600, target=1, most=10))
+    assert 5 <= sliced.filter("mmsi = 1").select("_slice").distinct().count() <= 25
+
+
+def test_cut_slices_do_not_change_neighbours(spark):
+    df = crowded(spark, 10, True)
+    results = []
+    for slicing in (10**7, sequence.Slicing(10**7, 500), sequence.Slicing(3600, 64)):
+        got = sequence.neighbours(df, ["dt_pos_utc"], back={"b": ("v", 2)}, ahead={"a": ("event_id", 1)}, slice_seconds=slicing)
+        results.append(sorted(map(str, got.collect())))
+    assert results[0] == results[1] == results[2]
+    assert sequence.with_slices(df.limit(0), ["dt_pos_utc"], sequence.EVEN).count() == 0
