@@ -105,6 +105,14 @@ def port_visits(
         ahead={"_next": ("position", 1), "_next_time": ("dt_pos_utc", 1)},
         slice_seconds=slice_seconds,
     )
+    return marked(seen).drop("_prev", "_next", "_next_time")
+
+
+MARKS = ["masuk_pelabuhan", "keluar_pelabuhan", "time"]
+
+
+def marked(seen: DataFrame) -> DataFrame:
+    """Arrival and departure marks and seconds to the next row, from the neighbours in ``_prev``, ``_next``, ``_next_time``."""
     inside = F.col("position") == "in"
     arrives = F.when(inside, F.col("_prev") == "out").otherwise(F.col("_next") == "in")
     departs = F.when(inside, F.col("_next") == "out").otherwise(F.col("_prev") == "in")
@@ -114,7 +122,7 @@ def port_visits(
             "keluar_pelabuhan": F.when(departs, "keluar").otherwise("-"),
             "time": labels.seconds_between("_next_time", "dt_pos_utc"),
         }
-    ).drop("_prev", "_next", "_next_time")
+    )
 
 
 def port_visits_by_port_change(

@@ -31,10 +31,15 @@ def port_calls(
     slice_seconds: int | sequence.Slicing = sequence.DEFAULT_SLICE_SECONDS,
 ) -> DataFrame:
     """Pings in ports, keeping the first ping of each stay at one port."""
+    order = ["dt_pos_utc", *tiebreak, "Port_Country"]
+    return sequence.first_of_runs(in_port_pings(pings, ports, cell, tiebreak), "Port_Country", order, slice_seconds=slice_seconds)
+
+
+def in_port_pings(pings: DataFrame, ports: DataFrame, cell: str = "H3_int_index_8", tiebreak: Sequence[str] = ()) -> DataFrame:
+    """Narrow pings in ports, with the port and its centre."""
     wanted = ["mmsi", "dt_pos_utc", "vessel_type", cell, *tiebreak]
     inside = joins.pings_in_ports(pings.select(*wanted), ports.select("boundary_h3", "Port_Country", "lat", "lon"), cell)
-    order = ["dt_pos_utc", *tiebreak, "Port_Country"]
-    return sequence.first_of_runs(inside.drop("boundary_h3"), "Port_Country", order, slice_seconds=slice_seconds)
+    return inside.drop("boundary_h3")
 
 
 def legs(

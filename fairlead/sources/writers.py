@@ -11,11 +11,19 @@ def write_parquet(df: DataFrame, path: str, partition_by: tuple[str, ...] = ())
     return path
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def exists(spark: SparkSession, path: str) -> bool:
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
 
 
+def partitions(spark: SparkSession, path: str, column: str) -> list[str]:
+    """The values of a table's partition folders, in any order; no row is read."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = where.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(where)
+    names = [f.getPath().getName() for f in found if f.isDirectory()]
+    return [n.removeprefix(f"{column}=") for n in names if n.startswith(f"{column}=")]
+
+
 def accumulate(spark: SparkSession, current: DataFrame, target: str, period: str, column: str = "period") -> str:
     """Add a period to the accumulation at ``target``, as the partition ``column=period``.
 
@@ -25,7 +33,7 @@ def accumulate(spark: SparkSession, current: DataFrame, target: str, period: str
     """
     if not period or any(c in period for c in "/= "):
         raise ValueError("a period is a plain name such as 2024-01")
-    if _exists(spark, target):
+    if exists(spark, target):
         have = set(spark.read.parquet(target).columns) - {column}
         if have != set(current.columns):
             raise ValueError(f"columns differ from the accumulation: {sorted(have ^ set(current.columns))}")

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from fairlead.functions import geo, grid, labels, ports
 from fairlead.operators import areas, clean, columns, joins, reports, sequence, stats, stops, visits, voyages, zones
-from fairlead.plans import jobs
+from fairlead.plans import jobs, periods
 from fairlead.schemas import SHIP_ATTRIBUTES
 from fairlead.sources import readers, writers
 from queries.fixture import SLICE, table, view, work_folder
@@ -216,6 +216,31 @@ def accumulate_periods(spark, sf):
     return writers.accumulated(spark, path)
 
 
+LEG_COLUMNS = [
+    "mmsi", "dt_pos_utc", "Port_Country_Origin", "Port_Country_Destination", "lat_destination", "lon_destination",
+    "Country_Origin", "Country_Destination",
+]
+THIRDS = (("2024-01a", "2024-01-01", "2024-01-10"), ("2024-01b", "2024-01-11", "2024-01-20"), ("2024-01c", "2024-01-21", "2024-12-31"))
+
+
+@query
+def voyage_legs_by_period(spark, sf):
+    target = work_folder(spark)
+    for period, start, end in THIRDS:
+        periods.add_voyages(
+            readers.in_period(pings(spark, sf), start, end), view(spark, sf, "port_cells"), target, period, tiebreak=TIE, slice_seconds=SLICE
+        )
+    return periods.voyage_legs(spark, target).select(*LEG_COLUMNS)
+
+
+@query
+def port_visits_by_period(spark, sf):
+    target = work_folder(spark)
+    for period, start, end in THIRDS:
+        periods.add_visits(readers.in_period(port_tagged(spark, sf), start, end), target, period, slice_seconds=SLICE)
+    return periods.port_visits(spark, target, slice_seconds=SLICE)
+
+
 @query
 def stored_cells(spark, sf):
     cells = areas.zone_cells(aoi(spark, sf), 9)
@@ -515,10 +540,7 @@ def ships_with_several_calls(spark, sf):
 
 @query
 def voyage_legs(spark, sf):
-    return simple_legs(spark, sf).select(
-        "mmsi", "dt_pos_utc", "Port_Country_Origin", "Port_Country_Destination", "lat_destination", "lon_destination",
-        "Country_Origin", "Country_Destination",
-    )
+    return simple_legs(spark, sf).select(*LEG_COLUMNS)
 
 
 @query

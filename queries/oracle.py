@@ -575,3 +575,7 @@ for _name, _plain, _full in (
 # Nine in ten pings carry the number of one ship; how Spark cuts it up must not show.
 for _name in ("stop_events", "port_call_runs", "visit_edges", "port_visits", "port_visits_by_port_change", "zone_edges"):
     add(f"{_name}_crowded", ORACLE[_name].replace("user_id AS mmsi", "CASE WHEN event_id % 10 < 9 THEN 1 ELSE user_id END AS mmsi"))
+
+# The same rows in three periods, each starting from what the one before left behind.
+for _name in ("voyage_legs", "port_visits"):
+    add(f"{_name}_by_period", ORACLE[_name])
