@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fairlead.llm.text import documents, prefix_hashes, ship, sliced, span_hashes, stored
+from fairlead.llm.text import BASE, documents, mix, prefix_hashes, ship, sliced, span_hashes, stored
 
 #: Letter classes of the language model: 0 ends a word, 1 to 26 are a to z, the others share the rest.
 CLASSES = 64
@@ -50,7 +50,6 @@ _SIGNS = re.escape("".join(LOOK_ALIKES))
 _EDGES = rf"^[^\p{{L}}0-9@$+€£¡!]+|[^\p{{L}}0-9@$+€£¡]+$"
 _PLAIN = r"^\p{L}+$"
 _HAS_LETTER = r"\p{L}"
-_THRICE = re.compile(r"(\S)\1\1")
 
 
 def letter_classes(codes: np.ndarray) -> np.ndarray:
@@ -68,7 +67,7 @@ def trigrams(words: pa.Array, weights: np.ndarray) -> np.ndarray:
     out = np.zeros(CLASSES**3)
     if not len(words):
         return out
-    text = np.frombuffer("\0".join(["", "", *words.to_pylist(), ""]).replace("\0", "\0\0").encode("utf-32-le"), np.uint32)
+    text = np.frombuffer("\0".join(["", "", *words.to_numpy(zero_copy_only=False), ""]).replace("\0", "\0\0").encode("utf-32-le"), np.uint32)
     codes = letter_classes(text.astype(np.int64))
     number = np.repeat(weights, pc.utf8_length(words).to_numpy(zero_copy_only=False) + 2)
     # words are two ends apart: of (before, before, now) those whose last is the second end say nothing
@@ -80,6 +79,22 @@ def trigrams(words: pa.Array, weights: np.ndarray) -> np.ndarray:
     return np.bincount(gram[:n][use[:n]], weights=number[:n][use[:n]], minlength=CLASSES**3)
 
 
+def letters(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Places where words begin and end in the code points of all words, and these code points; a line end parts words."""
+    length = pc.utf8_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
+    joined = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words), "\n")[0].as_py() if len(words) else ""
+    return np.cumsum(length + 1) - length - 1, np.frombuffer(joined.encode("utf-32-le"), np.uint32)
+
+
+def thrice(words: pa.Array) -> np.ndarray:
+    """Which words write a sign three times or more in a row."""
+    starts, codes = letters(words)
+    out = np.zeros(len(words), bool)
+    hits = np.flatnonzero((codes[2:] == codes[1:-1]) & (codes[1:-1] == codes[:-2]) & (codes[2:] != 10))
+    out[np.searchsorted(starts, hits, side="right") - 1] = True
+    return out
+
+
 class Tokens:
     """Words of many texts, by text, in order, as places in a table of distinct words."""
 
@@ -90,13 +105,7 @@ class Tokens:
         self.text = np.repeat(np.arange(len(texts)), np.diff(offsets))
         self.index = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
         self.words = pc.replace_substring_regex(pc.utf8_lower(coded.dictionary), _EDGES, "")
-        joined = "\n".join(self.words.to_pylist())
-        length = pc.utf8_length(self.words).to_numpy(zero_copy_only=False).astype(np.int64)
-        self.length = length
-        starts = np.cumsum(length + 1) - (length + 1)
-        self.thrice = np.zeros(len(self.words), bool)
-        hits = np.array([m.start() for m in _THRICE.finditer(joined)], np.int64)
-        self.thrice[np.searchsorted(starts, hits, side="right") - 1] = True
+        self.thrice = thrice(self.words)
         self.plain = pc.match_substring_regex(self.words, _PLAIN).to_numpy(zero_copy_only=False) & ~self.thrice
         self.lettered = pc.match_substring_regex(self.words, _HAS_LETTER).to_numpy(zero_copy_only=False)
 
@@ -204,41 +213,44 @@ class Channel:
         return " ".join("".join(reversed(parts)).split())
 
 
-def restored_words(channel: Channel, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
-    """(text, word, words): the restored words of all texts in order, as places in a table of distinct words."""
+def restored_words(channel: Channel, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """(text, word, words): the restored words of all texts in order, as places in a table of words.
+
+    The table begins with the tokens as they stand; what was decoded follows. A word may be in it twice.
+    """
     tokens = Tokens(texts)
-    raw = tokens.words.to_pylist()
-    vocabulary: dict[str, int] = {}
+    more: dict[str, int] = {}
 
     def places(reading: str) -> list[int]:
-        return [vocabulary.setdefault(w, len(vocabulary)) for w in reading.split()]
-
-    # distinct tokens: as they are, decoded, or nothing (no letter)
-    read = [
-        [vocabulary.setdefault(w, len(vocabulary))] if plain else places(channel.decode(w)) if lettered else []
-        for w, plain, lettered in zip(raw, tokens.plain.tolist(), tokens.lettered.tolist())
-    ]
-    sizes = np.fromiter(map(len, read), np.int64, len(read))
-    flat = np.fromiter((i for r in read for i in r), np.int64, int(sizes.sum()))
+        return [len(tokens.words) + more.setdefault(w, len(more)) for w in reading.split()]
+
+    # a token is one word as it is, what it decodes to, or nothing (no letter)
+    sizes = tokens.plain.astype(np.int64)
+    odd = np.flatnonzero(tokens.lettered & ~tokens.plain)
+    decoded = [places(channel.decode(w)) for w in tokens.words.take(pa.array(odd)).to_numpy(zero_copy_only=False)]
+    sizes[odd] = [len(d) for d in decoded]
     begin = np.cumsum(sizes) - sizes
+    flat = np.repeat(np.arange(len(sizes)), sizes)
+    at = np.repeat(begin[odd], sizes[odd])
+    flat[at + np.arange(len(at)) - np.repeat(np.cumsum(sizes[odd]) - sizes[odd], sizes[odd])] = [i for d in decoded for i in d]
     # runs of three tokens or more of one or two characters, within one text
-    lookalike = pc.match_substring_regex(tokens.words, rf"^(?:\p{{L}}|[{_SIGNS}]){{1,2}}$").to_numpy(zero_copy_only=False)
-    short = lookalike[tokens.index] if len(tokens.index) else np.zeros(0, bool)
-    same = np.concatenate([[False], (tokens.text[1:] == tokens.text[:-1]) & short[1:] & short[:-1]]) if len(short) else short
-    run = np.cumsum(~same) - 1
-    firsts = np.flatnonzero(~same)
-    lengths = np.diff(np.append(firsts, len(same)))
-    in_run = (short & (lengths >= 3)[run]) if len(short) else short
-    n = np.where(in_run, 0, sizes[tokens.index]) if len(short) else np.zeros(0, np.int64)
+    look = pc.match_substring_regex(tokens.words, rf"^(?:\p{{L}}|[{_SIGNS}]){{1,2}}$").to_numpy(zero_copy_only=False)
+    short = look.astype(bool)[tokens.index]
+    chained = np.zeros(len(short), bool)
+    chained[1:] = (tokens.text[1:] == tokens.text[:-1]) & short[1:] & short[:-1]
+    firsts = np.flatnonzero(~chained)
+    lengths = np.diff(np.append(firsts, len(chained)))
+    in_run = short & np.repeat(lengths >= 3, lengths)
+    n = np.where(in_run, 0, sizes[tokens.index])
     text, order = np.repeat(tokens.text, n), np.repeat(np.arange(len(n)), n)
-    word = flat[np.arange(n.sum()) + np.repeat(begin[tokens.index] - (np.cumsum(n) - n), n)] if n.sum() else np.zeros(0, np.int64)
+    word = flat[np.arange(n.sum()) + np.repeat(begin[tokens.index] - (np.cumsum(n) - n), n)]
     extra_at: list[int] = []
     extra: list[int] = []
-    for a, size in zip(firsts[lengths >= 3].tolist(), lengths[lengths >= 3].tolist()):
-        if not short[a]:
-            continue
-        letters = [raw[i] for i in tokens.index[a : a + size].tolist()]
-        reading = " ".join(letters)
+    runs = np.flatnonzero((lengths >= 3) & short[firsts]) if len(firsts) else firsts
+    few = tokens.words.take(pa.array(np.flatnonzero(look))).to_numpy(zero_copy_only=False)
+    spelled = dict(zip(np.flatnonzero(look).tolist(), few))
+    for a, size in zip(firsts[runs].tolist(), lengths[runs].tolist()):
+        reading = " ".join([spelled[i] for i in tokens.index[a : a + size].tolist()])
         if any(map(str.isalpha, reading)):
             got = places(channel.decode(reading))
             extra += got
@@ -248,7 +260,7 @@ def restored_words(channel: Channel, texts: pa.Array) -> tuple[np.ndarray, np.nd
         merged = np.argsort(np.concatenate([order, at]), kind="stable")
         text = np.concatenate([text, tokens.text[at]])[merged]
         word = np.concatenate([word, np.array(extra, np.int64)])[merged]
-    return text, word, list(vocabulary)
+    return text, word, pa.concat_arrays([tokens.words, pa.array(list(more), tokens.words.type)])
 
 
 def restored(docs: DataFrame, channel: Channel) -> DataFrame:
@@ -262,41 +274,66 @@ def restored(docs: DataFrame, channel: Channel) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, "text", CHUNK):
-            text, word, words = restored_words(sent.value, batch.column("text"))
+            text, word, table = restored_words(sent.value, batch.column("text"))
+            words = table.to_numpy(zero_copy_only=False)
             ends = np.searchsorted(text, np.arange(batch.num_rows + 1))
-            out = [" ".join([words[i] for i in word[a:b].tolist()]) for a, b in zip(ends, ends[1:])]
+            out = [" ".join(words[word[a:b]]) for a, b in zip(ends, ends[1:])]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(out, pa.string())], ["doc_id", "restored"])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, restored string")
 
 
-def parts(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(word, hash) of all parts of all words, a mark in front and behind; whole words too."""
-    data = [b"\x02" + w.encode() + b"\x03" for w in words]
-    sizes = np.fromiter(map(len, data), np.int64, len(data))
-    if not len(sizes):
+#: Odd multipliers of the bytes of a part, by place.
+_FACTORS = mix(np.arange(1, PARTS.stop + 1, dtype=np.uint64)) | np.uint64(1)
+_BITS = 20
+
+
+def parts(words: pa.Array, wanted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(word, hash) of all parts of all words, a mark in front and behind, and of whole words; or of the parts in a sorted
+    array of hashes only, then with their places there."""
+    if not len(words):
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    whole = np.frombuffer(b"".join(data), np.uint8)
-    prefix = prefix_hashes(whole.astype(np.uint64) + np.uint64(1))
+    marked = pc.binary_join_element_wise("\x02", words, "\x03", "")
+    sizes = pc.binary_length(marked).to_numpy(zero_copy_only=False).astype(np.int64)
     last = np.cumsum(sizes)
-    owner = np.repeat(np.arange(len(sizes)), sizes)
+    whole = np.frombuffer(marked.buffers()[2], np.uint8)[: last[-1]].astype(np.uint64)
     left = np.repeat(last, sizes) - np.arange(len(whole))
-    found = [(np.arange(len(sizes)), span_hashes(prefix, last - sizes, last))]
-    for n in PARTS:
-        at = np.flatnonzero((left >= n) & (sizes[owner] > n))
-        found.append((owner[at], span_hashes(prefix, at, at + n)))
-    return np.concatenate([w for w, _ in found]), np.concatenate([h for _, h in found])
+    #: of words no longer than a part, the whole word stands for it
+    size = np.repeat(sizes, sizes)
+    table = np.zeros(1 << _BITS, bool)
+    if wanted is not None:
+        table[wanted >> np.uint64(64 - _BITS)] = True
+    owners, codes = [], []
+
+    def found(at: np.ndarray, code: np.ndarray) -> None:
+        place = code
+        if wanted is not None:
+            likely = table[code >> np.uint64(64 - _BITS)]
+            at, code = at[likely], code[likely]
+            place = np.searchsorted(wanted, code)
+            hit = place < len(wanted)
+            hit[hit] = wanted[place[hit]] == code[hit]
+            at, place = at[hit], place[hit].astype(np.uint64)
+        owners.append(np.searchsorted(last, at, side="right"))
+        codes.append(place)
+
+    prefix = prefix_hashes(whole + np.uint64(1))
+    found(last - sizes, span_hashes(prefix, last - sizes, last))
+    code = whole * _FACTORS[0]
+    for n in range(2, PARTS.stop):
+        code = code[:-1] + whole[n - 1 :] * _FACTORS[n - 1]
+        if n >= PARTS.start:
+            at = np.flatnonzero((left[: len(code)] >= n) & (size[: len(code)] > n))
+            # the highest bits of the product stir the sum; the number of bytes tells parts of one sum apart
+            stirred = (code[at] ^ np.uint64(n)) * np.uint64(BASE)
+            found(at, stirred ^ (stirred >> np.uint64(29)))
+    return np.concatenate(owners), np.concatenate(codes)
 
 
 def matched(channel: Channel, texts: pa.Array, wanted: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
     """Distinct (text, feature) pairs: hashes of parts, or places in the sorted array of those wanted."""
     text, word, words = restored_words(channel, texts)
-    owner, code = parts(words)
-    if wanted is not None:
-        place = np.searchsorted(wanted, code)
-        hit = place < len(wanted)
-        hit[hit] = wanted[place[hit]] == code[hit]
-        owner, code = owner[hit], place[hit].astype(np.uint64)
+    owner, code = parts(words, wanted)
     order = np.argsort(owner, kind="stable")
     owner, code = owner[order], code[order]
     first, size = np.searchsorted(owner, np.arange(len(words))), np.bincount(owner, minlength=len(words))

@@ -85,14 +85,14 @@ def test_viterbi_finds_the_cheapest_reading():
 def test_plain_words_and_short_words_stay():
     channel = channel_of(["de", "la", "y", "el", "casa", "blanca"] * 20)
     where, word, words = toxicity.restored_words(channel, pa.array(["De la Casa, (blanca)!", None, "", "12 34", "y el de la casa"]))
-    assert [(int(t), words[w]) for t, w in zip(where, word)] == [
+    assert [(int(t), words[w].as_py()) for t, w in zip(where, word.tolist())] == [
         (0, "de"), (0, "la"), (0, "casa"), (0, "blanca"), (4, "y"), (4, "el"), (4, "de"), (4, "la"), (4, "casa")
     ]
 
 
 def test_parts_are_all_spans_of_marked_words():
     words = ["ab", "idiots", "ñu"]
-    owner, code = toxicity.parts(words)
+    owner, code = toxicity.parts(pa.array(words))
     seen = {}
     for w, word in enumerate(words):
         raw = b"\2" + word.encode() + b"\3"
@@ -101,6 +101,9 @@ def test_parts_are_all_spans_of_marked_words():
         for s in spans:
             seen.setdefault(s, set())
     assert len(set(code.tolist())) == len(seen)
+    wanted = np.unique(code)[::3]
+    few, place = toxicity.parts(pa.array(words), wanted)
+    assert sorted(zip(few.tolist(), wanted[place.astype(int)].tolist())) == sorted((o, c) for o, c in zip(owner.tolist(), code.tolist()) if c in set(wanted.tolist()))
 
 
 def test_toxicity_held_out_and_hidden_words(spark):
