@@ -105,6 +105,30 @@ def with_latest_attributes(
     return listed.join(latest, "mmsi", "left")
 
 
+def ship_facts(tagged: DataFrame, flag: str, attributes: Sequence[str], tiebreak: Sequence[str] = ()) -> DataFrame:
+    """Per ship its zone history (as ``zones.zone_history``) and its most recent attributes (as
+    ``sequence.latest_per_ship``), in one aggregate over its pings."""
+    order = ["dt_pos_utc", *tiebreak]
+    picked = tagged.select("mmsi", *dict.fromkeys([*attributes, *order]), flag)
+    newest = F.struct(*sequence.total_order(picked.drop(flag), order))
+    seen = F.when(F.col(flag), F.col("dt_pos_utc"))
+    return (
+        picked.groupBy("mmsi")
+        .agg(
+            F.bool_or(flag).alias("is_through_hormuz"),
+            F.min(seen).alias("first_detected_hormuz"),
+            F.max(seen).alias("last_detected_hormuz"),
+            F.max_by(F.struct(*attributes), newest).alias("_latest"),
+        )
+        .select("mmsi", *ZONE_COLUMNS, "_latest.*")
+    )
+
+
+def with_ship_attributes(listed: DataFrame, attributes: DataFrame) -> DataFrame:
+    """Left join of attributes known per ship."""
+    return listed.join(attributes, "mmsi", "left")
+
+
 def recap_stops(
     stops: DataFrame,
     kind: str,

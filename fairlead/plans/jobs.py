@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from fairlead.functions import grid, labels
 from fairlead.operators import areas, clean, joins, reports, sequence, stops, visits, voyages, zones
 from fairlead.schemas import PORT_RESOLUTION, REGION_RESOLUTION, SHIP_ATTRIBUTES
-from fairlead.sources import readers
+from fairlead.sources import readers, writers
 
 
 def ingest(
@@ -50,6 +50,30 @@ def port_traffic(
     }
 
 
+def write_port_traffic(
+    pings: DataFrame,
+    home_ports: DataFrame,
+    foreign_ports: DataFrame,
+    folder: str,
+    tiebreak: Sequence[str] = (),
+    slice_seconds: int | sequence.Slicing = sequence.EVEN,
+) -> dict[str, DataFrame]:
+    """The outputs of :func:`port_traffic` as tables below ``folder``, read back. The pings are read and shuffled
+    once: their legs, some thousandths of them, are written first and all three outputs start from these."""
+    ports = voyages.with_centres(voyages.union_ports(home_ports, foreign_ports))
+    calls = voyages.port_calls(pings, ports, tiebreak=tiebreak, slice_seconds=slice_seconds)
+    legs = _written(voyages.legs(calls, tiebreak, slice_seconds), folder, "legs")
+    counts = {
+        "all": voyages.traffic_all(legs), "inbound": voyages.traffic_inbound(legs), "outbound": voyages.traffic_outbound(legs)
+    }
+    return {name: _written(df.orderBy(F.desc("count")), folder, name) for name, df in counts.items()}
+
+
+def _written(df: DataFrame, folder: str, name: str) -> DataFrame:
+    path = writers.write_parquet(df, f"{folder.rstrip('/')}/{name}")
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def boundary(
     pings: DataFrame,
     aoi: DataFrame,
@@ -110,6 +134,37 @@ def port_call(
     }
 
 
+def write_port_call(
+    pings: DataFrame,
+    activity: DataFrame,
+    strait_cells: DataFrame,
+    folder: str,
+    port_time_limit: int = 30,
+    cell: str = "H3_int_index_8",
+    tiebreak: Sequence[str] = (),
+    slice_seconds: int | sequence.Slicing = sequence.EVEN,
+) -> dict[str, DataFrame]:
+    """The outputs of :func:`port_call` as tables below ``folder``, read back.
+
+    The pings are read once, for the tagged table; one pass over its few needed columns gives the zone
+    history and the latest attributes of every ship, and the visits with that history are written once for
+    both lists and the recap.
+    """
+    tagged = _written(zones.tag_zone(pings, strait_cells, "is_hormuz", cell), folder, "tagged")
+    ships = _written(reports.ship_facts(tagged, "is_hormuz", SHIP_ATTRIBUTES, tiebreak), folder, "ships")
+    history = ships.drop(*SHIP_ATTRIBUTES)
+    flagged = _written(zones.flag_activity(activity, history), folder, "flagged")
+
+    def listed(through: bool) -> DataFrame:
+        rows = reports.vessel_list(flagged, through, port_time_limit=port_time_limit, slice_seconds=slice_seconds, cell=cell)
+        return reports.with_ship_attributes(rows, ships.select("mmsi", *SHIP_ATTRIBUTES))
+
+    recap = reports.recap_visits_with_zone(flagged, port_time_limit=port_time_limit, slice_seconds=slice_seconds)
+    dates = {c: labels.date_text(c) for c in ("first_detected_hormuz", "last_detected_hormuz")}
+    outputs = {"through": listed(True), "not_through": listed(False), "arrival_recap": recap.withColumns(dates)}
+    return {"tagged": tagged} | {name: _written(df, folder, name) for name, df in outputs.items()}
+
+
 def time_travel(
     pings: DataFrame,
     strait_cells: DataFrame,

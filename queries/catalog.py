@@ -528,6 +528,26 @@ def port_traffic_outbound(spark, sf):
     return voyages.traffic_outbound(simple_legs(spark, sf))
 
 
+def _traffic_written(spark, sf, name):
+    home, foreign = (area_ports(spark, sf).filter(f"Country {sign} 'Indonesia'") for sign in ("=", "<>"))
+    return jobs.write_port_traffic(grid_pings(spark, sf), home, foreign, work_folder(spark), TIE, SLICE)[name]
+
+
+@query
+def port_traffic_all_written(spark, sf):
+    return rounded(_traffic_written(spark, sf, "all"))
+
+
+@query
+def port_traffic_inbound_written(spark, sf):
+    return _traffic_written(spark, sf, "inbound")
+
+
+@query
+def port_traffic_outbound_written(spark, sf):
+    return _traffic_written(spark, sf, "outbound")
+
+
 @query
 def port_call_runs(spark, sf):
     return simple_calls(spark, sf).select("mmsi", "dt_pos_utc", "Port_Country")
@@ -714,6 +734,22 @@ def vessels_not_through_zone(spark, sf):
     return _vessels(spark, sf, "not_through")
 
 
+def _calls_written(spark, sf, name):
+    return jobs.write_port_call(
+        pings(spark, sf), activity(spark, sf), zone(spark, sf, "strait"), work_folder(spark), tiebreak=TIE, slice_seconds=SLICE
+    )[name]
+
+
+@query
+def vessels_through_zone_written(spark, sf):
+    return _calls_written(spark, sf, "through")
+
+
+@query
+def arrival_recap_with_zone_written(spark, sf):
+    return _calls_written(spark, sf, "arrival_recap")
+
+
 @query
 def latest_ship_attributes(spark, sf):
     return sequence.latest_per_ship(pings(spark, sf), [*SHIP_ATTRIBUTES, "nav_status"], ORDER)

@@ -263,8 +263,9 @@ LEGS = f"""SELECT mmsi, dt_pos_utc, vessel_type, Port_Country_Origin, Port_Count
 SIMPLE = ctes("pings", "port_cells", at_port="SELECT * FROM pings JOIN port_cells ON H3_int_index_8 = boundary_h3", calls=CALLS, legs=LEGS)
 AREA_PORTS = f"""SELECT Kode AS Port, Country, cell AS boundary_h3, concat(Kode, ' - ', Country) AS Port_Country,
  {centre_lat('cell', 8)} AS lat, {centre_lon('cell', 8)} AS lon FROM filled JOIN aoi USING (Kode)"""
-add("port_traffic_all", ctes("aoi", pings=grid_pings(), **fill_ctes(8), ports=AREA_PORTS,
- at_port="SELECT * FROM pings JOIN ports ON H3_int_index_8 = boundary_h3", calls=CALLS, legs=LEGS) + """
+AREA_LEGS = ctes("aoi", pings=grid_pings(), **fill_ctes(8), ports=AREA_PORTS,
+                 at_port="SELECT * FROM pings JOIN ports ON H3_int_index_8 = boundary_h3", calls=CALLS, legs=LEGS)
+add("port_traffic_all", AREA_LEGS + """
 SELECT Port_Country_Origin, Port_Country_Destination, round(lat_origin, 6) AS lat_origin, round(lon_origin, 6) AS lon_origin,
 round(lat_destination, 6) AS lat_destination, round(lon_destination, 6) AS lon_destination, vessel_type, CAST(dt_pos_utc AS DATE) AS date, count(*) AS count
 FROM legs WHERE Country_Destination <> Country_Origin AND (Country_Destination = 'Indonesia' OR Country_Origin = 'Indonesia')
@@ -272,7 +273,8 @@ GROUP BY ALL""")
 INBOUND = "Country_Origin <> 'Indonesia' AND Country_Destination = 'Indonesia'"
 OUTBOUND = "Country_Origin = 'Indonesia' AND Country_Destination <> 'Indonesia'"
 for _name, _rule in (("inbound", INBOUND), ("outbound", OUTBOUND)):
-    add(f"port_traffic_{_name}", SIMPLE + f"""SELECT Port_Country_Origin, Port_Country_Destination, vessel_type, CAST(dt_pos_utc AS DATE) AS date, count(*) AS count
+    for _kind, _legs in (("", SIMPLE), ("_written", AREA_LEGS)):
+        add(f"port_traffic_{_name}{_kind}", _legs + f"""SELECT Port_Country_Origin, Port_Country_Destination, vessel_type, CAST(dt_pos_utc AS DATE) AS date, count(*) AS count
 FROM (SELECT * FROM legs WHERE {_rule} QUALIFY rank() OVER (PARTITION BY mmsi ORDER BY dt_pos_utc) = 1) f_ GROUP BY ALL""")
 add("port_call_runs", SIMPLE + "SELECT mmsi, dt_pos_utc, Port_Country FROM calls")
 add("ships_with_several_calls", SIMPLE + "SELECT mmsi, dt_pos_utc, Port_Country FROM calls QUALIFY count(*) OVER (PARTITION BY mmsi) > 1")
@@ -579,3 +581,7 @@ for _name in ("stop_events", "port_call_runs", "visit_edges", "port_visits", "po
 # The same rows in three periods, each starting from what the one before left behind.
 for _name in ("voyage_legs", "port_visits"):
     add(f"{_name}_by_period", ORACLE[_name])
+
+# Outputs of one run, written and read back.
+for _name in ("port_traffic_all", "vessels_through_zone", "arrival_recap_with_zone"):
+    add(f"{_name}_written", ORACLE[_name])
