@@ -43,18 +43,10 @@ _FACTS = {
 }
 
 
-def label_events(
-    pings: DataFrame,
-    resolution: int = 10,
-    tiebreak: Sequence[str] = (),
-    depth: int = RING_DEPTH,
-    slice_seconds: int | sequence.Slicing = sequence.DEFAULT_SLICE_SECONDS,
-) -> DataFrame:
-    """Pings that belong to a stop event, with the event's id (``_ev_slice``,
-    ``_ev_pos`` beside ``mmsi``), the times of the ping's neighbours and ship facts.
-
-    Pings without ship, cell or time cannot be placed: they belong to no event and do not
-    count towards their ship's pings. Cells must be this package's own; others raise."""
+def placed_pings(
+    pings: DataFrame, resolution: int, tiebreak: Sequence[str], slice_seconds: int | sequence.Slicing
+) -> tuple[DataFrame, list[str]]:
+    """Pings with ship, cell and time, their slice and what the machine looks at; and their total order."""
     cell = joins.cell_column(resolution)
     joins.require(pings, cell, "mmsi", "sog", "dt_pos_utc", "imo", "vessel_type")
     # Every column of the rows breaks ties, so both sorts below see one order.
@@ -71,15 +63,22 @@ def label_events(
             "_slow": F.coalesce(F.col("sog") < STOP_SPEED, F.lit(False)),
         }
     )
+    return rows, order
+
+
+def summaries(rows: DataFrame, order: Sequence[str], depth: int) -> DataFrame:
+    """One row per slice: what it does to each state it could be entered in (``slices.SUMMARY``)."""
     sorted_rows = (
         rows.select(*dict.fromkeys([*_NARROW, *order]))
         .repartition("mmsi", "_slice")
         .sortWithinPartitions("mmsi", "_slice", *order)
         .select(*_NARROW)
     )
-    summary = sorted_rows.mapInArrow(slices.summarise(grid.ring_offsets(depth), depth), slices.SUMMARY)
+    return sorted_rows.mapInArrow(slices.summarise(grid.ring_offsets(depth), depth), slices.SUMMARY)
 
-    # One row per slice from here on: facts that need the whole ship, then the chain.
+
+def chained(summary: DataFrame) -> DataFrame:
+    """The state that each slice really starts in, with facts that need the whole ship. One row per slice."""
     along = Window.partitionBy("mmsi").orderBy("_slice")
     whole = along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     facts = summary.select(
@@ -93,8 +92,11 @@ def label_events(
         .alias("_imo_before"),
     )
     state_schema = ", ".join(f"{n} {t}" for n, t in _FACTS.items()) + ", " + slices.STATE
-    state = facts.sortWithinPartitions("mmsi", "_slice").mapInArrow(slices.chain(list(_FACTS)), state_schema)
+    return facts.sortWithinPartitions("mmsi", "_slice").mapInArrow(slices.chain(list(_FACTS)), state_schema)
+
 
+def labelled(rows: DataFrame, order: Sequence[str], state: DataFrame, depth: int) -> DataFrame:
+    """The pings that belong to an event, from the state of each slice."""
     in_slice = Window.partitionBy("mmsi", "_slice").orderBy(*order)
     placed = (
         rows.repartition("mmsi", "_slice")
@@ -122,15 +124,27 @@ def label_events(
     )
 
 
-EVENT = ["mmsi", "_ev_slice", "_ev_pos"]
+def label_events(
+    pings: DataFrame,
+    resolution: int = 10,
+    tiebreak: Sequence[str] = (),
+    depth: int = RING_DEPTH,
+    slice_seconds: int | sequence.Slicing = sequence.DEFAULT_SLICE_SECONDS,
+) -> DataFrame:
+    """Pings that belong to a stop event, with the event's id (``_ev_slice``,
+    ``_ev_pos`` beside ``mmsi``), the times of the ping's neighbours and ship facts.
+
+    Pings without ship, cell or time cannot be placed: they belong to no event and do not
+    count towards their ship's pings. Cells must be this package's own; others raise."""
+    rows, order = placed_pings(pings, resolution, tiebreak, slice_seconds)
+    return labelled(rows, order, chained(summaries(rows, order, depth)), depth)
 
 
-def event_facts(labelled: DataFrame, repeat_last_ping: bool = False) -> DataFrame:
-    """One row per event: anchor and last ping, counts, means, deviations, mode.
+EVENT = ["mmsi", "_ev_slice", "_ev_pos"]
 
-    Pings are first aggregated per (event, status) - a handful of rows per event - so
-    an event holding most of a ship's pings costs partial aggregation only.
-    """
+
+def event_parts(labelled: DataFrame, repeat_last_ping: bool = False) -> DataFrame:
+    """Rows per (event, status), a handful per event, that can be added to those of other pings."""
     ping = labelled
     if repeat_last_ping:
         again = F.when(F.col("_unix_next").isNull(), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
@@ -152,7 +166,7 @@ def event_facts(labelled: DataFrame, repeat_last_ping: bool = False) -> DataFram
     def usable(c):
         return F.when(~F.isnan(c), F.col(c))
 
-    per_status = ping.groupBy(*EVENT, "nav_status").agg(
+    return ping.groupBy(*EVENT, "nav_status").agg(
         F.count(F.lit(1)).alias("n"),
         F.sum("cluster_time").alias("_unix"),
         *[
@@ -169,12 +183,53 @@ def event_facts(labelled: DataFrame, repeat_last_ping: bool = False) -> DataFram
         F.min_by(anchor, seq).alias("_anchor"),
         F.max_by(last, seq).alias("_last"),
     )
+
+
+COORDINATES = ("latitude", "longitude")
+
+
+def merged_parts(parts: DataFrame) -> DataFrame:
+    """One part per (event, status) of several: counts and sums add up, deviations are taken from the common mean."""
+    same = Window.partitionBy(*EVENT, "nav_status")
+    centred = parts.withColumns(
+        {f"_all_{c}": F.sum(F.col(f"_n_{c}") * F.col(f"_mean_{c}")).over(same) / F.nullif(F.sum(f"_n_{c}").over(same), F.lit(0)) for c in COORDINATES}
+    )
+
+    def deviation(c):
+        gap = F.col(f"_mean_{c}") - F.col(f"_all_{c}")
+        return F.sum(F.col(f"_n_{c}") * (F.col(f"_var_{c}") + gap * gap)) / F.nullif(F.sum(f"_n_{c}"), F.lit(0))
+
+    return (
+        centred.groupBy(*EVENT, "nav_status")
+        .agg(
+            F.sum("n").alias("n"),
+            F.sum("_unix").alias("_unix"),
+            *[
+                x
+                for c in COORDINATES
+                for x in (F.sum(f"_n_{c}").alias(f"_n_{c}"), F.first(f"_all_{c}").alias(f"_mean_{c}"), deviation(c).alias(f"_var_{c}"))
+            ],
+            F.min_by("_anchor", "_seen").alias("_anchor"),
+            F.max_by("_last", "_until").alias("_last"),
+            F.min("_seen").alias("_seen"),
+            F.max("_until").alias("_until"),
+        )
+        .select(*parts.columns)
+    )
+
+
+def event_facts(parts: DataFrame) -> DataFrame:
+    """One row per event: anchor and last ping, counts, means, deviations, mode.
+
+    Made from :func:`event_parts`, one per (event, status), so an event holding most of a ship's
+    pings costs partial aggregation only.
+    """
     w = Window.partitionBy(*EVENT)
-    centred = per_status.withColumns(
+    centred = parts.withColumns(
         {
             f"_all_{c}": F.sum(F.col(f"_n_{c}") * F.coalesce(f"_mean_{c}", F.lit(0.0))).over(w)
             / F.nullif(F.sum(f"_n_{c}").over(w), F.lit(0))
-            for c in ("latitude", "longitude")
+            for c in COORDINATES
         }
     )
 
@@ -241,10 +296,16 @@ def stop_events(
     """
     if geometry not in GEOMETRIES:
         raise ValueError(f"geometry must be one of {GEOMETRIES}")
-    event_min, ship_min = _thresholds(compat)
+    _, ship_min = _thresholds(compat)
     labelled = label_events(pings, resolution, tiebreak, depth, slice_seconds).filter(F.col("_ship_pings") > ship_min)
     labelled = labelled.withColumn("h3_index_int", F.col(joins.cell_column(resolution)))
-    facts = event_facts(labelled, repeat_last_ping=compat).withColumn("_valid", F.col("obs_count") > event_min)
+    return finished(event_facts(event_parts(labelled, repeat_last_ping=compat)), geometry, factor, compat)
+
+
+def finished(facts: DataFrame, geometry: str = "tri-line", factor: float = 1.0, compat: bool = False) -> DataFrame:
+    """Facts of events as the 32 columns."""
+    event_min, _ = _thresholds(compat)
+    facts = facts.withColumn("_valid", F.col("obs_count") > event_min)
     shapes = {
         "box": geo.spread_box_wkt("avg_lat", "avg_lng", "_sd_lat", "_sd_lng", factor),
         "tri-line": geo.tri_line_wkt("trigger_lat", "trigger_lng", "avg_lat", "avg_lng", "disarm_lat", "disarm_lng"),
@@ -287,7 +348,7 @@ def stop_event_profiles(
     valid from ``min_observations`` pings on. No ship is skipped."""
     labelled = label_events(pings, resolution, tiebreak, depth, slice_seconds)
     labelled = labelled.withColumn("h3_index_int", F.col(joins.cell_column(resolution)))
-    facts = event_facts(labelled).withColumn("_valid", F.col("obs_count") >= min_observations)
+    facts = event_facts(event_parts(labelled)).withColumn("_valid", F.col("obs_count") >= min_observations)
     x, y = stats.spread_metres("avg_lat", "avg_lng", "_sd_lat", "_sd_lng")
     ok, zero = F.col("_valid"), F.lit(0.0)
     line = geo.tri_line_wkt("trigger_lat", "trigger_lng", "avg_lat", "avg_lng", "disarm_lat", "disarm_lng")

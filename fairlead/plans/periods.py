@@ -15,10 +15,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fairlead.operators import sequence, visits, voyages
+from fairlead.functions import labels
+from fairlead.operators import joins, sequence, slices, stops, visits, voyages
 from fairlead.sources import writers
 
 PERIOD = "period"
@@ -187,3 +188,122 @@ def port_visits(
     kept = last(level(2), waiting).filter(edge)
     rest = visits.marked(last(level(3), kept)).select(*columns, *visits.MARKS)
     return found.select(*columns, *visits.MARKS).unionByName(rest).join(seen.distinct(), "mmsi", "left_semi")
+
+
+# ---- stop events -----------------------------------------------------------------
+
+EVENTS, OPEN_EVENTS, SHIPS = "events", "open_events", "ships"
+#: The slice number of a row that stands after all slices of a ship, to read the state it is left in.
+END = (1 << 62) - 1
+
+
+def _ends(summary: DataFrame) -> DataFrame:
+    """An empty slice at the end of each ship."""
+    nothing = {f.split(" ")[0]: F.lit(None).cast(f.split(" ")[1]) for f in slices.SUMMARY.split(", ")}
+    nothing |= {c: F.array().cast(t) for c, t in (("stays", "array<bigint>"), ("other", "array<bigint>"), ("other_pos", "array<int>"), ("other_cell", "array<bigint>"))}
+    nothing |= {c: F.lit(slices.NONE) for c in ("none_pos", "far_pos")} | {c: F.lit(slices.NONE).cast("bigint") for c in ("none_cell", "far_cell")}
+    nothing |= {"_slice": F.lit(END), "_n": F.lit(0).cast("bigint")}
+    del nothing["mmsi"]
+    return summary.select("mmsi").distinct().select("mmsi", *[c.alias(n) for n, c in nothing.items()]).select(*summary.columns)
+
+
+def add_stops(
+    pings: DataFrame,
+    target: str,
+    period: str,
+    resolution: int = 10,
+    tiebreak: Sequence[str] = (),
+    depth: int = stops.RING_DEPTH,
+    slice_seconds: int | sequence.Slicing = sequence.EVEN,
+) -> None:
+    """Add the stop events of a period. Periods must begin at a multiple of the slice length; others raise.
+
+    A ship's state is one row: the anchor of its open event if there is one, its last time, its number of
+    pings, its type and IMO. It acts as a slice before the period's own. Of an open event the parts per status
+    are kept, one row each however long it lasts; the next period adds to them.
+    """
+    spark = pings.sparkSession
+    before = _table(spark, target, SHIPS, period, only_last=True)
+    rows, order = stops.placed_pings(pings, resolution, tiebreak, slice_seconds)
+    summary = stops.summaries(rows, order, depth)
+    if before is not None:
+        old = F.col("_old_last")
+        cut = F.raise_error(F.lit("a period must begin at a multiple of the slice length, after the periods before it")).cast("bigint")
+        later = F.when(old.isNull() | (F.col("_slice") > old), F.col("_slice")).otherwise(cut)
+        columns = summary.columns
+        summary = summary.join(before.select("mmsi", F.col("_last_slice").alias("_old_last")), "mmsi", "left").withColumn("_slice", later)
+        summary = summary.select(*columns).unionByName(before.select(*columns))
+    summary = _add(summary, target, "slices", period)
+    # Written for its three uses: the pings' labels, the new state, and what follows an open event.
+    state = _add(stops.chained(summary.unionByName(_ends(summary))), target, "entered", period)
+    left = state.filter(F.col("_slice") == END)
+    is_open = F.col("in_pos") != slices.NONE
+    carried = summary.filter(F.col("_slice") < END).groupBy("mmsi").agg(F.max("_slice").alias("_last_slice"))
+    empty = F.array()
+    ships = left.join(carried, "mmsi").select(
+        "mmsi",
+        F.when(is_open, F.col("in_slice")).otherwise(F.col("_last_slice")).alias("_slice"),
+        F.col("in_pos").alias("none_pos"),
+        F.col("in_cell").alias("none_cell"),
+        F.lit(slices.NONE).alias("far_pos"),
+        F.lit(slices.NONE).cast("bigint").alias("far_cell"),
+        empty.cast("array<bigint>").alias("stays"),
+        empty.cast("array<bigint>").alias("other"),
+        empty.cast("array<int>").alias("other_pos"),
+        empty.cast("array<bigint>").alias("other_cell"),
+        F.col("_ship_pings").alias("_n"),
+        F.lit(None).cast("bigint").alias("_first_unix"),
+        F.col("_unix_before").alias("_last_unix"),
+        F.col("_ship_type").alias("_type"),
+        F.col("_imo_before").alias("_imo"),
+        F.col("_last_slice"),
+    )
+    ships = _add(ships, target, SHIPS, period)
+
+    own = state.filter(F.col("_slice") < END)
+    if before is not None:
+        own = own.join(before.select("mmsi", "_slice"), ["mmsi", "_slice"], "left_anti")
+    labelled = stops.labelled(rows, order, own, depth).withColumn("h3_index_int", F.col(joins.cell_column(resolution)))
+    parts = stops.event_parts(labelled)
+    held = _table(spark, target, OPEN_EVENTS, period, only_last=True)
+    if held is not None:
+        follows = state.join(before.select("mmsi", "_slice", F.col("_n").alias("_pings_before")), ["mmsi", "_slice"])
+        parts = parts.unionByName(_followed(held, follows.select("mmsi", "_unix_after", "_pings_before")).select(*parts.columns))
+        parts = stops.merged_parts(parts)
+    parts = _add(parts, target, "parts", period)
+    open_ids = left.filter(is_open).select("mmsi", F.col("in_slice").alias("_ev_slice"), F.col("in_pos").alias("_ev_pos"))
+    _add(parts.join(open_ids, stops.EVENT, "left_semi"), target, OPEN_EVENTS, period)
+    _add(stops.event_facts(parts.join(open_ids, stops.EVENT, "left_anti")), target, EVENTS, period)
+
+
+def _followed(parts: DataFrame, follows: DataFrame) -> DataFrame:
+    """Parts of open events once their ship's last ping has a successor: that ping was not the last one after all."""
+    rows = parts.join(follows, "mmsi", "left")
+    known = F.col("_unix_after").isNotNull()
+    # The ship's very first ping stays a first one.
+    state = F.when(F.col("_pings_before") == 1, F.lit(1)).otherwise(F.lit(2))
+
+    def mended(struct: str, fields: dict[str, Column]) -> Column:
+        out = F.col(struct)
+        for name, value in fields.items():
+            out = out.withField(name, value)
+        was_last = F.col(f"{struct}.{'state_final' if struct == '_last' else 'state_initial'}") == 3
+        return F.when(known & was_last, out).otherwise(F.col(struct))
+
+    return rows.withColumns(
+        {
+            "_last": mended("_last", {"state_final": state, "unix_escape": F.col("_unix_after")}),
+            "_anchor": mended("_anchor", {"state_initial": state}),
+        }
+    )
+
+
+def stop_events(spark: SparkSession, target: str, geometry: str = "tri-line", factor: float = 1.0) -> DataFrame:
+    """All stop events so far in the 32 columns, as ``stops.stop_events`` gives them in one run over all periods."""
+    found, held, ships = (_table(spark, target, name, only_last=name != EVENTS) for name in (EVENTS, OPEN_EVENTS, SHIPS))
+    if found is None or held is None or ships is None:
+        raise ValueError(f"no stop events at {target}")
+    facts = found.unionByName(stops.event_facts(held)).drop("_ship_pings", "_ship_type")
+    known = ships.select("mmsi", F.col("_n").alias("_ship_pings"), F.col("_type").alias("_ship_type"))
+    _, ship_min = labels.observation_thresholds("_ship_type")
+    return stops.finished(facts.join(known, "mmsi").filter(F.col("_ship_pings") > ship_min), geometry, factor)

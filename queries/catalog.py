@@ -241,6 +241,15 @@ def port_visits_by_period(spark, sf):
     return periods.port_visits(spark, target, slice_seconds=SLICE)
 
 
+@query
+def stop_events_by_period(spark, sf):
+    target = work_folder(spark)
+    for period, start, end in (("a", "2024-01-01", "2024-01-09"), ("b", "2024-01-10", "2024-01-19"), ("c", "2024-01-20", "2024-12-31")):
+        part = readers.in_period(grid_pings(spark, sf), start, end)
+        periods.add_stops(part, target, period, 8, TIE, slice_seconds=86400)
+    return rounded(periods.stop_events(spark, target))
+
+
 @query
 def stored_cells(spark, sf):
     cells = areas.zone_cells(aoi(spark, sf), 9)

@@ -579,7 +579,7 @@ for _name in ("stop_events", "port_call_runs", "visit_edges", "port_visits", "po
     add(f"{_name}_crowded", ORACLE[_name].replace("user_id AS mmsi", "CASE WHEN event_id % 10 < 9 THEN 1 ELSE user_id END AS mmsi"))
 
 # The same rows in three periods, each starting from what the one before left behind.
-for _name in ("voyage_legs", "port_visits"):
+for _name in ("voyage_legs", "port_visits", "stop_events"):
     add(f"{_name}_by_period", ORACLE[_name])
 
 # Outputs of one run, written and read back.
