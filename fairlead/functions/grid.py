@@ -164,11 +164,35 @@ def _steps(a: Column | str, b: Column | str) -> Column:
     return F.greatest(F.abs(dq), F.abs(dr), F.abs(dq + dr)).cast("int")
 
 
+def _wrapped(cell: Column, turn: float) -> Column:
+    """The cell around a cell's centre moved once around the globe, on the lattice run on beyond 180 degrees.
+
+    The lattice does not close at 180 degrees, so this is the nearest cell there, off by less than one edge."""
+    size = _edge_of(cell)
+    x = F.lit(SQRT3) * (cell_q(cell) + cell_r(cell) / F.lit(2.0)) * size + F.lit(EARTH_M * math.radians(turn))
+    t = F.lit(1.0) - F.lit(1.5) * cell_r(cell)
+    x = x / (F.lit(SQRT3) * size)
+    diagonal = F.floor(t + x)
+    q = F.floor((diagonal + (F.lit(2.0) * x + F.lit(1.0))) / F.lit(3.0))
+    return q.cast("bigint") - cell_q(cell)
+
+
+def _around(a: Column, b: Column) -> Column:
+    """Steps the shorter way around the globe. A turn keeps the row, so only the column moves."""
+    dr = cell_r(a) - cell_r(b)
+    ways = [_steps(a, b)]
+    for turn in (360.0, -360.0):
+        dq = cell_q(a) - cell_q(b) - _wrapped(b, turn)
+        ways.append(F.greatest(F.abs(dq), F.abs(dr), F.abs(dq + dr)).cast("int"))
+    return F.least(*ways)
+
+
 def grid_distance(a: Column | str, b: Column | str) -> Column:
-    """Steps between two cells; null when their resolutions differ or one is null, an error on foreign ids."""
+    """Steps between two cells, the shorter way around the globe; null when their resolutions differ or one is
+    null, an error on foreign ids."""
     a, b = _col(a), _col(b)
     return (
-        F.when(is_own(a) & is_own(b), F.when(same_resolution(a, b), _steps(a, b)))
+        F.when(is_own(a) & is_own(b), F.when(same_resolution(a, b), _around(a, b)))
         .when(a.isNotNull() & b.isNotNull(), F.raise_error(F.lit("cell id of another grid")).cast("int"))
     )
 
@@ -176,7 +200,10 @@ def grid_distance(a: Column | str, b: Column | str) -> Column:
 def point_grid_distance(
     lat1: Column | str, lon1: Column | str, lat2: Column | str, lon2: Column | str, resolution: int
 ) -> Column:
-    return _steps(cell_at(lat1, lon1, resolution), cell_at(lat2, lon2, resolution))
+    a, b = cell_at(lat1, lon1, resolution), cell_at(lat2, lon2, resolution)
+    # Points less than half a turn apart in longitude take the direct way.
+    far = F.abs(_col(lon1) - _col(lon2)) > F.lit(180.0)
+    return F.when(far, _around(a, b)).otherwise(_steps(a, b))
 
 
 def within_ring(cell: Column | str, origin: Column | str, k: int) -> Column:
@@ -196,7 +223,10 @@ def ring_offsets(k: int) -> list[tuple[int, int]]:
 
 
 def ring(cell: Column | str, k: int | Column) -> Column:
-    """array<bigint> of all cells within ``k`` steps; ``k`` may be a column."""
+    """array<bigint> of all cells within ``k`` steps; ``k`` may be a column.
+
+    Beyond 180 degrees the ring goes on at the other end; as the lattice does not close there, a ring across the
+    line may have a few cells less."""
     c = own(cell)
     depth = F.lit(k) if isinstance(k, int) else k
     def row(dq: Column) -> Column:
@@ -205,7 +235,22 @@ def ring(cell: Column | str, k: int | Column) -> Column:
         return F.transform(
             F.sequence(low, high), lambda dr: c + dq.cast("bigint") * F.lit(1 << AXIS_BITS) + dr.cast("bigint")
         )
-    return F.flatten(F.transform(F.sequence(-depth, depth), row))
+    cells = F.flatten(F.transform(F.sequence(-depth, depth), row))
+    spacing = F.degrees(F.lit(SQRT3 / EARTH_M) * _edge_of(c))
+
+    def inside(x: Column) -> Column:
+        """The cell itself, or beyond the last cells that hold points the one a turn away."""
+        lon = centre_longitude(x)
+        turned = F.when(lon > 0, _wrapped(x, -360.0)).otherwise(_wrapped(x, 360.0))
+        return F.when(F.abs(lon) <= F.lit(180.0) + spacing / F.lit(2.0), x).otherwise(x + turned * F.lit(1 << AXIS_BITS))
+
+    near = F.abs(centre_longitude(c)) + spacing * (depth + F.lit(1)) > F.lit(180.0)
+    return F.when(near, F.array_distinct(F.transform(cells, inside))).otherwise(cells)
+
+
+def half_spacing(resolution: int) -> float:
+    """Degrees of longitude from a cell's centre to its side: points at 180 degrees may lie in a cell centred that far beyond."""
+    return math.degrees(SQRT3 * edge_length(resolution) / 2.0 / EARTH_M)
 
 
 def cell_to_text(cell: Column | str) -> Column:

@@ -67,6 +67,8 @@ def fill_runs(edges: DataFrame, keys: Sequence[str], resolution: int) -> DataFra
     """(keys, _r, _first, _last): runs of cells whose centre lies inside the polygon (all parts,
     holes left out), by lattice row.
 
+    An outline that crosses 180 degrees runs on beyond it (170, 190, ...); its cells wrap around.
+
     Scan-line fill: each edge meets the lattice rows it spans, crossings of one row
     are paired off in order of longitude, and each pair spans a run of cells.
     """
@@ -84,12 +86,27 @@ def fill_runs(edges: DataFrame, keys: Sequence[str], resolution: int) -> DataFra
     crossings = met.select(*keys, "_r", (F.col("x1") + share * (F.col("x2") - F.col("x1"))).alias("_x"))
     w = Window.partitionBy(*keys, "_r").orderBy("_x")
     spans = crossings.withColumns({"_n": F.row_number().over(w), "_to": F.lead("_x").over(w)}).filter("_n % 2 = 1")
-    first = F.ceil(grid.column_of_longitude(F.col("_x"), F.col("_r"), resolution))
-    last = F.ceil(grid.column_of_longitude(F.col("_to"), F.col("_r"), resolution)) - F.lit(1)
+    spans = around_the_line(spans, F.col("_x"), F.col("_to"), resolution)
+    first = F.ceil(grid.column_of_longitude(F.col("_west"), F.col("_r"), resolution))
+    last = F.ceil(grid.column_of_longitude(F.col("_east"), F.col("_r"), resolution)) - F.lit(1)
     runs = settle(spans, _first=first.cast("bigint"), _last=last.cast("bigint")).filter("_first <= _last")
     return runs.select(*keys, "_r", "_first", "_last")
 
 
+def around_the_line(df: DataFrame, west: Column, east: Column, resolution: int) -> DataFrame:
+    """Intervals of longitude that may reach beyond 180 degrees as intervals within the lattice, in
+    ``_west`` and ``_east``: what lies beyond one end comes in again at the other. The lattice ends half a
+    cell beyond 180 degrees, where the last cells that hold points have their centres."""
+    end = 180.0 + grid.half_spacing(resolution)
+    pieces = F.array(
+        *[
+            F.struct(F.greatest(west + F.lit(turn), F.lit(-end)).alias("_west"), F.least(east + F.lit(turn), F.lit(end)).alias("_east"))
+            for turn in (0.0, -360.0, 360.0)
+        ]
+    )
+    return df.select("*", F.inline(F.filter(pieces, lambda p: p["_west"] <= p["_east"])))
+
+
 def merged_runs(runs: DataFrame) -> DataFrame:
     """Runs of a lattice row that overlap or touch, as one."""
     along = Window.partitionBy("_r").orderBy("_first", "_last")
@@ -232,9 +249,14 @@ def near_runs(edges: DataFrame, resolution: int, reach_m: float) -> DataFrame:
         _east=F.greatest(F.col("_a"), dx + F.col("_b"), F.when(strip, F.col("_to"))),
     ).filter("_west is not null")
 
-    def column(metres: str) -> Column:
-        shift = F.degrees(F.col(metres) / (F.lit(geo.SPHERE_M) * F.cos(F.radians("_lat"))))
-        return grid.column_of_longitude(F.col("x1") + shift, F.col("_r"), resolution)
+    def longitude(metres: str) -> Column:
+        return F.col("x1") + F.degrees(F.col(metres) / (F.lit(geo.SPHERE_M) * F.cos(F.radians("_lat"))))
+
+    rows = settle(rows, _from_lon=longitude("_west"), _to_lon=longitude("_east")).drop("_west", "_east")
+    rows = around_the_line(rows, F.col("_from_lon"), F.col("_to_lon"), resolution)
+
+    def column(degrees: str) -> Column:
+        return grid.column_of_longitude(F.col(degrees), F.col("_r"), resolution)
 
     rows = settle(rows, _first=F.ceil(column("_west")).cast("bigint"), _last=F.floor(column("_east")).cast("bigint"))
     return rows.filter("_first <= _last").select("_r", "_first", "_last")

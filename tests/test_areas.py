@@ -195,3 +195,98 @@ def test_cells_of_another_resolution_or_grid_raise(spark):
         pings = spark.range(1).withColumn("H3_int_index_8", cell)
         with pytest.raises(Exception):
             joins.tag_runs(pings, runs, "inside", 8).collect()
+
+
+# ---- across 180 degrees -----------------------------------------------------------
+
+ACROSS = "POLYGON ((179.7 10.0, 180.4 10.0, 180.4 10.5, 180.1 10.8, 179.7 10.5, 179.7 10.0), (179.9 10.1, 180.1 10.1, 180.1 10.3, 179.9 10.3, 179.9 10.1))"
+
+
+def across(spark):
+    return areas.load_wkt(spark.createDataFrame([("a", ACROSS)], "name string, wkt string"), "wkt")
+
+
+def points_around_the_line(spark, resolution, n=3000):
+    rnd = random.Random(21)
+    rows = []
+    for k in range(n):
+        lon = rnd.uniform(179.0, 181.0)
+        rows.append((k, rnd.uniform(9.5, 11.2), lon if lon <= 180 else lon - 360))
+    rows += [(n, 10.45, 180.0), (n + 1, 10.45, -180.0)]
+    df = spark.createDataFrame(rows, "event_id long, latitude double, longitude double")
+    c = f"H3_int_index_{resolution}"
+    df = df.withColumn(c, grid.cell_at("latitude", "longitude", resolution))
+    return df.withColumns({"clat": grid.centre_latitude(c, resolution), "clon": grid.centre_longitude(c, resolution)})
+
+
+def inside_across(lat, lon):
+    """Whether a place lies in the outline, by counting crossings, in the turn that is nearest to it."""
+    lon = lon + 360 if lon < 0 else lon
+    rings = [[tuple(map(float, p.split())) for p in part.split(", ")] for part in ACROSS[10:-2].split("), (")]
+    odd = False
+    for ring in rings:
+        for (x1, y1), (x2, y2) in zip(ring, ring[1:]):
+            if (y1 <= lat) != (y2 <= lat) and lon < x1 + (lat - y1) / (y2 - y1) * (x2 - x1):
+                odd = not odd
+    return odd
+
+
+def test_an_outline_across_the_line_fills_both_ends(spark):
+    got = joins.tag_runs(points_around_the_line(spark, 8), areas.zone_runs(across(spark), 8), "inside", 8).collect()
+    assert all(r.inside == inside_across(r.clat, r.clon) for r in got)
+    assert {r.inside for r in got if r.longitude < 0} == {r.inside for r in got if r.longitude > 0} == {True, False}
+    cells = {r[0] for r in areas.zone_cells(across(spark), 8).collect()}
+    assert {r.H3_int_index_8 for r in got if r.inside} <= cells
+    filled = {r.h3_ids_int for r in areas.area_cells(across(spark), ["name"], 8).collect()}
+    assert filled == cells
+
+
+def test_a_buffer_goes_on_across_the_line(spark):
+    near = "POLYGON ((179.9 10.0, 179.95 10.0, 179.95 10.05, 179.9 10.05, 179.9 10.0))"
+    area = areas.load_wkt(spark.createDataFrame([("b", near)], "name string, wkt string"), "wkt")
+    reach = 30_000.0
+    got = joins.tag_runs(points_around_the_line(spark, 8), areas.buffer_runs(area, reach, 8), "near", 8).collect()
+
+    def metres(lat, lon):
+        lon = lon + 360 if lon < 0 else lon
+        best = 1e18
+        for k in range(401):
+            t = k / 400
+            for x, y in ((179.9 + 0.05 * t, 10.0), (179.9 + 0.05 * t, 10.05), (179.9, 10 + 0.05 * t), (179.95, 10 + 0.05 * t)):
+                dx, dy = math.radians(lon - x) * math.cos(math.radians((lat + y) / 2)), math.radians(lat - y)
+                best = min(best, math.hypot(dx, dy) * geo.SPHERE_M)
+        return best
+
+    checked = 0
+    for r in got:
+        d = metres(r.clat, r.clon)
+        if abs(d - reach) > 30:
+            assert r.near == (d < reach), (r.clat, r.clon, d)
+            checked += r.longitude < 0
+    assert checked > 500 and any(r.near for r in got if r.longitude < 0)
+
+
+def test_distances_and_rings_across_the_line(spark):
+    rnd = random.Random(22)
+    rows = [(rnd.uniform(-60, 60), rnd.uniform(178, 182)) for _ in range(400)]
+    rows = [(a, x if x <= 180 else x - 360, b, y if y <= 180 else y - 360, x, y) for (a, x), (b, y) in zip(rows, rows[1:])]
+    df = spark.createDataFrame(rows, "la double, lo double, lb double, lp double, ux double, uy double")
+    # the same places moved 90 degrees west lie far from the line: distances agree but for the seam
+    df = df.select(
+        grid.point_grid_distance("la", "lo", "lb", "lp", 6).alias("d"),
+        grid.point_grid_distance("lb", "lp", "la", "lo", 6).alias("back"),
+        grid.point_grid_distance("la", F.col("ux") - 90, "lb", F.col("uy") - 90, 6).alias("far"),
+        grid.grid_distance(grid.cell_at("la", "lo", 6), grid.cell_at("lb", "lp", 6)).alias("cells"),
+        (F.signum("lo") != F.signum("lp")).alias("crosses"),
+    )
+    for r in df.collect():
+        assert abs(r.d - r.far) <= 2 and abs(r.d - r.back) <= 1 and r.cells == r.d
+    assert df.filter("crosses").count() > 100
+    at = spark.range(1).select(grid.cell_at(F.lit(10.0), F.lit(179.99), 6).alias("c"))
+    cells = at.select("c", F.explode(grid.ring("c", 4)).alias("x"))
+    lons = [r[0] for r in cells.select(grid.centre_longitude("x", 6)).collect()]
+    assert 50 <= len(lons) <= 61 and len(set(lons)) > 5 and min(lons) < 0 < max(lons) and max(map(abs, lons)) <= 180 + grid.half_spacing(6)
+    steps = [r[0] for r in cells.select(grid.grid_distance("c", "x")).collect()]
+    assert max(steps) <= 5
+    # far from the line rings are whole
+    assert spark.range(1).select(F.size(grid.ring(grid.cell_at(F.lit(10.0), F.lit(100.0), 6), 4))).first()[0] == 61
