@@ -276,24 +276,65 @@ def buffer_cells(
     return run_cells(buffer_runs(areas, radius_m, resolution), [], resolution, cell)
 
 
+#: A block is a rhombus of this many rows and columns of cells, as a power of two.
+BLOCK_BITS = 5
+
+
+def block_of(q: Column, r: Column) -> Column:
+    """The block that holds a cell: a negative number, so that blocks and cells can stand in one column."""
+    side = F.lit(1 << grid.AXIS_BITS)
+    column, row = (F.shiftright(x.cast("bigint"), BLOCK_BITS) + F.lit(grid.OFFSET) for x in (q, r))
+    return -(column * side + row) - F.lit(1)
+
+
 def cover(edges: DataFrame, keys: Sequence[str], resolution: int) -> DataFrame:
-    """Cells touching a polygon: whether the centre is inside, and the edges that may
-    cross the cell (none for cells well inside)."""
-    inside = fill(edges, keys, resolution).withColumn("_inside", F.lit(True))
+    """Cells and blocks that cover a polygon: coarse inside, fine along the outline.
+
+    A block of cells that lie inside, none of them touched by an edge, is one row: a place in it is inside.
+    All other cells have a row each: whether the centre is inside, and the edges that may cross the cell. So
+    the rows follow the length of the outline, and the area only by its blocks.
+    """
+    runs = spread(fill_runs(edges, keys, resolution), "_r", "_first")
     touched = cells_near_edges(edges, keys, resolution, grid.edge_length(resolution), "cell")
     touched = touched.distinct()
     if resolution >= PLANE_RESOLUTION:
         reach = F.lit(1.1 * grid.edge_length(resolution)) * F.cos(F.radians("_lat"))
         touched = with_distance(touched, "cell", resolution).filter(F.col("_metres") <= reach)
+    side = 1 << BLOCK_BITS
+    pieces = runs.select("*", F.explode(F.sequence(F.shiftright("_first", BLOCK_BITS), F.shiftright("_last", BLOCK_BITS))).alias("_at"))
+    pieces = pieces.select(
+        *keys,
+        "_r",
+        F.greatest(F.col("_first"), F.col("_at") * side).alias("_from"),
+        F.least(F.col("_last"), F.col("_at") * side + F.lit(side - 1)).alias("_to"),
+        block_of(F.col("_at") * side, F.col("_r")).alias("_block"),
+    )
+    broken = touched.select(*keys, block_of(grid.cell_q("cell"), grid.cell_r("cell")).alias("_block")).distinct()
+    full = pieces.groupBy(*keys, "_block").agg(F.sum(F.col("_to") - F.col("_from") + 1).alias("_n")).filter(F.col("_n") == side * side)
+    full = full.select(*keys, "_block").join(broken, [*keys, "_block"], "left_anti")
+    rest = pieces.join(full, [*keys, "_block"], "left_anti")
+    inside = rest.select(*keys, "_r", F.explode(F.sequence("_from", "_to")).alias("_q")).select(
+        *keys, grid.pack(F.col("_q"), F.col("_r"), resolution).alias("cell"), F.lit(True).alias("_inside")
+    ).filter(F.col("cell").isNotNull())
     both = inside.withColumn("_edge", F.lit(None).cast("struct<x1:double,y1:double,x2:double,y2:double>")).unionByName(
         touched.select(*keys, "cell", F.lit(False).alias("_inside"), F.struct("x1", "y1", "x2", "y2").alias("_edge"))
     )
-    return both.groupBy(*keys, "cell").agg(
+    fine = both.groupBy(*keys, "cell").agg(
         F.max("_inside").alias("centre_inside"),
         F.collect_list("_edge").alias("local_edges"),
     ).withColumns(
         {"centre_lon": grid.centre_longitude("cell", resolution), "centre_lat": grid.centre_latitude("cell", resolution)}
     )
+    nothing = F.lit(None).cast("double")
+    coarse = full.select(
+        *keys,
+        F.col("_block").alias("cell"),
+        F.lit(True).alias("centre_inside"),
+        F.array().cast("array<struct<x1:double,y1:double,x2:double,y2:double>>").alias("local_edges"),
+        nothing.alias("centre_lon"),
+        nothing.alias("centre_lat"),
+    )
+    return fine.unionByName(coarse)
 
 
 def points_in_areas(
@@ -306,7 +347,7 @@ def points_in_areas(
     """Exact spatial join: every (area, point) pair where the point is inside or on
     the outline, with all columns of both but ``geom``.
 
-    An equi join on the cell finds candidates. The exact answer is local: starting
+    An equi join on the cell, or on the block of cells well inside, finds candidates. The exact answer is local: starting
     from whether the cell centre is inside, each nearby edge between the point and
     the centre flips it. A point on an edge counts as inside. Every area is told apart by an
     id of its own, so areas that share their columns or overlap each give their pairs.
@@ -314,7 +355,10 @@ def points_in_areas(
     carried = [c for c in areas.columns if c != "geom"]
     known = identified(areas)
     covered = cover(polygon_edges(known, [AREA]), [AREA], resolution)
-    found = points.withColumn("_cell", grid.cell_at(lat, lon, resolution)).join(
+    # A place is looked for in its cell and in its block; of one area only one of them can be there.
+    at = settle(points, _at=grid.cell_at(lat, lon, resolution))
+    at = at.withColumn("_cell", F.explode(F.array("_at", block_of(grid.cell_q("_at"), grid.cell_r("_at"))))).drop("_at")
+    found = at.join(
         joins.sized(covered.withColumnRenamed("cell", "_cell")), "_cell", "inner"
     )
     px, py = F.col(lon), F.col(lat)

@@ -290,3 +290,44 @@ def test_distances_and_rings_across_the_line(spark):
     assert max(steps) <= 5
     # far from the line rings are whole
     assert spark.range(1).select(F.size(grid.ring(grid.cell_at(F.lit(10.0), F.lit(100.0), 6), 4))).first()[0] == 61
+
+
+# ---- cover of several resolutions --------------------------------------------------
+
+
+def test_cover_is_coarse_inside_and_exact_for_areas_of_very_different_size(spark):
+    shapes = {
+        "huge": "POLYGON ((10.0 10.0, 18.0 10.0, 18.0 18.0, 14.0 17.0, 10.0 18.0, 10.0 10.0), (12.0 12.0, 12.5 12.0, 12.5 12.5, 12.0 12.5, 12.0 12.0))",
+        "small": "POLYGON ((11.0 11.0, 11.2 11.0, 11.2 11.2, 11.0 11.2, 11.0 11.0))",
+        "tiny": "POLYGON ((11.1 11.1, 11.101 11.1, 11.101 11.101, 11.1 11.101, 11.1 11.1))",
+    }
+    zones_ = table(spark, shapes)
+    known = areas.identified(zones_)
+    covered = areas.cover(areas.polygon_edges(known, ["_area"]), ["_area"], 8).cache()
+    cells = areas.area_cells(zones_, ["name"], 8).count()
+    assert cells > 1_000_000 and covered.count() < cells / 10
+    # every cell once: blocks count for all their cells
+    inside = covered.filter("centre_inside").agg(F.sum(F.when(F.col("cell") < 0, 1 << (2 * areas.BLOCK_BITS)).otherwise(1))).first()[0]
+    assert inside == cells
+    rnd = random.Random(31)
+    rows = [(k, rnd.uniform(9, 19), rnd.uniform(9, 19)) for k in range(3000)]
+    rows += [(3000 + k, rnd.uniform(10.9, 11.3), rnd.uniform(10.9, 11.3)) for k in range(1500)]
+    rows += [(4500, 10.0, 14.0), (4501, 12.0, 12.2), (4502, 11.1005, 11.1005), (4503, None, 11.0)]
+    points = spark.createDataFrame(rows, "event_id long, latitude double, longitude double")
+    got = {(r.name, r.event_id) for r in areas.points_in_areas(points, zones_, 8).select("name", "event_id").collect()}
+    edge = {("huge", 4500), ("huge", 4501)}  # on an outline
+    want = {(name, k) for name, wkt in shapes.items() for k, lat, lon in rows if lat is not None and inside_of(wkt, lon, lat)}
+    assert got == want | edge
+    at = points.withColumn("c", grid.cell_at("latitude", "longitude", 8))
+    at = at.withColumn("cell", F.explode(F.array("c", areas.block_of(grid.cell_q("c"), grid.cell_r("c")))))
+    assert at.join(covered.select("cell"), "cell").count() <= 3 * len(got)
+
+
+def inside_of(wkt, x, y):
+    odd = False
+    for part in wkt[wkt.index("((") + 2 : -2].split("), ("):
+        ring = [tuple(map(float, p.split())) for p in part.split(", ")]
+        for (x1, y1), (x2, y2) in zip(ring, ring[1:]):
+            if (y1 <= y) != (y2 <= y) and x < x1 + (y - y1) / (y2 - y1) * (x2 - x1):
+                odd = not odd
+    return odd
