@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fairlead.functions import labels, ports
@@ -188,3 +188,41 @@ def summarize_time_in_port(df: DataFrame, keys: Sequence[str], method: str) -> D
         .agg(F.avg(hours).alias(mean), F.percentile_approx(hours, 0.5, 120).alias(median))
         .filter(F.col(mean).isNotNull() & F.col(median).isNotNull())
     )
+
+
+#: Size of a stored quantile sketch. Its rank error is about 2.3 / size ** 0.97, here 0.35 % of the rows, at 99 % confidence;
+#: groups of at most as many rows are exact.
+SKETCH = 800
+
+
+def duration_sketches(df: DataFrame, hours: Column | str, keys: Sequence[str], size: int = SKETCH) -> DataFrame:
+    """(keys, n, total, sketch): what mean and median of ``hours`` need, in a form that adds up over any rows.
+
+    A sketch holds some kilobytes whatever the number of rows; null hours are left out.
+    """
+    value = (F.col(hours) if isinstance(hours, str) else hours).cast("double")
+    return df.withColumn("_hours", value).filter(F.col("_hours").isNotNull()).groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("_hours").alias("total"), F.kll_sketch_agg_double("_hours", size).alias("sketch")
+    )
+
+
+def merged_durations(sketches: DataFrame, keys: Sequence[str], mean: str = "rata_rata_durasi", median: str = "median_durasi") -> DataFrame:
+    """Mean and median by ``keys``, any of the sketches' own; the rows behind them are not read again."""
+    merged = sketches.groupBy(*keys).agg(
+        F.sum("n").alias("_n"), F.sum("total").alias("_total"), F.kll_merge_agg_double("sketch").alias("_sketch")
+    )
+    return merged.select(
+        *keys, (F.col("_total") / F.col("_n")).alias(mean), F.kll_sketch_get_quantile_double("_sketch", F.lit(0.5)).alias(median)
+    )
+
+
+def visit_sketches(activity: DataFrame, keys: Sequence[str], size: int = SKETCH) -> DataFrame:
+    """Sketches of hours in port of arrivals, as ``summarize_time_in_port`` looks at them."""
+    joins.require(activity, "time")
+    return duration_sketches(_with_calendar(visits.arrivals(activity), keys, "dt_pos_utc"), F.col("time") / F.lit(3600.0), keys, size)
+
+
+def stop_sketches(stops: DataFrame, keys: Sequence[str], size: int = SKETCH) -> DataFrame:
+    """Sketches of the lower stay estimate of stop events, as ``summarize_stay_hours`` looks at them."""
+    joins.require(stops, "time_lower")
+    return duration_sketches(_with_calendar(stops, keys, "obs_time"), "time_lower", keys, size)

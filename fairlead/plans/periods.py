@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fairlead.functions import labels
-from fairlead.operators import joins, sequence, slices, stops, visits, voyages
+from fairlead.operators import joins, reports, sequence, slices, stops, visits, voyages
 from fairlead.sources import writers
 
 PERIOD = "period"
@@ -307,3 +307,21 @@ def stop_events(spark: SparkSession, target: str, geometry: str = "tri-line", fa
     known = ships.select("mmsi", F.col("_n").alias("_ship_pings"), F.col("_type").alias("_ship_type"))
     _, ship_min = labels.observation_thresholds("_ship_type")
     return stops.finished(facts.join(known, "mmsi").filter(F.col("_ship_pings") > ship_min), geometry, factor)
+
+
+# ---- durations -------------------------------------------------------------------
+
+DURATIONS = "durations"
+
+
+def add_durations(sketches: DataFrame, target: str, period: str) -> None:
+    """Add a period's sketches (``reports.visit_sketches`` or ``stop_sketches``)."""
+    _add(sketches, target, DURATIONS, period)
+
+
+def durations(spark: SparkSession, target: str, keys: Sequence[str]) -> DataFrame:
+    """Mean and median over all periods by any of the stored keys, merged from the sketches alone."""
+    found = _table(spark, target, DURATIONS)
+    if found is None:
+        raise ValueError(f"no durations at {target}")
+    return reports.merged_durations(found, keys)

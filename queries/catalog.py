@@ -786,6 +786,22 @@ def stay_hours_summary(spark, sf):
     return rounded(reports.summarize_stay_hours(stop_table(spark, sf), ["source", "year", "month", "day"]))
 
 
+@query
+def stay_hours_by_period(spark, sf):
+    target = work_folder(spark)
+    for period, rule in (("a", "day(obs_time) <= 8"), ("b", "day(obs_time) between 9 and 17"), ("c", "day(obs_time) > 17")):
+        periods.add_durations(reports.stop_sketches(stop_table(spark, sf).filter(rule), ["source", "vessel_type", "day"]), target, period)
+    return rounded(periods.durations(spark, target, ["source"]))
+
+
+@query
+def time_in_port_by_period(spark, sf):
+    target = work_folder(spark)
+    for period, rule in (("a", "day(dt_pos_utc) <= 10"), ("b", "day(dt_pos_utc) > 10")):
+        periods.add_durations(reports.visit_sketches(activity(spark, sf).filter(rule), ["Port", "date"]), target, period)
+    return rounded(periods.durations(spark, target, ["Port"]))
+
+
 # ---- stop events ---------------------------------------------------------------
 
 

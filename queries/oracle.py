@@ -516,6 +516,10 @@ add("time_in_port_of_stops", recursive((), STOPS) + """SELECT vessel_type, CAST(
 quantile_disc(time_lower, 0.5) AS "Median (Jam)" FROM stopped GROUP BY ALL""")
 add("stay_hours_summary", recursive((), STOPS) + """SELECT source, CAST(year(obs_time) AS INTEGER) AS year, CAST(month(obs_time) AS INTEGER) AS month,
 CAST(day(obs_time) AS INTEGER) AS day, round(avg(time_lower), 6) AS rata_rata_durasi, quantile_disc(time_lower, 0.5) AS median_durasi FROM stopped GROUP BY ALL""")
+add("stay_hours_by_period", recursive((), STOPS) + """SELECT source, round(avg(time_lower), 6) AS rata_rata_durasi,
+CAST(quantile_disc(time_lower, 0.5) AS DOUBLE) AS median_durasi FROM stopped WHERE time_lower IS NOT NULL GROUP BY ALL""")
+add("time_in_port_by_period", ACTIVITY + """SELECT Port, round(avg(time / 3600e0), 6) AS rata_rata_durasi, round(quantile_disc(time / 3600e0, 0.5), 6) AS median_durasi
+FROM activity WHERE masuk_pelabuhan = 'masuk' AND position = 'in' AND time IS NOT NULL GROUP BY ALL""")
 MODES = "SELECT mmsi, site, nav_status AS mode, count(*) AS frequency, min(dt_pos_utc) AS seen FROM pings GROUP BY ALL"
 for _name, _rank in (("last", "row_number() OVER (PARTITION BY mmsi, site ORDER BY frequency DESC, seen DESC)"),
                      ("first", "row_number() OVER (PARTITION BY mmsi, site ORDER BY frequency DESC, seen)"),

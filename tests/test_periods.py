@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from fairlead.operators import stops, visits, voyages
+from fairlead.operators import reports, stops, visits, voyages
 from fairlead.plans import periods
 from tests import test_stops
 
@@ -131,3 +131,20 @@ def test_periods_that_cut_a_slice_raise(spark, tmp_path):
     periods.add_stops(df.filter(F.col("dt_pos_utc") < cut), str(tmp_path), "a", slice_seconds=86400)
     with pytest.raises(Exception, match="multiple of the slice length"):
         periods.add_stops(df.filter(F.col("dt_pos_utc") >= cut), str(tmp_path), "b", slice_seconds=86400)
+
+
+def test_merged_medians_keep_the_stated_rank_error(spark, tmp_path):
+    rnd = random.Random(9)
+    values = [(k % 3, k % 40, rnd.lognormvariate(2, 1)) for k in range(60_000)] + [(5, 1, None), (4, 1, 2.0), (4, 2, None)]
+    df = spark.createDataFrame(values, "port int, day int, hours double").repartition(4)
+    for name, rule in (("a", "day < 10"), ("b", "day between 10 and 30"), ("c", "day > 30")):
+        periods.add_durations(reports.duration_sketches(df.filter(rule), "hours", ["port", "day"]), str(tmp_path), name)
+    got = {r.port: r for r in periods.durations(spark, str(tmp_path), ["port"]).collect()}
+    assert set(got) == {0, 1, 2, 4} and got[4].median_durasi == got[4].rata_rata_durasi == 2.0
+    for port in range(3):
+        mine = sorted(v for p, _, v in values if p == port)
+        rank = sum(v <= got[port].median_durasi for v in mine) / len(mine)
+        assert abs(rank - 0.5) < 0.01 and abs(got[port].rata_rata_durasi - sum(mine) / len(mine)) < 1e-9
+    whole = periods.durations(spark, str(tmp_path), []).first()
+    everything = sorted(v for _, _, v in values if v is not None)
+    assert abs(sum(v <= whole.median_durasi for v in everything) / len(everything) - 0.5) < 0.01
