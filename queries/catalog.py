@@ -12,7 +12,7 @@ from fairlead.functions import geo, grid, labels, ports
 from fairlead.operators import areas, clean, columns, joins, reports, sequence, stats, stops, visits, voyages, zones
 from fairlead.plans import jobs, periods
 from fairlead.schemas import SHIP_ATTRIBUTES
-from fairlead.sources import readers, writers
+from fairlead.sources import layout, readers, writers
 from queries.fixture import SLICE, table, view, work_folder
 
 TIE = ["event_id"]
@@ -186,6 +186,14 @@ def ingest(spark, sf):
     ).select("event_id", "mmsi")
 
 
+@query
+def ingest_clustered(spark, sf):
+    target = work_folder(spark)
+    layout.write_clustered(grid_pings(spark, sf), target, 60)
+    asia = aoi(spark, sf).filter("TERRITORY1 = 'ASIA'")
+    return layout.pings_of_ships_seen_in(spark, target, asia, 8, "2024-01-05", "2024-01-09", target).select("event_id", "mmsi")
+
+
 @query
 def distinct_ships(spark, sf):
     return readers.distinct_ships(pings(spark, sf))

@@ -151,6 +151,7 @@ add("region_then_ship_scan", ctes("pings", "zone_cells") + f"""SELECT event_id,
 SELECT mmsi FROM pings WHERE {SHORT} AND H3_int_index_8 IN (SELECT cell FROM zone_cells WHERE zone = 'strait'))""")
 add("ingest", ctes("aoi", pings=grid_pings(), **fill_ctes(8)) + f"""SELECT event_id, mmsi FROM pings WHERE {SHORT} AND mmsi IN (
 SELECT mmsi FROM pings WHERE {SHORT} AND H3_int_index_8 IN (SELECT f.cell FROM filled f JOIN aoi USING (Kode) WHERE TERRITORY1 = 'ASIA'))""")
+add("ingest_clustered", ORACLE["ingest"])
 add("distinct_ships", "SELECT DISTINCT user_id AS mmsi FROM events")
 add("areas_by_method", ctes("aoi", rings=RINGS) + "SELECT Kode, CAST(count(*) AS INTEGER) AS rings FROM rings WHERE method = 'Cluster' GROUP BY Kode")
 add("parquet_sink", ctes("pings") + "SELECT event_id, mmsi, sog, CAST(dt_pos_utc AS DATE) AS day FROM pings")

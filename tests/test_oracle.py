@@ -9,7 +9,7 @@ from tests.compare import differences, oracle_connection
 
 SF = "/root/testdata/sf0.001"
 # Too few rows at this scale for any to qualify.
-MAY_BE_EMPTY = {"ingest", "region_then_ship_scan", "vessels_not_through_zone"}
+MAY_BE_EMPTY = {"ingest", "ingest_clustered", "region_then_ship_scan", "vessels_not_through_zone"}
 
 
 @pytest.fixture(scope="module")
