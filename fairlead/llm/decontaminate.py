@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fairlead.llm.text import documents, mix, powers, sent as sent_value, ship, sliced, split_words, word_hashes
+from fairlead.llm.text import documents, mix, powers, sent as sent_value, ship, sliced, split_words, trimmed, word_hashes
 
 #: Positions that count are 1. Several masks find overlaps whose substituted words break the others.
 MASKS = ("11111", "1101011", "11001011", "101100101")
@@ -262,7 +262,7 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                     stay[part.column("at").to_numpy()[sent.value.overlaps(part.column("text"))["row"]]] = False
                 yield batch.filter(pa.array(stay))
 
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = docs.mapInArrow(trimmed(run), docs.schema)
     return docs
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fairlead.llm.text import documents, ship, sliced
+from fairlead.llm.text import documents, sent as sent_value, ship, sliced, trimmed
 
 #: Bytes of the longest context.
 ORDER = 3
@@ -20,6 +21,8 @@ FITTED = 1_500
 LEAST = 4
 UNKNOWN = "und"
 CHUNK = 1 << 20
+#: Nodes that are blended at once.
+ROWS = 4_096
 
 
 def contexts_counted(labelled: DataFrame) -> DataFrame:
@@ -84,18 +87,23 @@ class Model:
             number = parent.copy()
             number[own] = first + np.arange(len(own))
             for lang, (key, n) in per_lang.items():
-                lower = tables[lang][parent[own]]
                 count = np.zeros((len(own), a))
                 place = np.full(a**d, -1)
                 place[own] = np.arange(len(own))
                 row = place[key // a]
                 count[row[row >= 0], (key % a)[row >= 0]] = n[row >= 0]
-                tables[lang] = np.concatenate([tables[lang], self._blended(count, lower)])
+                grown = np.empty((first + len(own), a))
+                grown[:first] = tables[lang]
+                for i in range(0, len(own), ROWS):  # some rows at a time, as blending takes several copies
+                    grown[first + i : first + i + ROWS] = self._blended(count[i : i + ROWS], tables[lang][parent[own[i : i + ROWS]]])
+                tables[lang] = grown
             nodes = number
         self.node = nodes.astype(np.int32)
-        bits = np.stack([-np.log2(tables[lang]) for lang in self.languages], axis=-1)
-        bits[:, 0] += np.log2(max(256 - len(seen), 1))
-        self.bits = bits.astype(np.float32).reshape(-1, len(self.languages))
+        self.bits = np.empty((len(tables[self.languages[0]]) * a, len(self.languages)), np.float32)
+        for k, lang in enumerate(self.languages):
+            bits = -np.log2(tables.pop(lang))
+            bits[:, 0] += np.log2(max(256 - len(seen), 1))
+            self.bits[:, k] = bits.ravel()
 
     @staticmethod
     def _blended(count: np.ndarray, lower: np.ndarray) -> np.ndarray:
@@ -151,9 +159,9 @@ def fitted(labelled: DataFrame) -> Model | None:
     cells = 1_000_000
     share = F.coalesce(*[F.when(F.col("lang") == k, F.lit(-(-cells * FITTED // n))) for k, n in counts.items()])
     some = rows.filter(F.pmod("_hash", F.lit(cells)) < share).groupBy("lang", "_hash").agg(F.first("text").alias("text"))
-    found: dict[str, tuple[list[int], list[int]]] = {}
+    found: dict[str, tuple[array, array]] = {}
     for r in contexts_counted(some).toLocalIterator():
-        gram, n = found.setdefault(r.lang, ([], []))
+        gram, n = found.setdefault(r.lang, (array("q"), array("q")))
         gram.append(r.gram)
         n.append(r.n)
     return Model({k: (np.array(g, np.int64), np.array(n, np.int64)) for k, (g, n) in found.items()}) if found else None
@@ -196,7 +204,7 @@ def identified(docs: DataFrame, model: Model | None) -> DataFrame:
 def accepted(docs: DataFrame, model: Model | None, least: float = 0.3) -> DataFrame:
     """The documents, all columns, whose text is in a learned language with that score; all with letters if none was learned."""
     ship(docs.sparkSession)
-    sent, place = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index("text")
+    sent, place = sent_value(docs.sparkSession, model), docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -208,7 +216,7 @@ def accepted(docs: DataFrame, model: Model | None, least: float = 0.3) -> DataFr
                 stay = pa.array([k != UNKNOWN and s >= least for k, s in zip(langs, scores)], pa.bool_())
             yield batch.filter(stay)
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(trimmed(run), docs.schema)
 
 
 def held_out():

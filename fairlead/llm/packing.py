@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from fairlead.llm.text import documents, ship, sliced, stored
+from fairlead.llm.text import documents, ship, sliced, stored, trimmed
 from fairlead.llm.tokens import tokenizer, vocabulary_path
 
 CAPACITY = 4096
@@ -58,7 +58,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end: int = END)
             )
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        run, "doc_id long, piece int, start long, length long, ids_crc32 long"
+        trimmed(run), "doc_id long, piece int, start long, length long, ids_crc32 long"
     )
 
 

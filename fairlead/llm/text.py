@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import zipfile
 from collections.abc import Iterator
@@ -38,11 +40,40 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def is_local(master: str) -> bool:
+    """Whether a master runs everything on this machine, in one process."""
+    return master == "local" or master.startswith("local[")
+
+
+#: Broadcasts of a pipeline stage, to be given back when the stage is written.
+_SENT: list = []
+
+
+def sent(spark: SparkSession, value):
+    """A broadcast that `release` can give back."""
+    out = spark.sparkContext.broadcast(value)
+    _SENT.append(out)
+    return out
+
+
+def release(spark: SparkSession) -> None:
+    """Take the broadcasts so far from the executors; a query that still needs one sends it again. The driver's own
+    garbage goes too, and with it the shuffle files and blocks of finished stages that only it keeps alive."""
+    while _SENT:
+        _SENT.pop().unpersist()
+    gc.collect()
+    trim()
+    spark.sparkContext._jvm.System.gc()
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared folder (spark.checkpoint.dir); a folder of its own only where that is unset."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    """The cluster's shared folder (spark.checkpoint.dir). Where that is unset, a new folder of this machine
+    in local mode; anywhere else this raises, since executors would not see it."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        root = spark.sparkContext.getCheckpointDir() or "file://" + tempfile.mkdtemp(prefix="fairlead-")
+        if not is_local(spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        root = "file://" + tempfile.mkdtemp(prefix="fairlead-")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
@@ -54,6 +85,26 @@ def stored(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def trim() -> None:
+    """Give freed memory back to the system."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def trimmed(run):
+    """`run` over batches, freed memory given back to the system at its end: workers live on from stage to stage of
+    a pipeline, and what they keep is missing to the executor's heap."""
+
+    def tidy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        trim()
+
+    return tidy
+
+
 def sliced(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:
     """The same rows in pieces of about `limit` bytes of `column`, one row at least."""
     for batch in batches:

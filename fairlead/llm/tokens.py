@@ -20,8 +20,10 @@ PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 SPECIAL = ("<|startoftext|>", "<|endoftext|>")
 END_OF_TEXT = 49407
 VOCABULARY = 49408
-#: Distinct pieces that a worker remembers; then it starts anew.
-MEMORY = 400_000
+#: Bytes of distinct pieces and their ids that a worker remembers, about; then it starts anew.
+MEMORY = 24 << 20
+#: Bytes of a remembered piece beside its letters and ids: two objects and their place.
+ENTRY = 200
 
 _MARKS = string.punctuation.replace("'", "")
 _PLAIN = "^[!-~¡-¬®-įı-ſ]+$"
@@ -63,12 +65,14 @@ class WordTokenizer:
         self.encode = self.merge._core_bpe.encode_single_piece
         self.pieces = regex.compile(PIECES)
         self.seen: dict[str, bytes] = {}
+        self.size = 0
 
     def _piece(self, piece: str) -> bytes:
         ids = self.seen.get(piece)
         if ids is None:
             ids = array("I", self.encode(piece.encode() + b"\xff")).tobytes()
             self.seen[piece] = ids
+            self.size += ENTRY + len(piece) + len(ids)
         return ids
 
     def _word(self, word: str) -> bytes:
@@ -79,8 +83,8 @@ class WordTokenizer:
 
     def _distinct(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids per distinct word and all their ids, in the order of the words."""
-        if len(self.seen) > MEMORY:
-            self.seen = {}
+        if self.size > MEMORY:
+            self.seen, self.size = {}, 0
         plain = pc.match_substring_regex(words, _PLAIN)
         for token in SPECIAL:
             plain = pc.and_(plain, pc.invert(pc.match_substring(words, token)))
