@@ -20,6 +20,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,7 +37,8 @@ Pick = tuple[Column | str, int]
 class Slicing:
     """Time slices of ``seconds``; those of more than ``target`` rows are cut into parts of at most that many, about.
 
-    Cuts cost one more narrow pass over the rows. At most ``most`` slices can be over the limit, which
+    Cuts cost one more narrow pass over the rows, and their table, a tree of short lists, is kept on the executors'
+    disks. At most ``most`` slices can be over the limit, which
     is why the limit is ``target`` or one ``most``-th of all rows, whichever is larger: the table of cuts
     has at most ``2 * most`` rows and may be broadcast.
     """
@@ -51,6 +53,8 @@ EVEN = Slicing()
 #: Parts of a slice, and sampled rows of a part (the limit holds twice as many, so that none passes it by chance).
 PART_BITS = 20
 SAMPLES = 48
+#: Levels of the tree of cuts: with 131,072 cuts, the most there can be, a node has 20 of them.
+LEVELS = 4
 
 
 def time_slice(time: Column | str = TIME, seconds: int = DEFAULT_SLICE_SECONDS) -> Column:
@@ -87,23 +91,28 @@ def with_slices(
     rate = F.ceil(F.lit(2.0 * SAMPLES * cells) / F.col("_limit"))
     drawn = based.join(F.broadcast(heavy.drop("_n")), [key, "_base"]).filter(F.pmod(F.xxhash64(*ordered), F.lit(cells)) < rate)
     at = Window.partitionBy(key, "_base").orderBy(*ordered)
-    cuts = drawn.withColumn("_i", F.row_number().over(at)).filter(F.col("_i") % SAMPLES == 0)
-    # Cuts in blocks, so that a row compares itself with two short lists.
-    block = F.col("_i") / SAMPLES
-    width = F.ceil(F.sqrt(F.max("_i").over(Window.partitionBy(key, "_base")) / SAMPLES))
-    placed = cuts.select(key, "_base", F.struct(*ordered).alias("_cut"), F.floor((block - 1) / width).alias("_block"))
-    lists = placed.groupBy(key, "_base", "_block").agg(F.array_sort(F.collect_list("_cut")).alias("_cuts"))
-    listed = lists.groupBy(key, "_base").agg(F.array_sort(F.collect_list(F.struct("_block", "_cuts"))).alias("_lists"))
-    own = F.struct(*ordered)
-    joined = based.join(F.broadcast(listed), [key, "_base"], "left")
-
-    def below(cuts: Column) -> Column:
-        return F.size(F.filter(cuts, lambda c: c <= own))
-
-    # blocks that begin at or below the row; all but the last of them lie below it whole
-    begun = F.size(F.filter("_lists", lambda b: b["_cuts"][0] <= own))
-    before = F.when(begun > 0, (begun - 1) * F.size(F.get(F.col("_lists")["_cuts"], F.lit(0))) + below(F.get(F.col("_lists")["_cuts"], begun - 1)))
-    part = F.coalesce(before, F.lit(0)).cast("bigint")
+    drawn = drawn.withColumn("_i", F.row_number().over(at)).filter(F.col("_i") % SAMPLES == 0)
+    cuts = drawn.select(key, "_base", F.struct(*ordered).alias("_cut"), (F.floor(F.col("_i") / SAMPLES) - 1).alias("_at"))
+    # A tree of cuts: a row goes down it by one join a level, and meets one node's short list at each.
+    whole_slice = Window.partitionBy(key, "_base")
+    width = F.ceil(F.pow(F.max("_at").over(whole_slice) + 1, F.lit(1.0 / LEVELS)))
+    firsts = cuts.withColumn("_width", width).withColumn("_level", F.explode(F.sequence(F.lit(0), F.lit(LEVELS - 1))))
+    firsts = firsts.withColumn("_apart", F.pow("_width", F.lit(LEVELS - 1) - F.col("_level")).cast("bigint")).filter("_at % _apart = 0")
+    nodes = firsts.groupBy(key, "_base", "_level", F.floor(F.col("_at") / (F.col("_apart") * F.col("_width"))).alias("_node")).agg(
+        F.array_sort(F.collect_list("_cut")).alias("_cuts"), F.first("_width").alias("_width")
+    )
+    # kept on disk, some thousand rows: each level would sample the rows again
+    nodes = nodes.persist(StorageLevel.DISK_ONLY)
+    own, time = F.struct(*ordered), F.col(order[0])
+    joined = based.withColumn("_node", F.lit(0).cast("bigint"))
+    for level in range(LEVELS):
+        at_level = F.broadcast(nodes.filter(F.col("_level") == level).drop("_level"))
+        # the time alone mostly decides; the whole row is compared among cuts of its own time only
+        below = F.filter("_cuts", lambda c: (c[order[0]] < time) | ((c[order[0]] == time) & (c <= own)))
+        child = F.col("_node") * F.col("_width") + F.size(below) - 1
+        joined = joined.join(at_level, [key, "_base", "_node"], "left").select(*based.columns, child.alias("_node"))
+    # the last cut at or below the row; null where its slice has no cuts, or all are above it
+    part = F.coalesce(F.col("_node") + 1, F.lit(0)).cast("bigint")
     sliced = joined.withColumn("_slice", F.col("_base") * F.lit(1 << PART_BITS) + part)
     return sliced.select(*df.columns, "_slice")
 

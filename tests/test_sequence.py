@@ -144,3 +144,16 @@ def test_cut_slices_do_not_change_neighbours(spark):
         results.append(sorted(map(str, got.collect())))
     assert results[0] == results[1] == results[2]
     assert sequence.with_slices(df.limit(0), ["dt_pos_utc"], sequence.EVEN).count() == 0
+
+
+def test_a_row_meets_short_lists_of_cuts_only(spark):
+    """One slice of 9,000 rows, some 190 cuts: a row that carries all cuts of its slice, or all in blocks of
+    their root, is too wide for tables of millions of rows."""
+    df = crowded(spark, 11, False)
+    slicing = sequence.Slicing(3600, target=2)
+    plan = sequence.with_slices(df, ["dt_pos_utc"], slicing)
+    assert plan._jdf.queryExecution().optimizedPlan().toString().count("LeftOuter") == sequence.LEVELS
+    rows = [r for r in plan.collect() if r.mmsi == 1]
+    assert len({r._slice for r in rows}) >= 180
+    order = sorted(rows, key=lambda r: (r.dt_pos_utc, r.event_id))
+    assert [r._slice for r in order] == sorted(r._slice for r in rows)
