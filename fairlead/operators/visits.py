@@ -108,6 +108,24 @@ def port_visits(
     return marked(seen).drop("_prev", "_next", "_next_time")
 
 
+def outer_ports(cells: DataFrame, cell: str = "h3_ids_int") -> DataFrame:
+    """Port cells (before ``joins.tag_ports``) with the first and the last port of each cell, in the order of visits.
+
+    A ping in a cell of many ports has a row for each. All of these but the first and last stand between rows
+    inside a port, so none can be an edge, and no edge looks at them: port visits come out the same. Ports
+    without a name stay all, as they stand among the rows outside every port.
+    """
+    variants = [("Kode", "kode"), ("Hirarki_1", "kode_hirar"), ("Prov_ID", "kd_prov")]
+    # as visit_pings picks them and sorts by them; what it leaves out comes last
+    first = [next(c for c in names if c in cells.columns) for names in variants]
+    port = first[0]
+    place = F.struct(*first, *[c for c in cells.columns if c not in (*first, cell)])
+    named_ports = cells.filter(F.col(port).isNotNull())
+    ends = named_ports.groupBy(cell).agg(F.array_distinct(F.array(F.min(place), F.max(place))).alias("_ends"))
+    outer = ends.select(cell, F.inline("_ends")).select(*cells.columns)
+    return outer.unionByName(cells.filter(F.col(port).isNull()))
+
+
 MARKS = ["masuk_pelabuhan", "keluar_pelabuhan", "time"]
 
 

@@ -100,7 +100,7 @@ def boundary(
     if buffer_mode == "filter":
         pings = joins.keep_in_runs(pings, areas.buffer_runs(chosen, buffer_radius_m, resolution), resolution)
     keys = [c for c in chosen.columns if c not in ("geom", "method")]
-    tagged = joins.tag_ports(pings, areas.area_cells(chosen, keys, resolution), resolution)
+    tagged = joins.tag_ports(pings, visits.outer_ports(areas.area_cells(chosen, keys, resolution)), resolution)
     detect = visits.port_visits_by_port_change if draft else visits.port_visits
     return detect(tagged, cell, slice_seconds=slice_seconds)
 

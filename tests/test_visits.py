@@ -151,3 +151,39 @@ def test_visit_queries_read_the_pings_twice_at_most(spark, name):
 
     plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert 1 <= plan.count("Relation [event_id") <= 2
+
+
+def test_visits_are_the_same_from_the_outer_ports_of_a_cell(spark):
+    rnd = random.Random(12)
+    cells = [(c, rnd.choice(["A", "B", "C", "D", "E", None]), f"p{rnd.randrange(3)}", f"h{rnd.randrange(3)}") for c in range(8) for _ in range(9)]
+    ports = spark.createDataFrame(cells, "h3_ids_int long, Kode string, Prov_ID string, Hirarki_1 string").distinct().cache()
+    outer = visits.outer_ports(ports)
+    assert outer.columns == ports.columns
+    assert outer.filter("Kode is not null").groupBy("h3_ids_int").count().agg({"count": "max"}).first()[0] == 2
+    blank = tagged(spark, {}).drop("Prov_ID", "Kode", "Hirarki_1", "h3_ids_int")
+    rows = []
+    for ship in range(12):
+        for _ in range(60):  # few times and many cells without a port, so that pings of one time meet
+            at = START + dt.timedelta(seconds=600 * rnd.randrange(40))
+            rows.append((ship, "n", at, "Indonesia", "Indonesia", None, None, "t", "m", "s", "nav", 1.0, 1.0, 0.0, 0.0, rnd.randrange(16)))
+    pings = spark.createDataFrame(rows, blank.schema).cache()
+    for detect in (visits.port_visits, visits.port_visits_by_port_change):
+        want, got = (sorted(map(str, detect(joins.tag_ports(pings, p), slice_seconds=7200).collect())) for p in (ports, outer))
+        assert got == want and len(got) > 50
+
+
+def test_boundary_joins_two_ports_a_cell_at_most(spark, monkeypatch):
+    from fairlead.functions import grid
+    from fairlead.operators import areas
+    from fairlead.plans import jobs
+
+    square = "POLYGON ((100 0, 100.1 0, 100.1 0.1, 100 0.1, 100 0))"
+    aoi = spark.createDataFrame([(f"P{k:02}", "p", "h", "Cluster", square) for k in range(30)], "Kode string, Prov_ID string, Hirarki_1 string, method string, wkt string")
+    seen, tag = [], joins.tag_ports
+    monkeypatch.setattr(joins, "tag_ports", lambda pings, cells, *rest: seen.append(cells) or tag(pings, cells, *rest))
+    pings = tagged(spark, {1: ".AA."}).drop("Prov_ID", "Kode", "Hirarki_1", "h3_ids_int")
+    pings = pings.withColumns({"latitude": pings.latitude + 0.05, "longitude": 99.0 + pings.longitude * (3 - pings.longitude) / 2 + 0.05})
+    pings = pings.withColumn("H3_int_index_8", grid.cell_at("latitude", "longitude", 8))
+    rows = jobs.boundary(pings, areas.load_wkt(aoi, "wkt"), "Cluster", 8).collect()
+    assert [(r.position, r.Port) for r in sorted(rows, key=lambda r: (r.dt_pos_utc, r.Port or ""))] == [("out", None), ("in", "P00"), ("in", "P29"), ("out", None)]
+    assert {r.Kode for r in seen[0].collect()} == {"P00", "P29"}
