@@ -41,8 +41,7 @@ def port_traffic(
 ) -> dict[str, DataFrame]:
     """Route counts: all international, first inbound and first outbound legs."""
     ports = voyages.with_centres(voyages.union_ports(home_ports, foreign_ports))
-    calls = voyages.port_calls(pings, ports, tiebreak=tiebreak, slice_seconds=slice_seconds)
-    legs = voyages.legs(calls, tiebreak, slice_seconds)
+    legs = voyages.international_legs(pings, ports, tiebreak=tiebreak, slice_seconds=slice_seconds)
     return {
         "all": voyages.traffic_all(legs).orderBy(F.desc("count")),
         "inbound": voyages.traffic_inbound(legs).orderBy(F.desc("count")),
@@ -59,10 +58,10 @@ def write_port_traffic(
     slice_seconds: int | sequence.Slicing = sequence.EVEN,
 ) -> dict[str, DataFrame]:
     """The outputs of :func:`port_traffic` as tables below ``folder``, read back. The pings are read and shuffled
-    once: their legs, some thousandths of them, are written first and all three outputs start from these."""
+    once: their international legs, some thousandths of them, are written first and all three outputs start from these."""
     ports = voyages.with_centres(voyages.union_ports(home_ports, foreign_ports))
-    calls = voyages.port_calls(pings, ports, tiebreak=tiebreak, slice_seconds=slice_seconds)
-    legs = _written(voyages.legs(calls, tiebreak, slice_seconds), folder, "legs")
+    legs = voyages.international_legs(pings, ports, tiebreak=tiebreak, slice_seconds=slice_seconds)
+    legs = _written(legs, folder, "legs")
     counts = {
         "all": voyages.traffic_all(legs), "inbound": voyages.traffic_inbound(legs), "outbound": voyages.traffic_outbound(legs)
     }
