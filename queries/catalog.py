@@ -116,6 +116,11 @@ def stop_table(spark, sf, **options) -> DataFrame:
     return stops.stop_events(grid_pings(spark, sf), 8, TIE, slice_seconds=SLICE, **options)
 
 
+def kept(spark, df: DataFrame) -> DataFrame:
+    """A table that several periods read, written once."""
+    return spark.read.schema(df.schema).parquet(writers.write_parquet(df, work_folder(spark)))
+
+
 def port_stops(spark, sf) -> DataFrame:
     cells = areas.area_cells(aoi(spark, sf), ["Kode"], 8)
     return joins.events_in_ports(stop_table(spark, sf), cells).drop("h3_ids_int")
@@ -796,17 +801,17 @@ def stay_hours_summary(spark, sf):
 
 @query
 def stay_hours_by_period(spark, sf):
-    target = work_folder(spark)
+    target, found = work_folder(spark), kept(spark, stop_table(spark, sf))
     for period, rule in (("a", "day(obs_time) <= 8"), ("b", "day(obs_time) between 9 and 17"), ("c", "day(obs_time) > 17")):
-        periods.add_durations(reports.stop_sketches(stop_table(spark, sf).filter(rule), ["source", "vessel_type", "day"]), target, period)
+        periods.add_durations(reports.stop_sketches(found.filter(rule), ["source", "vessel_type", "day"]), target, period)
     return rounded(periods.durations(spark, target, ["source"]))
 
 
 @query
 def time_in_port_by_period(spark, sf):
-    target = work_folder(spark)
+    target, found = work_folder(spark), kept(spark, activity(spark, sf))
     for period, rule in (("a", "day(dt_pos_utc) <= 10"), ("b", "day(dt_pos_utc) > 10")):
-        periods.add_durations(reports.visit_sketches(activity(spark, sf).filter(rule), ["Port", "date"]), target, period)
+        periods.add_durations(reports.visit_sketches(found.filter(rule), ["Port", "date"]), target, period)
     return rounded(periods.durations(spark, target, ["Port"]))
 
 

@@ -148,3 +148,17 @@ def test_merged_medians_keep_the_stated_rank_error(spark, tmp_path):
     whole = periods.durations(spark, str(tmp_path), []).first()
     everything = sorted(v for _, _, v in values if v is not None)
     assert abs(sum(v <= whole.median_durasi for v in everything) / len(everything) - 0.5) < 0.01
+
+
+def test_periods_of_durations_find_their_events_once(spark, monkeypatch):
+    from fairlead.operators import stops as stop_operators
+    from fairlead.operators import visits as visit_operators
+    from queries.catalog import QUERIES
+
+    calls = []
+    for module, name in ((stop_operators, "stop_events"), (visit_operators, "port_visits")):
+        made = getattr(module, name)
+        monkeypatch.setattr(module, name, lambda *a, _f=made, _n=name, **o: calls.append(_n) or _f(*a, **o))
+    for query in ("stay_hours_by_period", "time_in_port_by_period"):
+        assert QUERIES[query](spark, "/root/testdata/sf0.001").count() > 0
+    assert calls == ["stop_events", "port_visits"]
