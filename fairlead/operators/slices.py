@@ -17,6 +17,10 @@ from fairlead.functions.grid import AXIS_BITS, AXIS_MASK, OFFSET
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 NONE = -1
+#: The event that was open when the slice began.
+ENTERED = -2
+#: Slices of at most this many pings are run side by side; longer ones each by themselves, in blocks.
+SHORT = 64
 
 
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray]]:
@@ -115,6 +119,35 @@ class _Slice:
         return result
 
 
+def _side_by_side(cells: np.ndarray, slow: np.ndarray, begin: np.ndarray, n: np.ndarray, state: list[np.ndarray], depth: int, path: np.ndarray | None = None) -> None:
+    """Run the machine over short slices side by side: their first pings, then their second ones, and so on.
+
+    ``state`` has the anchor's q and r and its position (NONE without an event, ENTERED for that of the entry), one
+    row a slice and one column an entry state, and is changed in place. ``path`` takes the position that each
+    ping belongs to, of the first column.
+    """
+    order = np.argsort(-n, kind="stable")
+    begin, longest = begin[order], n[order]
+    q, r, pos = (x[order] for x in state)
+    for t in range(int(longest[0]) if len(longest) else 0):
+        k = int(np.searchsorted(-longest, -t))
+        at = begin[:k] + t
+        cq = (((cells[at] >> AXIS_BITS) & AXIS_MASK) - OFFSET)[:, None]
+        cr = ((cells[at] & AXIS_MASK) - OFFSET)[:, None]
+        dq, dr, now = cq - q[:k], cr - r[:k], pos[:k]
+        away = np.maximum(np.maximum(np.abs(dq), np.abs(dr)), np.abs(dq + dr)) > depth
+        idle = now == NONE
+        opened = idle & slow[at][:, None]
+        now[away & ~idle] = NONE
+        now[opened] = t
+        np.copyto(q[:k], cq, where=opened)
+        np.copyto(r[:k], cr, where=opened)
+        if path is not None:
+            path[at] = now[:, 0]
+    for x, y in zip(state, (q, r, pos)):
+        x[order] = y
+
+
 # Per slice: what it does to each entry state, and the facts its ship is judged by.
 SUMMARY = (
     "mmsi bigint, _slice bigint, none_pos int, none_cell bigint, far_pos int, far_cell bigint, "
@@ -125,13 +158,22 @@ SUMMARY = (
 STATE = "in_slice bigint, in_pos int, in_cell bigint"
 
 
+_TYPES = {
+    "bigint": pa.int64(), "int": pa.int32(), "string": pa.string(),
+    "array<bigint>": pa.list_(pa.int64()), "array<int>": pa.list_(pa.int32()),
+}
+
+
 def _to_batch(columns: dict, schema: str) -> pa.RecordBatch:
-    types = {
-        "bigint": pa.int64(), "int": pa.int32(), "string": pa.string(),
-        "array<bigint>": pa.list_(pa.int64()), "array<int>": pa.list_(pa.int32()),
-    }
     fields = [f.split(" ") for f in schema.split(", ")]
-    return pa.record_batch([pa.array(columns[n], types[t]) for n, t in fields], names=[n for n, _ in fields])
+    made = [c if isinstance(c := columns[n], pa.Array) else pa.array(c, _TYPES[t]) for n, t in fields]
+    return pa.record_batch(made, names=[n for n, _ in fields])
+
+
+def _lists(values: np.ndarray, chosen: np.ndarray, kind: pa.DataType) -> pa.Array:
+    """One list a row: the values chosen there."""
+    offsets = np.concatenate(([0], np.cumsum(chosen.sum(axis=1))))
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values[chosen], kind))
 
 
 def summarise(offsets: list[tuple[int, int]], depth: int):
@@ -146,34 +188,38 @@ def summarise(offsets: list[tuple[int, int]], depth: int):
             imo_rows = np.flatnonzero(table["imo"].is_valid().to_numpy())
             imo_first = np.searchsorted(imo_rows, bounds[:-1])
             imos = table["imo"].take(pa.array(imo_rows)).to_numpy()
-            out: dict[str, list] = {f.split(" ")[0]: [] for f in SUMMARY.split(", ")}
-            for g, (a, b) in enumerate(zip(bounds[:-1], bounds[1:])):
-                s = _Slice(cells[a:b], slow[a:b], depth)
-                none, far = s.open_at_end(0), s.open_at_end(1)
-                stays, other, other_pos = [], [], []
-                anchors = (s.cells[0] + (off_q << AXIS_BITS) + off_r).tolist()
-                for anchor, left in zip(anchors, s.leaves_each(s.q[0] + off_q, s.r[0] + off_r, 1).tolist()):
-                    if left == s.n:
-                        stays.append(anchor)
-                    elif (then := s.open_at_end(left + 1)) != far:
-                        other.append(anchor)
-                        other_pos.append(then)
-                out["mmsi"].append(ship[a])
-                out["_slice"].append(part[a])
-                out["none_pos"].append(none)
-                out["none_cell"].append(int(s.cells[none]) if none >= 0 else NONE)
-                out["far_pos"].append(far)
-                out["far_cell"].append(int(s.cells[far]) if far >= 0 else NONE)
-                out["stays"].append(stays)
-                out["other"].append(other)
-                out["other_pos"].append(other_pos)
-                out["other_cell"].append([int(s.cells[p]) if p >= 0 else NONE for p in other_pos])
-                i = imo_first[g]
-                out["_imo"].append(int(imos[i]) if i < len(imo_rows) and imo_rows[i] < b else None)
-                out["_type"].append(kinds[g])
-                out["_n"].append(b - a)
-                out["_first_unix"].append(unix[a])
-                out["_last_unix"].append(unix[b - 1])
+            begin, n = bounds[:-1], np.diff(bounds)
+            head = cells[begin]
+            # entry states: none open, one out of reach of the first ping, and one anchored at each cell in its reach
+            q = (((head >> AXIS_BITS) & AXIS_MASK) - OFFSET)[:, None] + np.concatenate(([0, depth + 1], off_q))
+            r = ((head & AXIS_MASK) - OFFSET)[:, None] + np.concatenate(([0, 0], off_r))
+            pos = np.full(q.shape, ENTERED, np.int32)
+            pos[:, 0] = NONE
+            short = n <= SHORT
+            state = [q[short], r[short], pos[short]]
+            _side_by_side(cells, slow, begin[short], n[short], state, depth)
+            pos[short] = state[2]
+            for g in np.flatnonzero(~short):
+                s = _Slice(cells[bounds[g] : bounds[g + 1]], slow[bounds[g] : bounds[g + 1]], depth)
+                left = s.leaves_each(s.q[0] + off_q, s.r[0] + off_r, 1)
+                after = [ENTERED if end == s.n else s.open_at_end(end + 1) for end in left.tolist()]
+                pos[g] = [s.open_at_end(0), s.open_at_end(1), *after]
+            at_end = np.where(pos >= 0, cells[begin[:, None] + np.maximum(pos, 0)], NONE)
+            anchors = head[:, None] + (off_q << AXIS_BITS) + off_r
+            stays = pos[:, 2:] == ENTERED
+            other = ~stays & (pos[:, 2:] != pos[:, 1:2])
+            got = imo_first < len(imo_rows)
+            got[got] = imo_rows[imo_first[got]] < bounds[1:][got]
+            imo = pa.array(imos, pa.int64()).take(pa.array(np.where(got, imo_first, 0), mask=~got))
+            out = {
+                "mmsi": ship[begin], "_slice": part[begin],
+                "none_pos": pos[:, 0], "none_cell": at_end[:, 0], "far_pos": pos[:, 1], "far_cell": at_end[:, 1],
+                "stays": _lists(anchors, stays, pa.int64()),
+                "other": _lists(anchors, other, pa.int64()),
+                "other_pos": _lists(pos[:, 2:], other, pa.int32()),
+                "other_cell": _lists(at_end[:, 2:], other, pa.int64()),
+                "_n": n, "_first_unix": unix[begin], "_last_unix": unix[bounds[1:] - 1], "_type": kinds, "_imo": imo,
+            }
             yield _to_batch(out, SUMMARY)
 
     return run
@@ -189,21 +235,24 @@ def chain(facts: list[str]):
         ship, state = None, (NONE, NONE, NONE)
         for b in batches:
             out: dict[str, list] = {f.split(" ")[0]: [] for f in STATE.split(", ")}
-            for row in b.select(MACHINE).to_pylist():
-                if row["mmsi"] != ship:
-                    ship, state = row["mmsi"], (NONE, NONE, NONE)
+            stays, other, other_pos, other_cell = (b.column(c) for c in MACHINE[-4:])
+            alone = zip(*(b.column(c).to_pylist() for c in MACHINE[:-4]))
+            for i, (mmsi, part, none_pos, none_cell, far_pos, far_cell) in enumerate(alone):
+                if mmsi != ship:
+                    ship, state = mmsi, (NONE, NONE, NONE)
                 for name, v in zip(out, state):
                     out[name].append(v)
+                # the lists are looked at only where an event is open
                 if state[1] == NONE:
-                    pos, cell = row["none_pos"], row["none_cell"]
-                elif state[2] in row["stays"]:
+                    pos, cell = none_pos, none_cell
+                elif state[2] in stays[i].as_py():
                     continue
-                elif state[2] in row["other"]:
-                    i = row["other"].index(state[2])
-                    pos, cell = row["other_pos"][i], row["other_cell"][i]
+                elif state[2] in (known := other[i].as_py()):
+                    j = known.index(state[2])
+                    pos, cell = other_pos[i][j].as_py(), other_cell[i][j].as_py()
                 else:
-                    pos, cell = row["far_pos"], row["far_cell"]
-                state = (row["_slice"], pos, cell) if pos != NONE else (NONE, NONE, NONE)
+                    pos, cell = far_pos, far_cell
+                state = (part, pos, cell) if pos != NONE else (NONE, NONE, NONE)
             entered = _to_batch(out, STATE)
             kept = b.select(facts)
             yield pa.RecordBatch.from_arrays(
@@ -219,9 +268,20 @@ def label(depth: int):
             part = table["_slice"].to_numpy()
             cells, slow = table["_cell"].to_numpy(), table["_slow"].to_numpy()
             in_slice, in_pos, in_cell = (table[c].to_numpy() for c in ("in_slice", "in_pos", "in_cell"))
-            ev_slice = np.full(len(part), NONE, dtype=np.int64)
-            ev_pos = np.full(len(part), NONE, dtype=np.int32)
-            for a, b in zip(bounds[:-1], bounds[1:]):
+            ev_slice, ev_pos = part.astype(np.int64), np.full(len(part), NONE, dtype=np.int32)
+            begin, n = bounds[:-1], np.diff(bounds)
+            short = n <= SHORT
+            a = begin[short]
+            entered = in_pos[a] != NONE
+            state = [
+                (((in_cell[a] >> AXIS_BITS) & AXIS_MASK) - OFFSET)[:, None],
+                ((in_cell[a] & AXIS_MASK) - OFFSET)[:, None],
+                np.where(entered, ENTERED, NONE).astype(np.int32)[:, None],
+            ]
+            _side_by_side(cells, slow, a, n[short], state, depth, ev_pos)
+            carried = np.flatnonzero(ev_pos == ENTERED)
+            ev_slice[carried], ev_pos[carried] = in_slice[carried], in_pos[carried]
+            for a, b in zip(begin[~short], bounds[1:][~short]):
                 s = _Slice(cells[a:b], slow[a:b], depth)
                 start = 0
                 if in_pos[a] != NONE:
@@ -231,7 +291,7 @@ def label(depth: int):
                     ev_slice[a : a + end], ev_pos[a : a + end] = in_slice[a], in_pos[a]
                     start = end + 1
                 for first, end in s.events(start):
-                    ev_slice[a + first : a + end], ev_pos[a + first : a + end] = part[a], first
+                    ev_pos[a + first : a + end] = first
             kept = np.flatnonzero(ev_pos != NONE)
             labelled = table.append_column("_ev_slice", pa.array(ev_slice)).append_column("_ev_pos", pa.array(ev_pos))
             yield from labelled.take(pa.array(kept)).to_batches()
