@@ -129,6 +129,18 @@ def with_ship_attributes(listed: DataFrame, attributes: DataFrame) -> DataFrame:
     return listed.join(attributes, "mmsi", "left")
 
 
+def counted_stops(stops: DataFrame, cell: str = "h3_index_int") -> DataFrame:
+    """All that :func:`recap_stops` looks at: one row per anchor cell, day, and first and last state, and how many events (``events``).
+
+    These rows, not the events, then meet the ports that share a cell, so the pairs do not grow with the events.
+    They are few and each may meet many ports, hence dealt out evenly.
+    """
+    keys = [cell, "obs_time", "state_initial", "state_final"]
+    by_day = columns.as_timestamp(stops, "obs_time").withColumn("obs_time", F.to_date("obs_time"))
+    counted = by_day.groupBy(*keys).agg(F.count(F.lit(1)).alias("events"))
+    return counted.repartition(int(stops.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def recap_stops(
     stops: DataFrame,
     kind: str,
@@ -136,8 +148,10 @@ def recap_stops(
     date_obs: int | None = None,
     month_obs: int | None = None,
     year_obs: int | None = None,
+    events: str | None = None,
 ) -> DataFrame:
-    """Arrivals (began under way) or departures (ended under way) per port and day."""
+    """Arrivals (began under way) or departures (ended under way) per port and day. ``events`` names the
+    column that says how many events a row stands for (:func:`counted_stops`); without it, each is one."""
     first, last = F.col("state_initial"), F.col("state_final")
     rules = {
         "arrival": ((first == 2) & last.isin(2, 3), "kedatangan"),
@@ -152,7 +166,7 @@ def recap_stops(
     return (
         rows.filter(rule)
         .groupBy("Kode", F.to_date("obs_time").alias("tanggal"))
-        .agg(F.count(F.lit(1)).alias(name))
+        .agg((F.coalesce(F.sum(events), F.lit(0)) if events else F.count(F.lit(1))).alias(name))
         .withColumn("nama_pelabuhan", ports.port_name("Kode"))
     )
 

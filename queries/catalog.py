@@ -122,8 +122,9 @@ def kept(spark, df: DataFrame) -> DataFrame:
 
 
 def port_stops(spark, sf) -> DataFrame:
+    """Stop events in ports, counted by what the recaps look at."""
     cells = areas.area_cells(aoi(spark, sf), ["Kode"], 8)
-    return joins.events_in_ports(stop_table(spark, sf), cells).drop("h3_ids_int")
+    return joins.events_in_ports(reports.counted_stops(stop_table(spark, sf)), cells).drop("h3_ids_int")
 
 
 # ---- scans and sinks -----------------------------------------------------------
@@ -856,12 +857,12 @@ def stops_in_ports(spark, sf):
 
 @query
 def stop_arrivals(spark, sf):
-    return reports.recap_stops(port_stops(spark, sf), "arrival", month_obs=1)
+    return reports.recap_stops(port_stops(spark, sf), "arrival", month_obs=1, events="events")
 
 
 @query
 def stop_departures(spark, sf):
-    return reports.recap_stops(port_stops(spark, sf), "departed", year_obs=2024)
+    return reports.recap_stops(port_stops(spark, sf), "departed", year_obs=2024, events="events")
 
 
 @query

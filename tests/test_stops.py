@@ -183,3 +183,67 @@ def test_foreign_cells_raise(spark):
     df = spark.createDataFrame(walk(rnd, 1, 20, "Tanker", 0), SCHEMA).withColumn("H3_int_index_10", F.lit(621922022744817663))
     with pytest.raises(Exception, match="another grid"):
         stops.stop_events(df).collect()
+
+
+def test_short_slices_are_run_side_by_side(monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+
+    from fairlead.operators import slices
+
+    def alone(*_):
+        raise AssertionError("a slice of a few pings was run by itself")
+
+    monkeypatch.setattr(slices, "_Slice", alone)
+    rnd = random.Random(11)
+    groups = [walk(rnd, ship, rnd.randrange(1, 9), "Tanker", 0, speed_missing=False) for ship in range(40)]
+    rows = [r for g in groups for r in g]
+    ship, zero = np.array([r[1] for r in rows]), np.zeros(len(rows), np.int64)
+    cells, slow = [r[16] for r in rows], [r[12] < 1 for r in rows]
+    batch = pa.record_batch(
+        [pa.array(ship), pa.array(zero), pa.array(cells), pa.array(slow), pa.array(zero), pa.array(["k"] * len(rows)), pa.array([r[2] for r in rows], pa.int64())],
+        names=["mmsi", "_slice", "_cell", "_slow", "cluster_time", "vessel_type", "imo"],
+    )
+    summary = [s for b in slices.summarise(grid.ring_offsets(3), 3)(iter([batch])) for s in b.to_pylist()]
+
+    def left_open(group, entered):
+        """Position of the event still open after the pings, -1 for none, -2 for that of the entry."""
+        at, anchor = (-2, entered) if entered is not None else (-1, None)
+        for i, r in enumerate(group):
+            if at != -1:
+                at, anchor = (at, anchor) if reach(r[16], anchor) else (-1, None)
+            elif r[12] < 1:
+                at, anchor = i, r[16]
+        return at
+
+    assert len(summary) == len(groups)
+    for got, group in zip(summary, groups):
+        first = group[0][16]
+        far = left_open(group, first + (40 << 26))
+        anchors = [first + (dq << 26) + dr for dq, dr in grid.ring_offsets(3)]
+        ends = {a: left_open(group, a) for a in anchors}
+        assert got["none_pos"] == left_open(group, None) and got["far_pos"] == far
+        assert got["stays"] == [a for a in anchors if ends[a] == -2]
+        assert dict(zip(got["other"], got["other_pos"])) == {a: e for a, e in ends.items() if e not in (-2, far)}
+        assert got["_imo"] == next((r[2] for r in group if r[2] is not None), None)
+
+
+def test_recap_of_counted_stops_is_that_of_the_events(spark):
+    from fairlead.operators import joins, reports
+
+    rnd = random.Random(12)
+    rows = [
+        (i, rnd.randrange(4) if rnd.random() < 0.9 else None, START + dt.timedelta(hours=rnd.randrange(24 * 20)) if rnd.random() < 0.95 else None,
+         rnd.choice([1, 2, 3, None]), rnd.choice([1, 2, 3]))
+        for i in range(4000)
+    ]
+    events = spark.createDataFrame(rows, "mmsi long, h3_index_int long, obs_time timestamp, state_initial int, state_final int")
+    cells = spark.createDataFrame([(f"K{k}", c) for k in range(30) for c in range(4) if (k + c) % 3], "Kode string, h3_ids_int long")
+    counted = reports.counted_stops(events)
+    assert counted.count() < 2000 and counted.agg(F.sum("events")).first()[0] == len(rows)
+    for kind in ("arrival", "departed"):
+        for period in ({}, {"month_obs": 1}, {"port_code": "K7", "year_obs": 2024, "date_obs": 9}):
+            want = reports.recap_stops(joins.events_in_ports(events, cells), kind, **period)
+            got = reports.recap_stops(joins.events_in_ports(counted, cells), kind, events="events", **period)
+            assert got.dtypes == want.dtypes and want.count()
+            assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
