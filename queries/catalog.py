@@ -53,9 +53,9 @@ def pings(spark, sf) -> DataFrame:
 
 
 def grid_pings(spark, sf, resolution: int = 8) -> DataFrame:
-    return pings(spark, sf).withColumn(
-        f"H3_int_index_{resolution}", grid.cell_at("latitude", "longitude", resolution)
-    )
+    # The cell is a generated value: inlined where it is used, it makes methods too large for the JVM to compile.
+    cell = grid.cell_at("latitude", "longitude", resolution)
+    return areas.settle(pings(spark, sf), _at=cell).withColumn(f"H3_int_index_{resolution}", F.col("_at")).drop("_at")
 
 
 def tied_pings(spark, sf) -> DataFrame:
