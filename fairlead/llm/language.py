@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fairlead.llm.text import documents, sent as sent_value, ship, sliced, trimmed
+from fairlead.llm.text import documents, sent as sent_value, ship, sliced, trim, trimmed
 
 #: Bytes of the longest context.
 ORDER = 3
@@ -72,10 +72,9 @@ class Model:
         # while blending, symbol 0 stands for all bytes never seen together
         tables = {lang: np.full((1, a), 1 / a) for lang in coded}
         #: nodes[d]: node number by packed context of d symbols, or that of the longest shorter one.
-        nodes = np.zeros(1, np.int64)
+        nodes = np.zeros(1, np.int32)
         for d in range(ORDER + 1):
-            contexts = np.arange(a**d)
-            parent = nodes[contexts % a ** max(d - 1, 0)]
+            parent = np.tile(nodes, a) if d else nodes
             per_lang = {}
             total = np.zeros(a**d, np.int64)
             for lang, (code, n) in coded.items():
@@ -85,18 +84,19 @@ class Model:
             own = np.flatnonzero(total >= (LEAST if d else 0))
             first = len(next(iter(tables.values())))
             number = parent.copy()
-            number[own] = first + np.arange(len(own))
+            number[own] = first + np.arange(len(own), dtype=np.int32)
+            place = np.full(a**d, -1, np.int32)
+            place[own] = np.arange(len(own), dtype=np.int32)
+            del total
             for lang, (key, n) in per_lang.items():
                 count = np.zeros((len(own), a))
-                place = np.full(a**d, -1)
-                place[own] = np.arange(len(own))
                 row = place[key // a]
                 count[row[row >= 0], (key % a)[row >= 0]] = n[row >= 0]
-                grown = np.empty((first + len(own), a))
-                grown[:first] = tables[lang]
+                lower = tables[lang]
                 for i in range(0, len(own), ROWS):  # some rows at a time, as blending takes several copies
-                    grown[first + i : first + i + ROWS] = self._blended(count[i : i + ROWS], tables[lang][parent[own[i : i + ROWS]]])
-                tables[lang] = grown
+                    count[i : i + ROWS] = self._blended(count[i : i + ROWS], lower[parent[own[i : i + ROWS]]])
+                tables[lang] = np.concatenate((lower, count))
+                del count, lower
             nodes = number
         self.node = nodes.astype(np.int32)
         self.bits = np.empty((len(tables[self.languages[0]]) * a, len(self.languages)), np.float32)
@@ -164,7 +164,9 @@ def fitted(labelled: DataFrame) -> Model | None:
         gram, n = found.setdefault(r.lang, (array("q"), array("q")))
         gram.append(r.gram)
         n.append(r.n)
-    return Model({k: (np.array(g, np.int64), np.array(n, np.int64)) for k, (g, n) in found.items()}) if found else None
+    model = Model({k: (np.array(g, np.int64), np.array(n, np.int64)) for k, (g, n) in found.items()}) if found else None
+    trim()
+    return model
 
 
 def predicted(model: Model | None, texts: pa.Array) -> tuple[list[str], list[float]]:
