@@ -195,19 +195,22 @@ def near_groups(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     return fps.join(groups.select("fp", "root").join(names, "root"), "fp").select("doc_id", "fp", "component_id")
 
 
-def one_per_group(docs: DataFrame, groups: DataFrame) -> DataFrame:
+def one_per_group(docs: DataFrame, groups: DataFrame, nameless: bool = False) -> DataFrame:
     """The documents with one of each group: of smallest doc_id, then of smallest text hash.
 
     groups is (doc_id, text_hash, root) of all documents. Rows of one doc_id with texts of several
-    groups are told apart; those that repeat id and text count once. Rows without doc_id cannot
-    be named and stay.
+    groups are told apart; those that repeat id and text count once. Rows without doc_id all stay; with
+    `nameless` they count too: they come last in their group and are named by their text.
     """
-    first = groups.filter("doc_id is not null").groupBy("root").agg(F.min(F.struct("doc_id", "text_hash")).alias("kept"))
+    known = docs if nameless else docs.filter("doc_id is not null")
+    known = known.withColumn("_text_hash", F.xxhash64("text"))
+    first = (groups if nameless else groups.filter("doc_id is not null")).groupBy("root").agg(
+        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("kept")
+    )
     names = first.select(F.col("kept.doc_id").alias("_kept_id"), F.col("kept.text_hash").alias("_kept_text"))
-    known = docs.filter("doc_id is not null").withColumn("_text_hash", F.xxhash64("text"))
-    same = (known["doc_id"] == F.col("_kept_id")) & (known["_text_hash"] == F.col("_kept_text"))
+    same = known["doc_id"].eqNullSafe(F.col("_kept_id")) & (known["_text_hash"] == F.col("_kept_text"))
     kept = known.join(names, same, "left_semi").dropDuplicates(["doc_id", "_text_hash"]).drop("_text_hash")
-    return kept.unionByName(docs.filter("doc_id is null"))
+    return kept if nameless else kept.unionByName(docs.filter("doc_id is null"))
 
 
 def deduplicated(docs: DataFrame, size: int = SHINGLE) -> DataFrame:

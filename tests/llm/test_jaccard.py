@@ -3,6 +3,9 @@
 import random
 import re
 
+import numpy as np
+import pyarrow as pa
+
 import corpus_pipeline
 from fairlead.llm import jaccard
 from tests.llm import cases
@@ -82,6 +85,51 @@ def test_simhash_and_pivot_tables_link_without_a_common_band(spark):
     assert all(any(node[k] in pair for pair in found) for k in range(3))
 
 
+def test_every_pair_of_a_band_or_of_near_fingerprints_is_compared(spark):
+    from pyspark.sql import functions as F
+
+    rnd = random.Random(10)
+    a, b = ([f"w{rnd.random()}" for _ in range(200)] for _ in range(2))
+    docs = [(0, " ".join(a)), (1, changed(rnd, a, 1)), (2, " ".join(b)), (3, changed(rnd, b, 1))]
+    docs += [(k, " ".join(f"v{rnd.random()}" for _ in range(50))) for k in range(4, 44)]
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    sketched = jaccard.with_sketches(table).withColumn("keys", F.array("node")).withColumn("fp", F.col("node"))
+    node = {r.doc_id: r.node for r in sketched.collect()}
+    want = {frozenset((node[0], node[1])), frozenset((node[2], node[3]))}
+    assert min(node, key=node.get) > 3 and max(node, key=node.get) > 3  # those that all are compared with are like none of them
+    banded = sketched.withColumn("keys", F.array(F.lit(1).cast("long")))  # all in one band, no two fingerprints near
+    assert {frozenset((r.a, r.b)) for r in jaccard.links(table, banded).collect()} == want
+    # No two share a band. 0 and 1 have the fingerprint of many other texts; 2 and 3 are linked to it under a mask each, and meet under two others
+    x, y = (sum(1 << k for k in bits) for bits in ((0, 20, 40), (20, 40, 50)))
+    fp = F.when(F.col("doc_id") == 2, x).when(F.col("doc_id") == 3, y).otherwise(0)
+    found = {frozenset((r.a, r.b)) for r in jaccard.links(table, sketched.withColumn("fp", fp.cast("long"))).collect()}
+    assert found == want
+
+
+def test_parities_bound_the_difference_of_sets():
+    rnd = random.Random(12)
+    texts = [" ".join(f"w{rnd.randrange(40)}" for _ in range(rnd.randrange(300))) for _ in range(40)] + ["", "a"]
+    counts, hashes = jaccard.shingles(pa.array(texts))
+    bits = jaccard.parities(counts, hashes).view(np.uint64).reshape(len(texts), -1)
+    sets = [set(x.tolist()) for x in np.split(hashes, np.cumsum(counts)[:-1])]
+    for s, b in zip(sets, bits):
+        want = [0] * jaccard.PARITIES
+        for h in s:
+            want[h >> 60] ^= 1 << (h >> 54 & 63)
+        assert b.tolist() == want
+    assert all(np.bitwise_count(x ^ y).sum() <= len(s ^ t) for s, x in zip(sets, bits) for t, y in zip(sets, bits))
+
+
+def test_documents_without_id_are_deduplicated_too(spark):
+    rnd = random.Random(11)
+    a, b, c = ([f"w{rnd.random()}" for _ in range(200)] for _ in range(3))
+    docs = [(None, changed(rnd, a, 1)), (1, " ".join(a)), (None, " ".join(b)), (None, " ".join(b)), (None, changed(rnd, b, 1))]
+    docs += [(None, " ".join(c)), (None, None), (None, "")]
+    kept = [r.text for r in jaccard.deduplicated(spark.createDataFrame(docs, "doc_id long, text string")).collect()]
+    assert len(kept) == 4 and {docs[1][1], docs[5][1]} < set(kept)
+    assert sum(t in {d[1] for d in docs[2:5]} for t in kept) == 1 and sum(not t for t in kept) == 1
+
+
 def test_stages_give_back_what_earlier_ones_sent(spark):
     from fairlead.llm import text
 
