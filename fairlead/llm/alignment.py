@@ -11,15 +11,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from fairlead.llm.text import documents, ship, shared_folder, sliced
+from fairlead.llm.text import documents, ship, shared_folder, sliced, trimmed
 from fairlead.llm.tokens import _byte_of
 
 #: Bytes of text whose token pairs are looked up together.
 BLOCK = 4 << 20
+#: Id pairs of a row of a block at most, and bytes of a row group and of a batch to Python: readers hold thousands of rows at once.
+PIECE = 1_024
+ROW_GROUP = 16 << 20
+BATCH = ("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
 #: Groups of more links than this are linked by their distinct ids.
 WIDE = 4_096
 #: An id pair is packed as first * SECOND + second; both vocabularies are checked against it.
@@ -238,14 +243,35 @@ def aligned(docs: DataFrame, paths: tuple[str, str, str] | None = None) -> DataF
 
 
 BLOCKS = (
-    "block long, doc_id array<long>, n_a array<int>, n_b array<int>, n_groups array<int>, n_links array<long>, digest array<string>, "
-    "pairs array<int>, docs array<int>, size array<int>, place array<int>, links array<long>"
+    "block long, row int, doc_id long, n_a long, n_b long, n_groups long, n_links long, digest string, "
+    "place array<int>, links array<long>, pairs array<int>, docs array<int>"
 )
 
 
+def _pieces(first: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Owner and begin of the pieces of at most PIECE values that each run of values is cut into, one piece at least."""
+    n = np.maximum(-(-size // PIECE), 1)
+    owner = np.repeat(np.arange(len(n)), n)
+    return owner, first[owner] + PIECE * (np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n))
+
+
 def _blocks(docs: DataFrame, paths: tuple[str, str, str]) -> DataFrame:
-    """One row per BLOCK bytes of text: counts per document, the block's distinct id pairs with the documents that hold them,
-    and per document the places of its pairs among these and their links."""
+    """The documents in blocks of BLOCK bytes of text, and the distinct id pairs of each block, in order.
+
+    A document is a row, or several of the same number in its block: its counts, the places of its id pairs among those
+    of the block, and their links. The block's pairs are rows without a number, with the documents that hold each pair.
+    No row holds more than PIECE pairs, whatever the size of a document or block.
+    """
+
+    def lists(begin: np.ndarray, values: np.ndarray, kind: pa.DataType) -> pa.ListArray:
+        return pa.ListArray.from_arrays(pa.array(np.append(begin, len(values)), pa.int32()), pa.array(values, kind))
+
+    def rows(**columns) -> pa.RecordBatch:
+        n = len(columns["block"])
+        return pa.RecordBatch.from_arrays([columns[f.name] if f.name in columns else pa.nulls(n, f.type) for f in schema], schema=schema)
+
+    list_of = {"int": pa.int32(), "long": pa.int64(), "string": pa.string(), "array<int>": pa.list_(pa.int32()), "array<long>": pa.list_(pa.int64())}
+    schema = pa.schema([(name, list_of[kind]) for name, kind in (f.split(" ") for f in BLOCKS.split(", "))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -259,18 +285,21 @@ def _blocks(docs: DataFrame, paths: tuple[str, str, str]) -> DataFrame:
                 held.append((x.n_a, x.n_b, x.groups, x.links, x.digests(pair(paths)), np.bincount(text, minlength=part.num_rows), code, links))
             n_a, n_b, groups, total, digest, size, code, links = zip(*held)
             pairs, place = np.unique(np.concatenate(code), return_inverse=True)
-            columns = [
-                number, batch.column("doc_id"), *map(np.concatenate, (n_a, n_b, groups, total)), [d for x in digest for d in x],
-                pairs, np.bincount(place, minlength=len(pairs)), np.concatenate(size), place, np.concatenate(links),
-            ]
-            kinds = [None, None, pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.string(), *[pa.int32()] * 4, pa.int64()]
-            arrays = [pa.array([number])] + [
-                pa.ListArray.from_arrays(pa.array([0, len(c)], pa.int32()), c if k is None else pa.array(c, k)) for c, k in zip(columns[1:], kinds[1:])
-            ]
-            yield pa.RecordBatch.from_arrays(arrays, [f.split(" ")[0] for f in BLOCKS.split(", ")])
+            size = np.concatenate(size)
+            row, begin = _pieces(np.cumsum(size) - size, size)
+            facts = dict(zip(("n_a", "n_b", "n_groups", "n_links"), map(np.concatenate, (n_a, n_b, groups, total))))
+            yield rows(
+                block=pa.array(np.full(len(row), number)), row=pa.array(row, pa.int32()), doc_id=batch.column("doc_id").take(pa.array(row)),
+                digest=pa.array([d for x in digest for d in x], pa.string()).take(pa.array(row)),
+                place=lists(begin, place, pa.int32()), links=lists(begin, np.concatenate(links), pa.int64()),
+                **{k: pa.array(v[row], pa.int64()) for k, v in facts.items()},
+            )
+            _, begin = _pieces(np.zeros(1, np.int64), np.array([len(pairs)]))
+            held_by = np.bincount(place, minlength=len(pairs))
+            yield rows(block=pa.array(np.full(len(begin), number)), pairs=lists(begin, pairs, pa.int32()), docs=lists(begin, held_by, pa.int32()))
             number += 1
 
-    return _narrow(docs).mapInArrow(run, BLOCKS)
+    return _narrow(docs).mapInArrow(trimmed(run), BLOCKS)
 
 
 def pair_counts(blocks: DataFrame) -> DataFrame:
@@ -296,31 +325,34 @@ def link_statistics(docs: DataFrame, paths: tuple[str, str, str] | None = None)
     paths = paths or vocabulary_paths()
     ship(spark)
     folder = f"{shared_folder(spark)}/alignment-{uuid.uuid4().hex}"
-    _blocks(docs, paths).write.option("compression", "zstd").parquet(folder)
+    before = spark.conf.get(BATCH[0])
+    spark.conf.set(*BATCH)
+    try:
+        _blocks(docs, paths).write.option("compression", "zstd").option("parquet.block.size", ROW_GROUP).parquet(folder)
+    finally:
+        spark.conf.set(BATCH[0], before)
     blocks = spark.read.parquet(folder)
-    asked = blocks.select("block", F.explode("pairs").alias("pair")).join(pair_counts(blocks), "pair")
-    answers = asked.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("pair", "count", "best"))).alias("answer"))
-    answers = answers.select("block", F.col("answer.count").alias("count"), F.col("answer.best").alias("best"))
-    joined = blocks.drop("pairs", "docs").join(answers.hint("shuffle_hash"), "block", "left")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                one = {n: batch.column(k).slice(i, 1).flatten() for k, n in enumerate(batch.schema.names) if n != "block"}
-                size = one["size"].to_numpy()
-                first = np.cumsum(size) - size
-                place, links = one["place"].to_numpy(), one["links"].to_numpy()
-                count, best = one["count"].to_numpy(), one["best"].to_numpy(zero_copy_only=False).astype(np.int64)
-                sums = []
-                for weight in (best, count):
-                    total = np.concatenate([[0], np.cumsum(weight[place] * links)]).astype(np.int64)
-                    sums.append(pa.array(total[first + size] - total[first]))
-                yield pa.RecordBatch.from_arrays(
-                    [one[n] if n in ("doc_id", "digest") else one[n].cast(pa.int64()) for n in ("doc_id", "n_a", "n_b", "n_groups", "n_links")] + sums + [one["digest"]],
-                    ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"],
-                )
-
-    return joined.mapInArrow(
+    answers = blocks.select("block", F.explode("pairs").alias("pair")).join(pair_counts(blocks), "pair")
+    rows = spark.read.parquet(folder).filter("row is not null").drop("pairs", "docs")
+
+    def run(rows: pa.Table, answers: pa.Table) -> pa.Table:
+        order = np.argsort(answers["pair"].to_numpy())
+        place, links = rows["place"].combine_chunks(), rows["links"].combine_chunks().flatten().to_numpy()
+        ends = np.cumsum(np.concatenate([[0], pc.list_value_length(place).to_numpy()]))
+        place, row = place.flatten().to_numpy(), rows["row"].to_numpy()
+        _, first = np.unique(row, return_index=True)
+        one = rows.take(pa.array(first))
+        sums = []
+        for name in ("best", "count"):
+            weight = answers[name].to_numpy().astype(np.int64)[order]
+            total = np.concatenate([[0], np.cumsum(weight[place] * links)]).astype(np.int64)
+            each = np.zeros(len(first), np.int64)
+            np.add.at(each, row, total[ends[1:]] - total[ends[:-1]])
+            sums.append(pa.array(each))
+        columns = [one[n] for n in ("doc_id", "n_a", "n_b", "n_groups", "n_links")]
+        return pa.table(columns + sums + [one["digest"]], ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"])
+
+    return rows.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
         run, "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
     )
 

@@ -241,6 +241,17 @@ def test_alignment_awkward_rows(spark, monkeypatch):
     assert alignment.link_statistics(cases.empty(spark)).count() == 0
 
 
+def test_alignment_keeps_no_wide_rows(spark, monkeypatch):
+    monkeypatch.setattr(alignment, "PIECE", 7)  # a document and a block's pairs take many rows
+    rows = [(r[0], r[1]) for r in cases.rows()]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    want = sorted(plain_alignment(rows), key=key)
+    assert sorted((tuple(r) for r in alignment.link_statistics(docs).collect()), key=key) == want
+    monkeypatch.setattr(alignment, "PIECE", 1_024)
+    kept = alignment._blocks(docs, alignment.vocabulary_paths()).collect()
+    assert max(len(v) for r in kept for v in r if isinstance(v, list)) <= alignment.PIECE < max(r.n_a or 0 for r in kept)
+
+
 def test_alignment_groups_give_the_tokens_back(spark):
     docs = spark.createDataFrame(inputs() + ODD, "doc_id long, text string")
     for r in alignment.aligned(docs).collect():
